@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starload.functions import expr as X
 from starload.operators.checks import duplicate_keys
 from starload.operators.dedupe import dedupe
-from starload.operators.joins import missing_from
+from starload.operators.joins import exists_in, missing_from, resolve_key
 from starload.operators.keys import assign_surrogate_keys, current_max
 from starload.schemas import CALENDAR_ERROR
 
@@ -44,6 +44,23 @@ def change_predicate(compare: dict[str, object], t: str = "__t_", s: str = "__s_
     return reduce(lambda a, b: a | b, terms)
 
 
+def changed_rows(target: DataFrame, source: DataFrame, *, key: str, compare: dict[str, object],
+                 order: list[str] | None = None, active: str = "is_active") -> DataFrame:
+    """Target keys that a source row changes (F2 over the inner join on ``key``), with the new values.
+
+    When several source rows change one key, the last in ``order`` wins (H4).
+    Columns: ``key``, ``__s_<attr>`` for each compared attribute.
+    """
+    attrs = list(compare)
+    t = target.select(key, *[F.col(c).alias("__t_" + c) for c in attrs], F.col(active).alias("__t_" + active))
+    order_cols = order or []
+    s = source.select(key, *[F.col(c).alias("__s_" + c) for c in attrs], *order_cols)
+    changed = t.join(s, key).filter(change_predicate(compare, active=active))
+    if order_cols:
+        changed = dedupe(changed, [key], order_cols, keep="last")
+    return changed.select(key, *[F.col("__s_" + c) for c in attrs])
+
+
 @dataclass
 class UpsertResult:
     frame: DataFrame      # new version of the target
@@ -64,15 +81,9 @@ def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dic
       current largest surrogate key; a key twice among them raises ``LoadError``.
     ``source`` must already hold only valid rows (F1).
     """
-    attrs = list(compare)
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.lit(None).cast("timestamp_ntz")
-    t = target.select(key, *[F.col(c).alias("__t_" + c) for c in attrs], F.col(active).alias("__t_" + active))
-    order_cols = order or []
-    s = source.select(key, *[F.col(c).alias("__s_" + c) for c in attrs], *order_cols)
-    changed = t.join(s, key).filter(change_predicate(compare, active=active))
-    if order_cols:
-        changed = dedupe(changed, [key], order_cols, keep="last")
-    changed = changed.select(key, *[F.col("__s_" + c) for c in attrs], F.lit(True).alias("__chg"))
+    changed = changed_rows(target, source, key=key, compare=compare, order=order, active=active)
+    changed = changed.withColumn("__chg", F.lit(True))
 
     kept = target.join(changed, key, "left")
     flag = F.col("__chg").isNotNull()
@@ -117,6 +128,63 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: list[str] | dict[
     return missing_from(source, target, on)
 
 
+# ---- facts (K6, K7, S15, K14) ---------------------------------------------------------------
+
+GAME_MEASURES = ("home_goals", "away_goals", "home_shots", "away_shots")
+STAT_MEASURES = ("goals", "assists", "shots", "hits", "blocks", "penalty_minutes")
+
+
+def load_game_fact(staged: DataFrame, teams: DataFrame, dates: DataFrame, existing: DataFrame, *,
+                   load_ts: datetime | None = None, base: int | None = None) -> DataFrame:
+    """K6: new game fact rows from staged games (insert-only).
+
+    Home and away team keys are resolved by inner joins (unresolved games vanish,
+    J3), the game date must exist in the calendar (semi join; the key itself is
+    recomputed, S9), games already in the fact are skipped (J5), and new rows are
+    numbered from the fact's largest key (K15).
+    """
+    g = staged.filter(F.col("game_id").isNotNull())
+    g = resolve_key(g, teams, {"home_team_id": "team_id"}, "team_key", "home_team_key")
+    g = resolve_key(g, teams, {"away_team_id": "team_id"}, "team_key", "away_team_key")
+    g = exists_in(g, dates, {"game_date": "full_date"})
+    g = missing_from(g, existing, {"game_id": "game_id"})
+    g = g.select("game_id", X.date_key("game_date").alias("date_key"), "season", "game_type", "home_team_key",
+                 "away_team_key", *GAME_MEASURES)
+    base = current_max(existing, "game_key") if base is None else base
+    out = assign_surrogate_keys(g, "game_key", ["game_id"], base=base, key_type="long")
+    if load_ts is not None:
+        out = out.withColumn("created_date", F.lit(load_ts).cast("timestamp_ntz"))
+    return out
+
+
+def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, teams: DataFrame,
+                    existing: DataFrame | None = None, *, load_ts: datetime | None = None,
+                    base: int | None = None) -> DataFrame:
+    """K7: new player-game stats fact rows (insert-only).
+
+    Game, player and team keys are resolved by inner joins (J3); rows already in
+    the fact on (game, player, team) are skipped (J6); NULL measures become 0
+    except ice time (S1); points = goals + assists (S15); keys follow K15.
+    """
+    s = resolve_key(staged, games, {"game_id": "game_id"}, "game_key")
+    s = resolve_key(s, players, {"player_id": "player_id"}, "player_key")
+    s = resolve_key(s, teams, {"team_id": "team_id"}, "team_key")
+    keys = ["game_key", "player_key", "team_key"]
+    if existing is not None:
+        s = missing_from(s, existing, {k: k for k in keys})
+    zero = {c: X.isnull_typed(c, F.lit(0)) for c in STAT_MEASURES}
+    s = s.select(*keys, *[zero[c].alias(c) for c in STAT_MEASURES],
+                 X.points(zero["goals"], zero["assists"]).alias("points"), "time_on_ice_seconds")
+    if base is None:
+        base = current_max(existing, "player_game_stats_key") if existing is not None else 0
+    out = assign_surrogate_keys(s, "player_game_stats_key", keys, base=base, key_type="long")
+    out = out.select("player_game_stats_key", *keys, "goals", "assists", "points", "shots", "hits", "blocks",
+                     "penalty_minutes", "time_on_ice_seconds")
+    if load_ts is not None:
+        out = out.withColumn("created_date", F.lit(load_ts).cast("timestamp_ntz"))
+    return out
+
+
 # ---- calendar (K5, U2, S9-S13) -----------------------------------------------------------
 
 def calendar_rows(dates: DataFrame, date_col: str = "full_date") -> DataFrame:

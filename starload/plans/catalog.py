@@ -12,7 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.functions import expr as X
+from starload.operators import checks as C
+from starload.operators import deletes as D
+from starload.operators import joins as J
+from starload.operators import loads as L
 from starload.operators import reports as R
+from starload.operators.dedupe import dedupe
+from starload.sources import payloads as P
 from starload.sources.roles import Roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +37,165 @@ def query(fn: Query) -> Query:
 def v_team_season_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
     return R.team_season_summary(m.game, m.team, home="home_team_id", away="away_team_id", team_key="team_id")
+
+
+@query
+def v_team_game_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return R.team_game_results(m.game, m.team, None, home="home_team_id", away="away_team_id", team_key="team_id")
+
+
+@query
+def v_player_game_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return R.player_game_stats(m.stats_fact, m.game, m.player, m.team, None, game_key="game_id",
+                               player_key="player_id", team_key="team_id")
+
+
+@query
+def v_player_season_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return R.player_season_summary(m.stats_fact, m.game, m.player, m.team, game_key="game_id",
+                                   player_key="player_id", team_key="team_id")
+
+
+@query
+def team_games_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return R.team_games(m.game, home="home_team_id", away="away_team_id", team_col="team_id").select(
+        "season", "team_id", "goals_for", "goals_against", "shots_for", "shots_against")
+
+
+# ---- loads (K3-K7, F1, F2, J3-J7, U3, K15) ------------------------------------------------
+
+TEAM_COMPARE = {"team_name": "", "conference": ""}
+
+
+@query
+def scd1_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    src = m.team_src.filter(F.col("team_id").isNotNull() & F.col("team_name").isNotNull())
+    return L.changed_rows(m.team_tgt, src, key="team_id", compare=TEAM_COMPARE).select("team_id")
+
+
+@query
+def scd1_upsert_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    src = m.team_src.filter(F.col("team_id").isNotNull() & F.col("team_name").isNotNull())
+    return L.upsert_type1(m.team_tgt, src, key="team_id", compare=TEAM_COMPARE, surrogate="team_key",
+                          created=None, modified=None).frame
+
+
+@query
+def scd1_upsert_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    staged = m.player_src.filter(F.col("player_id").isNotNull())
+    src = J.resolve_key(staged, m.team_tgt, {"team_id": "team_id"}, "team_key", how="left").select(
+        "player_id", "team_key", X.full_name_or_parts("full_name", "first_name", "last_name").alias("full_name"),
+        "position_code")
+    src = src.filter(F.col("full_name").isNotNull())
+    compare = {"team_key": -1, "full_name": None, "position_code": ""}
+    return L.upsert_type1(m.player_tgt, src, key="player_id", compare=compare, surrogate="player_key",
+                          created=None, modified=None).frame
+
+
+@query
+def insert_missing_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    loaded = m.table("orders").filter(F.col("o_orderstatus") == "F")
+    return L.insert_missing(loaded, m.game, {"game_id": "o_orderkey"}).select("game_id")
+
+
+@query
+def insert_missing_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    loaded = m.stats_all.filter(F.col("l_returnflag") == "R")
+    return L.insert_missing(loaded, m.stats, ["game_id", "player_id"]).select("game_id", "player_id")
+
+
+@query
+def game_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    calendar = L.calendar_for_range(C.date_range(m.game, "game_date"))
+    return L.load_game_fact(m.game, m.team_tgt, calendar, m.game_fact_existing)
+
+
+@query
+def stats_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return L.load_stats_fact(m.stats_staged, m.game, m.player, m.team_tgt)
+
+
+@query
+def player_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return J.resolve_key(m.player, m.team_tgt, {"team_id": "team_id"}, "team_key", how="left").select(
+        "player_id", "team_key")
+
+
+# ---- checks (C1-C5, A4-A8, T1) --------------------------------------------------------------
+
+@query
+def dup_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.duplicate_keys(Roles(spark, sf_dir).stats_all, ["raw_id"])
+
+
+@query
+def dup_composite_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.duplicate_key_count(Roles(spark, sf_dir).stats_all, ["game_id", "player_id"])
+
+
+@query
+def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return C.fk_violations(m.game, m.team_tgt, {"home_team_id": "team_id"}).select("game_id", "home_team_id")
+
+
+@query
+def staged_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.date_range(Roles(spark, sf_dir).game, "game_date")
+
+
+@query
+def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.latest_batch(Roles(spark, sf_dir).table("events"), "event_type", "ts")
+
+
+# ---- deletes (J8, J9, K12) --------------------------------------------------------------------
+
+@query
+def delete_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    final = m.game.filter(F.col("game_state") == "FINAL")
+    return D.delete_by_join(m.stats, final, {"game_id": "game_id"}).select("game_id", "player_id")
+
+
+@query
+def guarded_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    sample_players = m.table("supplier").filter(F.col("s_suppkey") < 10)
+    sample_games = m.game.filter(F.col("game_id") < 10)
+    kept = D.guarded_delete(m.team, "team_id", F.col("team_id") < 20, [
+        (sample_players, "s_nationkey"), (sample_games, "home_team_id"), (sample_games, "away_team_id")])
+    return kept.select("team_id")
+
+
+# ---- dedupe and selection (R5, R9, P6, T2, F3) -------------------------------------------------
+
+@query
+def final_game_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.final_game_ids(Roles(spark, sf_dir).game, id_col="game_id", state_col="game_state")
+
+
+@query
+def last_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return dedupe(m.stats_all, ["game_id", "player_id"], ["raw_id", "l_partkey", "qty"], keep="last").select(
+        "game_id", "player_id", "l_partkey", "qty")
+
+
+@query
+def first_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return dedupe(m.stats_all, ["game_id", "player_id"], ["raw_id"], keep="first").select(
+        "game_id", "player_id", "l_partkey", "qty")

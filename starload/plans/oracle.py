@@ -79,3 +79,143 @@ from tg join m_team t on t.team_id = tg.team_id group by tg.season, t.team_name"
   select season, away_team_id, away_goals, home_goals, away_shots, home_shots,
     case when away_goals > home_goals then 1 else 0 end, case when away_goals < home_goals then 1 else 0 end
   from m_game"""))
+
+oracle("v_team_game_results", """
+select g.game_id as "Game ID", g.game_date as "Game Date", g.season as "Season", g.game_type as "Game Type",
+  h.team_name as "Home Team", a.team_name as "Away Team", g.home_goals as "Home Goals", g.away_goals as "Away Goals",
+  g.home_shots as "Home Shots", g.away_shots as "Away Shots",
+  case when g.home_goals > g.away_goals then h.team_name when g.away_goals > g.home_goals then a.team_name
+  else 'Tie' end as "Winning Team"
+from m_game g join m_team h on h.team_id = g.home_team_id join m_team a on a.team_id = g.away_team_id""")
+
+oracle("v_player_game_stats", """
+select g.game_id as "Game ID", g.game_date as "Game Date", g.season as "Season", t.team_name as "Team",
+  p.full_name as "Player", p.position_code as "Position", s.goals as "Goals", s.assists as "Assists",
+  s.points as "Points", s.shots as "Shots", s.hits as "Hits", s.blocks as "Blocks",
+  s.penalty_minutes as "Penalty Minutes", s.time_on_ice_seconds as "Time On Ice Seconds"
+from m_stats_fact s join m_game g on g.game_id = s.game_id join m_player p on p.player_id = s.player_id
+  join m_team t on t.team_id = s.team_id""")
+
+oracle("v_player_season_summary", """
+select g.season as "Season", t.team_name as "Team", p.full_name as "Player", p.position_code as "Position",
+  count(*) as "Games Played", cast(sum(s.goals) as bigint) as "Goals", cast(sum(s.assists) as bigint) as "Assists",
+  cast(sum(s.points) as bigint) as "Points", cast(sum(s.shots) as bigint) as "Shots",
+  cast(sum(s.hits) as bigint) as "Hits", cast(sum(s.blocks) as bigint) as "Blocks",
+  cast(sum(s.penalty_minutes) as bigint) as "Penalty Minutes",
+  cast(sum(coalesce(s.time_on_ice_seconds, 0)) as bigint) as "Time On Ice Seconds"
+from m_stats_fact s join m_game g on g.game_id = s.game_id join m_player p on p.player_id = s.player_id
+  join m_team t on t.team_id = s.team_id
+group by g.season, t.team_name, p.full_name, p.position_code""")
+
+oracle("team_games_unpivot", """
+select season, home_team_id as team_id, home_goals as goals_for, away_goals as goals_against,
+  home_shots as shots_for, away_shots as shots_against from m_game
+union all
+select season, away_team_id, away_goals, home_goals, away_shots, home_shots from m_game""")
+
+_TEAM_SRC_VALID = "select * from m_team_src where team_id is not null and team_name is not null"
+_TEAM_CHG = ("chg", f"""select t.team_id from m_team_tgt t join ({_TEAM_SRC_VALID}) s on s.team_id = t.team_id
+  where coalesce(t.team_name, '') <> coalesce(s.team_name, '') or coalesce(t.conference, '') <> coalesce(s.conference, '')
+  or not t.is_active""")
+
+oracle("scd1_change_set", "select team_id from chg", _TEAM_CHG)
+
+oracle("scd1_upsert_team", f"""
+select t.team_id, t.team_key, case when c.team_id is not null then s.team_name else t.team_name end as team_name,
+  case when c.team_id is not null then s.conference else t.conference end as conference,
+  case when c.team_id is not null then true else t.is_active end as is_active
+from m_team_tgt t left join m_team_src s on s.team_id = t.team_id left join chg c on c.team_id = t.team_id
+union all
+select s.team_id, cast((select max(team_key) from m_team_tgt) + row_number() over (order by s.team_id) as int),
+  s.team_name, s.conference, true
+from ({_TEAM_SRC_VALID}) s where not exists (select 1 from m_team_tgt t where t.team_id = s.team_id)""", _TEAM_CHG)
+
+_PLAYER_SRC = ("psrc", """select p.player_id, t.team_key,
+    substring(coalesce(case when rtrim(p.full_name) = '' then null else p.full_name end,
+      trim(concat(coalesce(p.first_name, ''), ' ', coalesce(p.last_name, '')))), 1, 200) as full_name,
+    p.position_code
+  from m_player_src p left join m_team_tgt t on t.team_id = p.team_id where p.player_id is not null""")
+_PLAYER_CHG = ("pchg", """select t.player_id from m_player_tgt t join psrc s on s.player_id = t.player_id
+  where s.full_name is not null and (coalesce(t.team_key, -1) <> coalesce(s.team_key, -1)
+    or t.full_name <> s.full_name or coalesce(t.position_code, '') <> coalesce(s.position_code, '') or not t.is_active)""")
+
+oracle("scd1_upsert_player", """
+select t.player_id, t.player_key, case when c.player_id is not null then s.team_key else t.team_key end as team_key,
+  case when c.player_id is not null then s.full_name else t.full_name end as full_name,
+  case when c.player_id is not null then s.position_code else t.position_code end as position_code,
+  case when c.player_id is not null then true else t.is_active end as is_active
+from m_player_tgt t left join psrc s on s.player_id = t.player_id left join pchg c on c.player_id = t.player_id
+union all
+select s.player_id, (select max(player_key) from m_player_tgt) + row_number() over (order by s.player_id),
+  s.team_key, s.full_name, s.position_code, true
+from psrc s where s.full_name is not null and not exists (select 1 from m_player_tgt t where t.player_id = s.player_id)""",
+       _PLAYER_SRC, _PLAYER_CHG)
+
+oracle("insert_missing_single", """
+select g.game_id from m_game g
+where not exists (select 1 from orders x where x.o_orderkey = g.game_id and x.o_orderstatus = 'F')""")
+
+oracle("insert_missing_composite", """
+select s.game_id, s.player_id from m_stats s where not exists
+  (select 1 from m_stats_all x where x.game_id = s.game_id and x.player_id = s.player_id and x.l_returnflag = 'R')""")
+
+oracle("game_fact_load", """
+select (select max(o_orderkey) + 1000 from orders where o_orderstatus = 'F') + row_number() over (order by g.game_id)
+    as game_key,
+  g.game_id, cast(year(g.game_date) * 10000 + month(g.game_date) * 100 + day(g.game_date) as int) as date_key,
+  g.season, g.game_type, h.team_key as home_team_key, a.team_key as away_team_key, g.home_goals, g.away_goals,
+  g.home_shots, g.away_shots
+from m_game g join m_team_tgt h on h.team_id = g.home_team_id join m_team_tgt a on a.team_id = g.away_team_id
+where g.game_id is not null
+  and exists (select 1 from cal where cal.full_date = g.game_date)
+  and not exists (select 1 from orders x where x.o_orderkey = g.game_id and x.o_orderstatus = 'F')""",
+       ("cal", """select cast(unnest(generate_series((select min(game_date) from m_game),
+    (select max(game_date) from m_game), interval 1 day)) as date) as full_date"""))
+
+oracle("stats_fact_load", """
+select row_number() over (order by g.game_key, p.player_key, t.team_key) as player_game_stats_key,
+  g.game_key, p.player_key, t.team_key, coalesce(s.goals, 0) as goals, coalesce(s.assists, 0) as assists,
+  coalesce(s.goals, 0) + coalesce(s.assists, 0) as points, coalesce(s.shots, 0) as shots,
+  coalesce(s.hits, 0) as hits, coalesce(s.blocks, 0) as blocks, coalesce(s.penalty_minutes, 0) as penalty_minutes,
+  s.time_on_ice_seconds
+from st s join m_game g on g.game_id = s.game_id join m_player p on p.player_id = s.player_id
+  join m_team_tgt t on t.team_id = s.team_id""",
+       ("st", "select s.*, p.team_id from m_stats s join m_player p on p.player_id = s.player_id"))
+
+oracle("player_key_lookup", "select p.player_id, t.team_key from m_player p left join m_team_tgt t on t.team_id = p.team_id")
+
+oracle("dup_single_key", "select raw_id, count(*) as n from m_stats_all group by raw_id having count(*) > 1")
+
+oracle("dup_composite_count", """
+select count(*) as duplicate_count from
+  (select game_id, player_id from m_stats_all group by game_id, player_id having count(*) > 1) d""")
+
+oracle("fk_violations", """
+select g.game_id, g.home_team_id from m_game g
+where g.home_team_id is not null and not exists (select 1 from m_team_tgt t where t.team_id = g.home_team_id)""")
+
+oracle("staged_date_range",
+       "select min(game_date) as start_date, max(game_date) as end_date from m_game where game_date is not null")
+
+oracle("latest_batch",
+       "select event_type as batch_id from events group by event_type order by max(ts) desc, event_type limit 1")
+
+oracle("delete_by_join", """
+select s.game_id, s.player_id from m_stats s
+where not exists (select 1 from m_game g where g.game_id = s.game_id and g.game_state = 'FINAL')""")
+
+oracle("guarded_delete", """
+select t.team_id from m_team t where not (t.team_id < 20
+  and not exists (select 1 from supplier p where p.s_nationkey = t.team_id and p.s_suppkey < 10)
+  and not exists (select 1 from m_game g where g.home_team_id = t.team_id and g.game_id < 10)
+  and not exists (select 1 from m_game g where g.away_team_id = t.team_id and g.game_id < 10))""")
+
+oracle("final_game_ids", "select distinct game_id from m_game where game_state in ('FINAL', 'OFF') order by game_id")
+
+oracle("last_wins_dedupe", """
+select game_id, player_id, l_partkey, qty from (select *, row_number() over (partition by game_id, player_id
+  order by raw_id desc, l_partkey desc, qty desc) as rn from m_stats_all) z where rn = 1""")
+
+oracle("first_wins_dedupe", """
+select game_id, player_id, l_partkey, qty from (select *, row_number() over (partition by game_id, player_id
+  order by raw_id) as rn from m_stats_all) z where rn = 1""")

@@ -116,3 +116,14 @@ class Roles:
             "player_id", "player_key", (F.col("team_id") + 1000).alias("team_key"),
             F.when(k % 4 == 0, F.concat("full_name", F.lit(" old"))).otherwise(F.col("full_name")).alias("full_name"),
             "position_code", F.lit(True).alias("is_active"))
+
+    @cached_property
+    def stats_staged(self) -> DataFrame:
+        """Staged stats: measures as delivered (NULLs kept) with the player's team id."""
+        return self.stats.join(self.player.select("player_id", "team_id"), "player_id")
+
+    @cached_property
+    def game_fact_existing(self) -> DataFrame:
+        """Games already in the fact: the finished orders ('F'), keyed natural key + 1000."""
+        o = self.table("orders").filter(F.col("o_orderstatus") == "F")
+        return o.select(F.col("o_orderkey").alias("game_id"), (F.col("o_orderkey") + 1000).alias("game_key"))
