@@ -8,6 +8,7 @@ each is compared with.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from starload.functions import expr as X
 from starload.operators import checks as C
 from starload.operators import deletes as D
+from starload.operators import filters as Fl
 from starload.operators import joins as J
 from starload.operators import loads as L
 from starload.operators import reports as R
 from starload.operators.dedupe import dedupe
+from starload.plans import audit as A
+from starload.schemas import LENGTH_LIMITS
 from starload.sources import payloads as P
 from starload.sources.roles import Roles
 
@@ -199,3 +203,214 @@ def first_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
     return dedupe(m.stats_all, ["game_id", "player_id"], ["raw_id"], keep="first").select(
         "game_id", "player_id", "l_partkey", "qty")
+
+
+# ---- payloads: envelope, flattening, projection (R1-R12, P1-P7, F5, F6) ----------------------------
+
+BATCH_ID = "11111111-1111-1111-1111-111111111111"
+LOAD_TS = datetime(2024, 10, 1, 12, 0, 0)
+CODE_ARG = " t01, t03 ,,T05, t18 ,T08,t08 "
+GAME_ID_ARG = "1, 2, 3, 4, 5, 6, 7, 32, 33, 34, 35, 36, 37, 38, 39, 64, 7, , 99999999"
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).table("events")
+
+
+@query
+def payload_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    docs = P.parse_envelope(ev, raw="props", source=F.concat(F.lit("events/"), F.col("event_id").cast("string")))
+    return docs.select("event_id", X.variant_int("doc", "$.k").alias("k"))
+
+
+@query
+def raw_json_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select("event_id", F.to_json(F.parse_json("props")).alias("raw_json"))
+
+
+def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.flatten_teams(P.parse_envelope(Roles(spark, sf_dir).teams_payload))
+
+
+@query
+def team_payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _teams(spark, sf_dir)
+    return t.select(F.try_variant_get("team", "$.id", "int").alias("team_id"),
+                    F.try_variant_get("team", "$.fullName", "string").alias("team_name"))
+
+
+@query
+def team_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.team_reference(_teams(spark, sf_dir)).select("team_id", "team_abbrev")
+
+
+@query
+def team_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.team_to_staging(_teams(spark, sf_dir)).drop("raw_json")
+
+
+@query
+def roster_team_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.roster_targets(P.team_reference(_teams(spark, sf_dir)))
+
+
+@query
+def code_list_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.roster_targets(P.team_reference(_teams(spark, sf_dir)), P.parse_codes(CODE_ARG))
+
+
+def _roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = P.parse_envelope(Roles(spark, sf_dir).roster_payloads)
+    return P.flatten_rosters(docs, keep=["team_id"])
+
+
+@query
+def roster_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _roster_rows(spark, sf_dir)
+    return r.select("team_id", "roster_group", F.try_variant_get("player", "$.id", "int").alias("player_id"))
+
+
+@query
+def player_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.player_to_staging(_roster_rows(spark, sf_dir)).drop("raw_json")
+
+
+def _schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = P.parse_envelope(Roles(spark, sf_dir).schedule_payloads)
+    return P.flatten_schedule(docs, keep=["request_seq"])
+
+
+@query
+def schedule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _schedule_rows(spark, sf_dir)
+    return s.select("request_seq", F.try_variant_get("game", "$.id", "bigint").alias("game_id"), "game_date",
+                    F.try_variant_get("game", "$.gameState", "string").alias("game_state"))
+
+
+@query
+def game_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = P.latest_games(_schedule_rows(spark, sf_dir), ["request_seq"])
+    return P.game_to_staging(latest).drop("raw_json")
+
+
+def _boxscore_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.flatten_boxscores(P.parse_envelope(Roles(spark, sf_dir).boxscore_payloads), game_col="game_id")
+
+
+@query
+def boxscore_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _boxscore_rows(spark, sf_dir)
+    return b.select("game_id", "side", "team_id", "roster_group",
+                    F.try_variant_get("stat", "$.playerId", "int").alias("player_id"))
+
+
+@query
+def stats_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.stats_to_staging(_boxscore_rows(spark, sf_dir)).drop("raw_json")
+
+
+@query
+def missing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    requested = P.final_game_ids(m.game)
+    landed = m.boxscore_payloads.filter(F.col("game_id") % 10 != 0).select("game_id")
+    return P.missing_payloads(requested, landed, {"game_id": "game_id"})
+
+
+@query
+def explicit_ids_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return P.select_ids(spark, m.game, P.parse_game_ids(GAME_ID_ARG)).select("game_id", "game_state")
+
+
+@query
+def stage_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = _events(spark, sf_dir).select("event_id", "user_id", "value", F.col("event_type").alias("load_batch_id"))
+    return P.stage_batch(staged, "click").select("event_id", "user_id", "value")
+
+
+@query
+def batch_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Roles(spark, sf_dir).game.select("game_id", "game_date", "season")
+    return P.batch_stamp(g, BATCH_ID, LOAD_TS, ["game_id"]).select(
+        "raw_id", "source_system", "load_batch_id", "game_id", "created_date")
+
+
+# ---- filters (F1, F4) --------------------------------------------------------------------------------
+
+@query
+def valid_stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return Fl.valid_rows(m.player_src, ["player_id", "full_name"]).select("player_id", "full_name")
+
+
+@query
+def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return Fl.date_window(m.game, "game_date", date(1995, 1, 1), date(1995, 12, 31)).select("game_id", "game_date")
+
+
+# ---- calendar (R11, K5, U2, S9-S13) ---------------------------------------------------------------------
+
+@query
+def date_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.dates_between(C.date_range(Roles(spark, sf_dir).game, "game_date"), out="request_date")
+
+
+@query
+def date_dim_populate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.calendar_for_range(C.date_range(Roles(spark, sf_dir).game, "game_date"))
+
+
+@query
+def date_dim_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    existing = m.game.select(F.col("game_date").alias("full_date")).distinct()
+    return L.calendar_for_range(C.date_range(m.game, "game_date"), existing=existing)
+
+
+# ---- audit (K8-K11, T3) ------------------------------------------------------------------------------
+
+def _audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as audit events: batch = user, sequence = event id, status = event type."""
+    ev = _events(spark, sf_dir)
+    is_start = F.col("event_type") == "view"
+    return ev.select(F.col("user_id").cast("string").alias("load_batch_id"), F.lit("NHL API").alias("source_system"),
+                     F.when(is_start, F.col("ts")).alias("load_start_date"), F.col("ts").alias("load_end_date"),
+                     F.col("event_type").alias("status"), F.floor("value").cast("int").alias("rows_inserted"),
+                     F.lit(0).alias("rows_updated"), F.lit(None).cast("string").alias("error_message"),
+                     F.col("event_id").alias("event_seq"))
+
+
+@query
+def batch_audit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.current_state(_audit_events(spark, sf_dir)).select(
+        "load_batch_id", "load_start_date", "load_end_date", "status", "rows_inserted", "event_seq")
+
+
+@query
+def audit_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.readback(A.current_state(_audit_events(spark, sf_dir))).select(
+        "load_batch_id", "load_start_date", "status")
+
+
+# ---- counts and constraint checks (A6, C4, C5) -------------------------------------------------------------
+
+@query
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Roles(spark, sf_dir)
+    return C.row_counts({"team": m.team, "player": m.player, "game": m.game, "stats": m.stats_all})
+
+
+@query
+def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["game_id", "game_date", "season", "home_team_id", "away_team_id", "home_goals", "away_goals"]
+    return C.not_null_violations(Roles(spark, sf_dir).game, cols)
+
+
+@query
+def length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = {c: n for c, n in LENGTH_LIMITS["player_raw"].items() if c != "shoots_catches"}
+    return C.length_violations(Roles(spark, sf_dir).player_src, limits)

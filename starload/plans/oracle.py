@@ -43,7 +43,8 @@ MAPPING = {
   team_id <> 7 as is_active from m_team where team_id < 20""",
     "m_player_src": """select player_id, team_id, split_part(full_name, '#', 1) as first_name,
   split_part(full_name, '#', 2) as last_name,
-  case when player_id % 5 = 0 then '' else full_name end as full_name, position_code from m_player""",
+  case when player_id % 5 = 0 then '' when player_id % 11 = 0 then null else full_name end as full_name,
+  position_code from m_player""",
     "m_player_tgt": """select player_id, player_key, team_id + 1000 as team_key,
   case when player_id % 4 = 0 then full_name || ' old' else full_name end as full_name, position_code,
   true as is_active from m_player where player_id % 7 <> 0""",
@@ -219,3 +220,123 @@ select game_id, player_id, l_partkey, qty from (select *, row_number() over (par
 oracle("first_wins_dedupe", """
 select game_id, player_id, l_partkey, qty from (select *, row_number() over (partition by game_id, player_id
   order by raw_id) as rn from m_stats_all) z where rn = 1""")
+
+# ---- payloads ---------------------------------------------------------------------------------
+oracle("payload_envelope", "select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")
+
+oracle("raw_json_canonical",
+       """select event_id, concat('{"k":', json_extract_string(props, '$.k'), '}') as raw_json from events""")
+
+oracle("team_payload_flatten", "select team_id, team_name from m_team")
+
+_TEAM_CODE = ("tref", """select team_id, team_name, conference,
+  case when team_id % 5 = 3 then lower(concat('T', lpad(cast(team_id % 16 as varchar), 2, '0')))
+  when team_id % 5 = 4 then null else concat('T', lpad(cast(team_id % 16 as varchar), 2, '0')) end as code
+  from m_team""")
+
+oracle("team_reference", "select team_id, code as team_abbrev from tref where code is not null", _TEAM_CODE)
+
+oracle("team_to_staging", """select team_id, team_name, code as team_abbreviation, conference,
+  cast(null as varchar) as division from tref""", _TEAM_CODE)
+
+_ROSTER_DEDUPE = ("rdd", """select team_id, upper(code) as team_abbrev from (select *,
+  row_number() over (partition by upper(code) order by team_id) as rn from tref where code is not null) z where rn = 1""")
+
+oracle("roster_team_dedupe", "select team_id, team_abbrev from rdd", _TEAM_CODE, _ROSTER_DEDUPE)
+
+oracle("code_list_filter", "select team_id, team_abbrev from rdd where team_abbrev in ('T01', 'T03', 'T05', 'T18', 'T08')",
+       _TEAM_CODE, _ROSTER_DEDUPE)
+
+_ROSTER = ("ros", """select * from m_player where not (position_code = 'G' and team_id % 7 = 3)""")
+
+oracle("roster_flatten", """select team_id,
+  case position_code when 'C' then 'forwards' when 'D' then 'defensemen' else 'goalies' end as roster_group,
+  cast(player_id as int) as player_id from ros""", _ROSTER)
+
+oracle("player_to_staging", """select cast(player_id as int) as player_id, team_id, first_name, last_name,
+  concat_ws(' ', nullif(first_name, ''), nullif(last_name, '')) as full_name, position_code,
+  case when player_id % 2 = 0 then 'L' else 'R' end as shoots_catches,
+  cast(date '1980-01-01' + cast(player_id % 7000 as int) as date) as birth_date
+from (select *, case when player_id % 11 = 0 then null else split_part(full_name, '#', 1) end as first_name,
+  split_part(full_name, '#', 2) as last_name from ros) r""", _ROSTER)
+
+oracle("schedule_flatten", """select 0 as request_seq, game_id, game_date, game_state from m_game
+union all select 1, game_id, game_date, game_state from m_game where game_id % 13 = 0""")
+
+oracle("game_to_staging", """select game_id, game_date, season,
+  case when game_id % 13 = 0 then 'LATE' else game_type end as game_type,
+  case when game_id % 97 = 0 then null else home_team_id end as home_team_id, away_team_id,
+  case when game_id % 97 = 0 then null else home_goals end as home_goals, away_goals,
+  case when game_id % 97 = 0 then null else home_shots end as home_shots, away_shots from m_game""")
+
+_BOX = ("box", """select s.*, g.home_team_id, g.away_team_id, p.position_code,
+  s.player_id % 2 = 0 as home from m_stats s join m_game g on g.game_id = s.game_id
+  join m_player p on p.player_id = s.player_id
+  where not (s.player_id % 2 = 1 and s.game_id % 89 = 0)""")
+
+oracle("boxscore_flatten", """select game_id, case when home then 'homeTeam' else 'awayTeam' end as side,
+  case when home then home_team_id else away_team_id end as team_id,
+  case position_code when 'C' then 'forwards' when 'D' then 'defense' else 'goalies' end as roster_group,
+  cast(player_id as int) as player_id from box""", _BOX)
+
+oracle("stats_to_staging", """select game_id, cast(player_id as int) as player_id,
+  case when home then home_team_id else away_team_id end as team_id, goals, assists, shots, hits, blocks,
+  penalty_minutes, time_on_ice_seconds from box""", _BOX)
+
+oracle("missing_payloads", """select g.game_id from m_game g where g.game_state in ('FINAL', 'OFF')
+  and not exists (select 1 from m_stats s where s.game_id = g.game_id and s.game_id % 10 <> 0)""")
+
+oracle("explicit_ids_semi", """select game_id, game_state from m_game
+  where game_id in (1, 2, 3, 4, 5, 6, 7, 32, 33, 34, 35, 36, 37, 38, 39, 64, 99999999)""")
+
+oracle("stage_batch_scan", "select event_id, user_id, value from events where event_type = 'click'")
+
+oracle("batch_stamp", """select row_number() over (order by game_id) as raw_id, 'NHL API' as source_system,
+  '11111111-1111-1111-1111-111111111111' as load_batch_id, game_id,
+  timestamp '2024-10-01 12:00:00' as created_date from m_game""")
+
+# ---- filters ------------------------------------------------------------------------------------
+oracle("valid_stage_rows", "select player_id, full_name from m_player_src where player_id is not null and full_name is not null")
+
+oracle("date_range_filter",
+       "select game_id, game_date from m_game where game_date between date '1995-01-01' and date '1995-12-31'")
+
+# ---- calendar ------------------------------------------------------------------------------------
+_CAL = ("cal", """select cast(unnest(generate_series((select min(game_date) from m_game),
+    (select max(game_date) from m_game), interval 1 day)) as date) as d""")
+_CAL_ROWS = """select cast(strftime(d, '%Y%m%d') as int) as date_key, d as full_date,
+  cast(year(d) as int) as calendar_year, cast(quarter(d) as int) as calendar_quarter,
+  cast(month(d) as int) as calendar_month, monthname(d) as month_name, cast(day(d) as int) as day_of_month,
+  cast(dayofweek(d) + 1 as int) as day_of_week, dayname(d) as day_name, dayofweek(d) in (0, 6) as is_weekend
+from cal"""
+
+oracle("date_sequence", "select d as request_date from cal", _CAL)
+oracle("date_dim_populate", _CAL_ROWS, _CAL)
+oracle("date_dim_insert_missing", _CAL_ROWS + " where not exists (select 1 from m_game g where g.game_date = cal.d)",
+       _CAL)
+
+# ---- audit -----------------------------------------------------------------------------------------
+_AUDIT = ("aud", """select cast(user_id as varchar) as load_batch_id,
+  arg_max(case when event_type = 'view' then ts end, case when event_type = 'view' then event_id end)
+    as load_start_date,
+  arg_max(ts, event_id) as load_end_date, arg_max(event_type, event_id) as status,
+  arg_max(cast(floor(value) as int), event_id) as rows_inserted, max(event_id) as event_seq
+from events group by user_id""")
+
+oracle("batch_audit_state",
+       "select load_batch_id, load_start_date, load_end_date, status, rows_inserted, event_seq from aud", _AUDIT)
+oracle("audit_readback", "select load_batch_id, load_start_date, status from aud order by load_start_date", _AUDIT)
+
+# ---- counts and constraint checks --------------------------------------------------------------------
+oracle("row_counts", """select 'team' as table_name, count(*) as row_count from m_team
+union all select 'player', count(*) from m_player union all select 'game', count(*) from m_game
+union all select 'stats', count(*) from m_stats_all""")
+
+oracle("not_null_violations", " union all ".join(
+    f"select '{c}' as column_name, count(*) filter (where {c} is null) as null_count from m_game"
+    for c in ["game_id", "game_date", "season", "home_team_id", "away_team_id", "home_goals", "away_goals"]))
+
+oracle("length_violations", " union all ".join(
+    f"""select '{c}' as column_name, {n} as length_limit, cast(max(length({c})) as int) as max_length,
+  count(*) filter (where length({c}) > {n}) as violations from m_player_src"""
+    for c, n in [("first_name", 100), ("last_name", 100), ("full_name", 200), ("position_code", 10)]))

@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _by_key(arr):
+    """Sort an array of ``struct(k, e)`` by ``k`` (``e`` may hold variants, which have no ordering)."""
+    return F.array_sort(arr, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+
+
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -100,12 +105,13 @@ class Roles:
 
     @cached_property
     def player_src(self) -> DataFrame:
-        """Staged players: names split from the supplier name, a blank full name on every 5th."""
+        """Staged players: names split from the supplier name; full name blank on every 5th, NULL on every 11th."""
         p, k = self.player, F.col("player_id")
         return p.select("player_id", "team_id",
                         F.split_part("full_name", F.lit("#"), F.lit(1)).alias("first_name"),
                         F.split_part("full_name", F.lit("#"), F.lit(2)).alias("last_name"),
-                        F.when(k % 5 == 0, F.lit("")).otherwise(F.col("full_name")).alias("full_name"),
+                        F.when(k % 5 == 0, F.lit("")).when(k % 11 == 0, F.lit(None))
+                        .otherwise(F.col("full_name")).cast("string").alias("full_name"),
                         "position_code")
 
     @cached_property
@@ -127,3 +133,122 @@ class Roles:
         """Games already in the fact: the finished orders ('F'), keyed natural key + 1000."""
         o = self.table("orders").filter(F.col("o_orderstatus") == "F")
         return o.select(F.col("o_orderkey").alias("game_id"), (F.col("o_orderkey") + 1000).alias("game_key"))
+
+
+    # ---- landed payloads (one JSON document per row: payload key columns + raw text) ----------
+
+    @cached_property
+    def teams_payload(self) -> DataFrame:
+        """One teams document ``{data: [...]}`` built from the team role (a league has few teams).
+
+        Codes are 'T' + (id % 16), so later teams repeat earlier codes; id % 5 = 3 has
+        an empty ``triCode`` and a lower-case ``rawTricode``; id % 5 = 4 has no code.
+        """
+        k, name = F.col("team_id"), F.col("team_name")
+        code = F.concat(F.lit("T"), F.lpad((k % 16).cast("string"), 2, "0"))
+        elem = F.struct(
+            k.alias("id"), name.alias("fullName"),
+            F.when(k % 5 == 3, F.lit("")).when(k % 5 == 4, F.lit(None)).otherwise(code).alias("triCode"),
+            F.when(k % 5 == 3, F.lower(code)).alias("rawTricode"),
+            F.col("conference").alias("conferenceName"))
+        data = self.team.groupBy().agg(_by_key(F.collect_list(F.struct(k.alias("k"), elem.alias("e")))).alias("a"))
+        return data.select(F.lit("teams/teams.json").alias("path"),
+                           F.to_json(F.struct(F.transform("a", lambda x: x["e"]).alias("data"))).alias("raw"))
+
+    @cached_property
+    def player_elements(self) -> DataFrame:
+        """Roster entries: localized first names, last names as plain text on even ids."""
+        p, k = self.player, F.col("player_id")
+        first = F.split_part("full_name", F.lit("#"), F.lit(1))
+        last = F.split_part("full_name", F.lit("#"), F.lit(2))
+        first_v = F.when(k % 11 != 0, F.to_variant_object(F.struct(first.alias("default"))))
+        last_v = F.when(k % 2 == 0, last.cast("variant")).otherwise(
+            F.to_variant_object(F.struct(last.alias("default"))))
+        birth = F.date_format(F.date_add(F.lit("1980-01-01").cast("date"), (k % 7000).cast("int")), "yyyy-MM-dd")
+        elem = F.struct(k.alias("id"), first_v.alias("firstName"), last_v.alias("lastName"),
+                        F.col("position_code").alias("positionCode"),
+                        F.when(k % 2 == 0, "L").otherwise("R").alias("shootsCatches"),
+                        F.when(k % 3 == 0, F.concat(birth, F.lit("T00:00:00"))).otherwise(birth).alias("birthDate"))
+        return p.select("team_id", "player_id", "position_code", elem.alias("e"))
+
+    @cached_property
+    def roster_payloads(self) -> DataFrame:
+        """Roster documents per team and id block (bounded size); goalies is a string for team % 7 = 3."""
+        e = self.player_elements.withColumn("chunk", F.floor(F.col("player_id") / 1024))
+
+        def group(code):
+            return _by_key(F.collect_list(F.when(F.col("position_code") == code,
+                                                 F.struct(F.col("player_id").alias("k"), F.col("e").alias("e")))))
+
+        g = e.groupBy("team_id", "chunk").agg(group("C").alias("f"), group("D").alias("d"), group("G").alias("g"))
+        goalies = F.when(F.col("team_id") % 7 == 3, F.lit("n/a").cast("variant")).otherwise(
+            F.to_variant_object(F.transform("g", lambda x: x["e"])))
+        doc = F.struct(F.transform("f", lambda x: x["e"]).alias("forwards"),
+                       F.transform("d", lambda x: x["e"]).alias("defensemen"), goalies.alias("goalies"))
+        return g.select("team_id", F.concat(F.lit("roster/"), F.col("team_id").cast("string"), F.lit("/"),
+                                            F.col("chunk").cast("string"), F.lit(".json")).alias("path"),
+                        F.to_json(doc).alias("raw"))
+
+    @cached_property
+    def schedule_payloads(self) -> DataFrame:
+        """Schedule documents ``{gameWeek: [day, junk...]}`` per game date and id block.
+
+        Request 0 holds every game; request 1 repeats games with id % 13 = 0 as type
+        'LATE' (overlapping windows, the later request wins). Each document also
+        carries a day without a date and a non-object day, which must be skipped.
+        Games with id % 97 = 0 have no home team object.
+        """
+        g, k = self.game, F.col("game_id")
+        side = lambda t: F.struct(F.col(f"{t}_team_id").alias("id"), F.col(f"{t}_goals").alias("score"),
+                                  F.col(f"{t}_shots").alias("sog"))
+        elem = F.struct(k.alias("id"), F.col("season").cast("int").alias("season"), F.col("game_type").alias("gameType"),
+                        F.col("game_state").alias("gameState"),
+                        F.when(k % 97 != 0, side("home")).alias("homeTeam"), side("away").alias("awayTeam"))
+        late = F.struct(k.alias("id"), F.col("season").cast("int").alias("season"), F.lit("LATE").alias("gameType"),
+                        F.col("game_state").alias("gameState"),
+                        F.when(k % 97 != 0, side("home")).alias("homeTeam"), side("away").alias("awayTeam"))
+        base = g.select(F.lit(0).alias("request_seq"), "game_date", "game_id", elem.alias("e"))
+        again = g.filter(k % 13 == 0).select(F.lit(1).alias("request_seq"), "game_date", "game_id", late.alias("e"))
+        both = base.unionByName(again).withColumn("chunk", F.floor(F.col("game_id") / 65536))
+        docs = both.groupBy("request_seq", "game_date", "chunk").agg(
+            _by_key(F.collect_list(F.struct(F.col("game_id").alias("k"), F.col("e").alias("e")))).alias("a"))
+        day = F.to_json(F.struct(F.date_format("game_date", "yyyy-MM-dd").alias("date"),
+                                 F.transform("a", lambda x: x["e"]).alias("games")))
+        raw = F.concat(F.lit('{"gameWeek":['), day, F.lit(',{"games":[]},{"date":null,"games":[1]},7]}'))
+        return docs.select("request_seq", F.concat(F.lit("schedule/"), F.col("request_seq").cast("string"), F.lit("/"),
+                                                   F.date_format("game_date", "yyyy-MM-dd"), F.lit("-"),
+                                                   F.col("chunk").cast("string"), F.lit(".json")).alias("path"),
+                           raw.alias("raw"))
+
+    @cached_property
+    def boxscore_payloads(self) -> DataFrame:
+        """Boxscore documents per game: even player ids on the home side, odd on the away side.
+
+        Games with id % 89 = 0 have no away team id (that side must be skipped).
+        """
+        s = self.stats.join(self.player.select("player_id", "position_code"), "player_id")
+        s = s.join(self.game.select("game_id", "home_team_id", "away_team_id"), "game_id")
+        toi = F.when(F.col("time_on_ice_seconds").isNotNull(), F.concat(
+            F.floor(F.col("time_on_ice_seconds") / 60).cast("string"), F.lit(":"),
+            F.lpad((F.col("time_on_ice_seconds") % 60).cast("string"), 2, "0")))
+        stat = F.struct(F.col("player_id").alias("playerId"), "goals", "assists", F.col("shots").alias("sog"), "hits",
+                        F.col("blocks").alias("blockedShots"), F.col("penalty_minutes").alias("pim"), toi.alias("toi"))
+        s = s.select("game_id", "home_team_id", "away_team_id", "player_id", "position_code",
+                     (F.col("player_id") % 2 == 0).alias("home"), stat.alias("e"))
+
+        def group(home, code):
+            return F.transform(_by_key(F.collect_list(F.when(
+                (F.col("home") == home) & (F.col("position_code") == code),
+                F.struct(F.col("player_id").alias("k"), F.col("e").alias("e"))))), lambda x: x["e"])
+
+        def side(home):
+            return F.struct(group(home, "C").alias("forwards"), group(home, "D").alias("defense"),
+                            group(home, "G").alias("goalies"))
+
+        g = s.groupBy("game_id", "home_team_id", "away_team_id").agg(side(False).alias("a"), side(True).alias("h"))
+        k = F.col("game_id")
+        doc = F.struct(F.struct(F.when(k % 89 != 0, F.col("away_team_id")).alias("id")).alias("awayTeam"),
+                       F.struct(F.col("home_team_id").alias("id")).alias("homeTeam"),
+                       F.struct(F.col("a").alias("awayTeam"), F.col("h").alias("homeTeam")).alias("playerByGameStats"))
+        return g.select("game_id", F.concat(F.lit("boxscore/"), k.cast("string"), F.lit(".json")).alias("path"),
+                        F.to_json(doc).alias("raw"))
