@@ -414,3 +414,130 @@ def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = {c: n for c, n in LENGTH_LIMITS["player_raw"].items() if c != "shoots_catches"}
     return C.length_violations(Roles(spark, sf_dir).player_src, limits)
+
+
+# ---- scalar rules (S1-S15, S17-S19), one projection each ------------------------------------------
+
+@query
+def fn_isnull_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = Roles(spark, sf_dir).player, F.col("player_id")
+    name = F.when(k % 3 != 0, F.col("full_name"))
+    return p.select("player_id", X.isnull_typed(name, F.repeat("full_name", 12), 200).alias("name"))
+
+
+@query
+def fn_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Roles(spark, sf_dir).game
+    return g.select("game_id", F.coalesce("home_goals", F.lit(0)).alias("home_goals"),
+                    F.coalesce("away_goals", F.lit(0)).alias("away_goals"))
+
+
+@query
+def fn_nullif_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = Roles(spark, sf_dir).player, F.col("player_id")
+    x = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("   ")).otherwise(F.col("full_name"))
+    return p.select("player_id", X.nullif_blank(x).alias("value"))
+
+
+@query
+def fn_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = Roles(spark, sf_dir).player_src, F.col("player_id")
+    first = F.when(k % 3 != 0, F.col("first_name"))
+    last = F.when(k % 4 != 0, F.col("last_name"))
+    return p.select("player_id", X.concat_name(first, last).alias("full_name"))
+
+
+@query
+def fn_localized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = Roles(spark, sf_dir).player, F.col("player_id")
+    first = F.split_part("full_name", F.lit("#"), F.lit(1))
+    text = (F.when(k % 4 == 0, F.to_json(F.struct(first.alias("default"))))
+            .when(k % 4 == 1, F.to_json(F.array(first)).substr(F.lit(2), F.length(F.to_json(F.array(first))) - 2))
+            .when(k % 4 == 2, F.lit("null")).otherwise(k.cast("string")))
+    return p.select("player_id", X.localized_text(F.parse_json(text)).alias("value"))
+
+
+@query
+def fn_int_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev, k = _events(spark, sf_dir), F.col("event_id")
+    text = F.when(k % 5 == 0, F.lit("n/a")).when(k % 5 == 1, F.lit("")).otherwise(F.col("user_id").cast("string"))
+    return ev.select("event_id", X.to_int(text).alias("value"))
+
+
+@query
+def fn_toi_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Roles(spark, sf_dir).stats_all
+    toi = F.concat((F.col("l_linenumber") * 7).cast("string"), F.lit(":"),
+                   F.lpad((F.col("l_partkey") % 60).cast("string"), 2, "0"))
+    return s.select("raw_id", "l_partkey", X.toi_to_seconds(toi).alias("seconds"))
+
+
+@query
+def fn_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g, k = Roles(spark, sf_dir).game, F.col("game_id")
+    day = F.date_format("game_date", "yyyy-MM-dd")
+    text = F.when(k % 3 == 0, F.concat(day, F.lit("T12:34:56Z"))).when(k % 3 == 1, day).otherwise(F.lit(""))
+    return g.select("game_id", X.to_date_prefix(text).alias("value"))
+
+
+@query
+def fn_date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.date_key("game_date").alias("date_key"))
+
+
+@query
+def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = X.date_parts("game_date")
+    return Roles(spark, sf_dir).game.select("game_id", *[c.alias(n) for n, c in parts.items()])
+
+
+@query
+def fn_day_month_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.month_name("game_date").alias("month_name"),
+                                            X.day_name("game_date").alias("day_name"))
+
+
+@query
+def fn_is_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.is_weekend("game_date").alias("is_weekend"))
+
+
+@query
+def fn_date_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.next_day("game_date").alias("next_date"))
+
+
+@query
+def fn_winner_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Roles(spark, sf_dir).game
+    return g.select("game_id", X.winner_label("home_goals", "away_goals", F.col("home_team_id").cast("string"),
+                                              F.col("away_team_id").cast("string")).alias("winner"))
+
+
+@query
+def fn_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).stats.select("game_id", "player_id", X.points("goals", "assists").alias("points"))
+
+
+@query
+def fn_truncate_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Roles(spark, sf_dir).game
+    cut = X.truncate_message(F.repeat(F.concat("game_type", F.lit(" ")), 400))
+    return g.select("game_id", F.length(cut).alias("msg_length"), F.substring(cut, 3991, 10).alias("msg_tail"))
+
+
+@query
+def fn_normalize_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Roles(spark, sf_dir).player
+    raw = F.concat(F.lit("  "), F.lower(F.substring("full_name", 1, 3)), F.col("position_code"), F.lit(" "))
+    return p.select("player_id", X.normalize_code(raw).alias("code"))
+
+
+@query
+def fn_season_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.season_start("game_date").alias("season_start"))
+
+
+@query
+def season_start_of_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Roles(spark, sf_dir).game.select("game_id", X.season_start_year("game_date").alias("season_start_year"))

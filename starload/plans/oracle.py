@@ -340,3 +340,44 @@ oracle("length_violations", " union all ".join(
     f"""select '{c}' as column_name, {n} as length_limit, cast(max(length({c})) as int) as max_length,
   count(*) filter (where length({c}) > {n}) as violations from m_player_src"""
     for c, n in [("first_name", 100), ("last_name", 100), ("full_name", 200), ("position_code", 10)]))
+
+# ---- scalar rules ----------------------------------------------------------------------------------
+oracle("fn_isnull_typed", """select player_id,
+  substring(coalesce(case when player_id % 3 <> 0 then full_name end, repeat(full_name, 12)), 1, 200) as name
+  from m_player""")
+oracle("fn_coalesce",
+       "select game_id, coalesce(home_goals, 0) as home_goals, coalesce(away_goals, 0) as away_goals from m_game")
+oracle("fn_nullif_blank", """select player_id, case when rtrim(x) = '' then null else x end as value from
+  (select player_id, case when player_id % 4 = 0 then '' when player_id % 4 = 1 then '   ' else full_name end as x
+   from m_player) z""")
+oracle("fn_full_name", """select player_id, trim(concat(coalesce(case when player_id % 3 <> 0 then first_name end, ''), ' ',
+  coalesce(case when player_id % 4 <> 0 then last_name end, ''))) as full_name from m_player_src""")
+oracle("fn_localized_text", """select player_id, case when player_id % 4 in (0, 1) then split_part(full_name, '#', 1)
+  when player_id % 4 = 2 then null else cast(player_id as varchar) end as value from m_player""")
+oracle("fn_int_coercion", """select event_id, try_cast(case when event_id % 5 = 0 then 'n/a' when event_id % 5 = 1 then ''
+  else cast(user_id as varchar) end as int) as value from events""")
+oracle("fn_toi_to_seconds", """select raw_id, l_partkey,
+  case when len(string_split(t, ':')) = 2 then try_cast(string_split(t, ':')[1] as int) * 60
+    + try_cast(string_split(t, ':')[2] as int) end as seconds
+  from (select raw_id, l_partkey, concat(cast(l_linenumber * 7 as varchar), ':', lpad(cast(l_partkey % 60 as varchar), 2, '0')) as t
+        from m_stats_all) z""")
+oracle("fn_to_date", "select game_id, case when game_id % 3 = 2 then null else game_date end as value from m_game")
+oracle("fn_date_key", "select game_id, cast(strftime(game_date, '%Y%m%d') as int) as date_key from m_game")
+oracle("fn_date_parts", """select game_id, cast(year(game_date) as int) as calendar_year,
+  cast(quarter(game_date) as int) as calendar_quarter, cast(month(game_date) as int) as calendar_month,
+  cast(day(game_date) as int) as day_of_month, cast(dayofweek(game_date) + 1 as int) as day_of_week from m_game""")
+oracle("fn_day_month_names",
+       "select game_id, monthname(game_date) as month_name, dayname(game_date) as day_name from m_game")
+oracle("fn_is_weekend", "select game_id, dayofweek(game_date) in (0, 6) as is_weekend from m_game")
+oracle("fn_date_add", "select game_id, cast(game_date + interval 1 day as date) as next_date from m_game")
+oracle("fn_winner_label", """select game_id, case when home_goals > away_goals then cast(home_team_id as varchar)
+  when away_goals > home_goals then cast(away_team_id as varchar) else 'Tie' end as winner from m_game""")
+oracle("fn_points", "select game_id, player_id, goals + assists as points from m_stats")
+oracle("fn_truncate_message", """select game_id, cast(length(c) as int) as msg_length, substring(c, 3991, 10) as msg_tail
+  from (select game_id, substring(repeat(concat(game_type, ' '), 400), 1, 4000) as c from m_game) z""")
+oracle("fn_normalize_code", """select player_id, upper(trim(concat('  ', lower(substring(full_name, 1, 3)), position_code, ' ')))
+  as code from m_player""")
+oracle("fn_season_start", """select game_id, make_date(cast(case when month(game_date) >= 9 then year(game_date)
+  else year(game_date) - 1 end as int), 9, 1) as season_start from m_game""")
+oracle("season_start_of_date", """select game_id, cast(case when month(game_date) >= 9 then year(game_date)
+  else year(game_date) - 1 end as int) as season_start_year from m_game""")
