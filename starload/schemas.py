@@ -73,7 +73,7 @@ PLAYER_GAME_STATS_FACT = _schema(("player_game_stats_key", _L, False), ("game_ke
                                  ("assists", _I, False), ("points", _I, True), ("shots", _I, False),
                                  ("hits", _I, False), ("blocks", _I, False), ("penalty_minutes", _I, False),
                                  ("time_on_ice_seconds", _I, True), ("created_date", _TS, False))
-LOAD_BATCH = _schema(("load_batch_id", _S, False), ("source_system", _S, False), ("load_start_date", _TS, False),
+LOAD_BATCH = _schema(("load_batch_id", _S, False), ("source_system", _S, False), ("load_start_date", _TS, True),
                      ("load_end_date", _TS, True), ("status", _S, False), ("rows_inserted", _I, True),
                      ("rows_updated", _I, True), ("error_message", _S, True), ("event_seq", _L, False))
 
@@ -89,7 +89,8 @@ LENGTH_LIMITS = {
     "load_batch": {"source_system": 50, "status": 20},
 }
 
-# NOT NULL columns of the target tables (C4)
+# NOT NULL columns of the target tables (C4); the audit log holds events, whose start time is set
+# only on start events, so its state table (audit.current_state) carries the NOT NULL start
 NOT_NULL = {name: [f.name for f in schema.fields if not f.nullable] for name, schema in {
     "team_raw": TEAM_RAW, "player_raw": PLAYER_RAW, "game_raw": GAME_RAW,
     "player_game_stats_raw": PLAYER_GAME_STATS_RAW, "team_dim": TEAM_DIM, "player_dim": PLAYER_DIM,
