@@ -154,13 +154,15 @@ def _load(wh: Warehouse, staging: str, rows: DataFrame, order: list[str], load_t
 
 # ---- source loads ----------------------------------------------------------------------------------
 
-def _teams(spark: SparkSession, landing: str) -> DataFrame:
-    return P.flatten_teams(P.parse_envelope(P.read_payloads(spark, f"{landing}/teams")))
+def _teams(spark: SparkSession, landing: str, payloads: DataFrame | None = None) -> DataFrame:
+    payloads = P.read_payloads(spark, f"{landing}/teams") if payloads is None else payloads
+    return P.flatten_teams(P.parse_envelope(payloads))
 
 
-def load_teams(spark: SparkSession, wh: Warehouse, landing: str, load_ts: datetime | None = None) -> C.LoadResult:
-    """L1: teams payload -> team_raw -> team_dim."""
-    rows = P.team_to_staging(_teams(spark, landing), keep=["team_pos"])
+def load_teams(spark: SparkSession, wh: Warehouse, landing: str, load_ts: datetime | None = None,
+               payloads: DataFrame | None = None) -> C.LoadResult:
+    """L1: teams payload -> team_raw -> team_dim (``payloads`` overrides the landing folder)."""
+    rows = P.team_to_staging(_teams(spark, landing, payloads), keep=["team_pos"])
     return _load(wh, "team_raw", rows, ["team_pos"], load_ts)
 
 
@@ -207,6 +209,15 @@ def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | N
     return _load(wh, "game_raw", rows, ["request_date", "day_pos", "game_pos"], load_ts, before_step=calendar)
 
 
+def load_boxscores(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
+                  load_ts: datetime | None = None) -> C.LoadResult:
+    """R8 -> P4 -> player_game_stats_raw -> fact (K7) for a set of landed boxscore payloads."""
+    docs = P.parse_envelope(payloads.withColumn("game_id", P.payload_key("path", "boxscore").cast("long")))
+    rows = P.stats_to_staging(P.flatten_boxscores(docs, game_col="game_id"),
+                              keep=["side_pos", "group_pos", "player_pos"])
+    return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)
+
+
 def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, start: date | None = None,
                            end: date | None = None, game_ids: str | None = None,
                            load_ts: datetime | None = None, today: date | None = None) -> C.LoadResult:
