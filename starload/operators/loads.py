@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starload.functions import expr as X
 from starload.operators.checks import duplicate_keys
 from starload.operators.dedupe import dedupe
-from starload.operators.joins import exists_in, missing_from, resolve_key
+from starload.operators.joins import exists_in, is_bounded, missing_from, resolve_key
 from starload.operators.keys import assign_surrogate_keys, current_max
 from starload.schemas import CALENDAR_ERROR
 
@@ -130,6 +130,20 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: list[str] | dict[
 
 # ---- facts (K6, K7, S15, K14) ---------------------------------------------------------------
 
+def history_for(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The part of a (large) fact history that a batch can collide with.
+
+    When the batch's distinct keys are provably few, the history is first cut to
+    them by a broadcast semi join (map-side, no shuffle of the history); the
+    anti join that follows then has a small build side. Otherwise the history is
+    returned whole and the planner shuffles both sides.
+    """
+    batch_keys = batch.select(*keys).distinct()
+    if is_bounded(batch_keys):
+        return existing.join(F.broadcast(batch_keys), keys, "left_semi")
+    return existing
+
+
 GAME_MEASURES = ("home_goals", "away_goals", "home_shots", "away_shots")
 STAT_MEASURES = ("goals", "assists", "shots", "hits", "blocks", "penalty_minutes")
 
@@ -147,7 +161,7 @@ def load_game_fact(staged: DataFrame, teams: DataFrame, dates: DataFrame, existi
     g = resolve_key(g, teams, {"home_team_id": "team_id"}, "team_key", "home_team_key")
     g = resolve_key(g, teams, {"away_team_id": "team_id"}, "team_key", "away_team_key")
     g = exists_in(g, dates, {"game_date": "full_date"})
-    g = missing_from(g, existing, {"game_id": "game_id"})
+    g = missing_from(g, history_for(existing, g, ["game_id"]), {"game_id": "game_id"})
     g = g.select("game_id", X.date_key("game_date").alias("date_key"), "season", "game_type", "home_team_key",
                  "away_team_key", *GAME_MEASURES)
     base = current_max(existing, "game_key") if base is None else base
@@ -171,7 +185,7 @@ def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, tea
     s = resolve_key(s, teams, {"team_id": "team_id"}, "team_key")
     keys = ["game_key", "player_key", "team_key"]
     if existing is not None:
-        s = missing_from(s, existing, {k: k for k in keys})
+        s = missing_from(s, history_for(existing, s, ["game_key"]), {k: k for k in keys})
     zero = {c: X.isnull_typed(c, F.lit(0)) for c in STAT_MEASURES}
     s = s.select(*keys, *[zero[c].alias(c) for c in STAT_MEASURES],
                  X.points(zero["goals"], zero["assists"]).alias("points"), "time_on_ice_seconds")
