@@ -27,8 +27,9 @@ MAPPING = {
     "m_stats": """select game_id, player_id, cast(min(qty) % 4 as int) as goals,
   cast(min(l_linenumber) % 3 as int) as assists, cast(max(qty) % 9 as int) as shots,
   cast(min(l_partkey) % 5 as int) as hits, cast(max(l_partkey) % 4 as int) as blocks,
-  case when min(l_returnflag) = 'A' then null else 2 end as penalty_minutes,
-  case when min(l_linestatus) = 'F' then cast(600 + min(l_partkey) % 900 as int) end as time_on_ice_seconds
+  case when max(case when l_returnflag = 'A' then 1 else 0 end) = 1 then null else 2 end as penalty_minutes,
+  case when max(case when l_linestatus = 'F' then 1 else 0 end) = 1 then cast(600 + min(l_partkey) % 900 as int)
+  end as time_on_ice_seconds
   from m_stats_all group by game_id, player_id""",
     "m_stats_fact": """select s.game_id, s.player_id, p.team_id, coalesce(s.goals, 0) as goals,
   coalesce(s.assists, 0) as assists, coalesce(s.goals, 0) + coalesce(s.assists, 0) as points, s.shots, s.hits,

@@ -68,13 +68,16 @@ class Roles:
 
     @cached_property
     def stats(self) -> DataFrame:
+        """Stats per (game, player). Penalty minutes are NULL when a line has return flag 'A', ice time is
+        set only when a line has status 'F' (fixed-width tests, so the grouping is a hash aggregate)."""
         return self.stats_all.groupBy("game_id", "player_id").agg(
             (F.min("qty") % 4).cast("int").alias("goals"), (F.min("l_linenumber") % 3).cast("int").alias("assists"),
             (F.max("qty") % 9).cast("int").alias("shots"), (F.min("l_partkey") % 5).cast("int").alias("hits"),
             (F.max("l_partkey") % 4).cast("int").alias("blocks"),
-            F.when(F.min("l_returnflag") == "A", None).otherwise(F.lit(2)).alias("penalty_minutes"),
-            F.when(F.min("l_linestatus") == "F", (600 + F.min("l_partkey") % 900).cast("int"))
-            .alias("time_on_ice_seconds"))
+            F.when(F.max((F.col("l_returnflag") == "A").cast("int")) == 1, None).otherwise(F.lit(2))
+            .alias("penalty_minutes"),
+            F.when(F.max((F.col("l_linestatus") == "F").cast("int")) == 1, (600 + F.min("l_partkey") % 900)
+                   .cast("int")).alias("time_on_ice_seconds"))
 
     @cached_property
     def stats_fact(self) -> DataFrame:
@@ -211,9 +214,9 @@ class Roles:
         again = g.filter(k % 13 == 0).select(F.lit(1).alias("request_seq"), "game_date", "game_id", late.alias("e"))
         both = base.unionByName(again).withColumn("chunk", F.floor(F.col("game_id") / 65536))
         docs = both.groupBy("request_seq", "game_date", "chunk").agg(
-            _by_key(F.collect_list(F.struct(F.col("game_id").alias("k"), F.col("e").alias("e")))).alias("a"))
+            F.sort_array(F.collect_list(F.struct(F.col("game_id").alias("k"), F.col("e").alias("e")))).alias("a"))
         day = F.to_json(F.struct(F.date_format("game_date", "yyyy-MM-dd").alias("date"),
-                                 F.transform("a", lambda x: x["e"]).alias("games")))
+                                 F.col("a").getField("e").alias("games")))
         raw = F.concat(F.lit('{"gameWeek":['), day, F.lit(',{"games":[]},{"date":null,"games":[1]},7]}'))
         return docs.select("request_seq", F.concat(F.lit("schedule/"), F.col("request_seq").cast("string"), F.lit("/"),
                                                    F.date_format("game_date", "yyyy-MM-dd"), F.lit("-"),
@@ -234,21 +237,26 @@ class Roles:
         stat = F.struct(F.col("player_id").alias("playerId"), "goals", "assists", F.col("shots").alias("sog"), "hits",
                         F.col("blocks").alias("blockedShots"), F.col("penalty_minutes").alias("pim"), toi.alias("toi"))
         s = s.select("game_id", "home_team_id", "away_team_id", "player_id", "position_code",
-                     (F.col("player_id") % 2 == 0).alias("home"), stat.alias("e"))
+                     (F.col("player_id") % 2 == 0).alias("home"), F.to_json(stat).alias("e"))
 
-        def group(home, code):
-            return F.transform(_by_key(F.collect_list(F.when(
+        def group(home, code):  # entries are JSON text: a natural sort, joined into a JSON array
+            arr = F.sort_array(F.collect_list(F.when(
                 (F.col("home") == home) & (F.col("position_code") == code),
-                F.struct(F.col("player_id").alias("k"), F.col("e").alias("e"))))), lambda x: x["e"])
+                F.struct(F.col("player_id").alias("k"), F.col("e").alias("e")))))
+            return F.concat(F.lit("["), F.array_join(arr.getField("e"), ","), F.lit("]"))
 
-        def side(home):
-            return F.struct(group(home, "C").alias("forwards"), group(home, "D").alias("defense"),
-                            group(home, "G").alias("goalies"))
-
-        g = s.groupBy("game_id", "home_team_id", "away_team_id").agg(side(False).alias("a"), side(True).alias("h"))
+        g = s.groupBy("game_id", "home_team_id", "away_team_id").agg(
+            *[group(home, code).alias(f"{side}_{code}") for side, home in (("a", False), ("h", True))
+              for code in ("C", "D", "G")])
         k = F.col("game_id")
-        doc = F.struct(F.struct(F.when(k % 89 != 0, F.col("away_team_id")).alias("id")).alias("awayTeam"),
-                       F.struct(F.col("home_team_id").alias("id")).alias("homeTeam"),
-                       F.struct(F.col("a").alias("awayTeam"), F.col("h").alias("homeTeam")).alias("playerByGameStats"))
+
+        def side(p):
+            return F.concat(F.lit('{"forwards":'), F.col(f"{p}_C"), F.lit(',"defense":'), F.col(f"{p}_D"),
+                            F.lit(',"goalies":'), F.col(f"{p}_G"), F.lit("}"))
+
+        away_id = F.when(k % 89 != 0, F.concat(F.lit('"id":'), F.col("away_team_id").cast("string")))
+        raw = F.concat(F.lit('{"awayTeam":{'), F.coalesce(away_id, F.lit("")), F.lit('},"homeTeam":{"id":'),
+                       F.col("home_team_id").cast("string"), F.lit('},"playerByGameStats":{"awayTeam":'), side("a"),
+                       F.lit(',"homeTeam":'), side("h"), F.lit("}}"))
         return g.select("game_id", F.concat(F.lit("boxscore/"), k.cast("string"), F.lit(".json")).alias("path"),
-                        F.to_json(doc).alias("raw"))
+                        raw.alias("raw"))
