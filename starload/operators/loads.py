@@ -26,15 +26,21 @@ class LoadError(RuntimeError):
 
 
 def change_predicate(compare: dict[str, object], t: str = "__t_", s: str = "__s_",
-                     active: str | None = "is_active") -> Column:
+                     active: str | None = "is_active", text_compare: str = "binary") -> Column:
     """OR over ``ISNULL(t.c, sentinel) <> ISNULL(s.c, sentinel)``, plus "target inactive".
 
     A sentinel of ``None`` compares the columns as they are (NULL is never a change).
     NULL and the sentinel are equal on purpose: NULL -> '' is not a change.
+    ``text_compare='ci_rtrim'`` compares text columns (those with a text sentinel) ignoring
+    case and trailing blanks, as a case-insensitive host collation would; the default is binary.
     """
+    if text_compare not in ("binary", "ci_rtrim"):
+        raise ValueError("text_compare must be 'binary' or 'ci_rtrim'")
     terms = []
     for c, sentinel in compare.items():
         tc, sc = F.col(t + c), F.col(s + c)
+        if text_compare == "ci_rtrim" and isinstance(sentinel, str):
+            tc, sc = F.lower(F.rtrim(tc)), F.lower(F.rtrim(sc))
         if sentinel is None:
             terms.append(tc != sc)
         else:
@@ -45,7 +51,7 @@ def change_predicate(compare: dict[str, object], t: str = "__t_", s: str = "__s_
 
 
 def changed_rows(target: DataFrame, source: DataFrame, *, key: str, compare: dict[str, object],
-                 order: list[str] | None = None, active: str = "is_active") -> DataFrame:
+                 order: list[str] | None = None, active: str = "is_active", text_compare: str = "binary") -> DataFrame:
     """Target keys that a source row changes (F2 over the inner join on ``key``), with the new values.
 
     When several source rows change one key, the last in ``order`` wins (H4).
@@ -55,7 +61,7 @@ def changed_rows(target: DataFrame, source: DataFrame, *, key: str, compare: dic
     t = target.select(key, *[F.col(c).alias("__t_" + c) for c in attrs], F.col(active).alias("__t_" + active))
     order_cols = order or []
     s = source.select(key, *[F.col(c).alias("__s_" + c) for c in attrs], *order_cols)
-    changed = t.join(s, key).filter(change_predicate(compare, active=active))
+    changed = t.join(s, key).filter(change_predicate(compare, active=active, text_compare=text_compare))
     if order_cols:
         changed = dedupe(changed, [key], order_cols, keep="last")
     return changed.select(key, *[F.col("__s_" + c) for c in attrs])
@@ -71,7 +77,8 @@ class UpsertResult:
 def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dict[str, object],
                  surrogate: str, load_ts: datetime | None = None, order: list[str] | None = None,
                  active: str = "is_active", created: str | None = "created_date",
-                 modified: str | None = "modified_date", check_unique: bool = True) -> UpsertResult:
+                 modified: str | None = "modified_date", check_unique: bool = True,
+                 text_compare: str = "binary") -> UpsertResult:
     """Type-1 upsert of ``source`` into ``target`` on natural key ``key`` (K3, K4).
 
     * updated: target rows whose key is in ``source`` and for which F2 holds get the
@@ -82,7 +89,8 @@ def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dic
     ``source`` must already hold only valid rows (F1).
     """
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.lit(None).cast("timestamp_ntz")
-    changed = changed_rows(target, source, key=key, compare=compare, order=order, active=active)
+    changed = changed_rows(target, source, key=key, compare=compare, order=order, active=active,
+                           text_compare=text_compare)
     changed = changed.withColumn("__chg", F.lit(True))
 
     kept = target.join(changed, key, "left")

@@ -225,7 +225,8 @@ class Roles:
 
     @cached_property
     def boxscore_payloads(self) -> DataFrame:
-        """Boxscore documents per game: even player ids on the home side, odd on the away side.
+        """Boxscore documents per game and block of 1024 player ids (a document never holds more than
+        1024 entries, however the rows are spread): even player ids on the home side, odd on the away side.
 
         Games with id % 89 = 0 have no away team id (that side must be skipped).
         """
@@ -245,7 +246,8 @@ class Roles:
                 F.struct(F.col("player_id").alias("k"), F.col("e").alias("e")))))
             return F.concat(F.lit("["), F.array_join(arr.getField("e"), ","), F.lit("]"))
 
-        g = s.groupBy("game_id", "home_team_id", "away_team_id").agg(
+        s = s.withColumn("chunk", F.floor(F.col("player_id") / 1024))
+        g = s.groupBy("game_id", "chunk", "home_team_id", "away_team_id").agg(
             *[group(home, code).alias(f"{side}_{code}") for side, home in (("a", False), ("h", True))
               for code in ("C", "D", "G")])
         k = F.col("game_id")
@@ -258,5 +260,6 @@ class Roles:
         raw = F.concat(F.lit('{"awayTeam":{'), F.coalesce(away_id, F.lit("")), F.lit('},"homeTeam":{"id":'),
                        F.col("home_team_id").cast("string"), F.lit('},"playerByGameStats":{"awayTeam":'), side("a"),
                        F.lit(',"homeTeam":'), side("h"), F.lit("}}"))
-        return g.select("game_id", F.concat(F.lit("boxscore/"), k.cast("string"), F.lit(".json")).alias("path"),
+        return g.select("game_id", F.concat(F.lit("boxscore/"), k.cast("string"), F.lit("/"),
+                                            F.col("chunk").cast("string"), F.lit(".json")).alias("path"),
                         raw.alias("raw"))

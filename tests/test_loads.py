@@ -167,3 +167,31 @@ def test_run_all_from_landed_files_then_replay(spark, wh_root, tmp_path):
     assert wh.read("date_dim").count() == 8  # calendar over the staged game range, before the fact load
     out = J.replay(spark, wh)
     assert out == {"team_raw": (0, 0), "player_raw": (0, 0), "game_raw": (0, 0), "player_game_stats_raw": (0, 0)}
+
+
+def test_text_compare_option(spark):
+    tgt = spark.createDataFrame([(1, 11, "Abc", "E", True)], TEAM_TGT)
+    src = spark.createDataFrame([(1, "abc  ", "E")], "team_id int, team_name string, conference string")
+    cmp = {"team_name": "", "conference": ""}
+    assert L.changed_rows(tgt, src, key="team_id", compare=cmp).count() == 1
+    assert L.changed_rows(tgt, src, key="team_id", compare=cmp, text_compare="ci_rtrim").count() == 0
+
+
+def test_default_windows():
+    from starload.operators.filters import default_game_window, default_season_start, default_stats_window
+    assert default_season_start(date(2025, 3, 4)) == date(2024, 9, 1)
+    assert default_season_start(date(2025, 9, 1)) == date(2025, 9, 1)
+    assert default_game_window(date(2025, 10, 2)) == (date(2025, 9, 1), date(2025, 10, 2))
+    assert default_stats_window(date(2025, 10, 8)) == (date(2025, 10, 1), date(2025, 10, 8))
+
+
+def test_register_views_over_warehouse(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    S.run_sample(spark, wh, TS)
+    names = R.register_views(spark, {t: wh.read(t) for t in ("game_fact", "team_dim", "player_dim",
+                                                              "player_game_stats_fact", "date_dim")})
+    assert sorted(names) == ["v_player_game_stats", "v_player_season_summary", "v_team_game_results",
+                             "v_team_season_summary"]
+    row = spark.sql("select `Wins`, `Losses` from v_team_season_summary where `Team` = 'Boston Bruins'").first()
+    assert (row.Wins, row.Losses) == (1, 0)
+    assert spark.sql("select count(*) from v_player_game_stats").first()[0] == 12
