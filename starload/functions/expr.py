@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starload.schemas import ERROR_MESSAGE_LIMIT, SEASON_START_MONTH
 
 __all__ = [
+    "timestamp_literal",
     "isnull_typed", "nullif_blank", "concat_name", "full_name_or_parts", "localized_text", "variant_int",
     "to_int", "toi_to_seconds", "to_date_prefix", "date_key", "date_parts", "month_name", "day_name",
     "is_weekend", "next_day", "winner_label", "points", "truncate_message", "normalize_code",
@@ -23,6 +24,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def timestamp_literal(value) -> Column:
+    """A wall-clock time as a ``TIMESTAMP_NTZ`` literal, independent of the session time zone."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def isnull_typed(a, b, max_length: int | None = None) -> Column:
     """First non-null of ``a`` and ``b``, typed as ``a`` (text cut to ``a``'s length)."""
     out = F.coalesce(_c(a), _c(b))

@@ -88,7 +88,7 @@ def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dic
       current largest surrogate key; a key twice among them raises ``LoadError``.
     ``source`` must already hold only valid rows (F1).
     """
-    ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.lit(None).cast("timestamp_ntz")
+    ts = X.timestamp_literal(load_ts)
     changed = changed_rows(target, source, key=key, compare=compare, order=order, active=active,
                            text_compare=text_compare)
     changed = changed.withColumn("__chg", F.lit(True))
@@ -175,7 +175,7 @@ def load_game_fact(staged: DataFrame, teams: DataFrame, dates: DataFrame, existi
     base = current_max(existing, "game_key") if base is None else base
     out = assign_surrogate_keys(g, "game_key", ["game_id"], base=base, key_type="long")
     if load_ts is not None:
-        out = out.withColumn("created_date", F.lit(load_ts).cast("timestamp_ntz"))
+        out = out.withColumn("created_date", X.timestamp_literal(load_ts))
     return out
 
 
@@ -203,7 +203,7 @@ def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, tea
     out = out.select("player_game_stats_key", *keys, "goals", "assists", "points", "shots", "hits", "blocks",
                      "penalty_minutes", "time_on_ice_seconds")
     if load_ts is not None:
-        out = out.withColumn("created_date", F.lit(load_ts).cast("timestamp_ntz"))
+        out = out.withColumn("created_date", X.timestamp_literal(load_ts))
     return out
 
 

@@ -9,6 +9,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.functions import expr as X
+
 from starload.operators import deletes as D
 from starload.operators.joins import missing_from
 from starload.operators.keys import assign_surrogate_keys, current_max
@@ -108,7 +110,7 @@ def stage_sample(spark: SparkSession, wh: Warehouse, load_ts: datetime) -> None:
             existing = tx.read(table)
             new = missing_from(rows, existing.filter(F.col("load_batch_id") == batch), {k: k for k in keys})
             new = new.withColumns({"load_batch_id": F.lit(batch), "source_system": F.lit("NHL API"),
-                                   "created_date": F.lit(load_ts).cast("timestamp_ntz")})
+                                   "created_date": X.timestamp_literal(load_ts)})
             new = assign_surrogate_keys(new, "raw_id", keys, base=current_max(existing, "raw_id"))
             tx.append(table, J.conform(new, table))
 

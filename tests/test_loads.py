@@ -115,7 +115,8 @@ def land_sample(root):
     """Landed API payloads carrying the sample data (weekly schedule windows overlap)."""
     _write(root, "teams/teams.json", {"data": [
         {"id": t[0], "fullName": t[1], "triCode": t[2], "conferenceName": t[3], "divisionName": t[4]}
-        for t in S.SAMPLE_TEAMS] + [{"id": 99, "fullName": "Old Bruins", "triCode": "bos"}]})
+        for t in S.SAMPLE_TEAMS] + [{"id": 99, "fullName": "Old Bruins", "triCode": "bos"},
+                                    {"id": 98, "fullName": "No Roster", "triCode": "ZZZ"}]})
     codes = {t[0]: t[2] for t in S.SAMPLE_TEAMS}
     for team_id, code in codes.items():
         players = [p for p in S.SAMPLE_PLAYERS if p[1] == team_id]
@@ -155,10 +156,11 @@ def test_run_all_from_landed_files_then_replay(spark, wh_root, tmp_path):
     wh = Warehouse(spark, wh_root)
     results = J.run_all(spark, wh, landing, start=date(2024, 10, 5), end=date(2024, 10, 12),
                         stats_start=date(2024, 10, 5))
-    # team 99 shares the code 'BOS' (other case): it is a team of its own but its roster is not fetched
-    assert [(r.inserted, r.updated, r.ok) for r in results] == [(5, 0, True), (8, 0, True), (3, 0, True),
+    # team 99 shares the code 'BOS' (other case): a team of its own, but its roster is not fetched (R5);
+    # team 98 has no roster file: skipped with a message
+    assert [(r.inserted, r.updated, r.ok) for r in results] == [(6, 0, True), (8, 0, True), (3, 0, True),
                                                                 (12, 0, True)]
-    assert results[0].staged == 5
+    assert results[0].staged == 6
     t = {k: wh.read(k) for k in ("game_fact", "team_dim", "player_dim", "player_game_stats_fact")}
     got = {r["Team"]: (r["Wins"], r["Losses"], r["Goals For"])
            for r in R.team_season_summary(t["game_fact"], t["team_dim"]).collect()}
@@ -195,3 +197,12 @@ def test_register_views_over_warehouse(spark, wh_root):
     row = spark.sql("select `Wins`, `Losses` from v_team_season_summary where `Team` = 'Boston Bruins'").first()
     assert (row.Wins, row.Losses) == (1, 0)
     assert spark.sql("select count(*) from v_player_game_stats").first()[0] == 12
+
+
+def test_zero_row_load_succeeds_with_zero(spark, wh_root, tmp_path):
+    landing = str(tmp_path / "landing")
+    _write(landing, "teams/teams.json", {"data": []})
+    wh = Warehouse(spark, wh_root)
+    r = J.load_teams(spark, wh, landing, TS)
+    assert (r.staged, r.inserted, r.updated, r.ok) == (0, 0, 0, True)
+    assert A.current_state(wh.read("load_batch")).first().status == "Succeeded"
