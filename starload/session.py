@@ -28,8 +28,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, reading ``spark.checkpoint.dir`` from the session.
 
-    On a cluster the folder is the shared one the cluster names. Only when the
-    session names none (local tests) is a private scratch folder created.
+    On a cluster the folder is the shared one the cluster names; a cluster session
+    that names none is an error (a machine-local folder would not survive the loss
+    of that machine). Only a local-mode session without one (tests) gets a private
+    scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -37,6 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for reliable checkpoints")
         named = tempfile.mkdtemp(prefix="starload-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
