@@ -8,6 +8,8 @@ with AQE, which also splits skewed partitions of the large side).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,20 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_BROADCAST_ROWS
 
 
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``).
+
+    The answer is remembered for the DataFrame object (its input files are fixed
+    when it is created), so a dimension used in several roles is counted once.
+    """
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    seen = _CHECKED.setdefault(df, {})
+    if limit not in seen:
+        seen[limit] = df.limit(limit + 1).count() <= limit
+    return seen[limit]
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -40,7 +52,8 @@ def resolve_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_
     out_name = as_ or key
     tmp = {c: f"__rk_{i}" for i, c in enumerate(on)}
     lookup = dim.select(*[F.col(d).alias(tmp[c]) for c, d in on.items()], F.col(key).alias(out_name))
-    lookup = broadcast_if_bounded(lookup, max_rows)
+    if is_bounded(dim, max_rows):  # same row count as the projection; checked once per dimension
+        lookup = F.broadcast(lookup)
     cond = [df[c] == lookup[tmp[c]] for c in on]
     return df.join(lookup, cond, how).drop(*tmp.values())
 
@@ -51,7 +64,8 @@ def lookup_attrs(df: DataFrame, dim: DataFrame, on: dict[str, str], attrs: dict[
     tmp = {c: f"__la_{i}" for i, c in enumerate(on)}
     lookup = dim.select(*[F.col(d).alias(tmp[c]) for c, d in on.items()],
                         *[F.col(d).alias(o) for o, d in attrs.items()])
-    lookup = broadcast_if_bounded(lookup, max_rows)
+    if is_bounded(dim, max_rows):
+        lookup = F.broadcast(lookup)
     return df.join(lookup, [df[c] == lookup[tmp[c]] for c in on], how).drop(*tmp.values())
 
 

@@ -166,10 +166,11 @@ def load_game_fact(staged: DataFrame, teams: DataFrame, dates: DataFrame, existi
     numbered from the fact's largest key (K15).
     """
     g = staged.filter(F.col("game_id").isNotNull())
+    history = history_for(existing, g, ["game_id"])  # keyed by the staged ids: a superset of those inserted
     g = resolve_key(g, teams, {"home_team_id": "team_id"}, "team_key", "home_team_key")
     g = resolve_key(g, teams, {"away_team_id": "team_id"}, "team_key", "away_team_key")
     g = exists_in(g, dates, {"game_date": "full_date"})
-    g = missing_from(g, history_for(existing, g, ["game_id"]), {"game_id": "game_id"})
+    g = missing_from(g, history, {"game_id": "game_id"})
     g = g.select("game_id", X.date_key("game_date").alias("date_key"), "season", "game_type", "home_team_key",
                  "away_team_key", *GAME_MEASURES)
     base = current_max(existing, "game_key") if base is None else base
@@ -188,12 +189,15 @@ def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, tea
     the fact on (game, player, team) are skipped (J6); NULL measures become 0
     except ice time (S1); points = goals + assists (S15); keys follow K15.
     """
+    if existing is not None:  # the batch's games, from the staged ids alone
+        batch_games = exists_in(games.select("game_id", "game_key"), staged, {"game_id": "game_id"})
+        history = history_for(existing, batch_games, ["game_key"])
     s = resolve_key(staged, games, {"game_id": "game_id"}, "game_key")
     s = resolve_key(s, players, {"player_id": "player_id"}, "player_key")
     s = resolve_key(s, teams, {"team_id": "team_id"}, "team_key")
     keys = ["game_key", "player_key", "team_key"]
     if existing is not None:
-        s = missing_from(s, history_for(existing, s, ["game_key"]), {k: k for k in keys})
+        s = missing_from(s, history, {k: k for k in keys})
     zero = {c: X.isnull_typed(c, F.lit(0)) for c in STAT_MEASURES}
     s = s.select(*keys, *[zero[c].alias(c) for c in STAT_MEASURES],
                  X.points(zero["goals"], zero["assists"]).alias("points"), "time_on_ice_seconds")
