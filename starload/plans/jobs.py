@@ -22,7 +22,7 @@ from starload.operators.filters import default_game_window, default_stats_window
 from starload.operators.joins import exists_in, resolve_key
 from starload.plans import audit as A
 from starload.plans.store import Transaction, Warehouse
-from starload.schemas import NULL_DATE_SENTINEL, SCHEMAS, SOURCE_SYSTEM
+from starload.schemas import LENGTH_LIMITS, NOT_NULL, NULL_DATE_SENTINEL, SCHEMAS, SOURCE_SYSTEM
 from starload.sources import payloads as P
 
 log = logging.getLogger("starload")
@@ -33,10 +33,24 @@ PLAYER_COMPARE = {"team_key": -1, "first_name": "", "last_name": "", "full_name"
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of ``table`` in DDL order and types; absent columns are NULL."""
+    """Columns of ``table`` in DDL order and types; absent columns are NULL.
+
+    The table's constraints are enforced as the rows are written, as the host does
+    on insert: a NULL in a NOT NULL column (C4) or a text longer than its VARCHAR
+    limit (C5) raises, which fails the write, so the load never commits.
+    """
+    limits = LENGTH_LIMITS.get(table, {})
+    not_null = set(NOT_NULL.get(table, []))
     cols = []
     for f in SCHEMAS[table].fields:
-        cols.append((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name))
+        c = (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
+        if f.name in limits:
+            c = F.when(F.length(c) > limits[f.name], F.raise_error(F.lit(
+                f"String or binary data would be truncated in {table}.{f.name} (limit {limits[f.name]})"))).otherwise(c)
+        if f.name in not_null:
+            c = F.when(c.isNull(), F.raise_error(F.lit(
+                f"Cannot insert the value NULL into column {f.name}, table {table}"))).otherwise(c)
+        cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
@@ -77,7 +91,7 @@ def load_team_dim(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[in
     src = valid_rows(P.stage_batch(tx.read("team_raw"), batch_id), ["team_id", "team_name"])
     res = L.upsert_type1(tx.read("team_dim"), src, key="team_id", compare=TEAM_COMPARE, surrogate="team_key",
                          load_ts=load_ts, order=["raw_id"])
-    tx.replace("team_dim", res.frame)
+    tx.replace("team_dim", conform(res.frame, "team_dim"))
     return res.inserted.count(), res.changed.count()
 
 
@@ -89,7 +103,7 @@ def load_player_dim(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[
     src = src.filter(F.col("full_name").isNotNull())
     res = L.upsert_type1(tx.read("player_dim"), src, key="player_id", compare=PLAYER_COMPARE,
                          surrogate="player_key", load_ts=load_ts, order=["raw_id"])
-    tx.replace("player_dim", res.frame)
+    tx.replace("player_dim", conform(res.frame, "player_dim"))
     return res.inserted.count(), res.changed.count()
 
 

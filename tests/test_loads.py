@@ -206,3 +206,13 @@ def test_zero_row_load_succeeds_with_zero(spark, wh_root, tmp_path):
     r = J.load_teams(spark, wh, landing, TS)
     assert (r.staged, r.inserted, r.updated, r.ok) == (0, 0, 0, True)
     assert A.current_state(wh.read("load_batch")).first().status == "Succeeded"
+
+
+def test_constraints_enforced_on_write(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    rows = spark.createDataFrame([(1, 7, "X" * 101)], "team_pos int, team_id int, team_name string")
+    with pytest.raises(Exception, match="would be truncated in team_raw.team_name"):
+        J._load(wh, "team_raw", rows, ["team_pos"], TS)
+    assert wh.read("team_raw").count() == 0 and wh.read("load_batch").count() == 0  # commit 1 never happened
+    ok = spark.createDataFrame([(1, 7, "Seven")], "team_pos int, team_id int, team_name string")
+    assert J._load(wh, "team_raw", ok, ["team_pos"], TS).inserted == 1
