@@ -109,7 +109,7 @@ def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dic
 
     new = missing_from(source, target, {key: key})
     if check_unique and duplicate_keys(new, [key]).limit(1).count() > 0:
-        raise LoadError(f"Violation of UNIQUE KEY constraint on {key}: duplicate key in the new rows")
+        raise LoadError(f"duplicate key {key} in the new rows")
     base = current_max(target, surrogate)
     new = assign_surrogate_keys(new, surrogate, [key], base=base,
                                 key_type=dict(target.dtypes)[surrogate])

@@ -22,7 +22,7 @@ from starload.operators import loads as L
 from starload.operators import reports as R
 from starload.operators.dedupe import dedupe
 from starload.plans import audit as A
-from starload.schemas import LENGTH_LIMITS
+from starload.schemas import LENGTH_LIMITS, SOURCE_SYSTEM
 from starload.sources import payloads as P
 from starload.sources.roles import Roles
 
@@ -377,7 +377,7 @@ def _audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as audit events: batch = user, sequence = event id, status = event type."""
     ev = _events(spark, sf_dir)
     is_start = F.col("event_type") == "view"
-    return ev.select(F.col("user_id").cast("string").alias("load_batch_id"), F.lit("NHL API").alias("source_system"),
+    return ev.select(F.col("user_id").cast("string").alias("load_batch_id"), F.lit(SOURCE_SYSTEM).alias("source_system"),
                      F.when(is_start, F.col("ts")).alias("load_start_date"), F.col("ts").alias("load_end_date"),
                      F.col("event_type").alias("status"), F.floor("value").cast("int").alias("rows_inserted"),
                      F.lit(0).alias("rows_updated"), F.lit(None).cast("string").alias("error_message"),

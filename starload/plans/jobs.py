@@ -46,10 +46,10 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         c = (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
         if f.name in limits:
             c = F.when(F.length(c) > limits[f.name], F.raise_error(F.lit(
-                f"String or binary data would be truncated in {table}.{f.name} (limit {limits[f.name]})"))).otherwise(c)
+                f"value longer than {limits[f.name]} characters in {table}.{f.name}"))).otherwise(c)
         if f.name in not_null:
             c = F.when(c.isNull(), F.raise_error(F.lit(
-                f"Cannot insert the value NULL into column {f.name}, table {table}"))).otherwise(c)
+                f"NULL in NOT NULL column {table}.{f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -112,7 +112,7 @@ def load_game_fact(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[i
     staged = P.stage_batch(tx.read("game_raw"), batch_id)
     new = L.load_game_fact(staged, tx.read("team_dim"), tx.read("date_dim"), tx.read("game_fact"), load_ts=load_ts)
     if C.duplicate_keys(new, ["game_id"]).limit(1).count():
-        raise L.LoadError("Violation of UNIQUE KEY constraint on game_fact.game_id")
+        raise L.LoadError("duplicate key game_fact.game_id in the new rows")
     path = tx.append("game_fact", conform(new, "game_fact"))
     return tx.store.spark.read.parquet(path).count(), 0
 
@@ -127,7 +127,7 @@ def load_stats_fact(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[
     clash = C.duplicate_keys(new, pair).limit(1).count() or \
         exists_in(new, L.history_for(existing, new, ["game_key"]), {k: k for k in pair}).limit(1).count()
     if clash:
-        raise L.LoadError("Violation of UNIQUE KEY constraint on player_game_stats_fact(game_key, player_key)")
+        raise L.LoadError("duplicate key player_game_stats_fact(game_key, player_key)")
     path = tx.append("player_game_stats_fact", conform(new, "player_game_stats_fact"))
     return tx.store.spark.read.parquet(path).count(), 0
 
@@ -198,7 +198,7 @@ def load_players(spark: SparkSession, wh: Warehouse, landing: str, codes: str |
         "code", F.upper(P.payload_key("path", "roster")))
     missing = P.missing_payloads(targets, landed, {"team_abbrev": "code"})
     for r in missing.select("team_abbrev").collect():  # at most one row per team
-        log.warning("Roster not found for %s; skipping team.", r.team_abbrev)
+        log.warning("no roster payload for team code %s: team skipped", r.team_abbrev)
     docs = P.parse_envelope(landed.join(targets, landed.code == targets.team_abbrev))
     flat = P.flatten_rosters(docs, keep=["team_id", "team_pos"])
     rows = P.player_to_staging(flat, keep=["team_pos", "group_pos", "player_pos"])
@@ -216,7 +216,7 @@ def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | N
     landed = P.read_payloads(spark, f"{landing}/schedule").withColumn(
         "request_date", F.to_date(P.payload_key("path", "schedule")))
     missing = P.missing_payloads(requested, landed, {"request_date": "request_date"},
-                                 fail="Schedule payload not found")
+                                 fail="no schedule payload for")
     missing.limit(1).collect()
     docs = P.parse_envelope(landed.join(requested, "request_date", "left_semi"))
     latest = P.latest_games(P.flatten_schedule(docs, keep=["request_date"]), ["request_date"])
@@ -260,7 +260,7 @@ def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, sta
         wanted = P.final_game_ids(games)
     landed = P.read_payloads(spark, f"{landing}/boxscore").withColumn(
         "game_id", P.payload_key("path", "boxscore").cast("long"))
-    P.missing_payloads(wanted, landed, {"game_id": "game_id"}, fail="Boxscore payload not found").limit(1).collect()
+    P.missing_payloads(wanted, landed, {"game_id": "game_id"}, fail="no boxscore payload for game").limit(1).collect()
     docs = P.parse_envelope(landed.join(wanted, "game_id", "left_semi"))
     flat = P.flatten_boxscores(docs, game_col="game_id")
     rows = P.stats_to_staging(flat, keep=["side_pos", "group_pos", "player_pos"])
@@ -295,13 +295,13 @@ def replay(spark: SparkSession, wh: Warehouse) -> dict[str, tuple[int, int]]:
     """
     rng = C.date_range(wh.read("game_raw"), "game_date").first()
     if rng is None or rng.start_date is None:
-        raise L.LoadError("No staged games found; cannot determine the calendar range.")
+        raise L.LoadError("no staged games: the calendar range is unknown")
     populate_date_dim(wh, rng.start_date, rng.end_date)
     out = {}
     for staging, step in STEPS.items():
         latest = C.latest_batch(wh.read(staging), "load_batch_id", "created_date").first()
         if latest is None:
-            raise L.LoadError(f"No staged batch found in {staging}.")
+            raise L.LoadError(f"no staged batch in {staging}")
         batch_id = latest.batch_id
         load_ts = A.utc_now()
         out[staging] = run_step(wh, batch_id, lambda tx, s=step, b=batch_id, t=load_ts: s(tx, b, t))

@@ -7,6 +7,8 @@ expected result in plain SQL, independently of the Spark operators.
 
 from __future__ import annotations
 
+from starload.schemas import SOURCE_SYSTEM
+
 MAPPING = {
     "m_team": """select n_nationkey as team_id, n_nationkey + 1000 as team_key, n_name as team_name,
   r_name as conference from nation join region on r_regionkey = n_regionkey""",
@@ -292,7 +294,7 @@ oracle("explicit_ids_semi", """select game_id, game_state from m_game
 
 oracle("stage_batch_scan", "select event_id, user_id, value from events where event_type = 'click'")
 
-oracle("batch_stamp", """select row_number() over (order by game_id) as raw_id, 'NHL API' as source_system,
+oracle("batch_stamp", f"""select row_number() over (order by game_id) as raw_id, '{SOURCE_SYSTEM}' as source_system,
   '11111111-1111-1111-1111-111111111111' as load_batch_id, game_id,
   timestamp '2024-10-01 12:00:00' as created_date from m_game""")
 

@@ -17,6 +17,7 @@ from starload.operators.keys import assign_surrogate_keys, current_max
 from starload.plans import audit as A
 from starload.plans import jobs as J
 from starload.plans.store import Warehouse
+from starload.schemas import SOURCE_SYSTEM
 
 # ---- fixed values: the reference's sample data --------------------------------------------------
 SAMPLE_SOURCE_SYSTEM = "Sample Data"
@@ -109,7 +110,7 @@ def stage_sample(spark: SparkSession, wh: Warehouse, load_ts: datetime) -> None:
             batch = BATCHES[table]
             existing = tx.read(table)
             new = missing_from(rows, existing.filter(F.col("load_batch_id") == batch), {k: k for k in keys})
-            new = new.withColumns({"load_batch_id": F.lit(batch), "source_system": F.lit("NHL API"),
+            new = new.withColumns({"load_batch_id": F.lit(batch), "source_system": F.lit(SOURCE_SYSTEM),
                                    "created_date": X.timestamp_literal(load_ts)})
             new = assign_surrogate_keys(new, "raw_id", keys, base=current_max(existing, "raw_id"))
             tx.append(table, J.conform(new, table))

@@ -63,7 +63,7 @@ class Transaction:
     def refresh_staging(self, table: str, df: DataFrame) -> str:
         """K1 + K2: truncate-and-load of a staging table; only the staging tables are allowed."""
         if table.lower() not in STAGING_TABLES:
-            raise StoreError(f"Unsupported staging table for truncate: {table}")
+            raise StoreError(f"only staging tables can be refreshed, not {table}")
         return self.replace(table, df)
 
     def read(self, table: str) -> DataFrame:

@@ -23,7 +23,7 @@ BOXSCORE_SIDES = ("awayTeam", "homeTeam")
 STAGING_TABLES = ("team_raw", "player_raw", "game_raw", "player_game_stats_raw")
 ERROR_MESSAGE_LIMIT = 4000
 SEASON_START_MONTH = 9
-CALENDAR_ERROR = "Provide a valid start and end date."
+CALENDAR_ERROR = "calendar needs a start date and an end date not before it"
 NULL_TEXT_SENTINEL = ""
 NULL_KEY_SENTINEL = -1
 NULL_DATE_SENTINEL = date(1900, 1, 1)

@@ -40,7 +40,7 @@ def test_upsert_sentinels_reactivation_and_new_keys(spark):
                    3: (13, "C", "X", True), 4: (14, "D", "E", True), 5: (15, "F", None, True)}
     assert sorted(r.team_id for r in res.changed.collect()) == [2, 3]
     dup = src.unionByName(spark.createDataFrame([(4, "D2", "E")], src.schema))
-    with pytest.raises(L.LoadError, match="UNIQUE KEY"):
+    with pytest.raises(L.LoadError, match="duplicate key"):
         L.upsert_type1(tgt, dup, key="team_id", compare={"team_name": ""}, surrogate="team_key", created=None,
                        modified=None)
 
@@ -61,7 +61,7 @@ def test_calendar_rules(spark):
     existing = L.populate_calendar(spark, date(2024, 10, 20), date(2024, 11, 5))
     assert L.populate_calendar(spark, date(2024, 10, 1), date(2024, 10, 31), existing).count() == 19
     for bad in ((date(2024, 2, 1), date(2024, 1, 1)), (None, date(2024, 1, 1))):
-        with pytest.raises(L.LoadError, match="valid start and end"):
+        with pytest.raises(L.LoadError, match="calendar needs a start date"):
             L.populate_calendar(spark, *bad)
     big = L.populate_calendar(spark, date(1900, 1, 1), date(2024, 12, 31))
     assert big.count() == (date(2024, 12, 31) - date(1900, 1, 1)).days + 1  # no recursion cap
@@ -86,10 +86,10 @@ def test_failed_step_commits_nothing_but_the_failure(spark, wh_root):
 
 def test_staging_allow_list_and_empty_replay(spark, wh_root):
     wh = Warehouse(spark, wh_root)
-    with pytest.raises(StoreError, match="Unsupported staging table"):
+    with pytest.raises(StoreError, match="only staging tables"):
         with wh.transaction() as tx:
             tx.refresh_staging("team_dim", spark.createDataFrame([], "a int"))
-    with pytest.raises(L.LoadError, match="No staged games"):
+    with pytest.raises(L.LoadError, match="no staged games"):
         J.replay(spark, wh)
 
 
@@ -211,7 +211,7 @@ def test_zero_row_load_succeeds_with_zero(spark, wh_root, tmp_path):
 def test_constraints_enforced_on_write(spark, wh_root):
     wh = Warehouse(spark, wh_root)
     rows = spark.createDataFrame([(1, 7, "X" * 101)], "team_pos int, team_id int, team_name string")
-    with pytest.raises(Exception, match="would be truncated in team_raw.team_name"):
+    with pytest.raises(Exception, match="longer than 100 characters in team_raw.team_name"):
         J._load(wh, "team_raw", rows, ["team_pos"], TS)
     assert wh.read("team_raw").count() == 0 and wh.read("load_batch").count() == 0  # commit 1 never happened
     ok = spark.createDataFrame([(1, 7, "Seven")], "team_pos int, team_id int, team_name string")
