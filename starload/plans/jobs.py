@@ -19,6 +19,7 @@ from starload.functions import expr as X
 from starload.operators import checks as C
 from starload.operators import loads as L
 from starload.operators.filters import default_game_window, default_stats_window, valid_rows
+from starload.operators.dedupe import dedupe
 from starload.operators.joins import exists_in, resolve_key
 from starload.plans import audit as A
 from starload.plans.store import Transaction, Warehouse
@@ -213,12 +214,19 @@ def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | N
     start, end = start or d_start, end or d_end
     bounds = spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
     requested = L.dates_between(bounds, out="request_date")
-    landed = P.read_payloads(spark, f"{landing}/schedule").withColumn(
-        "request_date", F.to_date(P.payload_key("path", "schedule")))
-    missing = P.missing_payloads(requested, landed, {"request_date": "request_date"},
-                                 fail="no schedule payload for")
+    landed = P.read_payloads(spark, f"{landing}/schedule")
+    landed = landed.withColumn("request_date", F.to_date(P.payload_key("path", "schedule")))
+    missing = P.missing_payloads(requested, landed, {"request_date": "request_date"}, fail="no schedule payload for")
     missing.limit(1).collect()
-    docs = P.parse_envelope(landed.join(requested, "request_date", "left_semi"))
+    return load_schedules(spark, wh, landed.join(requested, "request_date", "left_semi"), load_ts)
+
+
+def load_schedules(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
+                   load_ts: datetime | None = None) -> C.LoadResult:
+    """R7 -> P6 -> P3 -> game_raw -> K5 over the staged range -> K6 for a set of schedule payloads."""
+    if "request_date" not in payloads.columns:
+        payloads = payloads.withColumn("request_date", F.to_date(P.payload_key("path", "schedule")))
+    docs = P.parse_envelope(payloads)
     latest = P.latest_games(P.flatten_schedule(docs, keep=["request_date"]), ["request_date"])
     rows = P.game_to_staging(latest, keep=["request_date", "day_pos", "game_pos"])
 
@@ -231,6 +239,19 @@ def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | N
     return _load(wh, "game_raw", rows, ["request_date", "day_pos", "game_pos"], load_ts, before_step=calendar)
 
 
+def load_rosters(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
+                 load_ts: datetime | None = None) -> C.LoadResult:
+    """R4 -> P2 -> player_raw -> K4 for a set of roster payloads ``roster/<CODE>.json``; the team of
+    each roster is the team dimension's first team (by key) with that code, upper-cased (R5)."""
+    teams = wh.read("team_dim").select("team_id", "team_key", X.normalize_code("team_abbreviation").alias("code"))
+    teams = dedupe(teams.filter(F.col("code").isNotNull()), ["code"], ["team_key"], keep="first")
+    landed = payloads.withColumn("code", F.upper(P.payload_key("path", "roster")))
+    docs = P.parse_envelope(landed.join(teams, "code"))
+    flat = P.flatten_rosters(docs, keep=["team_id", "path"])
+    rows = P.player_to_staging(flat, keep=["path", "group_pos", "player_pos"])
+    return _load(wh, "player_raw", rows, ["path", "group_pos", "player_pos"], load_ts)
+
+
 def load_boxscores(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
                   load_ts: datetime | None = None) -> C.LoadResult:
     """R8 -> P4 -> player_game_stats_raw -> fact (K7) for a set of landed boxscore payloads."""

@@ -21,6 +21,8 @@ from starload.session import ensure_checkpoint_dir
 
 LOADERS = {
     "teams": lambda spark, wh, batch: J.load_teams(spark, wh, "", payloads=batch),
+    "roster": lambda spark, wh, batch: J.load_rosters(spark, wh, batch),
+    "schedule": lambda spark, wh, batch: J.load_schedules(spark, wh, batch),
     "boxscore": lambda spark, wh, batch: J.load_boxscores(spark, wh, batch),
 }
 
@@ -33,7 +35,7 @@ def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def start_landing_loads(spark: SparkSession, wh: Warehouse, landing: str, kind: str,
                         checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Load every new ``kind`` payload file (``teams`` or ``boxscore``) as it lands.
+    """Load every new ``kind`` payload file (``teams``, ``roster``, ``schedule``, ``boxscore``) as it lands.
 
     ``checkpoint`` defaults to a folder under the session's checkpoint directory.
     With ``available_now`` the query processes what has landed and stops.

@@ -91,3 +91,23 @@ def test_sample_cleanup_removes_everything(spark, wh_root):
     for table in ("team_dim", "player_dim", "game_fact", "player_game_stats_fact", "date_dim", "load_batch",
                   "team_raw", "player_raw", "game_raw", "player_game_stats_raw"):
         assert wh.read(table).count() == 0, table
+
+
+def test_cleanup_keeps_a_team_still_referenced(spark, wh_root):
+    from datetime import date
+
+    from starload.plans import jobs as J
+
+    wh = Warehouse(spark, wh_root)
+    S.run_sample(spark, wh, TS)
+    keys = {r.team_id: r.team_key for r in wh.read("team_dim").collect()}
+    other = spark.createDataFrame([(99, 2099000001, 20241020, "20242025", "Regular", keys[6], keys[3])],
+                                  "game_key long, game_id long, date_key int, season string, game_type string, "
+                                  "home_team_key int, away_team_key int")
+    with wh.transaction() as tx:
+        tx.append("game_fact", J.conform(other.withColumn("created_date", F.lit(TS)), "game_fact"))
+    S.cleanup_sample(spark, wh)
+    assert sorted(r.team_id for r in wh.read("team_dim").collect()) == [3, 6]  # guarded by the other game
+    assert [r.game_id for r in wh.read("game_fact").collect()] == [2099000001]
+    assert [r.full_date for r in wh.read("date_dim").collect()] == [date(2024, 10, 20)]
+    assert wh.read("player_dim").count() == 0 and wh.read("player_game_stats_fact").count() == 0
