@@ -227,7 +227,7 @@ def payload_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def raw_json_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
-    return ev.select("event_id", F.to_json(F.parse_json("props")).alias("raw_json"))
+    return ev.select("event_id", P.canonical_text("props").alias("raw_json"))
 
 
 def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
