@@ -76,6 +76,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest_root = f"{self.root}/_manifest"
+        self._snapshot: tuple[int, dict[str, list[str]]] | None = None
 
     # ---- manifest ----------------------------------------------------------------------------
     def _manifest_frame(self) -> DataFrame | None:
@@ -93,11 +94,25 @@ class Warehouse:
         v = m.agg(F.max("version")).first()[0]
         return int(v) if v is not None else 0
 
+    def refresh(self) -> None:
+        """Forget the remembered manifest (needed only if another process may have committed)."""
+        self._snapshot = None
+
+    def _current(self) -> tuple[int, dict[str, list[str]]]:
+        """Latest version and its tables, read once and then kept up to date by this object's commits."""
+        if self._snapshot is None:
+            v = self.version()
+            self._snapshot = (v, self._read_tables(v))
+        v, tables = self._snapshot
+        return v, {k: list(p) for k, p in tables.items()}
+
     def tables(self, version: int | None = None) -> dict[str, list[str]]:
+        return self._current()[1] if version is None else self._read_tables(version)
+
+    def _read_tables(self, version: int) -> dict[str, list[str]]:
         m = self._manifest_frame()
         if m is None:
             return {}
-        version = self.version() if version is None else version
         out: dict[str, list[str]] = {}
         for r in m.filter(F.col("version") == version).orderBy("table_name", "path").collect():
             if r.path:
@@ -121,17 +136,19 @@ class Warehouse:
     @contextmanager
     def transaction(self):
         """Collect writes; commit them as one manifest version if the block ends without error."""
-        base = self.version()
-        tx = Transaction(self, base, {k: list(v) for k, v in self.tables(base).items()})
+        base, tables = self._current()
+        tx = Transaction(self, base, tables)
         yield tx
         if tx.changed:
             self._commit(tx)
 
     def _commit(self, tx: Transaction) -> int:
         if self.version() != tx.base_version:
+            self._snapshot = None
             raise StoreError("Concurrent commit: the manifest moved while the load ran")
         new = tx.base_version + 1
         rows = [(t, p) for t, ps in tx.tables.items() for p in ps] + [(t, "") for t, ps in tx.tables.items() if not ps]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
         df.write.mode("errorifexists").parquet(f"{self.manifest_root}/version={new}")
+        self._snapshot = (new, {k: list(p) for k, p in tx.tables.items()})
         return new

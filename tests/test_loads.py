@@ -216,3 +216,18 @@ def test_constraints_enforced_on_write(spark, wh_root):
     assert wh.read("team_raw").count() == 0 and wh.read("load_batch").count() == 0  # commit 1 never happened
     ok = spark.createDataFrame([(1, 7, "Seven")], "team_pos int, team_id int, team_name string")
     assert J._load(wh, "team_raw", ok, ["team_pos"], TS).inserted == 1
+
+
+def test_stale_writer_cannot_commit(spark, wh_root):
+    a, b = Warehouse(spark, wh_root), Warehouse(spark, wh_root)
+    assert a.tables() == {} and b.tables() == {}
+    with a.transaction() as tx:
+        tx.append("load_batch", A.events_frame(spark, [A.start_event("x")]))
+    with pytest.raises(StoreError, match="Concurrent commit"):
+        with b.transaction() as tx:
+            tx.append("load_batch", A.events_frame(spark, [A.start_event("y")]))
+    b.refresh()
+    with b.transaction() as tx:
+        tx.append("load_batch", A.events_frame(spark, [A.start_event("y")]))
+    a.refresh()
+    assert sorted(r.load_batch_id for r in a.read("load_batch").collect()) == ["x", "y"]
