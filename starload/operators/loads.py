@@ -54,7 +54,8 @@ def changed_rows(target: DataFrame, source: DataFrame, *, key: str, compare: dic
                  order: list[str] | None = None, active: str = "is_active", text_compare: str = "binary") -> DataFrame:
     """Target keys that a source row changes (F2 over the inner join on ``key``), with the new values.
 
-    When several source rows change one key, the last in ``order`` wins (H4).
+    When several source rows change one key, the last in ``order`` wins (H4); without an
+    ``order`` the highest source values win.
     Columns: ``key``, ``__s_<attr>`` for each compared attribute.
     """
     attrs = list(compare)
@@ -62,8 +63,9 @@ def changed_rows(target: DataFrame, source: DataFrame, *, key: str, compare: dic
     order_cols = order or []
     s = source.select(key, *[F.col(c).alias("__s_" + c) for c in attrs], *order_cols)
     changed = t.join(s, key).filter(change_predicate(compare, active=active, text_compare=text_compare))
-    if order_cols:
-        changed = dedupe(changed, [key], order_cols, keep="last")
+    # one row per key, so the update never multiplies a target row; without an order the
+    # source values themselves break the tie (deterministic, unlike the host's arbitrary pick)
+    changed = dedupe(changed, [key], order_cols or ["__s_" + c for c in attrs], keep="last")
     return changed.select(key, *[F.col("__s_" + c) for c in attrs])
 
 

@@ -231,3 +231,11 @@ def test_stale_writer_cannot_commit(spark, wh_root):
         tx.append("load_batch", A.events_frame(spark, [A.start_event("y")]))
     a.refresh()
     assert sorted(r.load_batch_id for r in a.read("load_batch").collect()) == ["x", "y"]
+
+
+def test_upsert_without_order_never_duplicates_a_target_row(spark):
+    tgt = spark.createDataFrame([(1, 11, "A", "E", True)], TEAM_TGT)
+    src = spark.createDataFrame([(1, "B", "E"), (1, "C", "E")], "team_id int, team_name string, conference string")
+    res = L.upsert_type1(tgt, src, key="team_id", compare={"team_name": "", "conference": ""},
+                         surrogate="team_key", created=None, modified=None)
+    assert [(r.team_id, r.team_name) for r in res.frame.collect()] == [(1, "C")]
