@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import TABLES, rows_of  # noqa: E402
+from check_oracle import TABLES, rows_of, type_mismatches  # noqa: E402
 
 SF_DIR = os.environ.get("STARLOAD_TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = E.queries()
@@ -34,8 +34,10 @@ def test_query_matches_oracle(spark, con, name):
     srows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
+    otypes = {d[0]: str(d[1]) for d in res.description}
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert not type_mismatches(dict(df.dtypes), otypes)
     assert len(srows) == len(orows)
     assert rows_of(df.columns, srows) == rows_of(ocols, orows)
 
