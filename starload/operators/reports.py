@@ -113,8 +113,10 @@ def _star(stats: DataFrame, games: DataFrame, players: DataFrame, teams: DataFra
     g = _game_date(games, dates, date_key, game_date).select(
         F.col(game_key).alias("__gk"), F.col("game_id").alias("__game_id"), "__game_date",
         F.col("season").alias("__season"))
-    # the game side grows with the fact: a shuffle join on the game key (AQE splits skew)
-    s = stats.join(g, stats[game_key] == g["__gk"]).drop("__gk")
+    # a checked broadcast when the games are few (a league's seasons); otherwise a shuffle join
+    # on the game key, where AQE splits a hot game
+    s = lookup_attrs(stats, g, {game_key: "__gk"}, {"__game_id": "__game_id", "__game_date": "__game_date",
+                                                    "__season": "__season"})
     s = lookup_attrs(s, players, {player_key: player_key}, {"__player": "full_name", "__position": "position_code"})
     return resolve_key(s, teams, {team_key: team_key}, "team_name", "__team")
 
