@@ -111,3 +111,20 @@ def test_cleanup_keeps_a_team_still_referenced(spark, wh_root):
     assert [r.game_id for r in wh.read("game_fact").collect()] == [2099000001]
     assert [r.full_date for r in wh.read("date_dim").collect()] == [date(2024, 10, 20)]
     assert wh.read("player_dim").count() == 0 and wh.read("player_game_stats_fact").count() == 0
+
+
+def test_reset_batch_clears_the_outcome_and_stages_once(spark, wh_root):
+    from starload.plans import audit as A
+
+    wh = Warehouse(spark, wh_root)
+    S.stage_sample(spark, wh, TS)
+    with wh.transaction() as tx:
+        tx.append("load_batch", A.events_frame(spark, [A.succeeded_event(S.TEAM_BATCH, 4, 0)]))
+    state = A.current_state(wh.read("load_batch")).filter(F.col("load_batch_id") == S.TEAM_BATCH).first()
+    assert (state.status, state.rows_inserted) == ("Succeeded", 4)
+    S.stage_sample(spark, wh, TS)  # K11: back to Started with a NULL outcome; R13: rows not staged twice
+    state = A.current_state(wh.read("load_batch")).filter(F.col("load_batch_id") == S.TEAM_BATCH).first()
+    assert (state.status, state.rows_inserted, state.rows_updated, state.load_end_date) == ("Started", None, None,
+                                                                                              None)
+    assert state.source_system == "Sample Data"
+    assert wh.read("team_raw").count() == 4 and wh.read("player_game_stats_raw").count() == 12
