@@ -239,3 +239,14 @@ def test_upsert_without_order_never_duplicates_a_target_row(spark):
     res = L.upsert_type1(tgt, src, key="team_id", compare={"team_name": "", "conference": ""},
                          surrogate="team_key", created=None, modified=None)
     assert [(r.team_id, r.team_name) for r in res.frame.collect()] == [(1, "C")]
+
+
+def test_missing_schedule_or_boxscore_fails_the_load(spark, wh_root, tmp_path):
+    landing = str(tmp_path / "landing")
+    land_sample(landing)
+    wh = Warehouse(spark, wh_root)
+    with pytest.raises(Exception, match="no schedule payload for: 2024-10-13"):
+        J.load_games(spark, wh, landing, date(2024, 10, 5), date(2024, 10, 13))  # files exist up to 10-12
+    with pytest.raises(Exception, match="no boxscore payload for game: 2024020009"):
+        J.load_player_game_stats(spark, wh, landing, game_ids="2024020001, 2024020009")
+    assert wh.read("game_raw").count() == 0 and wh.read("player_game_stats_raw").count() == 0
