@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +23,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package's source to the Python workers (as ``--py-files`` would), once per application."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_starload_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="starload-src-"), "starload_src.zip")
+        with zipfile.ZipFile(target, "w") as out:
+            for folder, _, names in os.walk(root):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("starload", os.path.relpath(path, root)))
+        sc.addPyFile(target)
+        sc._starload_shipped = True
+    return spark
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -35,29 +54,34 @@ def crc_mod(column: str, mod: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(mod)
 
 
+def word_count(text: str):
+    """Number of words of a text column (runs of anything but the six ASCII blanks), 0 for null."""
+    return F.coalesce(F.size(F.array_remove(F.split(F.col(text), WORD_GAP), "")), F.lit(0)).cast("long")
+
+
+def spread(column: str):
+    """A fixed pseudo-random place of an id in ``[0, 2**60)``, the same in any SQL engine that has md5."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("string")), 1, 15), 16, 10).cast("long")
+
+
 def prefix_sums(df: DataFrame, group: str, order: str, value: str, name: str, block_rows: int = 4096) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows of the same ``group`` that come earlier.
 
-    Rows are ordered by the 64-bit hash of ``order`` and then by ``order``. Two levels
-    keep a hot group out of one task: a group is dealt into hash ranges of about
-    ``block_rows`` rows, sums per range are ranked (one row per range), and only
-    the rows of one range meet in a window.
+    Rows are ordered by ``spread(order)``, ``order``, ``value``. Two levels keep a hot group
+    out of one task: a group is dealt into ranges of places of about ``block_rows`` rows,
+    sums per range are ranked (one row per range), and only the rows of one range meet in
+    a window. ``df`` is read three times: cut its lineage first if it is dear.
     """
-    rows = df.count()
-    blocks = max(1, -(-rows // block_rows))
-    place = F.xxhash64(order)
-    width = 2 ** 64 // blocks + 1
-    # place is a signed 64-bit hash: the decimal offset makes the range number exact
-    block = F.floor((place.cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)"))
-                    / F.lit(str(width)).cast("decimal(20,0)")).cast("long")
-    keyed = df.withColumns({"__place": place, "__block": block})
+    blocks = max(1, -(-df.count() // block_rows))
+    keyed = df.withColumn("__place", F.coalesce(spread(order), F.lit(0))).withColumn(
+        "__block", F.floor(F.col("__place") / F.lit(2 ** 60 // blocks + 1)).cast("long"))
     sums = keyed.groupBy(group, "__block").agg(F.sum(value).alias("__sum"))
     before = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(F.col(group).alias("__g"), F.col("__block").alias("__b"),
                         F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
-    inner = (Window.partitionBy(group, "__block").orderBy("__place", order)
+    inner = (Window.partitionBy(group, "__block").orderBy("__place", order, value)
              .rowsBetween(Window.unboundedPreceding, -1))
-    return (keyed.join(bases, keyed[group].eqNullSafe(bases["__g"]) & (keyed["__block"] == bases["__b"]))
+    return (keyed.join(bases, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__block") == F.col("__b")))
             .withColumn(name, F.col("__base") + F.coalesce(F.sum(value).over(inner), F.lit(0)))
             .drop("__g", "__b", "__base", "__place", "__block"))
 

@@ -1,3 +1,44 @@
 """DuckDB statements for the registered queries that SQL can express."""
 
-LLM_ORACLE: dict[str, str] = {}
+OP8 = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         coalesce(('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint, 0) as place
+  from documents),
+totals as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as rank,
+         count(*) over () as n, sum(sum(size)) over ()::bigint as total
+  from sized group by source),
+weighted as (select *, 1 + rank % 3 as weight, 3 * source_size as most from totals),
+level as (
+  select *, most * sum(weight) over later <= (total - coalesce(sum(most) over earlier, 0))::double * weight as is_full
+  from weighted
+  window earlier as (order by most / weight, rank rows between unbounded preceding and 1 preceding),
+         later as (order by most / weight, rank rows between current row and unbounded following)),
+targets as (
+  select source, source_size,
+         case when is_full then most::double
+              else (total - coalesce(sum(most) filter (is_full) over (), 0))::double * weight
+                   / (sum(weight) filter (not is_full) over ())::double end as target,
+         case when n > 1 then 0.5::double * (2.0::double * rank / (n - 1)::double - 1.0::double) else 0.0::double end as drift
+  from level),
+placed as (
+  select s.doc_id, s.size, s.source, t.source_size, t.target, floor(t.target)::bigint as demand, t.drift,
+         (coalesce(sum(s.size) over (partition by s.source order by place, s.doc_id, s.size
+                   rows between unbounded preceding and 1 preceding), 0))::bigint as before
+  from sized s join targets t on s.source is not distinct from t.source),
+passed as (
+  select *, case when source_size > 0 then demand // source_size else 0 end as whole from placed),
+rested as (
+  select *, greatest(0, least(size, demand - whole * source_size - before)) as last from passed),
+timed as (
+  select *, whole * size + last as taken,
+         least((before + (case when whole > 0 then size else last end) / 2.0::double) / demand, 1.0::double) as u from rested)
+select doc_id, size, source, source_size, target, taken::bigint as taken,
+       (whole + (2 * last >= greatest(size, 1))::bigint)::bigint as passes,
+       case when taken > 0 then 2.0::double * u / ((1.0::double - drift)
+            + sqrt((1.0::double - drift) * (1.0::double - drift) + 4.0::double * drift * u)) end as position
+from timed
+"""
+
+LLM_ORACLE: dict[str, str] = {"op8_source_mix": OP8}

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starload.llm import bpe
+from starload.llm import bpe, curriculum, langid, training_order
+from starload.llm.frames import crc_mod, shared_path, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,36 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's BPE ids as sequences in training order: shards are written, then read back as digests.
+
+    ``slot, shard, doc_id, seq_no, n_tokens, tokens_sha256`` (of the little-endian 16-bit ids).
+    """
+    sequences = training_order.bpe_sequences(_table(spark, sf_dir, "documents"),
+                                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    slotted, _ = training_order.assign_slots(sequences, key=20240607)
+    path = shared_path(spark, "op4-shards")
+    training_order.write_shards(slotted, path)
+    return (training_order.read_shards(spark, path)
+            .select("slot", "shard", "doc_id", "seq_no", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; profiles are learned from the three folds that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    langs, prototypes = langid.fit(docs.where(crc_mod("doc_id", 4) != 2))
+    pred = langid.predict(docs, langs, prototypes)
+    return pred.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' target weights."""
+    return curriculum.mix(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_training_order": op4_training_order,
+    "op6_language_id": op6_language_id,
+    "op8_source_mix": op8_source_mix,
 }
