@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from starload.llm.frames import binary_column
 from starload.llm.textbytes import hash_spans, slices
 
-#: Distinct stretches kept per Python worker before the table is started anew (about 40 MB).
-CACHE_WORDS = 1_000_000
+#: Distinct stretches kept per Python worker before the table is started anew (about 90 MB).
+CACHE_WORDS = 2_000_000
 #: White space other than the six ASCII blanks; rows holding it are encoded whole.
 RARE_BLANK = regex.compile(r"[^\S\x20\x09-\x0D]")
 #: Kind of a byte: 1 blank, 2 ASCII letter, 3 ASCII punctuation, 4 may belong to rare white space, 0 any other.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, curriculum, langid, training_order
+from starload.llm import bpe, curriculum, langid, ngram_join, training_order
 from starload.llm.frames import crc_mod, shared_path, ship
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by 4-word shingles at a Jaccard similarity of at least 0.85."""
+    return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's byte-level BPE ids and the decoded bytes, as digests."""
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -27,9 +32,9 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sequences = training_order.bpe_sequences(_table(spark, sf_dir, "documents"),
                                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    slotted, _ = training_order.assign_slots(sequences, key=20240607)
+    slotted, total = training_order.assign_slots(sequences, key=20240607)
     path = shared_path(spark, "op4-shards")
-    training_order.write_shards(slotted, path)
+    training_order.write_shards(slotted, total, path)
     return (training_order.read_shards(spark, path)
             .select("slot", "shard", "doc_id", "seq_no", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256")))
 
@@ -48,6 +53,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_training_order": op4_training_order,
     "op6_language_id": op6_language_id,

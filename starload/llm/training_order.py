@@ -30,6 +30,8 @@ HEADER = 16
 LENGTH = 512
 SHARD_RECORDS = 4096
 ROUNDS = 6
+#: Bytes of tokens written by one task.
+TASK_BYTES = 256 << 20
 
 
 def bpe_sequences(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, doc_id: str = "doc_id",
@@ -111,19 +113,21 @@ def assign_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
     return sequences.mapInArrow(number, schema + ", slot long"), total
 
 
-def write_shards(slotted: DataFrame, path: str, token_bytes: int = 2 * LENGTH, shard_records: int = SHARD_RECORDS) -> None:
+def write_shards(slotted: DataFrame, total: int, path: str, token_bytes: int = 2 * LENGTH,
+                 shard_records: int = SHARD_RECORDS) -> None:
     """Write ``doc_id, seq_no, n_tokens, tokens, slot`` as fixed-stride shards below ``path``.
 
     ``token_bytes`` is the room for a sequence's tokens; shorter ones are padded with zeros. One
-    range shuffle: a shard's records meet in one task, sorted by slot.
+    shuffle by equal ranges of ``total`` slots: a shard's records meet in one task, sorted by slot.
     """
-    spark = slotted.sparkSession
+    shards = max(1, -(-total // shard_records))
+    parts = min(shards, max(shuffle_width(slotted.sparkSession), -(-total * token_bytes // TASK_BYTES)))
     zeros = F.lit(bytes(token_bytes))
     head = [F.unhex(F.lpad(F.hex("doc_id"), 16, "0")), F.unhex(F.lpad(F.hex("seq_no"), 8, "0")),
             F.unhex(F.lpad(F.hex("n_tokens"), 8, "0"))]
     body = F.concat(F.col("tokens"), F.substring(zeros, F.lit(1), F.lit(token_bytes) - F.octet_length("tokens")))
     (slotted.withColumn("shard", F.floor(F.col("slot") / F.lit(shard_records)).cast("long"))
-     .repartitionByRange(shuffle_width(spark), "shard")
+     .repartitionById(parts, F.floor(F.col("shard") * F.lit(parts) / F.lit(shards)).cast("int"))
      .sortWithinPartitions("shard", "slot")
      .select(F.concat(*head, body).cast("string").alias("value"), "shard")
      .write.partitionBy("shard").option("lineSep", "\n").text(path))
@@ -133,20 +137,25 @@ def read_shards(spark: SparkSession, path: str, token_bytes: int = 2 * LENGTH, s
                 from_slot: int = 0, id_bytes: int = 2) -> DataFrame:
     """Read the records from ``from_slot`` on: ``slot, shard, doc_id, seq_no, n_tokens, tokens`` (without padding).
 
-    Earlier shards are not opened (a partition filter).
+    Earlier shards are not opened (a partition filter). A task holds the files of its split.
     """
     stride = HEADER + token_bytes + 1
     files = (spark.read.format("binaryFile").load(path)
-             .where(F.col("shard") >= F.lit(from_slot // shard_records)))
-    records = F.transform(F.sequence(F.lit(0), F.floor(F.octet_length("content") / F.lit(stride)).cast("int") - 1),
-                          lambda i: F.col("content").substr(i * stride + 1, F.lit(stride)))
-    number = lambda at, size: F.conv(F.hex(F.substring("record", at, size)), 16, -10)
-    return (files.where(F.octet_length("content") >= stride)
-            .select(F.col("shard").cast("long"), F.posexplode(records).alias("at", "record"))
-            .select((F.col("shard") * shard_records + F.col("at")).alias("slot"), "shard",
-                    number(1, 8).cast("long").alias("doc_id"), number(9, 4).cast("int").alias("seq_no"),
-                    number(13, 4).cast("int").alias("n_tokens"),
-                    F.col("record").substr(F.lit(HEADER + 1), F.lit(token_bytes)).alias("padded"))
-            .where(F.col("slot") >= from_slot)
-            .select("slot", "shard", "doc_id", "seq_no", "n_tokens",
-                    F.col("padded").substr(F.lit(1), F.col("n_tokens") * id_bytes).alias("tokens")))
+             .where(F.col("shard") >= F.lit(from_slot // shard_records)).select("shard", "content"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = np.frombuffer(content.as_buffer(), np.uint8)
+                records = data[: data.size // stride * stride].reshape(-1, stride)
+                slot = shard * shard_records + np.arange(len(records))
+                records, slot = records[slot >= from_slot], slot[slot >= from_slot]
+                number = [np.ascontiguousarray(records[:, i:j]).view(kind).ravel() for i, j, kind in
+                          ((0, 8, ">i8"), (8, 12, ">i4"), (12, 16, ">i4"))]
+                tokens = [r[HEADER: HEADER + id_bytes * n].tobytes() for r, n in zip(records, number[2].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot), pa.array(np.full(slot.size, shard)), pa.array(number[0].astype(np.int64)),
+                     pa.array(number[1].astype(np.int32)), pa.array(number[2].astype(np.int32)), pa.array(tokens, pa.binary())],
+                    ["slot", "shard", "doc_id", "seq_no", "n_tokens", "tokens"])
+
+    return files.mapInArrow(run, "slot long, shard long, doc_id long, seq_no int, n_tokens int, tokens binary")
