@@ -153,8 +153,17 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
 
 
-def _tile_pairs(node, comp, n, bits, side, percent: int) -> np.ndarray:
-    """Pairs of a tile that are not connected yet and that sizes and bitmaps do not rule out."""
+def _earlier(x: np.ndarray, y: np.ndarray, sig: int) -> bool:
+    """Whether two nodes meet in a tile before ``sig`` (their tiles are sorted)."""
+    x, y = x[: np.searchsorted(x, sig)], y[: np.searchsorted(y, sig)]
+    if not x.size or not y.size:
+        return False
+    at = np.searchsorted(y, x)
+    return bool((y[np.minimum(at, y.size - 1)] == x).any())
+
+
+def _tile_pairs(sig, node, comp, n, bits, tiles, side, percent: int) -> np.ndarray:
+    """Pairs of a tile that are not connected yet and that sizes and bitmaps do not rule out, in their first tile only."""
     words = min(b.size for b in bits)
     rows = np.stack([_fold(b, words) for b in bits])
     out = []
@@ -163,6 +172,7 @@ def _tile_pairs(node, comp, n, bits, side, percent: int) -> np.ndarray:
         if rest.size:
             differ = np.bitwise_count(rows[rest] ^ rows[i]).sum(axis=1, dtype=np.int64)
             fit = rest[_may_link(n[i], n[rest], differ, percent)]
+            fit = fit[[not _earlier(tiles[i], tiles[k], sig) for k in fit.tolist()]] if fit.size else fit
             if fit.size:
                 out.append(np.stack([np.full(fit.size, node[i]), node[fit]], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
@@ -184,11 +194,14 @@ def _pairs_of_tiles(percent: int):
             at = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
             node, comp, n, block, lo, hi = (table.column(c).to_numpy() for c in ("node", "comp", "n", "block", "lo", "hi"))
             bits = [np.frombuffer(b.as_buffer(), U64) for b in table.column("bits")]
+            own = table.column("tiles").combine_chunks()
+            ends, flat = own.offsets.to_numpy(), own.values.to_numpy()
+            tiles = [flat[a:b] for a, b in zip(ends, ends[1:])]
             new = 0
             for i, j in zip(at, np.append(at[1:], key.shape[1])):
                 # within a block all rows are on side 0; between two blocks only pairs across are new
                 side = np.where(lo[i:j] == hi[i:j], 0, 1 + (block[i:j] == hi[i:j]))
-                pairs = _tile_pairs(node[i:j], comp[i:j], n[i:j], bits[i:j], side, percent)
+                pairs = _tile_pairs(key[0, i], node[i:j], comp[i:j], n[i:j], bits[i:j], tiles[i:j], side, percent)
                 if pairs.size:
                     found.append(pairs)
                     new += len(pairs)
@@ -305,11 +318,14 @@ class NgramJoin:
                     .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
         mixed = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"))
                  .where("x <> y").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")))
-        rows = (known.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-                .join(self.nodes.select("node", "n", "bits"), "node")
+        known = cut(known.join(mixed, "sig"))
+        # a node's tiles are at most the classes of its size, however large its group is
+        own = known.groupBy("node").agg(F.sort_array(F.collect_list("sig")).alias("tiles"))
+        rows = (known.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .join(self.nodes.select("node", "n", "bits"), "node").join(own, "node")
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                        "node", "comp", F.col("n").cast("long").alias("n"), "bits"))
+                        "node", "comp", F.col("n").cast("long").alias("n"), "bits", "tiles"))
         return (rows.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "node")
                 .mapInArrow(_pairs_of_tiles(self.percent), "a long, b long").distinct())
 
