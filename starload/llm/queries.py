@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, curriculum, langid, ngram_join, training_order
+from starload.llm import bpe, curriculum, ego_join, langid, ngram_join, topk, training_order
 from starload.llm.frames import crc_mod, shared_path, ship
 
 
@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every twentieth vector with all others."""
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return topk.topk(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 4-word shingles at a Jaccard similarity of at least 0.85."""
     return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"), width=4, percent=85)
@@ -47,15 +53,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pred.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine links of at least 0.93 within a label, as link counts and groups."""
+    return ego_join.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights."""
     return curriculum.mix(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_training_order": op4_training_order,
     "op6_language_id": op6_language_id,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_source_mix": op8_source_mix,
 }
