@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from starload.llm.components import components
 from starload.llm.frames import binary_column, cut, shuffle_width
 from starload.llm.shingles import Bands, bitmap, bitmap_words, overlap, set_hash, shingle_sets
-from starload.llm.textbytes import U64, slices
+from starload.llm.textbytes import U64, mix, slices
 
 #: Nodes of a tile that are paired in one step.
 TILE = 1024
@@ -153,17 +153,8 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
 
 
-def _earlier(x: np.ndarray, y: np.ndarray, sig: int) -> bool:
-    """Whether two nodes meet in a tile before ``sig`` (their tiles are sorted)."""
-    x, y = x[: np.searchsorted(x, sig)], y[: np.searchsorted(y, sig)]
-    if not x.size or not y.size:
-        return False
-    at = np.searchsorted(y, x)
-    return bool((y[np.minimum(at, y.size - 1)] == x).any())
-
-
-def _tile_pairs(sig, node, comp, n, bits, tiles, side, percent: int) -> np.ndarray:
-    """Pairs of a tile that are not connected yet and that sizes and bitmaps do not rule out, in their first tile only."""
+def _tile_pairs(node, comp, n, bits, side, percent: int) -> np.ndarray:
+    """Pairs of a tile that are not connected yet and that sizes and bitmaps do not rule out."""
     words = min(b.size for b in bits)
     rows = np.stack([_fold(b, words) for b in bits])
     out = []
@@ -172,13 +163,12 @@ def _tile_pairs(sig, node, comp, n, bits, tiles, side, percent: int) -> np.ndarr
         if rest.size:
             differ = np.bitwise_count(rows[rest] ^ rows[i]).sum(axis=1, dtype=np.int64)
             fit = rest[_may_link(n[i], n[rest], differ, percent)]
-            fit = fit[[not _earlier(tiles[i], tiles[k], sig) for k in fit.tolist()]] if fit.size else fit
             if fit.size:
                 out.append(np.stack([np.full(fit.size, node[i]), node[fit]], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
-def _pairs_of_tiles(percent: int):
+def _pairs_of_tiles(percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         found: list[np.ndarray] = []
@@ -187,21 +177,24 @@ def _pairs_of_tiles(percent: int):
         def emit() -> pa.RecordBatch:
             pairs = np.sort(np.concatenate(found), axis=1)
             pairs = np.unique(pairs, axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            place = (mix(np.ascontiguousarray(pairs[:, 0]).view(U64) + mix(np.ascontiguousarray(pairs[:, 1]).view(U64))) % U64(buckets)).astype(np.int32)
+            order = np.argsort(place, kind="stable")
+            pairs, place = pairs[order], place[order]
+            at = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(place[at]), pa.array([pairs[i:j].tobytes() for i, j in zip(at, np.append(at[1:], len(pairs)))], pa.binary())],
+                ["bucket", "pairs"])
 
         def work(table: pa.Table) -> int:
             key = np.stack([table.column(c).to_numpy() for c in ("sig", "lo", "hi")])
             at = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
             node, comp, n, block, lo, hi = (table.column(c).to_numpy() for c in ("node", "comp", "n", "block", "lo", "hi"))
             bits = [np.frombuffer(b.as_buffer(), U64) for b in table.column("bits")]
-            own = table.column("tiles").combine_chunks()
-            ends, flat = own.offsets.to_numpy(), own.values.to_numpy()
-            tiles = [flat[a:b] for a, b in zip(ends, ends[1:])]
             new = 0
             for i, j in zip(at, np.append(at[1:], key.shape[1])):
                 # within a block all rows are on side 0; between two blocks only pairs across are new
                 side = np.where(lo[i:j] == hi[i:j], 0, 1 + (block[i:j] == hi[i:j]))
-                pairs = _tile_pairs(key[0, i], node[i:j], comp[i:j], n[i:j], bits[i:j], tiles[i:j], side, percent)
+                pairs = _tile_pairs(node[i:j], comp[i:j], n[i:j], bits[i:j], side, percent)
                 if pairs.size:
                     found.append(pairs)
                     new += len(pairs)
@@ -228,6 +221,17 @@ def _pairs_of_tiles(percent: int):
     return run
 
 
+def _distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of the packed ones that meet in a task."""
+    held = [np.zeros((0, 2), np.int64)]
+    for batch in batches:
+        held.extend(np.frombuffer(p.as_buffer(), np.int64).reshape(-1, 2).copy() for p in batch.column(1))
+        if len(held) > 256:
+            held = [np.unique(np.concatenate(held), axis=0)]
+    pairs = np.unique(np.concatenate(held), axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], ["a", "b"])
+
+
 def _pass_bitmaps(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,9 +281,9 @@ class NgramJoin:
         """Documents ``doc_id, node, n, bits`` and tiles ``sig, node`` of at least two nodes."""
         # a set of n words signs about 0.4 n classes, and a word takes some five bytes
         size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        parts = max(shuffle_width(self.spark), -(-size // (12 * MATCHED)))
-        signed = self.docs.mapInArrow(_sign(self.percent, self.width, 16 * parts), SIGNED)
-        found = cut(signed.repartition(parts, "bucket").mapInArrow(_match, FOUND))
+        self.parts = max(shuffle_width(self.spark), -(-size // (12 * MATCHED)))
+        signed = self.docs.mapInArrow(_sign(self.percent, self.width, 16 * self.parts), SIGNED)
+        found = cut(signed.repartition(self.parts, "bucket").mapInArrow(_match, FOUND))
         return (found.where("kind = 1").select("doc_id", "node", "n", "bits"),
                 found.where("kind = 0").select("sig", "node"))
 
@@ -318,16 +322,15 @@ class NgramJoin:
                     .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
         mixed = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"))
                  .where("x <> y").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")))
-        known = cut(known.join(mixed, "sig"))
-        # a node's tiles are at most the classes of its size, however large its group is
-        own = known.groupBy("node").agg(F.sort_array(F.collect_list("sig")).alias("tiles"))
-        rows = (known.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-                .join(self.nodes.select("node", "n", "bits"), "node").join(own, "node")
+        rows = (known.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .join(self.nodes.select("node", "n", "bits"), "node")
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                        "node", "comp", F.col("n").cast("long").alias("n"), "bits", "tiles"))
+                        "node", "comp", F.col("n").cast("long").alias("n"), "bits"))
         return (rows.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "node")
-                .mapInArrow(_pairs_of_tiles(self.percent), "a long, b long").distinct())
+                .mapInArrow(_pairs_of_tiles(self.percent, 16 * self.parts), "bucket int, pairs binary")
+                # a pair meets in several tiles: packed, pairs are brought together and told apart
+                .repartition(self.parts, "bucket").mapInArrow(_distinct_pairs, "a long, b long"))
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """Documents ``doc_id, node, n`` and ``node, comp`` of the linked nodes."""
