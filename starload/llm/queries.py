@@ -36,9 +36,8 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``slot, shard, doc_id, seq_no, n_tokens, tokens_sha256`` (of the little-endian 16-bit ids).
     """
-    sequences = training_order.bpe_sequences(_table(spark, sf_dir, "documents"),
-                                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    slotted, total = training_order.assign_slots(sequences, key=20240607)
+    cutter = training_order.bpe_cutter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    slotted, total = training_order.assign_slots(_table(spark, sf_dir, "documents"), cutter, key=20240607)
     path = shared_path(spark, "op4-shards")
     training_order.write_shards(slotted, total, path)
     return (training_order.read_shards(spark, path)

@@ -13,7 +13,7 @@ Spark can write to, with its commit protocol: a lost task leaves no partial shar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +34,17 @@ ROUNDS = 6
 TASK_BYTES = 256 << 20
 
 
-def bpe_sequences(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """Sequences of at most ``length`` byte-level BPE ids: ``doc_id, seq_no, n_tokens, tokens``.
+SEQUENCE = "doc_id long, seq_no int, n_tokens int, tokens binary"
+#: Cuts batches of ``doc_id, text`` into batches of sequences.
+Cutter = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def bpe_cutter(path: str, pattern: str, length: int = LENGTH) -> Cutter:
+    """A cutter into sequences of at most ``length`` byte-level BPE ids: ``doc_id, seq_no, n_tokens, tokens``.
 
     Every whole text is encoded and cut into stretches of ``length`` ids, the last one
     shorter; ``tokens`` holds them as little-endian 16-bit (32-bit for vocabularies over
-    65,536) integers. Null and empty texts give none. Rows with a null id give none.
+    65,536) integers. Null and empty texts give none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,8 +65,7 @@ def bpe_sequences(docs: DataFrame, path: str, pattern: str, length: int = LENGTH
                     [pa.array(np.repeat(ids[i:j], n), pa.int64()), pa.array(seq.astype(np.int32)),
                      pa.array(size.astype(np.int32)), cells.cast(pa.binary())], ["doc_id", "seq_no", "n_tokens", "tokens"])
 
-    rows = docs.where(docs[doc_id].isNotNull()).select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, seq_no int, n_tokens int, tokens binary")
+    return run
 
 
 def permute(index: np.ndarray, total: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -82,35 +85,37 @@ def permute(index: np.ndarray, total: int, key: int, rounds: int = ROUNDS) -> np
     return value.astype(np.int64)
 
 
-def assign_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """Add ``slot``, a keyed permutation of the sequences' dense numbers; also return their number.
+def assign_slots(docs: DataFrame, cutter: Cutter, key: int, doc_id: str = "doc_id",
+                 text: str = "text") -> tuple[DataFrame, int]:
+    """The documents' sequences with ``slot``, a keyed permutation of their dense numbers, and their number.
 
     The plan runs twice: once to count each partition's sequences (one number per partition
-    goes to the driver), once to number them. So ``sequences`` must give the same rows in the
+    goes to the driver), once to number them. So ``docs`` must give the same rows in the
     same partitions each time, as map-only plans over files do; cut the lineage of any other
-    input first.
+    input first. Null and empty texts and rows with a null id give no sequence; repeated rows
+    give sequences of their own; an empty table gives none.
     """
+    rows = docs.where(docs[doc_id].isNotNull()).select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(b.num_rows for b in batches)
+        n = sum(b.num_rows for b in cutter(batches))
         yield pa.RecordBatch.from_pydict({"pid": pa.array([TaskContext.get().partitionId()], pa.int32()),
                                           "n": pa.array([n], pa.int64())})
 
-    counts = {r["pid"]: r["n"] for r in sequences.mapInArrow(count, "pid int, n long").collect()}
+    counts = {r["pid"]: r["n"] for r in rows.mapInArrow(count, "pid int, n long").collect()}
     bases, total = {}, 0
     for pid in sorted(counts):
         bases[pid] = total
         total += counts[pid]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = bases[TaskContext.get().partitionId()]
-        for b in batches:
+        at = bases.get(TaskContext.get().partitionId(), 0)
+        for b in cutter(batches):
             slot = permute(np.arange(at, at + b.num_rows), total, key)
             at += b.num_rows
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(slot)], [*b.schema.names, "slot"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sequences.schema)
-    return sequences.mapInArrow(number, schema + ", slot long"), total
+    return rows.mapInArrow(number, SEQUENCE + ", slot long"), total
 
 
 def write_shards(slotted: DataFrame, total: int, path: str, token_bytes: int = 2 * LENGTH,
