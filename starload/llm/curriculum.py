@@ -63,7 +63,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     ``doc_id, size`` (words; 0 for null or empty texts), ``source, source_size, target, taken``
     (words the mix takes, repeats counted), ``passes`` (how often the document is
-    read; a last pass counts from half of its words on) and ``position`` (null if not taken).
+    read; a last pass counts from half of its words on), ``position`` (null if not taken), and the
+    source's ``demand`` and ``drift``.
     A source's documents are passed over in a fixed pseudo-random order of their ids until its
     demand is met, so its taken words miss the target by less than one word. Null is a source
     of its own; repeated rows count each time; a null id has a fixed place. An empty
@@ -82,5 +83,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
             .withColumn("taken", F.col("whole") * F.col("size") + F.col("last"))
             .withColumn("passes", F.col("whole") + (2 * F.col("last") >= F.greatest(F.col("size"), F.lit(1))).cast("long"))
             .withColumn("position", F.when(F.col("taken") > 0, position(middle, F.col("demand"), F.col("drift"))))
-            .select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position")
+            .select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "demand", "drift")
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
+
+
+def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+                limit: int = LIMIT, slope: float = SLOPE) -> DataFrame:
+    """``doc_id, source, pass, position``: one row for each reading of a document that ``mix`` counts in ``passes``.
+
+    Later passes lie a whole round of the source's words behind the first one.
+    """
+    mixed = mix(docs, doc_id, text, source, limit, slope).where(F.col("passes") > 0)
+    again = mixed.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
+    first = F.col("demand") * ((1.0 - F.col("drift")) * F.col("position") + F.col("drift") * F.col("position") * F.col("position"))
+    later = position(first + F.col("pass") * F.col("source_size"), F.col("demand"), F.col("drift"))
+    return again.select("doc_id", "source", "pass", F.when(F.col("pass") == 0, F.col("position")).otherwise(later).alias("position"))

@@ -72,8 +72,8 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (code[:-2] << 12 | code[1:-1] << 6 | code[2:])[same], row[2:][same], has
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
-    for i, j, data, offs in slices(binary_column(batch, "text"), 1 << 19):
+def _texts(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, int, list[str]]]:
+    for i, j, data, offs in slices(binary_column(batch, text), 1 << 19):
         raw = data.tobytes()
         yield i, j, [raw[a:b].decode() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
 
@@ -136,6 +136,21 @@ def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.nd
     return bundles @ prototypes.T / np.where(norms > 0, norms, 1.0)[:, None], has
 
 
+def filter_known(docs: DataFrame, langs: list[str], prototypes: np.ndarray, least: float, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a letter and a best cosine of at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, texts in _texts(batch, text):
+                keep = np.zeros(j - i, dtype=bool)
+                if langs:
+                    cos, has = cosines(texts, prototypes)
+                    keep = has & (cos.max(axis=1) >= least)
+                yield batch.slice(i, j - i).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, doc_id: str = "doc_id",
             text: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` for every whole text; score is the best cosine, not below 0.

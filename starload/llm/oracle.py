@@ -37,7 +37,8 @@ timed as (
 select doc_id, size, source, source_size, target, taken::bigint as taken,
        (whole + (2 * last >= greatest(size, 1))::bigint)::bigint as passes,
        case when taken > 0 then 2.0::double * u / ((1.0::double - drift)
-            + sqrt((1.0::double - drift) * (1.0::double - drift) + 4.0::double * drift * u)) end as position
+            + sqrt((1.0::double - drift) * (1.0::double - drift) + 4.0::double * drift * u)) end as position,
+       demand, drift
 from timed
 """
 

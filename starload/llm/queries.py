@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, curriculum, ego_join, langid, ngram_join, topk, training_order
+from starload.llm import (bpe, curriculum, ego_join, langid, line_templates, ngram_join, page_text, topk, toxicity,
+                          training_order)
 from starload.llm.frames import crc_mod, shared_path, ship
 
 
@@ -44,6 +45,11 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("slot", "shard", "doc_id", "seq_no", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its lines of templates that recur across documents."""
+    return line_templates.drop_recurring(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; profiles are learned from the three folds that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -62,12 +68,28 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by its nearest labelled examples; labels of the fold held out are not read."""
+    docs = _table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0))
+    scored = toxicity.score(docs, index)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, by the template of its host."""
+    return page_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_training_order": op4_training_order,
+    "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_source_mix": op8_source_mix,
+    "op9_toxicity": op9_toxicity,
+    "op10_main_text": op10_main_text,
 }

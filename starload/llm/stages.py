@@ -1,32 +1,61 @@
-"""The stages of the corpus pipeline, each one operator of this subpackage with production parameters."""
+"""The stages of the corpus pipeline, each one operator of this subpackage with production parameters.
+
+Each takes ``(spark, docs, sf_dir)`` and all but the last return the columns of documents. Extra
+columns are not carried on. A null id is kept by the filters and belongs to no group.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starload.llm import bpe, curriculum, langid, line_templates, ngram_join
+from starload.llm.frames import crc_mod, cut, ship
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A text whose best cosine with a language is below this is rejected.
+LEAST_COSINE = 0.05
 
-from starload.llm import bpe
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+def _columns(docs: DataFrame) -> list:
+    return [docs[c] for c in COLUMNS]
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents without a letter, or unlike every learned language, go."""
+    ship(spark)
+    langs, prototypes = langid.fit(docs.where(F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(True))))
+    return langid.filter_known(docs.select(*_columns(docs)), langs, prototypes, LEAST_COSINE)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Lines of recurring templates stay in one document only; all documents are kept."""
+    ship(spark)
+    rows = docs.select(*_columns(docs))
+    return (line_templates.drop_recurring(rows, carry=["lang", "source"])
+            .select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")))
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The document with the smallest id stays of each group linked at 0.8 by five-word shingles."""
+    ship(spark)
+    rows = docs.select(*_columns(docs))
+    groups = ngram_join.jaccard_groups(rows, width=5, percent=80)
+    gone = cut(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
+    return rows.join(gone, rows["doc_id"] == gone["gone"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Each document as often as the mix reads it, sorted by training position."""
+    ship(spark)
+    rows = docs.select(*_columns(docs))
+    plan = cut(curriculum.occurrences(rows).select(F.col("doc_id").alias("id"), "position"))
+    return (rows.join(plan, rows["doc_id"].eqNullSafe(plan["id"])).orderBy("position", "doc_id").select(*COLUMNS))
 
 
 def encode_bytes_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256, token_ids``."""
+    ship(spark)
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
                                 keep_ids=True)
