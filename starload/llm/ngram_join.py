@@ -328,7 +328,7 @@ class NgramJoin:
                 .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
                         "node", "comp", F.col("n").cast("long").alias("n"), "bits"))
         return (rows.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "node")
-                .mapInArrow(_pairs_of_tiles(self.percent, 16 * self.parts), "bucket int, pairs binary")
+                .mapInArrow(_pairs_of_tiles(self.percent, self.parts), "bucket int, pairs binary")
                 # a pair meets in several tiles: packed, pairs are brought together and told apart
                 .repartition(self.parts, "bucket").mapInArrow(_distinct_pairs, "a long, b long"))
 
