@@ -32,19 +32,24 @@ MIN_TOKENS = 4
 SIMILAR = 0.8
 
 TOKEN_GAP = r"[ \t\x0B\f\r]+"
-VARIABLE = r"[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*"
+VARIABLE = r"[^ ]*[0-9][^ ]*"
 
 
 def masked(line):
-    """A line's tokens joined by single spaces, with a placeholder for each token that holds a digit."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, TOKEN_GAP, " ")), VARIABLE, "<*>")
+    """A line's tokens joined by single spaces, with a placeholder for each token that holds a digit.
+
+    Most lines need neither replacement; a plain search tells.
+    """
+    spaced = F.when(line.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(line, TOKEN_GAP, " ")).otherwise(line)
+    spaced = F.trim(spaced)
+    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, VARIABLE, "<*>")).otherwise(spaced)
 
 
 def parse_lines(docs: DataFrame, min_tokens: int, depth: int = DEPTH) -> DataFrame:
     """``doc_id, line_no, leaf, line`` (masked) of every line with at least ``min_tokens`` tokens."""
     lines = docs.select("row_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     tokens = F.split("line", " ")
-    return (lines.select("row_id", "line_no", masked("raw").alias("line")).withColumn("tokens", tokens)
+    return (lines.select("row_id", "line_no", masked(F.col("raw")).alias("line")).withColumn("tokens", tokens)
             .where(F.size("tokens") >= min_tokens)
             .select("row_id", "line_no", F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(k)) for k in range(depth)])
                     .alias("leaf"), "line", F.xxhash64("line").alias("line_hash"),
