@@ -15,7 +15,7 @@ from datetime import date
 from starload.plans import jobs as J
 from starload.plans import sample as S
 from starload.plans.store import Warehouse
-from starload.session import local_session
+from starload.session import job_session
 
 
 def _date(text: str | None) -> date | None:
@@ -34,10 +34,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--team-abbrevs", help="comma list of team codes for the players load")
     ap.add_argument("--game-ids", help="comma list of game ids for the stats load")
     ap.add_argument("--replay", action="store_true", help="with 'all': replay the loads from staging at the end")
-    ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
+    ap.add_argument("--master", default=None, help="Spark master; unset: the one of spark-submit or the configuration")
     a = ap.parse_args(argv)
 
-    spark = local_session(a.master[6:-1] if a.master and a.master.startswith("local[") else "*")
+    spark = job_session(a.master)
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(f"{a.warehouse.rstrip('/')}/_checkpoints")
     wh = Warehouse(spark, a.warehouse)
     start, end = _date(a.start_date), _date(a.end_date)
     if a.command == "teams":

@@ -1,4 +1,4 @@
-"""Row filters of the loads."""
+"""Row filters of the loads."""
 
 from __future__ import annotations
 
@@ -16,25 +16,20 @@ def valid_rows(df: DataFrame, required: list[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
 
 
-def in_list(df: DataFrame, col: str, values) -> DataFrame:
-    """membership in a literal list."""
-    return df.filter(F.col(col).isin(list(values)))
-
-
 def date_window(df: DataFrame, col: str, start: date, end: date) -> DataFrame:
     """inclusive date range (``start <= d <= end``); reaches the scan as two bounds."""
     return df.filter(F.col(col).between(F.lit(start), F.lit(end)))
 
 
-def default_season_start(today: date) -> date:
-    """1 September of the season containing ``today``."""
-    year = today.year if today.month >= SEASON_START_MONTH else today.year - 1
-    return date(year, SEASON_START_MONTH, 1)
+def season_opening(today: date) -> date:
+    """The last season opening that is not after ``today``."""
+    opening = date(today.year, SEASON_START_MONTH, 1)
+    return opening if opening <= today else opening.replace(year=opening.year - 1)
 
 
 def default_game_window(today: date) -> tuple[date, date]:
     """games from the start of the active season to today."""
-    return default_season_start(today), today
+    return season_opening(today), today
 
 
 def default_stats_window(today: date, days: int = 7) -> tuple[date, date]:

@@ -1,49 +1,17 @@
-"""Key resolution joins with a checked broadcast.
+"""Key resolution joins (J3, J4), existence tests and anti joins.
 
-A side is broadcast only after a bounded count proves it small: the check reads
-at most ``max_rows + 1`` rows, so it is cheap when the side is small and stops
-early when it is not. Beyond the bound the join is left to the planner (sort-merge
-with AQE, which also splits skewed partitions of the large side).
+No side is counted or hinted here: the planner broadcasts a side its statistics show to be
+small, and AQE converts or splits joins at run time by the sizes it has seen.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 500_000
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("starload.broadcast.maxRows", None)
-    return int(conf) if conf else DEFAULT_BROADCAST_ROWS
-
-
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``).
-
-    The answer is remembered for the DataFrame object (its input files are fixed
-    when it is created), so a dimension used in several roles is counted once.
-    """
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    seen = _CHECKED.setdefault(df, {})
-    if limit not in seen:
-        seen[limit] = df.limit(limit + 1).count() <= limit
-    return seen[limit]
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven under the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
 
 def resolve_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_: str | None = None,
-                how: str = "inner", max_rows: int | None = None) -> DataFrame:
+                how: str = "inner") -> DataFrame:
     """Attach ``dim.key`` (renamed ``as_``) to ``df`` by natural key ``on = {df_col: dim_col}``.
 
     ``how='inner'`` drops unresolved rows silently (J3); ``how='left'`` keeps them
@@ -52,20 +20,16 @@ def resolve_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_
     out_name = as_ or key
     tmp = {c: f"__rk_{i}" for i, c in enumerate(on)}
     lookup = dim.select(*[F.col(d).alias(tmp[c]) for c, d in on.items()], F.col(key).alias(out_name))
-    if is_bounded(dim, max_rows):  # same row count as the projection; checked once per dimension
-        lookup = F.broadcast(lookup)
     cond = [df[c] == lookup[tmp[c]] for c in on]
     return df.join(lookup, cond, how).drop(*tmp.values())
 
 
 def lookup_attrs(df: DataFrame, dim: DataFrame, on: dict[str, str], attrs: dict[str, str],
-                 how: str = "inner", max_rows: int | None = None) -> DataFrame:
+                 how: str = "inner") -> DataFrame:
     """Like ``resolve_key`` but attaches several dimension columns ``attrs = {out: dim_col}`` in one join."""
     tmp = {c: f"__la_{i}" for i, c in enumerate(on)}
     lookup = dim.select(*[F.col(d).alias(tmp[c]) for c, d in on.items()],
                         *[F.col(d).alias(o) for o, d in attrs.items()])
-    if is_bounded(dim, max_rows):
-        lookup = F.broadcast(lookup)
     return df.join(lookup, [df[c] == lookup[tmp[c]] for c in on], how).drop(*tmp.values())
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starload.functions import expr as X
 from starload.operators.checks import duplicate_keys
 from starload.operators.dedupe import dedupe
-from starload.operators.joins import exists_in, is_bounded, missing_from, resolve_key
+from starload.operators.joins import exists_in, missing_from, resolve_key
 from starload.operators.keys import assign_surrogate_keys, current_max
 from starload.schemas import CALENDAR_ERROR
 
@@ -143,15 +143,10 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: list[str] | dict[
 def history_for(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """The part of a (large) fact history that a batch can collide with.
 
-    When the batch's distinct keys are provably few, the history is first cut to
-    them by a broadcast semi join (map-side, no shuffle of the history); the
-    anti join that follows then has a small build side. Otherwise the history is
-    returned whole and the planner shuffles both sides.
+    A semi join with the batch's distinct keys; the planner and AQE broadcast them when
+    they are few, so the history is then not shuffled.
     """
-    batch_keys = batch.select(*keys).distinct()
-    if is_bounded(batch_keys):
-        return existing.join(F.broadcast(batch_keys), keys, "left_semi")
-    return existing
+    return existing.join(batch.select(*keys).distinct(), keys, "left_semi")
 
 
 GAME_MEASURES = ("home_goals", "away_goals", "home_shots", "away_shots")

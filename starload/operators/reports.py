@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions import expr as X
-from starload.operators.joins import is_bounded, lookup_attrs, resolve_key
+from starload.operators.joins import lookup_attrs, resolve_key
 
 
 def _c(x) -> Column:
@@ -51,9 +51,8 @@ def team_season_summary(games: DataFrame, teams: DataFrame, *, season="season",
     """A1: per (season, team name): games, wins, losses, goals and shots for/against.
 
     NULL scores count as 0 goals but still as a game; ties count neither way; equal
-    team names merge. With a bounded team dimension it is broadcast and the games
-    are aggregated once (partial + final); otherwise they are pre-aggregated per
-    team key before the join, so the fact is never shuffled for the join.
+    team names merge. Games are aggregated per team key before the join, so the
+    fact is never shuffled for it and only one row per season and team is joined.
     """
     tg = team_games(games, season=season, home=home, away=away, team_col="__team", home_goals=home_goals,
                     away_goals=away_goals, home_shots=home_shots, away_shots=away_shots)
@@ -62,20 +61,13 @@ def team_season_summary(games: DataFrame, teams: DataFrame, *, season="season",
                    F.when(F.col("goals_for") > F.col("goals_against"), 1).otherwise(0).alias("win"),
                    F.when(F.col("goals_for") < F.col("goals_against"), 1).otherwise(0).alias("loss"))
     dim = teams.select(F.col(team_key).alias("__team"), F.col(team_name).alias("__name"))
-    if is_bounded(dim):
-        j = tg.join(F.broadcast(dim), "__team")
-        out = j.groupBy("__season", "__name").agg(
-            F.count(F.lit(1)).alias("Games Played"), F.sum("win").cast("long").alias("Wins"),
-            F.sum("loss").cast("long").alias("Losses"),
-            *[F.sum(F.coalesce(F.col(src), F.lit(0))).cast("long").alias(name) for name, src in _TEAM_SUMS])
-    else:
-        pre = tg.groupBy("__season", "__team").agg(
-            F.count(F.lit(1)).alias("g"), F.sum("win").alias("w"), F.sum("loss").alias("l"),
-            *[F.sum(F.coalesce(F.col(src), F.lit(0))).alias(src) for _, src in _TEAM_SUMS])
-        out = pre.join(dim, "__team").groupBy("__season", "__name").agg(
-            F.sum("g").cast("long").alias("Games Played"), F.sum("w").cast("long").alias("Wins"),
-            F.sum("l").cast("long").alias("Losses"),
-            *[F.sum(src).cast("long").alias(name) for name, src in _TEAM_SUMS])
+    pre = tg.groupBy("__season", "__team").agg(
+        F.count(F.lit(1)).alias("g"), F.sum("win").alias("w"), F.sum("loss").alias("l"),
+        *[F.sum(F.coalesce(F.col(src), F.lit(0))).alias(src) for _, src in _TEAM_SUMS])
+    out = pre.join(dim, "__team").groupBy("__season", "__name").agg(
+        F.sum("g").cast("long").alias("Games Played"), F.sum("w").cast("long").alias("Wins"),
+        F.sum("l").cast("long").alias("Losses"),
+        *[F.sum(src).cast("long").alias(name) for name, src in _TEAM_SUMS])
     return out.select(F.col("__season").alias("Season"), F.col("__name").alias("Team"), "Games Played", "Wins",
                       "Losses", *[name for name, _ in _TEAM_SUMS])
 

@@ -177,11 +177,9 @@ def delete_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def guarded_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
-    sample_players = m.table("supplier").filter(F.col("s_suppkey") < 10)
-    sample_games = m.game.filter(F.col("game_id") < 10)
-    kept = D.guarded_delete(m.team, "team_id", F.col("team_id") < 20, [
-        (sample_players, "s_nationkey"), (sample_games, "home_team_id"), (sample_games, "away_team_id")])
-    return kept.select("team_id")
+    kept = D.guarded_delete(m.table("documents"), "doc_id", F.col("n_chars") < 5000, [
+        (m.table("labels"), "doc_id"), (m.table("pages"), "page_id"), (m.table("benchmark"), "item_id")])
+    return kept.select("doc_id")
 
 
 # ---- dedupe and selection (R5, R9, P6, T2, F3) -------------------------------------------------
@@ -201,7 +199,7 @@ def last_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def first_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
-    return dedupe(m.stats_all, ["game_id", "player_id"], ["raw_id"], keep="first").select(
+    return dedupe(m.stats_all, ["game_id", "player_id"], ["raw_id", "l_partkey", "qty"], keep="first").select(
         "game_id", "player_id", "l_partkey", "qty")
 
 
@@ -322,7 +320,7 @@ def missing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def explicit_ids_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
-    return P.select_ids(spark, m.game, P.parse_game_ids(GAME_ID_ARG)).select("game_id", "game_state")
+    return P.select_ids(m.game, P.parse_game_ids(GAME_ID_ARG)).select("game_id", "game_state")
 
 
 @query

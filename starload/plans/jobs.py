@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +151,10 @@ NATURAL_KEYS = {"team_dim": ["team_id"], "player_dim": ["player_id"], "game_fact
                 "player_game_stats_fact": ["game_key", "player_key"]}
 
 
+def _fail(error: Exception, tx: Transaction) -> None:
+    raise error
+
+
 def _load(wh: Warehouse, staging: str, rows: DataFrame, order: list[str], load_ts: datetime | None,
           batch_id: str | None = None, before_step=None) -> C.LoadResult:
     """Stage ``rows`` as a new batch, run the warehouse step, validate."""
@@ -159,7 +164,10 @@ def _load(wh: Warehouse, staging: str, rows: DataFrame, order: list[str], load_t
     before = wh.read(target).count()
     staged = stage(wh, staging, rows, batch_id, load_ts, order)
     if before_step is not None:
-        before_step(batch_id)
+        try:
+            before_step(batch_id)
+        except Exception as error:  # the step fails with it, so that the batch is marked Failed
+            run_step(wh, batch_id, partial(_fail, error))
     inserted, updated = run_step(wh, batch_id, lambda tx: STEPS[staging](tx, batch_id, load_ts))
     after_df = wh.read(target)
     keys = NATURAL_KEYS[target]

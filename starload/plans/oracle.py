@@ -209,10 +209,10 @@ select s.game_id, s.player_id from m_stats s
 where not exists (select 1 from m_game g where g.game_id = s.game_id and g.game_state = 'FINAL')""")
 
 oracle("guarded_delete", """
-select t.team_id from m_team t where not (t.team_id < 20
-  and not exists (select 1 from supplier p where p.s_nationkey = t.team_id and p.s_suppkey < 10)
-  and not exists (select 1 from m_game g where g.home_team_id = t.team_id and g.game_id < 10)
-  and not exists (select 1 from m_game g where g.away_team_id = t.team_id and g.game_id < 10))""")
+select d.doc_id from documents d where not (d.n_chars < 5000
+  and not exists (select 1 from labels l where l.doc_id = d.doc_id)
+  and not exists (select 1 from pages p where p.page_id = d.doc_id)
+  and not exists (select 1 from benchmark b where b.item_id = d.doc_id))""")
 
 oracle("final_game_ids", "select distinct game_id from m_game where game_state in ('FINAL', 'OFF') order by game_id")
 
@@ -222,7 +222,7 @@ select game_id, player_id, l_partkey, qty from (select *, row_number() over (par
 
 oracle("first_wins_dedupe", """
 select game_id, player_id, l_partkey, qty from (select *, row_number() over (partition by game_id, player_id
-  order by raw_id) as rn from m_stats_all) z where rn = 1""")
+  order by raw_id, l_partkey, qty) as rn from m_stats_all) z where rn = 1""")
 
 # ---- payloads ---------------------------------------------------------------------------------
 oracle("payload_envelope", "select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")

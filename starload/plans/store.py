@@ -16,6 +16,7 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,8 +85,10 @@ class Warehouse:
             return self.spark.read.schema(T.StructType([*MANIFEST_SCHEMA.fields,
                                                         T.StructField("version", T.LongType())])) \
                 .parquet(self.manifest_root)
-        except Exception:  # noqa: BLE001 - no manifest yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # no manifest yet
 
     def version(self) -> int:
         m = self._manifest_frame()

@@ -25,6 +25,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
 
 
+def job_session(master: str | None = None, app: str = "starload") -> SparkSession:
+    """A session for loads: the cluster's own settings, and its master unless one is named."""
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.sql.session.timeZone", "UTC")
+    return (builder.master(master) if master else builder).getOrCreate()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, reading ``spark.checkpoint.dir`` from the session.
 

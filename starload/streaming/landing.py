@@ -11,13 +11,14 @@ twice because every load anti-joins against its target.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starload.plans import jobs as J
 from starload.plans.store import Warehouse
-from starload.session import ensure_checkpoint_dir
 
 LOADERS = {
     "teams": lambda spark, wh, batch: J.load_teams(spark, wh, "", payloads=batch),
@@ -37,12 +38,13 @@ def start_landing_loads(spark: SparkSession, wh: Warehouse, landing: str, kind:
                         checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Load every new ``kind`` payload file (``teams``, ``roster``, ``schedule``, ``boxscore``) as it lands.
 
-    ``checkpoint`` defaults to a folder under the session's checkpoint directory.
+    ``checkpoint`` defaults to a fixed folder below the warehouse root, so that a restarted
+    application goes on where the last one stopped. ``query.results`` holds the last 1,000 load results.
     With ``available_now`` the query processes what has landed and stops.
     """
     loader = LOADERS[kind]
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{kind}"
-    results = []
+    checkpoint = checkpoint or f"{wh.root}/_streams/landing-{kind}"
+    results = deque(maxlen=1000)
 
     def run(batch: DataFrame, epoch: int) -> None:
         if batch.limit(1).count():

@@ -180,9 +180,9 @@ def test_text_compare_option(spark):
 
 
 def test_default_windows():
-    from starload.operators.filters import default_game_window, default_season_start, default_stats_window
-    assert default_season_start(date(2025, 3, 4)) == date(2024, 9, 1)
-    assert default_season_start(date(2025, 9, 1)) == date(2025, 9, 1)
+    from starload.operators.filters import default_game_window, default_stats_window, season_opening
+    assert season_opening(date(2025, 3, 4)) == date(2024, 9, 1)
+    assert season_opening(date(2025, 9, 1)) == date(2025, 9, 1)
     assert default_game_window(date(2025, 10, 2)) == (date(2025, 9, 1), date(2025, 10, 2))
     assert default_stats_window(date(2025, 10, 8)) == (date(2025, 10, 1), date(2025, 10, 8))
 

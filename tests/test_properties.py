@@ -1,5 +1,7 @@
 """Property tests: operators against plain-Python models on random inputs."""
 
+import re
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,16 +14,12 @@ from starload.operators.keys import assign_surrogate_keys
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
+WHOLE = r"\s*[+-]?\d+\s*"
+
+
 def toi_model(value):
-    if not value:
-        return None
-    parts = value.split(":")
-    if len(parts) != 2:
-        return None
-    try:
-        return int(parts[0]) * 60 + int(parts[1])
-    except ValueError:
-        return None
+    clock = re.fullmatch(rf"({WHOLE}):({WHOLE})", value or "")
+    return sum(unit * int(part) for unit, part in zip((60, 1), clock.groups())) if clock else None
 
 
 @SETTINGS
