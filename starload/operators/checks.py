@@ -31,6 +31,18 @@ def fk_violations(child: DataFrame, parent: DataFrame, on: dict[str, str]) -> Da
     return missing_from(child.filter(nonnull), parent, on)
 
 
+def reference_violations(tables: dict[str, DataFrame], references) -> DataFrame:
+    """C3 for several references: (child_table, column_name, violations), one row per reference.
+
+    ``references`` holds (child table, column, parent table, parent key); a NULL reference is no violation.
+    """
+    parts = [fk_violations(tables[child], tables[parent], {column: key})
+             .agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.lit(child).alias("child_table"), F.lit(column).alias("column_name"), "violations")
+             for child, column, parent, key in references]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     """C4: (column_name, null_count) for each column, from one aggregation pass."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -22,7 +22,7 @@ from starload.operators import loads as L
 from starload.operators import reports as R
 from starload.operators.dedupe import dedupe
 from starload.plans import audit as A
-from starload.schemas import LENGTH_LIMITS, SOURCE_SYSTEM
+from starload.schemas import LENGTH_LIMITS, REFERENCES, SOURCE_SYSTEM
 from starload.sources import payloads as P
 from starload.sources.roles import Roles
 
@@ -127,7 +127,7 @@ def game_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stats_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
-    return L.load_stats_fact(m.stats_staged, m.game, m.player, m.team_tgt)
+    return L.load_stats_fact(m.stats_staged, m.game, m.player, m.team_tgt, m.stats_fact_existing)
 
 
 @query
@@ -155,6 +155,25 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.fk_violations(m.game, m.team_tgt, {"home_team_id": "team_id"}).select("game_id", "home_team_id")
 
 
+@query
+def reference_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven references; the teams and players of the dimensions before the load, so some have no parent."""
+    m = Roles(spark, sf_dir)
+    calendar = L.calendar_for_range(C.date_range(m.game.filter(F.col("game_state") == "FINAL"), "game_date"))
+    player = m.player.withColumn("team_key", F.col("team_id") + 1000)
+    game = m.game.select("game_key", X.date_key("game_date").alias("date_key"),
+                         (F.col("home_team_id") + 1000).alias("home_team_key"),
+                         (F.col("away_team_id") + 1000).alias("away_team_key"))
+    stats = m.stats_staged.select((F.col("game_id") + 1000).alias("game_key"),
+                                  (F.col("player_id") + 1000).alias("player_key"),
+                                  (F.col("team_id") + 1000).alias("team_key"))
+    violations = [C.reference_violations({"player_dim": player, "team_dim": m.team_tgt, "game_fact": game,
+                                          "date_dim": calendar}, REFERENCES[:4]),
+                  C.reference_violations({"player_game_stats_fact": stats, "game_fact": m.game_fact_existing,
+                                          "player_dim": m.player_tgt, "team_dim": m.team_tgt}, REFERENCES[4:])]
+    return violations[0].unionByName(violations[1])
+
+
 @query
 def staged_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.date_range(Roles(spark, sf_dir).game, "game_date")
@@ -229,7 +248,7 @@ def raw_json_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.flatten_teams(P.parse_envelope(Roles(spark, sf_dir).teams_payload))
+    return P.flatten_teams(P.parse_envelope(Roles(spark, sf_dir).teams_payload), keep=["path"])
 
 
 @query
@@ -246,17 +265,17 @@ def team_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def team_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.team_to_staging(_teams(spark, sf_dir)).drop("raw_json")
+    return P.team_to_staging(_teams(spark, sf_dir))
 
 
 @query
 def roster_team_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.roster_targets(P.team_reference(_teams(spark, sf_dir)))
+    return P.roster_targets(P.team_reference(_teams(spark, sf_dir), keep=["path"]), path="path")
 
 
 @query
 def code_list_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.roster_targets(P.team_reference(_teams(spark, sf_dir)), P.parse_codes(CODE_ARG))
+    return P.roster_targets(P.team_reference(_teams(spark, sf_dir), keep=["path"]), P.parse_codes(CODE_ARG), path="path")
 
 
 def _roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +309,7 @@ def schedule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def game_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = P.latest_games(_schedule_rows(spark, sf_dir), ["request_seq"])
-    return P.game_to_staging(latest).drop("raw_json")
+    return P.game_to_staging(latest)
 
 
 def _boxscore_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +325,7 @@ def boxscore_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stats_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.stats_to_staging(_boxscore_rows(spark, sf_dir)).drop("raw_json")
+    return P.stats_to_staging(_boxscore_rows(spark, sf_dir))
 
 
 @query

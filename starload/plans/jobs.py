@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from starload.functions import expr as X
 from starload.operators import checks as C
 from starload.operators import loads as L
+from starload.operators import reports as R
 from starload.operators.filters import default_game_window, default_stats_window, valid_rows
 from starload.operators.dedupe import dedupe
 from starload.operators.joins import exists_in, resolve_key
 from starload.plans import audit as A
 from starload.plans.store import Transaction, Warehouse
-from starload.schemas import LENGTH_LIMITS, NOT_NULL, NULL_DATE_SENTINEL, SCHEMAS, SOURCE_SYSTEM
+from starload.schemas import LENGTH_LIMITS, NOT_NULL, NULL_DATE_SENTINEL, REFERENCES, SCHEMAS, SOURCE_SYSTEM
 from starload.sources import payloads as P
 
 log = logging.getLogger("starload")
@@ -88,6 +89,17 @@ def run_step(wh: Warehouse, batch_id: str, step, source_system: str = SOURCE_SYS
         raise
 
 
+def check_references(tx: Transaction, table: str, path: str) -> DataFrame:
+    """Every reference of the rows just written to ``path``; one without its parent row fails the load."""
+    references = [r for r in REFERENCES if r[0] == table]
+    rows = tx.store.spark.read.parquet(path)
+    tables = {parent: tx.read(parent) for _, _, parent, _ in references} | {table: rows}
+    broken = C.reference_violations(tables, references).filter(F.col("violations") > 0)
+    for r in broken.collect():  # at most one row per reference
+        raise L.LoadError(f"{r.violations} rows of {table} have a {r.column_name} without a parent row")
+    return rows
+
+
 def load_team_dim(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[int, int]:
     """K3 from staging batch ``batch_id``."""
     src = valid_rows(P.stage_batch(tx.read("team_raw"), batch_id), ["team_id", "team_name"])
@@ -105,7 +117,7 @@ def load_player_dim(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[
     src = src.filter(F.col("full_name").isNotNull())
     res = L.upsert_type1(tx.read("player_dim"), src, key="player_id", compare=PLAYER_COMPARE,
                          surrogate="player_key", load_ts=load_ts, order=["raw_id"])
-    tx.replace("player_dim", conform(res.frame, "player_dim"))
+    check_references(tx, "player_dim", tx.replace("player_dim", conform(res.frame, "player_dim")))
     return res.inserted.count(), res.changed.count()
 
 
@@ -116,7 +128,7 @@ def load_game_fact(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[i
     if C.duplicate_keys(new, ["game_id"]).limit(1).count():
         raise L.LoadError("duplicate key game_fact.game_id in the new rows")
     path = tx.append("game_fact", conform(new, "game_fact"))
-    return tx.store.spark.read.parquet(path).count(), 0
+    return check_references(tx, "game_fact", path).count(), 0
 
 
 def load_stats_fact(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[int, int]:
@@ -131,7 +143,7 @@ def load_stats_fact(tx: Transaction, batch_id: str, load_ts: datetime) -> tuple[
     if clash:
         raise L.LoadError("duplicate key player_game_stats_fact(game_key, player_key)")
     path = tx.append("player_game_stats_fact", conform(new, "player_game_stats_fact"))
-    return tx.store.spark.read.parquet(path).count(), 0
+    return check_references(tx, "player_game_stats_fact", path).count(), 0
 
 
 def populate_date_dim(wh: Warehouse, start: date | None, end: date | None) -> int:
@@ -187,31 +199,33 @@ def _load(wh: Warehouse, staging: str, rows: DataFrame, order: list[str], load_t
 
 def _teams(spark: SparkSession, landing: str, payloads: DataFrame | None = None) -> DataFrame:
     payloads = P.read_payloads(spark, f"{landing}/teams") if payloads is None else payloads
-    return P.flatten_teams(P.parse_envelope(payloads))
+    flat = P.flatten_teams(P.parse_envelope(payloads), keep=["path"])
+    return P.newest_entries(flat, F.try_variant_get("team", "$.id", "int"))
 
 
 def load_teams(spark: SparkSession, wh: Warehouse, landing: str, load_ts: datetime | None = None,
                payloads: DataFrame | None = None) -> C.LoadResult:
-    """L1: teams payload -> team_raw -> team_dim (``payloads`` overrides the landing folder)."""
-    rows = P.team_to_staging(_teams(spark, landing, payloads), keep=["team_pos"])
-    return _load(wh, "team_raw", rows, ["team_pos"], load_ts)
+    """L1: teams payloads -> team_raw -> team_dim (``payloads`` overrides the landing folder); a team that
+    several payloads hold is taken from the last of them."""
+    rows = P.team_to_staging(_teams(spark, landing, payloads), keep=["path", "team_pos"])
+    return _load(wh, "team_raw", rows, ["path", "team_pos"], load_ts)
 
 
 def load_players(spark: SparkSession, wh: Warehouse, landing: str, codes: str | None = None,
                  load_ts: datetime | None = None) -> C.LoadResult:
     """L2: team reference (R3) -> first team per code (R5) -> code filter (F5) -> rosters (R4, R6) -> player_dim."""
-    ref = P.team_reference(_teams(spark, landing))
-    targets = P.roster_targets(ref, P.parse_codes(codes))
+    ref = P.team_reference(_teams(spark, landing), keep=["path"])
+    targets = P.roster_targets(ref, P.parse_codes(codes), path="path")
     targets = targets.join(ref.select("team_id", "team_pos"), "team_id")
     landed = P.read_payloads(spark, f"{landing}/roster").withColumn(
         "code", F.upper(P.payload_key("path", "roster")))
     missing = P.missing_payloads(targets, landed, {"team_abbrev": "code"})
-    for r in missing.select("team_abbrev").collect():  # at most one row per team
+    for r in missing.select("team_abbrev").orderBy("team_abbrev").toLocalIterator():
         log.warning("no roster payload for team code %s: team skipped", r.team_abbrev)
     docs = P.parse_envelope(landed.join(targets, landed.code == targets.team_abbrev))
     flat = P.flatten_rosters(docs, keep=["team_id", "team_pos"])
     rows = P.player_to_staging(flat, keep=["team_pos", "group_pos", "player_pos"])
-    return _load(wh, "player_raw", rows, ["team_pos", "group_pos", "player_pos"], load_ts)
+    return _load(wh, "player_raw", rows, ["team_pos", "team_id", "group_pos", "player_pos"], load_ts)
 
 
 def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | None = None,
@@ -296,6 +310,20 @@ def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, sta
     return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)
 
 
+REPORT_TABLES = ("game_fact", "team_dim", "player_dim", "player_game_stats_fact", "date_dim")
+
+
+def register_reports(wh: Warehouse) -> list[str]:
+    """The four reports as temporary views, registered anew after each commit of ``wh`` to one of their tables."""
+    def register(changed: set[str]) -> list[str]:
+        if changed.isdisjoint(REPORT_TABLES):
+            return []
+        return R.register_views(wh.spark, {t: wh.read(t) for t in REPORT_TABLES})
+
+    wh.after_commit.append(register)
+    return register(set(REPORT_TABLES))
+
+
 def run_all(spark: SparkSession, wh: Warehouse, landing: str, *, start: date | None = None,
             end: date | None = None, stats_start: date | None = None, codes: str | None = None,
             game_ids: str | None = None, replay_after: bool = False, today: date | None = None) -> list:

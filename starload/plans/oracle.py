@@ -177,14 +177,20 @@ where g.game_id is not null
     (select max(game_date) from m_game), interval 1 day)) as date) as full_date"""))
 
 oracle("stats_fact_load", """
-select row_number() over (order by g.game_key, p.player_key, t.team_key) as player_game_stats_key,
+select (select coalesce(max(player_game_stats_key), 0) from ex)
+  + row_number() over (order by g.game_key, p.player_key, t.team_key) as player_game_stats_key,
   g.game_key, p.player_key, t.team_key, coalesce(s.goals, 0) as goals, coalesce(s.assists, 0) as assists,
   coalesce(s.goals, 0) + coalesce(s.assists, 0) as points, coalesce(s.shots, 0) as shots,
   coalesce(s.hits, 0) as hits, coalesce(s.blocks, 0) as blocks, coalesce(s.penalty_minutes, 0) as penalty_minutes,
   s.time_on_ice_seconds
 from st s join m_game g on g.game_id = s.game_id join m_player p on p.player_id = s.player_id
-  join m_team_tgt t on t.team_id = s.team_id""",
-       ("st", "select s.*, p.team_id from m_stats s join m_player p on p.player_id = s.player_id"))
+  join m_team_tgt t on t.team_id = s.team_id
+where not exists (select 1 from ex where ex.game_key = g.game_key and ex.player_key = p.player_key
+  and ex.team_key = t.team_key)""",
+       ("st", "select s.*, p.team_id from m_stats s join m_player p on p.player_id = s.player_id"),
+       ("ex", """select (game_id + 1000) * 1000000 + player_id as player_game_stats_key, game_id + 1000 as game_key,
+    player_id + 1000 as player_key, team_id + 1000 as team_key
+  from st join orders on o_orderkey = game_id and o_orderstatus = 'F'"""))
 
 oracle("player_key_lookup", "select p.player_id, t.team_key from m_player p left join m_team_tgt t on t.team_id = p.team_id")
 
@@ -198,6 +204,27 @@ oracle("fk_violations", """
 select g.game_id, g.home_team_id from m_game g
 where g.home_team_id is not null and not exists (select 1 from m_team_tgt t where t.team_id = g.home_team_id)""")
 
+_FK_PARENTS = (
+    ("fk_player", "select player_id, team_id + 1000 as team_key from m_player"),
+    ("fk_days", """select min(game_date) as d0, max(game_date) as d1 from m_game where game_state = 'FINAL'"""),
+    ("fk_stats", """select s.game_id, s.player_id, p.team_id from m_stats s
+  join m_player p on p.player_id = s.player_id"""))
+
+oracle("reference_violations", """
+select 'player_dim' as child_table, 'team_key' as column_name, count(*) as violations from fk_player c
+  where c.team_key is not null and c.team_key not in (select team_key from m_team_tgt)
+union all select 'game_fact', 'date_key', count(*) from m_game, fk_days
+  where game_date is not null and not game_date between d0 and d1
+union all select 'game_fact', 'home_team_key', count(*) from m_game
+  where home_team_id is not null and home_team_id not in (select team_id from m_team_tgt)
+union all select 'game_fact', 'away_team_key', count(*) from m_game
+  where away_team_id is not null and away_team_id not in (select team_id from m_team_tgt)
+union all select 'player_game_stats_fact', 'game_key', count(*) from fk_stats s
+  where not exists (select 1 from orders o where o.o_orderkey = s.game_id and o.o_orderstatus = 'F')
+union all select 'player_game_stats_fact', 'player_key', count(*) from fk_stats s where s.player_id % 7 = 0
+union all select 'player_game_stats_fact', 'team_key', count(*) from fk_stats s
+  where s.team_id is not null and s.team_id not in (select team_id from m_team_tgt)""", *_FK_PARENTS)
+
 oracle("staged_date_range",
        "select min(game_date) as start_date, max(game_date) as end_date from m_game where game_date is not null")
 
@@ -239,11 +266,13 @@ _TEAM_CODE = ("tref", """select team_id, team_name, conference,
 
 oracle("team_reference", "select team_id, code as team_abbrev from tref where code is not null", _TEAM_CODE)
 
-oracle("team_to_staging", """select team_id, team_name, code as team_abbreviation, conference,
+oracle("team_to_staging", """select concat('{"conferenceName":"', conference, '","fullName":"', team_name,
+  '","id":', team_id, case when team_id % 5 = 3 then concat(',"rawTricode":"', code, '","triCode":""')
+  when team_id % 5 = 4 then '' else concat(',"triCode":"', code, '"') end, '}') as raw_json, team_id, team_name, code as team_abbreviation, conference,
   cast(null as varchar) as division from tref""", _TEAM_CODE)
 
 _ROSTER_DEDUPE = ("rdd", """select team_id, upper(code) as team_abbrev from (select *,
-  row_number() over (partition by upper(code) order by team_id) as rn from tref where code is not null) z where rn = 1""")
+  row_number() over (partition by upper(code) order by conference desc, team_id // 1024 desc, team_id) as rn from tref where code is not null) z where rn = 1""")
 
 oracle("roster_team_dedupe", "select team_id, team_abbrev from rdd", _TEAM_CODE, _ROSTER_DEDUPE)
 
@@ -266,7 +295,15 @@ from (select *, case when player_id % 11 = 0 then null else split_part(full_name
 oracle("schedule_flatten", """select 0 as request_seq, game_id, game_date, game_state from m_game
 union all select 1, game_id, game_date, game_state from m_game where game_id % 13 = 0""")
 
-oracle("game_to_staging", """select game_id, game_date, season,
+def _side(name: str, prefix: str) -> str:
+    return f"""concat('"{name}":{{"id":', {prefix}_team_id, case when {prefix}_goals is null then ''
+  else concat(',"score":', {prefix}_goals) end, ',"sog":', {prefix}_shots, '}}')"""
+
+
+oracle("game_to_staging", f"""select concat('{{', {_side("awayTeam", "away")}, ',"gameState":"', game_state,
+  '","gameType":"', case when game_id % 13 = 0 then 'LATE' else game_type end, '",',
+  case when game_id % 97 = 0 then '' else concat({_side("homeTeam", "home")}, ',') end, '"id":', game_id,
+  ',"season":', season, '}}') as raw_json, game_id, game_date, season,
   case when game_id % 13 = 0 then 'LATE' else game_type end as game_type,
   case when game_id % 97 = 0 then null else home_team_id end as home_team_id, away_team_id,
   case when game_id % 97 = 0 then null else home_goals end as home_goals, away_goals,
@@ -282,7 +319,11 @@ oracle("boxscore_flatten", """select game_id, case when home then 'homeTeam' els
   case position_code when 'C' then 'forwards' when 'D' then 'defense' else 'goalies' end as roster_group,
   cast(player_id as int) as player_id from box""", _BOX)
 
-oracle("stats_to_staging", """select game_id, cast(player_id as int) as player_id,
+oracle("stats_to_staging", """select concat('{"assists":', assists, ',"blockedShots":', blocks, ',"goals":', goals,
+  ',"hits":', hits, case when penalty_minutes is null then '' else concat(',"pim":', penalty_minutes) end,
+  ',"playerId":', player_id, ',"sog":', shots, case when time_on_ice_seconds is null then ''
+  else concat(',"toi":"', time_on_ice_seconds // 60, ':', lpad(cast(time_on_ice_seconds % 60 as varchar), 2, '0'), '"')
+  end, '}') as raw_json, game_id, cast(player_id as int) as player_id,
   case when home then home_team_id else away_team_id end as team_id, goals, assists, shots, hits, blocks,
   penalty_minutes, time_on_ice_seconds from box""", _BOX)
 

@@ -13,6 +13,7 @@ the job commit; concurrent writers are not supported: one loader at a time).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -37,9 +38,11 @@ class Transaction:
     base_version: int
     tables: dict[str, list[str]]
     changed: set[str] = field(default_factory=set)
+    written: list[str] = field(default_factory=list)
 
     def _write(self, table: str, df: DataFrame) -> str:
         path = f"{self.store.root}/{table}/{uuid.uuid4().hex}"
+        self.written.append(path)
         df.write.mode("errorifexists").parquet(path)
         return path
 
@@ -78,6 +81,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.manifest_root = f"{self.root}/_manifest"
         self._snapshot: tuple[int, dict[str, list[str]]] | None = None
+        self.after_commit: list[Callable[[set[str]], None]] = []  # called with the tables a commit changed
 
     # ---- manifest ----------------------------------------------------------------------------
     def _manifest_frame(self) -> DataFrame | None:
@@ -138,17 +142,31 @@ class Warehouse:
     # ---- writes ------------------------------------------------------------------------------
     @contextmanager
     def transaction(self):
-        """Collect writes; commit them as one manifest version if the block ends without error."""
+        """Collect writes; commit them as one manifest version if the block ends without error.
+
+        After an error before the commit, the directories the block wrote are removed: no manifest names them.
+        """
         base, tables = self._current()
         tx = Transaction(self, base, tables)
-        yield tx
+        try:
+            yield tx
+            if tx.changed and self.version() != base:
+                self._snapshot = None
+                raise StoreError("Concurrent commit: the manifest moved while the load ran")
+        except BaseException:
+            self._remove(tx.written)
+            raise
         if tx.changed:
             self._commit(tx)
+            for hook in self.after_commit:
+                hook(tx.changed)
+
+    def _remove(self, paths: list[str]) -> None:
+        for p in paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _commit(self, tx: Transaction) -> int:
-        if self.version() != tx.base_version:
-            self._snapshot = None
-            raise StoreError("Concurrent commit: the manifest moved while the load ran")
         new = tx.base_version + 1
         rows = [(t, p) for t, ps in tx.tables.items() for p in ps] + [(t, "") for t, ps in tx.tables.items() if not ps]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)

@@ -74,8 +74,8 @@ PLAYER_GAME_STATS_FACT = _schema(("player_game_stats_key", _L, False), ("game_ke
                                  ("hits", _I, False), ("blocks", _I, False), ("penalty_minutes", _I, False),
                                  ("time_on_ice_seconds", _I, True), ("created_date", _TS, False))
 LOAD_BATCH = _schema(("load_batch_id", _S, False), ("source_system", _S, False), ("load_start_date", _TS, True),
-                     ("load_end_date", _TS, True), ("status", _S, False), ("rows_inserted", _I, True),
-                     ("rows_updated", _I, True), ("error_message", _S, True), ("event_seq", _L, False))
+                     ("load_end_date", _TS, True), ("status", _S, False), ("rows_inserted", _L, True),
+                     ("rows_updated", _L, True), ("error_message", _S, True), ("event_seq", _L, False))
 
 # VARCHAR(n) limits of the target tables
 LENGTH_LIMITS = {
@@ -103,3 +103,14 @@ SCHEMAS = {
     "date_dim": DATE_DIM, "game_fact": GAME_FACT, "player_game_stats_fact": PLAYER_GAME_STATS_FACT,
     "load_batch": LOAD_BATCH,
 }
+
+#: Foreign keys of the warehouse (fixed values of the data model): child table, column, parent table, parent key.
+REFERENCES = (
+    ("player_dim", "team_key", "team_dim", "team_key"),
+    ("game_fact", "date_key", "date_dim", "date_key"),
+    ("game_fact", "home_team_key", "team_dim", "team_key"),
+    ("game_fact", "away_team_key", "team_dim", "team_key"),
+    ("player_game_stats_fact", "game_key", "game_fact", "game_key"),
+    ("player_game_stats_fact", "player_key", "player_dim", "player_key"),
+    ("player_game_stats_fact", "team_key", "team_dim", "team_key"),
+)

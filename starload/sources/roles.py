@@ -137,12 +137,18 @@ class Roles:
         o = self.table("orders").filter(F.col("o_orderstatus") == "F")
         return o.select(F.col("o_orderkey").alias("game_id"), (F.col("o_orderkey") + 1000).alias("game_key"))
 
+    @cached_property
+    def stats_fact_existing(self) -> DataFrame:
+        """Stats already in the fact: those of the finished games, with keys as in the dimensions."""
+        s = self.stats_staged.join(self.game_fact_existing, "game_id")
+        return s.select((F.col("game_key") * 1000000 + F.col("player_id")).alias("player_game_stats_key"), "game_key",
+                        (F.col("player_id") + 1000).alias("player_key"), (F.col("team_id") + 1000).alias("team_key"))
 
     # ---- landed payloads (one JSON document per row: payload key columns + raw text) ----------
 
     @cached_property
     def teams_payload(self) -> DataFrame:
-        """One teams document ``{data: [...]}`` built from the team role (a league has few teams).
+        """Teams documents ``{data: [...]}`` per conference and block of 1024 team ids (bounded size).
 
         Codes are 'T' + (id % 16), so later teams repeat earlier codes; id % 5 = 3 has
         an empty ``triCode`` and a lower-case ``rawTricode``; id % 5 = 4 has no code.
@@ -154,8 +160,10 @@ class Roles:
             F.when(k % 5 == 3, F.lit("")).when(k % 5 == 4, F.lit(None)).otherwise(code).alias("triCode"),
             F.when(k % 5 == 3, F.lower(code)).alias("rawTricode"),
             F.col("conference").alias("conferenceName"))
-        data = self.team.groupBy().agg(_by_key(F.collect_list(F.struct(k.alias("k"), elem.alias("e")))).alias("a"))
-        return data.select(F.lit("teams/teams.json").alias("path"),
+        data = self.team.groupBy("conference", F.floor(k / 1024).alias("chunk")).agg(
+            _by_key(F.collect_list(F.struct(k.alias("k"), elem.alias("e")))).alias("a"))
+        return data.select(F.concat(F.lit("teams/"), F.col("conference"), F.lit("-"),
+                                    F.lpad(F.col("chunk").cast("string"), 10, "0"), F.lit(".json")).alias("path"),
                            F.to_json(F.struct(F.transform("a", lambda x: x["e"]).alias("data"))).alias("raw"))
 
     @cached_property

@@ -199,6 +199,16 @@ def test_register_views_over_warehouse(spark, wh_root):
     assert spark.sql("select count(*) from v_player_game_stats").first()[0] == 12
 
 
+def test_report_views_follow_commits(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    J.register_reports(wh)
+    assert spark.table("v_player_game_stats").count() == 0
+    S.run_sample(spark, wh, TS)
+    assert spark.table("v_player_game_stats").count() == 12
+    S.cleanup_sample(spark, wh)
+    assert spark.table("v_player_game_stats").count() == 0
+
+
 def test_zero_row_load_succeeds_with_zero(spark, wh_root, tmp_path):
     landing = str(tmp_path / "landing")
     _write(landing, "teams/teams.json", {"data": []})
@@ -250,3 +260,56 @@ def test_missing_schedule_or_boxscore_fails_the_load(spark, wh_root, tmp_path):
     with pytest.raises(Exception, match="no boxscore payload for game: 2024020009"):
         J.load_player_game_stats(spark, wh, landing, game_ids="2024020001, 2024020009")
     assert wh.read("game_raw").count() == 0 and wh.read("player_game_stats_raw").count() == 0
+
+
+def test_two_team_files_keep_the_last_row_per_team(spark, wh_root, tmp_path):
+    landing = str(tmp_path / "landing")
+    entry = lambda i, name: {"id": i, "fullName": name, "triCode": f"T{i}"}
+    _write(landing, "teams/2024-10-01.json", {"data": [entry(1, "A"), entry(2, "B"), entry(4, "D")]})
+    _write(landing, "teams/2024-10-02.json", {"data": [entry(3, "C"), entry(2, "B2"), entry(1, "A2")]})
+    wh = Warehouse(spark, wh_root)
+    result = J.load_teams(spark, wh, landing, TS)
+    assert (result.staged, result.inserted, result.updated) == (4, 4, 0)
+    assert {r.team_id: r.team_name for r in wh.read("team_dim").collect()} == {1: "A2", 2: "B2", 3: "C", 4: "D"}
+    _write(landing, "teams/2024-10-03.json", {"data": [entry(5, "E"), entry(5, "E again")]})
+    with pytest.raises(L.LoadError, match="duplicate key"):  # twice in one payload is an error, as on the host
+        J.load_teams(spark, wh, landing, TS)
+    assert wh.read("team_dim").count() == 4
+
+
+def test_failed_transaction_leaves_no_directory(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    with pytest.raises(RuntimeError, match="boom"):
+        with wh.transaction() as tx:
+            tx.append("date_dim", J.conform(L.populate_calendar(spark, date(2024, 1, 1), date(2024, 1, 3)), "date_dim"))
+            raise RuntimeError("boom")
+    assert not os.path.isdir(os.path.join(wh_root, "date_dim")) or os.listdir(os.path.join(wh_root, "date_dim")) == []
+    assert wh.read("date_dim").count() == 0
+
+
+def test_reference_without_parent_fails_the_step(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    S.run_sample(spark, wh, TS)
+    orphan = wh.read("game_fact").limit(1).withColumns({
+        "game_key": F.lit(900).cast("long"), "game_id": F.lit(900).cast("long"), "home_team_key": F.lit(77)})
+
+    def step(tx):
+        return J.check_references(tx, "game_fact", tx.append("game_fact", J.conform(orphan, "game_fact"))).count(), 0
+
+    with pytest.raises(L.LoadError, match="1 rows of game_fact have a home_team_key without a parent row"):
+        J.run_step(wh, "b-900", step)
+    assert wh.read("game_fact").filter("game_key = 900").count() == 0
+    state = A.current_state(wh.read("load_batch")).filter("load_batch_id = 'b-900'").first()
+    assert state.status == "Failed"
+
+
+def test_player_of_a_loaded_game_under_another_team_fails(spark, wh_root):
+    wh = Warehouse(spark, wh_root)
+    S.run_sample(spark, wh, TS)
+    first = S.SAMPLE_STATS[0]
+    other = next(t[0] for t in S.SAMPLE_TEAMS if t[0] != first[2])
+    rows = spark.createDataFrame([(first[0], first[1], other, "{}")],
+                                 "game_id long, player_id int, team_id int, raw_json string")
+    with pytest.raises(L.LoadError, match="duplicate key player_game_stats_fact"):
+        J._load(wh, "player_game_stats_raw", rows, ["game_id", "player_id"], TS)
+    assert wh.read("player_game_stats_fact").count() == 12
