@@ -11,7 +11,7 @@ first each tile compares its smallest node with the others, then only pairs of n
 connected yet are compared. So every link is either found or lies within a component.
 
 Scale: signatures travel as packed arrays, equal ones are combined per task first (a hot
-tile sends one row per task to be matched), tiles over ``TILE`` nodes are cut into
+tile sends one row per task to be matched), tiles of the same nodes are paired once, tiles over ``TILE`` nodes are cut into
 blocks that are paired, and arrays are only built for nodes with a pair left after the bitmaps.
 """
 
@@ -50,11 +50,23 @@ def _signed_batch(bucket: list[int], kind: int, x: list, y: list) -> pa.RecordBa
         ["bucket", "kind", "x", "y", "doc_id", "node", "n", "bits"])
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The low 40 bits of each value, five bytes a row."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :5])
+
+
+def _widen(packed: pa.Buffer) -> np.ndarray:
+    low = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(low), 8), np.uint8)
+    wide[:, :5] = low
+    return wide.view(U64).ravel()
+
+
 def _pack(sig: np.ndarray, node: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
-    """One row of packed arrays per bucket."""
+    """One row of packed arrays per bucket; with its bucket, a signature keeps 40 bits (more tiles meet by chance, none is lost)."""
     place = (sig % U64(buckets)).astype(np.int64)
     order = np.argsort(place, kind="stable")
-    sig, node, place = sig[order], node[order], place[order]
+    sig, node, place = _narrow((sig // U64(buckets))[order]), node[order], place[order]
     at = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if place.size else np.zeros(0, np.int64)
     to = np.append(at[1:], place.size)
     return _signed_batch(place[at].tolist(), kind, [sig[i:j].tobytes() for i, j in zip(at, to)],
@@ -113,9 +125,8 @@ def _sign(percent: int, width: int, buckets: int):
     return run
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match(buckets: int):
     """Pass documents and tiles found on the way; find the tiles among all tasks' signatures."""
-    sigs, nodes = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
 
     def tiles(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
         n = sig.size
@@ -123,24 +134,28 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.zeros(n, np.int32)), pa.array(sig.view(np.int64)), pa.nulls(n, pa.int64()), pa.array(node),
              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["kind", "sig", "doc_id", "node", "n", "bits"])
 
-    for batch in batches:
-        kind = batch.column(1).to_numpy()
-        docs = batch.filter(pa.array(kind == 2))
-        if docs.num_rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(docs.num_rows, np.int32)), pa.nulls(docs.num_rows, pa.int64()), *docs.columns[4:]],
-                ["kind", "sig", "doc_id", "node", "n", "bits"])
-        for k, x, y in zip(kind.tolist(), batch.column(2), batch.column(3)):
-            if k != 2:
-                sig, node = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), np.int64)
-                if k == 1:
-                    yield tiles(sig, node)
-                else:
-                    sigs.append(sig.copy())
-                    nodes.append(node.copy())
-    sig, node, _, several = _groups(np.concatenate(sigs), np.concatenate(nodes))
-    if several.any():
-        yield tiles(sig[several], node[several])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sigs, nodes = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            kind = batch.column(1).to_numpy()
+            docs = batch.filter(pa.array(kind == 2))
+            if docs.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ones(docs.num_rows, np.int32)), pa.nulls(docs.num_rows, pa.int64()), *docs.columns[4:]],
+                    ["kind", "sig", "doc_id", "node", "n", "bits"])
+            for bucket, k, x, y in zip(batch.column(0).to_pylist(), kind.tolist(), batch.column(2), batch.column(3)):
+                if k != 2:
+                    sig, node = _widen(x.as_buffer()) * U64(buckets) + U64(bucket), np.frombuffer(y.as_buffer(), np.int64)
+                    if k == 1:
+                        yield tiles(sig, node)
+                    else:
+                        sigs.append(sig)
+                        nodes.append(node.copy())
+        sig, node, _, several = _groups(np.concatenate(sigs), np.concatenate(nodes))
+        if several.any():
+            yield tiles(sig[several], node[several])
+
+    return run
 
 
 def _may_link(na, nb, differ, percent: int):
@@ -282,8 +297,9 @@ class NgramJoin:
         # a set of n words signs about 0.4 n classes, and a word takes some five bytes
         size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.parts = max(shuffle_width(self.spark), -(-size // (12 * MATCHED)))
-        signed = self.docs.mapInArrow(_sign(self.percent, self.width, 16 * self.parts), SIGNED)
-        found = cut(signed.repartition(self.parts, "bucket").mapInArrow(_match, FOUND))
+        buckets = 16 * self.parts
+        signed = self.docs.mapInArrow(_sign(self.percent, self.width, buckets), SIGNED)
+        found = cut(signed.repartition(self.parts, "bucket").mapInArrow(_match(buckets), FOUND))
         return (found.where("kind = 1").select("doc_id", "node", "n", "bits"),
                 found.where("kind = 0").select("sig", "node"))
 
@@ -320,8 +336,11 @@ class NgramJoin:
         """Pairs of nodes of a tile that are not connected yet and that bitmaps do not rule out."""
         known = cut(self.tiles.distinct().join(comps, "node", "left")
                     .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
-        mixed = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"))
-                 .where("x <> y").select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")))
+        # texts alike in part meet in many tiles: of tiles with the same nodes (128 bits and their number), one is enough
+        mixed = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"),
+                                          F.bit_xor("node").alias("u"), F.bit_xor(F.xxhash64("node")).alias("v"))
+                 .where("x <> y").groupBy("rows", "u", "v").agg(F.min("sig").alias("sig"))
+                 .select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")))
         rows = (known.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
                 .join(self.nodes.select("node", "n", "bits"), "node")
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

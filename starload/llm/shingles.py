@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from math import ceil, exp, sqrt
 
 import numpy as np
 
@@ -60,12 +61,15 @@ class Bands:
     most ``D = (100 - t) * |r| / t`` elements. The hash range is cut into ``D + 1 + spare`` classes; at least
     ``1 + spare`` of them hold the same elements in both sets. So linked sets share the hash of
     a class that is not empty, unless one of them has over ``spare`` empty classes; such sets
-    (about one in ten thousand) also sign their empty classes. ``D`` is that of the largest
+    also sign their empty classes. ``spare`` is three standard deviations above the mean number of
+    empty classes of the band's smallest sets, so few sets do (their empty classes would else
+    bring most sets of a band together). ``D`` is that of the largest
     size of the smaller set's band, and a set signs for each band its partner may be of.
     """
 
     def __init__(self, percent: int, ratio: float = 1.2):
         self.percent = percent
+        self._classes: dict[int, tuple[int, int]] = {}
         self.lows = [1]
         while self.lows[-1] < 2 ** 40:
             self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * ratio)))
@@ -75,9 +79,17 @@ class Bands:
 
     def classes(self, band: int) -> tuple[int, int]:
         """Number of classes of a band and the empty ones a set may leave out."""
-        most = (100 - self.percent) * (self.lows[band + 1] - 1) // self.percent
-        spare = 0 if most == 0 else 2 + (most + 1) // 25
-        return most + 1 + spare, spare
+        if band not in self._classes:
+            low = self.lows[band]
+            most = (100 - self.percent) * (self.lows[band + 1] - 1) // self.percent
+            spare, need = 0, int(most > 0)
+            while spare < need:
+                spare = need
+                load = low / (most + 1 + spare)
+                empty = (most + 1 + spare) * exp(-load)
+                need = ceil(empty + 3 * sqrt(empty * (1 - (1 + load) * exp(-load))))
+            self._classes[band] = most + 1 + spare, spare
+        return self._classes[band]
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
         """All signatures of a sorted set."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import bpe, curriculum, langid, line_templates, ngram_join
-from starload.llm.frames import crc_mod, cut, ship
+from starload.llm.frames import crc_mod, cut, ship, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text whose best cosine with a language is below this is rejected.
@@ -42,7 +42,8 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship(spark)
     rows = docs.select(*_columns(docs))
     groups = ngram_join.jaccard_groups(rows, width=5, percent=80)
-    gone = cut(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
+    # written, so that the planner broadcasts few ids instead of shuffling all texts
+    gone = written(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     return rows.join(gone, rows["doc_id"] == gone["gone"], "left_anti")
 
 
