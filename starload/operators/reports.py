@@ -105,8 +105,7 @@ def _star(stats: DataFrame, games: DataFrame, players: DataFrame, teams: DataFra
     g = _game_date(games, dates, date_key, game_date).select(
         F.col(game_key).alias("__gk"), F.col("game_id").alias("__game_id"), "__game_date",
         F.col("season").alias("__season"))
-    # a checked broadcast when the games are few (a league's seasons); otherwise a shuffle join
-    # on the game key, where AQE splits a hot game
+    # the planner broadcasts the games when they are few; otherwise AQE splits a hot game
     s = lookup_attrs(stats, g, {game_key: "__gk"}, {"__game_id": "__game_id", "__game_date": "__game_date",
                                                     "__season": "__season"})
     s = lookup_attrs(s, players, {player_key: player_key}, {"__player": "full_name", "__position": "position_code"})
@@ -127,13 +126,23 @@ def player_game_stats(stats: DataFrame, games: DataFrame, players: DataFrame, te
 
 def player_season_summary(stats: DataFrame, games: DataFrame, players: DataFrame, teams: DataFrame, *,
                           game_key="game_key", player_key="player_key", team_key="team_key") -> DataFrame:
-    """A2: per (season, team, player, position): games and sums; NULL ice time counts as 0."""
-    s = _star(stats, games, players, teams, None, game_key, player_key, team_key, "date_key", "season")
+    """A2: per (season, team, player, position): games and sums; NULL ice time counts as 0.
+
+    Stats are summed per season, team key and player key right after the game join, so the
+    dimensions are joined with one row per player, team and season; equal names merge afterwards.
+    """
+    g = games.select(F.col(game_key).alias("__gk"), F.col("season").alias("__season"))
+    sums = [*_STAT_COLS, ("Time On Ice Seconds", "__toi")]
+    s = lookup_attrs(stats, g, {game_key: "__gk"}, {"__season": "__season"})
+    s = (s.withColumn("__toi", F.coalesce(F.col("time_on_ice_seconds"), F.lit(0)))
+         .groupBy("__season", team_key, player_key)
+         .agg(F.count(F.lit(1)).alias("__games"), *[F.sum(src).alias(src) for _, src in sums]))
+    s = lookup_attrs(s, players, {player_key: player_key}, {"__player": "full_name", "__position": "position_code"})
+    s = resolve_key(s, teams, {team_key: team_key}, "team_name", "__team")
     return s.groupBy(F.col("__season").alias("Season"), F.col("__team").alias("Team"),
                      F.col("__player").alias("Player"), F.col("__position").alias("Position")).agg(
-        F.count(F.lit(1)).alias("Games Played"),
-        *[F.sum(src).cast("long").alias(name) for name, src in _STAT_COLS],
-        F.sum(F.coalesce(F.col("time_on_ice_seconds"), F.lit(0))).cast("long").alias("Time On Ice Seconds"))
+        F.sum("__games").cast("long").alias("Games Played"),
+        *[F.sum(src).cast("long").alias(name) for name, src in sums])
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:

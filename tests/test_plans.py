@@ -40,3 +40,10 @@ def test_dedupe_limits_before_the_shuffle(spark):
 def test_team_summary_exchanges_once(spark):
     text = plan(spark, "v_team_season_summary")
     assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text and "Generate inline" in text
+
+
+def test_player_summary_aggregates_before_the_dimensions(spark):
+    text = plan(spark, "v_player_season_summary")
+    assert "partial_count(1)" in text
+    # reading the tree from the top: names are grouped, then come the dimension joins, then the sums per key
+    assert text.index("Join") < text.index("partial_count(1)")
