@@ -58,7 +58,7 @@ def position(words_before, demand, drift):
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        limit: int = LIMIT, slope: float = SLOPE) -> DataFrame:
+        limit: int = LIMIT, slope: float = SLOPE, carry: list[str] | None = None) -> DataFrame:
     """One row per document, sorted by first training position (documents not taken come last).
 
     ``doc_id, size`` (words; 0 for null or empty texts), ``source, source_size, target, taken``
@@ -68,10 +68,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     A source's documents are passed over in a fixed pseudo-random order of their ids until its
     demand is met, so its taken words miss the target by less than one word. Null is a source
     of its own; repeated rows count each time; a null id has a fixed place. An empty
-    table gives no rows. Further columns are not read.
+    table gives no rows. The columns of ``carry`` are added as they are; further columns are not read.
     """
-    sized = cut(docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), docs[text].alias("text"))
-                .select("doc_id", "source", word_count("text").alias("size")))
+    carry = carry or []
+    sized = cut(docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), docs[text].alias("text"), *[docs[c] for c in carry])
+                .select("doc_id", "source", word_count("text").alias("size"), *carry))
     placed = prefix_sums(sized, "source", "doc_id", "size", "before")
     targets = source_targets(sized, limit, slope).withColumnRenamed("source", "__source")
     joined = placed.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -83,18 +84,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
             .withColumn("taken", F.col("whole") * F.col("size") + F.col("last"))
             .withColumn("passes", F.col("whole") + (2 * F.col("last") >= F.greatest(F.col("size"), F.lit(1))).cast("long"))
             .withColumn("position", F.when(F.col("taken") > 0, position(middle, F.col("demand"), F.col("drift"))))
-            .select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "demand", "drift")
+            .select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "demand", "drift", *carry)
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
 def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-                limit: int = LIMIT, slope: float = SLOPE) -> DataFrame:
-    """``doc_id, source, pass, position``: one row for each reading of a document that ``mix`` counts in ``passes``.
+                limit: int = LIMIT, slope: float = SLOPE, carry: list[str] | None = None) -> DataFrame:
+    """``doc_id, source, pass, position`` (and the columns of ``carry``): one row for each reading of a document that ``mix`` counts in ``passes``.
 
     Later passes lie a whole round of the source's words behind the first one.
     """
-    mixed = mix(docs, doc_id, text, source, limit, slope).where(F.col("passes") > 0)
+    mixed = mix(docs, doc_id, text, source, limit, slope, carry).where(F.col("passes") > 0)
     again = mixed.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
     first = F.col("demand") * ((1.0 - F.col("drift")) * F.col("position") + F.col("drift") * F.col("position") * F.col("position"))
     later = position(first + F.col("pass") * F.col("source_size"), F.col("demand"), F.col("drift"))
-    return again.select("doc_id", "source", "pass", F.when(F.col("pass") == 0, F.col("position")).otherwise(later).alias("position"))
+    return again.select("doc_id", "source", "pass", F.when(F.col("pass") == 0, F.col("position")).otherwise(later).alias("position"), *(carry or []))

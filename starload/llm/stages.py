@@ -48,11 +48,12 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix reads it, sorted by training position."""
+    """Each row as often as the mix reads it, sorted by training position; ids may repeat or be null."""
     ship(spark)
-    rows = docs.select(*_columns(docs))
-    plan = cut(curriculum.occurrences(rows).select(F.col("doc_id").alias("id"), "position"))
-    return (rows.join(plan, rows["doc_id"].eqNullSafe(plan["id"])).orderBy("position", "doc_id").select(*COLUMNS))
+    # written, so that a row has the same key in the plan and in the join
+    rows = written(docs.select(*_columns(docs)).withColumn("row_key", F.monotonically_increasing_id()), "mix-rows")
+    plan = cut(curriculum.occurrences(rows, carry=["row_key"]).select("row_key", "position"))
+    return rows.join(plan, "row_key").orderBy("position", "doc_id", "row_key").select(*COLUMNS)
 
 
 def encode_bytes_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

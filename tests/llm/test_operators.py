@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, curriculum, ego_join, langid, line_templates, ngram_join, page_text, topk, toxicity
+from starload.llm import bpe, curriculum, ego_join, langid, line_templates, ngram_join, page_text, stages, topk, toxicity
 from starload.llm import training_order as order
 from starload.llm.components import components
 
@@ -233,6 +233,15 @@ def test_mix_targets_and_passes(llm):
     assert curriculum.mix(documents(llm, [])).count() == 0
 
 
+def test_mix_stage_reads_each_row_by_itself(llm):
+    """Rows of one id, and rows without an id, are read as often as the mix says, not once for each other."""
+    docs = documents(llm, [f"row{k} " * (10 + k) for k in range(12)], [7, None, None, 7, 7, None, 7, None, None, 7, 1, 2])
+    passes = sum(r.passes for r in curriculum.mix(docs).collect())
+    got = stages.mix_sources(llm, docs, "").collect()
+    assert len(got) == passes and max(Counter(r.text for r in got).values()) <= curriculum.LIMIT
+    assert {r.doc_id for r in got if r.text.startswith(("row1 ", "row2 "))} <= {None}
+
+
 # ---- op9 -------------------------------------------------------------------------------------------
 
 def test_nearest_examples_match_brute_force(llm):
