@@ -285,3 +285,26 @@ def test_main_text(llm):
     assert got[10] == (want, len(want))
     assert got[11] == got[12] == ("", 0) and got[13][0] == "a < b\nbroken"
     assert page_text.main_text(table).count() == len(rows) and page_text.main_text(table.limit(0)).count() == 0
+
+
+def main_texts(spark, pages):
+    table = spark.createDataFrame([(i, "http://h.example", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in page_text.main_text(table).orderBy("page_id").collect()]
+
+
+def test_template_within_articles(llm):
+    """A notice in every article of a host is its template; copies of one article are not."""
+    page = "<body><article><h1>Title {0}</h1><p>Story {0}</p><div class=x><p>Follow us today</p></div></article></body>"
+    assert main_texts(llm, [page.format(c * 3) for c in "abcd"]) == [f"Title {c * 3}\nStory {c * 3}" for c in "abcd"]
+    copy = "<body><nav>menu {}</nav><article><h1>One title</h1><p>One story</p></article></body>"
+    assert main_texts(llm, [copy.format(c * 3) for c in "abcd"]) == ["One title\nOne story"] * 4
+    # copies do not outvote the other pages
+    mixed = [page.format("aaa")] * 5 + [page.format(c * 3) for c in "bcd"]
+    assert main_texts(llm, mixed) == [f"Title {c * 3}\nStory {c * 3}" for c in "aaaaabcd"]
+    near = "<body><article><h1>One title</h1><p>One story told at length</p><p>changed {}</p></article></body>"
+    assert main_texts(llm, [near.format(c * 3) for c in "abcd"]) == [f"One title\nOne story told at length\nchanged {c * 3}" for c in "abcd"]
+    # a notice among paragraphs of which every page has another number
+    varied = "<body><article id=post-{}><h1>Title {}</h1>{}<p>Follow us today</p></article></body>"
+    stories = [[f"story {c}{k}" for k in range(n)] for n, c in enumerate("abcd", 1)]
+    pages = [varied.format(n, n, "".join(f"<p>{t}</p>" for t in story)) for n, story in enumerate(stories)]
+    assert main_texts(llm, pages) == ["\n".join([f"Title {n}", *story]) for n, story in enumerate(stories)]
