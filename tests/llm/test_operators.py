@@ -308,3 +308,14 @@ def test_template_within_articles(llm):
     stories = [[f"story {c}{k}" for k in range(n)] for n, c in enumerate("abcd", 1)]
     pages = [varied.format(n, n, "".join(f"<p>{t}</p>" for t in story)) for n, story in enumerate(stories)]
     assert main_texts(llm, pages) == ["\n".join([f"Title {n}", *story]) for n, story in enumerate(stories)]
+
+
+def test_names_that_tell_a_state_keep_the_article(llm):
+    """Names of a wrapper that hold a listed word are no reason to drop the article in it."""
+    wraps = ["<body class='no-sidebar'><article>{}</article>", "<body class='sidebar'><article class='post comments-open'>{}</article>",
+             "<html class='login'><main class='content has-sidebar search-page'>{}</main>", "<div class='content has-sidebar'>{}</div>",
+             "<div id='overlay'><div class='widget'><article>{}</article></div></div><div class='related'><article>other</article></div>",
+             "<article>{}</article><div id='comments'><article class='comment'>nice</article></div>",
+             "<article>{}<div class='ad-banner'>Buy</div><p>the <span class='share links'>like</span></p></article>"]
+    story = "<p>The story</p>"
+    assert main_texts(llm, [w.format(story) for w in wraps]) == ["The story"] * 6 + ["The story\nthe"]
