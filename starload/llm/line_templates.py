@@ -9,8 +9,8 @@ of them but the first, so that no text is lost from the corpus.
 
 Leaves with fewer lines than ``min_docs`` cannot hold a recurring template and are left out
 first. Equal masked lines are counted before the shuffle, so a line that every document
-has costs one row per task. A leaf over ``LEAF`` distinct lines is split by further leading tokens
-(hashed), so that no task holds an unbounded leaf.
+has costs one row per task. A leaf is never split, so the result is the same at every size: the distinct lines of a leaf
+meet in one task, which holds its templates and finds a line's by its pieces instead of trying all.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from starload.llm.frames import cut
 
 DEPTH = 3
-LEAF = 2_000
+#: Templates of a leaf from which on lines look theirs up by pieces.
+INDEXED = 64
 #: Production parameters: documents a template recurs in, tokens of a line at least, share of agreeing tokens.
 MIN_DOCS = 4
 MIN_TOKENS = 4
@@ -52,52 +53,90 @@ def parse_lines(docs: DataFrame, min_tokens: int, depth: int = DEPTH) -> DataFra
     return (lines.select("row_id", "line_no", masked(F.col("raw")).alias("line")).withColumn("tokens", tokens)
             .where(F.size("tokens") >= min_tokens)
             .select("row_id", "line_no", F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(k)) for k in range(depth)])
-                    .alias("leaf"), "line", F.xxhash64("line").alias("line_hash"),
-                    F.xxhash64(*[F.get("tokens", F.lit(depth + k)) for k in range(3)]).alias("deeper")))
+                    .alias("leaf"), "line", F.xxhash64("line").alias("line_hash")))
 
 
 class Templates:
-    """The templates of one leaf, built in the order in which lines come."""
+    """The templates of one leaf, built in the order in which lines come.
+
+    A line that differs from a template in at most ``d`` places equals it in one of ``d + 1`` pieces, so
+    templates that share no piece with the line need not be compared. The leading tokens, equal in all of
+    a leaf, are left out of the pieces where enough others are there.
+    """
 
     def __init__(self, similar: float):
         self.similar = similar
         self.words: dict[str, int] = {"<*>": 0}
-        self.rows = np.zeros((0, 0), dtype=np.int64)
-        self.used = 0
+        self._reset(0)
+
+    def _reset(self, size: int) -> None:
+        self.rows, self.used = np.zeros((4, size), dtype=np.int64), 0
+        self.least = next(k for k in range(size + 2) if k >= self.similar * size)
+        pieces = min(size - self.least + 1, size)
+        first = min(DEPTH, size - pieces) if self.least else 0
+        self.edges = [first + (size - first) * k // pieces for k in range(pieces + 1)] if pieces > 0 else []
+        self.held: dict[tuple[int, bytes], list[int]] | None = None
+
+    def _hold(self, k: int) -> None:
+        row = self.rows[k]
+        for at in zip(self.edges, self.edges[1:]):
+            numbers = self.held.setdefault((at[0], row[at[0]:at[1]].tobytes()), [])
+            if not numbers or numbers[-1] != k:
+                numbers.append(k)
+
+    def _first(self, codes: np.ndarray) -> int | None:
+        """The first template of which enough tokens agree."""
+        if self.held is None:
+            best = np.flatnonzero((self.rows[: self.used] == codes).sum(axis=1) >= self.least)
+            return int(best[0]) if best.size else None
+        near = set()
+        for i, j in zip(self.edges, self.edges[1:]):
+            near.update(self.held.get((i, codes[i:j].tobytes()), ()))
+        if not near:
+            return None
+        near = np.sort(np.fromiter(near, np.int64, len(near)))
+        best = np.flatnonzero((self.rows[near] == codes).sum(axis=1) >= self.least)
+        return int(near[best[0]]) if best.size else None
 
     def add(self, line: str) -> int:
         """The number of the line's template."""
         codes = np.array([self.words.setdefault(t, len(self.words)) for t in line.split(" ")], dtype=np.int64)
         if self.rows.shape[1] != codes.size:
-            self.rows, self.used = np.zeros((4, codes.size), dtype=np.int64), 0
-        known = self.rows[: self.used]
-        if self.used:
-            agree = (known == codes).sum(axis=1)
-            best = np.flatnonzero(agree >= self.similar * codes.size)
-            if best.size:
-                k = int(best[0])
-                self.rows[k][known[k] != codes] = 0
-                return k
+            self._reset(codes.size)
+        k = self._first(codes)
+        if k is not None:
+            differs = self.rows[k] != codes
+            if self.rows[k][differs].any():
+                self.rows[k][differs] = 0
+                if self.held is not None:
+                    self._hold(k)
+            return k
         if self.used == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.rows[self.used] = codes
         self.used += 1
+        if self.held is not None:
+            self._hold(self.used - 1)
+        elif self.used >= INDEXED and self.least > 0:
+            self.held = {}
+            for known in range(self.used):
+                self._hold(known)
         return self.used - 1
 
 
 def _cluster(similar: float):
-    """Lines sorted by leaf, part and text: each line with its template's number in the leaf."""
+    """Lines sorted by leaf and text: each line with its template's number in the leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, templates = None, None
         for batch in batches:
             number = []
-            for leaf, part, line in zip(*(batch.column(c).to_pylist() for c in ("leaf", "part", "line"))):
-                if (leaf, part) != at:
-                    at, templates = (leaf, part), Templates(similar)
+            for leaf, line in zip(*(batch.column(c).to_pylist() for c in ("leaf", "line"))):
+                if leaf != at:
+                    at, templates = leaf, Templates(similar)
                 number.append(templates.add(line))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "part", "line_hash")), pa.array(number, pa.int64())],
-                                             ["leaf", "part", "line_hash", "template"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "line_hash")), pa.array(number, pa.int64())],
+                                             ["leaf", "line_hash", "template"])
 
     return run
 
@@ -107,21 +146,15 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     lines = parse_lines(docs, min_tokens)
     busy = (lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf"))
     near = cut(lines.join(busy, "leaf", "left_semi"))
-    # documents per distinct line: rows are counted per document first, then summed per task
-    distinct = (near.select("leaf", "deeper", "line_hash", "line", "row_id").distinct()
-                .groupBy("leaf", "deeper", "line_hash", "line").agg(F.count(F.lit(1)).alias("docs")))
-    distinct = cut(distinct)
-    sizes = distinct.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("parts"))
-    parted = distinct.join(sizes, "leaf").withColumn("part", F.pmod("deeper", F.col("parts")).cast("int"))
-    numbered = (parted.select("leaf", "part", "line_hash", "line").repartition("leaf", "part")
-                .sortWithinPartitions("leaf", "part", "line")
-                .mapInArrow(_cluster(similar), "leaf long, part int, line_hash long, template long"))
+    distinct = near.select("leaf", "line_hash", "line").distinct()
+    numbered = (distinct.repartition("leaf").sortWithinPartitions("leaf", "line")
+                .mapInArrow(_cluster(similar), "leaf long, line_hash long, template long"))
     placed = cut(numbered)
     # a document with several lines of one template counts once
     member = near.select("leaf", "line_hash", "row_id", "line_no").join(placed, ["leaf", "line_hash"])
-    again = (member.select("leaf", "part", "template", "row_id").distinct().groupBy("leaf", "part", "template")
+    again = (member.select("leaf", "template", "row_id").distinct().groupBy("leaf", "template")
              .agg(F.count(F.lit(1)).alias("docs"), F.min("row_id").alias("first")).where(F.col("docs") >= min_docs))
-    return (member.join(again, ["leaf", "part", "template"]).where("row_id <> first").select("row_id", "line_no"))
+    return (member.join(again, ["leaf", "template"]).where("row_id <> first").select("row_id", "line_no"))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,

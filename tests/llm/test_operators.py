@@ -158,6 +158,32 @@ def test_templates_of_a_leaf():
     assert [t.add(x) for x in ("a b c d e", "a b c x y", "a b q r s", "a b c d z")] == [0, 0, 1, 0]
 
 
+def test_templates_by_pieces_equal_all_compared():
+    rng = np.random.default_rng(3)
+    for size, similar in ((4, 0.8), (5, 0.8), (10, 0.8), (12, 0.6), (7, 0.0)):
+        lines = ["a b c " + " ".join(rng.choice(list("defgh"), size - 3)) for _ in range(1500)]
+        got, rows, want = line_templates.Templates(similar), [], []
+        for line in lines:
+            words_ = line.split(" ")
+            k = next((k for k, r in enumerate(rows) if sum(x == y for x, y in zip(r, words_)) >= similar * size), None)
+            if k is None:
+                rows.append(list(words_))
+            else:
+                rows[k] = [x if x == y else "<*>" for x, y in zip(rows[k], words_)]
+            want.append(len(rows) - 1 if k is None else k)
+        assert [got.add(x) for x in lines] == want
+
+
+def test_a_template_recurs_in_a_large_leaf_too(llm):
+    """A template with a field in tokens 4 to 6 is found among thousands of other lines of its leaf."""
+    rng = np.random.default_rng(4)
+    other = ["we saw the " + " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(7)) for _ in range(9000)]
+    lines = [f"we saw the {c * 5} go by the old stone mill" for c in "klmnop"]
+    docs = documents(llm, ["\n".join(other)] + [f"{line}\nown {k}" for k, line in enumerate(lines)])
+    got = {r.doc_id: r.n_dropped for r in line_templates.drop_recurring(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1}
+
+
 # ---- op6 -------------------------------------------------------------------------------------------
 
 def test_languages_and_bundles(llm):
