@@ -5,9 +5,11 @@ Lines are parsed by a tree of fixed depth: the first level is the number of toke
 of a leaf are generalised to templates: in the order of their masked texts, a line joins the
 first template with which at least ``similar`` of its tokens agree, and positions that differ
 become ``<*>``. A template found in at least ``min_docs`` documents recurs, and its lines are dropped in all
-of them but the first, so that no text is lost from the corpus.
+of them but the first, so that no text is lost from the corpus. Two kinds of masked lines recur by themselves, without
+a template: lines too short for one in at least ``short_docs`` documents, and lines of at least
+``EXACT_WORDS`` words, which are not the same by chance, in ``EXACT_DOCS``.
 
-Leaves with fewer lines than ``min_docs`` cannot hold a recurring template and are left out
+Leaves with fewer lines than that cannot hold a recurring line and are left out
 first. Equal masked lines are counted before the shuffle, so a line that every document
 has costs one row per task. A leaf is never split, so the result is the same at every size: the distinct lines of a leaf
 meet in one task, which holds its templates and finds a line's by its pieces instead of trying all.
@@ -31,29 +33,41 @@ INDEXED = 64
 MIN_DOCS = 4
 MIN_TOKENS = 4
 SIMILAR = 0.8
+#: Documents a line of fewer tokens recurs in; words without a digit of a line that recurs from ``EXACT_DOCS`` documents on.
+SHORT_DOCS = 12
+EXACT_WORDS = 20
+EXACT_DOCS = 2
 
 TOKEN_GAP = r"[ \t\x0B\f\r]+"
 VARIABLE = r"[^ ]*[0-9][^ ]*"
 
 
-def masked(line):
-    """A line's tokens joined by single spaces, with a placeholder for each token that holds a digit.
+def masked(lines):
+    """Each line of an array: its tokens joined by single spaces, with a placeholder for each token that holds a digit.
 
-    Most lines need neither replacement; a plain search tells.
+    Most lines need neither replacement; a plain search tells. Each step is a pass of its own, so that no line
+    is replaced twice.
     """
-    spaced = F.when(line.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(line, TOKEN_GAP, " ")).otherwise(line)
-    spaced = F.trim(spaced)
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, VARIABLE, "<*>")).otherwise(spaced)
+    spaced = F.transform(lines, lambda line: F.trim(F.when(line.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(line, TOKEN_GAP, " ")).otherwise(line)))
+    return F.transform(spaced, lambda line: F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line))
 
 
-def parse_lines(docs: DataFrame, min_tokens: int, depth: int = DEPTH) -> DataFrame:
-    """``doc_id, line_no, leaf, line`` (masked) of every line with at least ``min_tokens`` tokens."""
-    lines = docs.select("row_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    tokens = F.split("line", " ")
-    return (lines.select("row_id", "line_no", masked(F.col("raw")).alias("line")).withColumn("tokens", tokens)
-            .where(F.size("tokens") >= min_tokens)
-            .select("row_id", "line_no", F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(k)) for k in range(depth)])
-                    .alias("leaf"), "line", F.xxhash64("line").alias("line_hash")))
+def parse_lines(docs: DataFrame, min_tokens: int, short_docs: int = SHORT_DOCS, depth: int = DEPTH) -> DataFrame:
+    """``row_id, line_no, leaf, line`` (masked), ``line_hash, exact, long`` of every line with a token that holds no digit.
+
+    ``exact`` is the number of documents from which on the line recurs by itself (null: it does not); ``long``
+    says that it has ``min_tokens`` tokens and may recur by its template, digits in all tokens or not.
+    """
+    # the tokens are counted before the lines are dealt out: the planner would repeat it for each use
+    parsed = F.transform(masked(F.split("text", "\n")), lambda line: F.struct(
+        line.alias("line"), F.size(F.split(line, " ")).alias("size"), F.substring_index(line, " ", depth).alias("lead"),
+        F.when(line.contains("<*>"), F.size(F.array_remove(F.split(line, " "), "<*>"))).alias("words")))
+    lines = docs.select("row_id", F.posexplode(parsed).alias("line_no", "l")).select("row_id", "line_no", "l.*")
+    size, words = F.col("size"), F.coalesce("words", "size")
+    exact = F.when(size < min_tokens, F.lit(short_docs)).when(words >= EXACT_WORDS, F.lit(EXACT_DOCS))
+    return (lines.where("line <> ''").where((size >= min_tokens) | (words > 0))
+            .select("row_id", "line_no", F.xxhash64("size", "lead").alias("leaf"), "line", F.xxhash64("line").alias("line_hash"),
+                    exact.cast("int").alias("exact"), (size >= min_tokens).alias("long")))
 
 
 class Templates:
@@ -141,34 +155,46 @@ def _cluster(similar: float):
     return run
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
-    """``row_id, line_no`` of the lines to drop; ``docs`` holds ``row_id`` (one document) and ``text``."""
-    lines = parse_lines(docs, min_tokens)
-    busy = (lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf"))
-    near = cut(lines.join(busy, "leaf", "left_semi"))
-    distinct = near.select("leaf", "line_hash", "line").distinct()
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
+                    short_docs: int = SHORT_DOCS) -> DataFrame:
+    """``row_id, line_no`` of the lines to drop, some twice; ``docs`` holds ``row_id`` (one document) and ``text``."""
+    lines = parse_lines(docs, min_tokens, short_docs)
+    many = F.col("n") >= min_docs
+    busy = (lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("exact").alias("least"))
+            .where(many | (F.col("n") >= F.col("least"))).select("leaf", many.alias("many")))
+    may = F.col("long") & F.col("many")
+    near = cut(lines.join(busy, "leaf").where(may | F.col("exact").isNotNull())
+               .select("row_id", "line_no", "leaf", F.when(may, F.col("line")).alias("line"), "line_hash", "exact", may.alias("may")))
+    distinct = near.where("may").select("leaf", "line_hash", "line").distinct()
     numbered = (distinct.repartition("leaf").sortWithinPartitions("leaf", "line")
                 .mapInArrow(_cluster(similar), "leaf long, line_hash long, template long"))
     placed = cut(numbered)
     # a document with several lines of one template counts once
-    member = near.select("leaf", "line_hash", "row_id", "line_no").join(placed, ["leaf", "line_hash"])
+    member = near.where("may").select("leaf", "line_hash", "row_id", "line_no").join(placed, ["leaf", "line_hash"])
     again = (member.select("leaf", "template", "row_id").distinct().groupBy("leaf", "template")
              .agg(F.count(F.lit(1)).alias("docs"), F.min("row_id").alias("first")).where(F.col("docs") >= min_docs))
-    return (member.join(again, ["leaf", "template"]).where("row_id <> first").select("row_id", "line_no"))
+    alone = near.where("exact is not null").select("line_hash", "row_id", "line_no", "exact")
+    same = (alone.select("line_hash", "row_id", "exact").distinct().groupBy("line_hash", "exact")
+            .agg(F.count(F.lit(1)).alias("docs"), F.min("row_id").alias("first")).where(F.col("docs") >= F.col("exact"))
+            .select("line_hash", "first"))
+    return (member.join(again, ["leaf", "template"]).where("row_id <> first").select("row_id", "line_no")
+            .unionByName(alone.join(same, "line_hash").where("row_id <> first").select("row_id", "line_no")))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR,
-                   doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+                   doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, short_docs: int = SHORT_DOCS) -> DataFrame:
     """``doc_id, text`` (and the columns of ``carry``), ``n_lines, n_dropped`` for every document, without the lines of recurring templates.
 
-    A recurring template's lines stay in the document with the smallest id. Lines of fewer than
-    ``min_tokens`` tokens are kept, as are lines whose template is in fewer than ``min_docs`` documents. A null
+    A recurring template's lines stay in the document with the smallest id, as does a masked line of fewer than
+    ``min_tokens`` tokens that is in ``short_docs`` documents or more, or one of ``EXACT_WORDS`` words that is in
+    ``EXACT_DOCS``. Other lines are kept if their template is in fewer than ``min_docs`` documents; blank lines, and short
+    lines with a digit in each token, always. A null
     text stays null, with no lines. Rows of one id count as one document, and lose the lines that
     any of them would lose at that place; rows with a null id keep their text and count for no
     template. Empty tables give no rows; further columns are not read.
     """
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), *[docs[c] for c in carry or []]).withColumn("row_id", F.col("doc_id"))
-    drop = (recurring_lines(rows.where("row_id is not null").select("row_id", "text"), min_docs, min_tokens, similar)
+    drop = (recurring_lines(rows.where("row_id is not null").select("row_id", "text"), min_docs, min_tokens, similar, short_docs)
             .groupBy("row_id").agg(F.collect_set("line_no").alias("gone")))
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line, k: ~F.array_contains(F.col("gone"), k))

@@ -184,6 +184,18 @@ def test_a_template_recurs_in_a_large_leaf_too(llm):
     assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1}
 
 
+def test_short_and_long_lines_recur_by_themselves(llm):
+    """A short line recurs by more documents than a template, an exact line of many words by two."""
+    long = " ".join(f"{c}{d}" for c in "abcde" for d in "vwxyz")
+    texts = [f"own {c * 4}\nAll rights reserved.\n17\n\n" + ("Les.\n" if k < line_templates.SHORT_DOCS - 1 else "") + (long if k in (4, 9) else "")
+             for k, c in enumerate("abcdefghijklmnop")]
+    texts += [long.replace("av", "av1") + " " + "9 " * 30, long.replace("av", "other"), "9 " * 30, "8 " * 30]
+    got = [r.text for r in line_templates.drop_recurring(documents(llm, texts)).orderBy("doc_id").collect()]
+    want = [texts[0]] + [t.replace("All rights reserved.\n", "") for t in texts[1:16]] + texts[16:]
+    want[9] = want[9].replace("\n" + long, "")
+    assert got == want
+
+
 # ---- op6 -------------------------------------------------------------------------------------------
 
 def test_languages_and_bundles(llm):
