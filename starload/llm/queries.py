@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import (bpe, curriculum, ego_join, langid, line_templates, ngram_join, page_text, topk, toxicity,
-                          training_order)
+from starload.llm import (bpe, curriculum, ego_join, hard_negatives, intvec, langid, line_templates, ngram_join, page_text,
+                          sharding, topk, toxicity, training_order, vector_codes)
 from starload.llm.frames import crc_mod, shared_path, ship
 
 
@@ -81,6 +81,28 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards of nearly equal bytes."""
+    placed = sharding.assign(_table(spark, sf_dir, "documents"), 16, carry=["doc_id"])
+    return placed.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; a label is moved on where the id is divisible by 7."""
+    rows = intvec.integer_rows(_table(spark, sf_dir, "embeddings"), 256)
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, F.col("vec_id") % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector: 4 parts, 256 entries, 4 rounds."""
+    codes, books = vector_codes.compress(intvec.integer_rows(_table(spark, sf_dir, "embeddings"), 1024))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit(books and books.sha256()).alias("codebooks_sha256"))
+
+
 LLM_QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -92,4 +114,7 @@ LLM_QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_toxicity": op9_toxicity,
     "op10_main_text": op10_main_text,
+    "op11_sampled_splitters": op11_sampled_splitters,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_vector_codes": op13_vector_codes,
 }
