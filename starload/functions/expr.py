@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starload.schemas import ERROR_MESSAGE_LIMIT, SEASON_START_MONTH
+from starload.schemas import ERROR_MESSAGE_LIMIT, GAME_IDS_PER_SEASON, SEASON_START_MONTH
 
 __all__ = [
     "timestamp_literal",
@@ -165,3 +165,12 @@ def season_start_year(d) -> Column:
 def season_start(d) -> Column:
     """First day of the season containing ``d``."""
     return F.make_date(season_start_year(d), F.lit(SEASON_START_MONTH), F.lit(1))
+
+
+def id_season(game_id) -> Column:
+    """The season a game id opens with (``2024020001`` -> 2024), the partition of both facts.
+
+    A function of the natural key alone, so that a game never changes its partition, whatever
+    season its payload names.
+    """
+    return F.call_function("div", _c(game_id).cast("long"), F.lit(GAME_IDS_PER_SEASON))

@@ -1,19 +1,19 @@
 """Surrogate key assignment (K15): dense, unique, ascending from a base.
 
-Rows are range-partitioned and sorted by the given order, materialised once
-with a reliable checkpoint (so both passes see the same partitions even after an
-executor loss), counted per partition, and numbered as
-``base + rows in earlier partitions + position in the partition``. No step
-gathers the rows into one partition: only the per-partition counts (one row per
-partition) are ranked together.
+Rows are written once, range-sorted by the given order, as Parquet files in the shared scratch
+folder. A row's number is then a property of those files: ``_metadata.row_index`` is its place in its
+file, and the rows of the files before it (one count a file, files in the order of their
+partitions) are added. Nothing is computed twice, and a task that is run again after a lost executor
+reads the same files and gives the same keys. No step gathers the rows into one partition: only
+the counts per file are ranked together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from starload.session import ensure_checkpoint_dir
+from starload.session import scratch
 
 
 def current_max(df: DataFrame, key: str) -> int:
@@ -22,6 +22,39 @@ def current_max(df: DataFrame, key: str) -> int:
     return int(value) if value is not None else 0
 
 
+def _file_order() -> tuple[Column, Column]:
+    """A written file's place: its partition's number, then its number within the partition."""
+    name = F.col("__file")
+    return tuple(F.regexp_extract(name, rf"part-(\d+)-.*-c(\d+)", i).cast("long") for i in (1, 2))
+
+
+def write_sorted(df: DataFrame, order_by: list[str | Column], observed: Observation | None = None,
+                 *metrics: Column) -> DataFrame:
+    """``df`` written once in ``order_by`` order, with ``__file`` and ``__row`` of each row; ``observed`` gets ``metrics``."""
+    spark = df.sparkSession
+    path = scratch(spark).path("sorted")
+    ordered = df.orderBy(*order_by)
+    (ordered if observed is None else ordered.observe(observed, *metrics)).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+
+def number_rows(rows: DataFrame, key_col: str, base: int, key_type: str, counted: Column | None = None) -> DataFrame:
+    """Number the rows of ``write_sorted`` from ``base + 1`` in their order into ``key_col``.
+
+    ``counted`` names the rows that are numbered; they must come first in the order, so that a row's
+    place in its file counts numbered rows only. The others keep their ``key_col``.
+    """
+    files = rows.groupBy("__file").agg((F.count(F.lit(1)) if counted is None else F.count_if(counted)).alias("__n"))
+    before = Window.orderBy(*_file_order()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    key = (F.lit(base).cast("long") + F.col("__off") + F.col("__row") + F.lit(1)).cast(key_type)
+    numbered = rows.join(F.broadcast(offsets), "__file")  # a row for each file
+    if counted is not None:
+        key = F.when(counted, key).otherwise(F.col(key_col))
+    return numbered.withColumn(key_col, key).drop("__file", "__row", "__off")
+
+
 def assign_surrogate_keys(df: DataFrame, key_col: str, order_by: list[str | Column], base: int = 0,
                           key_type: str = "long") -> DataFrame:
     """Number the rows ``base + 1 ..`` in ``order_by`` order into ``key_col``.
@@ -29,14 +62,5 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by: list[str | Colu
     Equal to ``base + row_number() over (order by ...)`` when the order is unique,
     but without the single-partition window.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order_by).checkpoint(eager=True)
-    tagged = ordered.select("*", F.spark_partition_id().alias("__pid"),
-                            F.monotonically_increasing_id().alias("__mid"))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    key = (F.lit(base).cast("long") + F.col("__off") + local + F.lit(1)).cast(key_type)
-    return (tagged.join(F.broadcast(offsets), "__pid")
-            .select(key.alias(key_col), *[F.col(c) for c in df.columns if c != key_col]))
+    numbered = number_rows(write_sorted(df, order_by), key_col, base, key_type)
+    return numbered.select(key_col, *[c for c in df.columns if c != key_col])

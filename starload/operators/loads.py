@@ -10,14 +10,13 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starload.functions import expr as X
-from starload.operators.checks import duplicate_keys
 from starload.operators.dedupe import dedupe
 from starload.operators.joins import exists_in, missing_from, resolve_key
-from starload.operators.keys import assign_surrogate_keys, current_max
+from starload.operators.keys import assign_surrogate_keys, current_max, number_rows, write_sorted
 from starload.schemas import CALENDAR_ERROR
 
 
@@ -74,6 +73,56 @@ class UpsertResult:
     frame: DataFrame      # new version of the target
     inserted: DataFrame   # rows inserted (with surrogate keys)
     changed: DataFrame    # natural keys of updated rows
+    rows_inserted: int    # counted as the rows were written
+    rows_updated: int
+
+
+NEW, UPDATED, KEPT = 0, 1, 2
+
+
+def classify_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dict[str, object], surrogate: str,
+                   load_ts: datetime | None, order: list[str] | None, active: str, created: str | None,
+                   modified: str | None, text_compare: str) -> DataFrame:
+    """One row per key of either side, in the target's columns, with ``__state`` (new, updated or kept).
+
+    One full outer join on the key. Of the source rows that meet one target row the last changing
+    one counts; ``__times`` is the number of source rows of a new key. New rows have no surrogate key yet.
+    """
+    ts = X.timestamp_literal(load_ts)
+    staged = [c for c in target.columns if c in source.columns and c not in (key, surrogate)]
+    order_cols = order or ["__s_" + c for c in compare]
+    t = target.select(*[F.col(c).alias("__t_" + c) for c in target.columns], F.lit(True).alias("__old"))
+    s = source.select(F.col(key).alias("__key"), *[F.col(c).alias("__s_" + c) for c in staged],
+                      *[F.col(c) for c in order or []], F.lit(True).alias("__staged"))
+    both = t.join(s, F.col("__t_" + key) == F.col("__key"), "full_outer")
+    old, staged_here = F.col("__old").isNotNull(), F.col("__staged").isNotNull()
+    changes = change_predicate(compare, active=active, text_compare=text_compare)
+    both = both.withColumn("__key", F.coalesce("__t_" + key, "__key")).withColumn(
+        "__state", F.when(~old, NEW).when(staged_here & changes, UPDATED).otherwise(KEPT))
+    # the surrogate key keeps target rows apart, should the target repeat a key
+    one = Window.partitionBy("__key", "__t_" + surrogate)
+    pick = one.orderBy("__state", *[F.col(c).desc() for c in order_cols])
+    both = both.select("*", F.row_number().over(pick).alias("__nth"), F.count("__staged").over(one).alias("__times"))
+    both = both.filter((F.col("__nth") == 1) | F.col("__key").isNull())
+
+    is_new, is_updated = F.col("__state") == NEW, F.col("__state") == UPDATED
+    cols = []
+    for c, dtype in target.dtypes:
+        value = F.col("__t_" + c)
+        if c == key:
+            value = F.col("__key")
+        elif c in compare:
+            value = F.when(is_new | is_updated, F.col("__s_" + c).cast(dtype)).otherwise(value)
+        elif c in staged:
+            value = F.when(is_new, F.col("__s_" + c).cast(dtype)).otherwise(value)
+        elif c == active:
+            value = F.when(is_new | is_updated, F.lit(True)).otherwise(value)
+        elif c == modified:
+            value = F.when(is_updated, ts).otherwise(value)
+        elif c == created:
+            value = F.when(is_new, ts).otherwise(value)
+        cols.append(value.cast(dtype).alias(c))
+    return both.select(*cols, "__state", "__times")
 
 
 def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dict[str, object],
@@ -89,47 +138,23 @@ def upsert_type1(target: DataFrame, source: DataFrame, *, key: str, compare: dic
     * inserted: source rows whose key is absent from the target, numbered from the
       current largest surrogate key; a key twice among them raises ``LoadError``.
     ``source`` must already hold only valid rows (F1).
-    """
-    ts = X.timestamp_literal(load_ts)
-    changed = changed_rows(target, source, key=key, compare=compare, order=order, active=active,
-                           text_compare=text_compare)
-    changed = changed.withColumn("__chg", F.lit(True))
-
-    kept = target.join(changed, key, "left")
-    flag = F.col("__chg").isNotNull()
-    cols = []
-    for c in target.columns:
-        if c in compare:
-            cols.append(F.when(flag, F.col("__s_" + c)).otherwise(F.col(c)).alias(c))
-        elif c == active:
-            cols.append(F.when(flag, F.lit(True)).otherwise(F.col(c)).alias(c))
-        elif modified and c == modified:
-            cols.append(F.when(flag, ts).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    kept = kept.select(*cols)
 
-    new = missing_from(source, target, {key: key})
-    if check_unique and duplicate_keys(new, [key]).limit(1).count() > 0:
+    Both sides are read once: the classified rows are written in one pass, new ones first, which also
+    counts them, finds repeated new keys and the largest surrogate key; numbering reads what was written.
+    """
+    rows = classify_type1(target, source, key=key, compare=compare, surrogate=surrogate, load_ts=load_ts, order=order,
+                          active=active, created=created, modified=modified, text_compare=text_compare)
+    seen = Observation()
+    is_new = F.col("__state") == NEW
+    written = write_sorted(rows, [F.col("__state") != NEW, key], seen, F.count_if(is_new).alias("inserted"),
+                           F.count_if(F.col("__state") == UPDATED).alias("updated"),
+                           F.count_if(is_new & (F.col("__times") > 1)).alias("repeated"), F.max(surrogate).alias("top"))
+    counts = seen.get
+    if check_unique and counts["repeated"]:
         raise LoadError(f"duplicate key {key} in the new rows")
-    base = current_max(target, surrogate)
-    new = assign_surrogate_keys(new, surrogate, [key], base=base,
-                                key_type=dict(target.dtypes)[surrogate])
-    defaults = {active: F.lit(True)}
-    if created:
-        defaults[created] = ts
-    if modified:
-        defaults[modified] = F.lit(None).cast("timestamp_ntz")
-    new_cols = []
-    for c, dtype in target.dtypes:
-        if c in new.columns:
-            new_cols.append(F.col(c).cast(dtype).alias(c))
-        elif c in defaults:
-            new_cols.append(defaults[c].cast(dtype).alias(c))
-        else:
-            new_cols.append(F.lit(None).cast(dtype).alias(c))
-    inserted = new.select(*new_cols)
-    return UpsertResult(kept.unionByName(inserted), inserted, changed.select(key))
+    numbered = number_rows(written, surrogate, counts["top"] or 0, dict(target.dtypes)[surrogate], counted=is_new)
+    return UpsertResult(numbered.select(*target.columns), numbered.filter(is_new).select(*target.columns),
+                        numbered.filter(F.col("__state") == UPDATED).select(key), counts["inserted"], counts["updated"])
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str] | dict[str, str]) -> DataFrame:
@@ -144,11 +169,18 @@ def history_for(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
     """The part of a (large) fact history that a batch can collide with.
 
     A semi join with the batch's distinct keys; the planner and AQE broadcast them when
-    they are few, so the history is then not shuffled.
+    they are few, so the history is then not shuffled. A load hands in only the history's partitions
+    that can hold the batch's keys (``id_seasons``).
     """
     return existing.join(batch.select(*keys).distinct(), keys, "left_semi")
 
 
+def id_seasons(batch: DataFrame, game_id: str = "game_id") -> list[int]:
+    """The fact partitions that hold a batch's games: one value a season, from a partial aggregate."""
+    found = batch.select(X.id_season(game_id).alias("id_season")).filter(F.col("id_season").isNotNull()).distinct()
+    return sorted(r.id_season for r in found.collect())
+
+
 GAME_MEASURES = ("home_goals", "away_goals", "home_shots", "away_shots")
 STAT_MEASURES = ("goals", "assists", "shots", "hits", "blocks", "penalty_minutes")
 
@@ -179,8 +211,8 @@ def load_game_fact(staged: DataFrame, teams: DataFrame, dates: DataFrame, existi
 
 def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, teams: DataFrame,
                     existing: DataFrame | None = None, *, load_ts: datetime | None = None,
-                    base: int | None = None) -> DataFrame:
-    """K7: new player-game stats fact rows (insert-only).
+                    base: int | None = None, with_season: bool = False) -> DataFrame:
+    """K7: new player-game stats fact rows (insert-only); ``with_season`` adds the partition they belong to.
 
     Game, player and team keys are resolved by inner joins (J3); rows already in
     the fact on (game, player, team) are skipped (J6); NULL measures become 0
@@ -196,13 +228,14 @@ def load_stats_fact(staged: DataFrame, games: DataFrame, players: DataFrame, tea
     if existing is not None:
         s = missing_from(s, history, {k: k for k in keys})
     zero = {c: X.isnull_typed(c, F.lit(0)) for c in STAT_MEASURES}
+    season = [X.id_season("game_id").alias("id_season")] if with_season else []
     s = s.select(*keys, *[zero[c].alias(c) for c in STAT_MEASURES],
-                 X.points(zero["goals"], zero["assists"]).alias("points"), "time_on_ice_seconds")
+                 X.points(zero["goals"], zero["assists"]).alias("points"), "time_on_ice_seconds", *season)
     if base is None:
         base = current_max(existing, "player_game_stats_key") if existing is not None else 0
     out = assign_surrogate_keys(s, "player_game_stats_key", keys, base=base, key_type="long")
     out = out.select("player_game_stats_key", *keys, "goals", "assists", "points", "shots", "hits", "blocks",
-                     "penalty_minutes", "time_on_ice_seconds")
+                     "penalty_minutes", "time_on_ice_seconds", *(["id_season"] if with_season else []))
     if load_ts is not None:
         out = out.withColumn("created_date", X.timestamp_literal(load_ts))
     return out

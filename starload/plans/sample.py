@@ -14,10 +14,12 @@ from starload.functions import expr as X
 from starload.operators import deletes as D
 from starload.operators.joins import missing_from
 from starload.operators.keys import assign_surrogate_keys, current_max
+from starload.operators.loads import id_seasons
 from starload.plans import audit as A
 from starload.plans import jobs as J
 from starload.plans.store import Warehouse
 from starload.schemas import SOURCE_SYSTEM
+from starload.session import scratch_scope
 
 # ---- fixed values: the reference's sample data --------------------------------------------------
 SAMPLE_SOURCE_SYSTEM = "Sample Data"
@@ -103,7 +105,7 @@ def sample_rows(spark: SparkSession) -> dict[str, tuple[DataFrame, list[str]]]:
 
 def stage_sample(spark: SparkSession, wh: Warehouse, load_ts: datetime) -> None:
     """001: reset the four sample batches (K11) and stage each row unless already staged."""
-    with wh.transaction() as tx:
+    with scratch_scope(spark), wh.transaction() as tx:
         tx.append("load_batch", A.events_frame(spark, [
             A.start_event(b, SAMPLE_SOURCE_SYSTEM, load_ts) for b in BATCHES.values()]))
         for table, (rows, keys) in sample_rows(spark).items():
@@ -133,17 +135,20 @@ def cleanup_sample(spark: SparkSession, wh: Warehouse) -> None:
     player_ids = [p[0] for p in SAMPLE_PLAYERS]
     team_ids = [t[0] for t in SAMPLE_TEAMS]
     with wh.transaction() as tx:
-        games = tx.read("game_fact")
+        # only the partitions of the sample's games hold rows to delete: the others are not touched
+        parts = id_seasons(spark.createDataFrame([(i,) for i in game_ids], "game_id long"))
+        games = tx.read("game_fact", parts, with_part=True)
         sample_games = games.filter(F.col("game_id").isin(game_ids))
-        stats = D.delete_by_join(tx.read("player_game_stats_fact"), sample_games, {"game_key": "game_key"})
+        stats = D.delete_by_join(tx.read("player_game_stats_fact", parts, with_part=True), sample_games, {"game_key": "game_key"})
         games = games.filter(~F.col("game_id").isin(game_ids))
+        tx.keep("player_game_stats_fact", stats, parts)
+        tx.keep("game_fact", games, parts)
+        stats, games = tx.read("player_game_stats_fact"), tx.read("game_fact")  # the guards need the whole facts
         players = D.guarded_delete(tx.read("player_dim"), "player_key", F.col("player_id").isin(player_ids),
                                    [(stats, "player_key")])
         teams = D.guarded_delete(tx.read("team_dim"), "team_key", F.col("team_id").isin(team_ids),
                                  [(players, "team_key"), (games, "home_team_key"), (games, "away_team_key"),
                                   (stats, "team_key")])
-        tx.keep("player_game_stats_fact", stats)
-        tx.keep("game_fact", games)
         tx.keep("player_dim", players)
         tx.keep("team_dim", teams)
         for table, batch in BATCHES.items():

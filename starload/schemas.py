@@ -23,6 +23,7 @@ BOXSCORE_SIDES = ("awayTeam", "homeTeam")
 STAGING_TABLES = ("team_raw", "player_raw", "game_raw", "player_game_stats_raw")
 ERROR_MESSAGE_LIMIT = 4000
 SEASON_START_MONTH = 9
+GAME_IDS_PER_SEASON = 1_000_000
 CALENDAR_ERROR = "calendar needs a start date and an end date not before it"
 NULL_TEXT_SENTINEL = ""
 NULL_KEY_SENTINEL = -1
@@ -104,6 +105,12 @@ SCHEMAS = {
     "load_batch": LOAD_BATCH,
 }
 
+#: Facts are stored by partition of this column; reports do not see it.
+PARTITIONS = {"game_fact": "id_season", "player_game_stats_fact": "id_season"}
+#: The surrogate key of each table that has one.
+SURROGATES = {"team_dim": "team_key", "player_dim": "player_key", "game_fact": "game_key",
+              "player_game_stats_fact": "player_game_stats_key"}
+
 #: Foreign keys of the warehouse (fixed values of the data model): child table, column, parent table, parent key.
 REFERENCES = (
     ("player_dim", "team_key", "team_dim", "team_key"),

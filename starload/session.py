@@ -1,10 +1,15 @@
-"""Session helpers: a local session for tests and benches, and the checkpoint folder."""
+"""Session helpers: a local session for tests and benches, the checkpoint folder and temporary data in it."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -51,3 +56,63 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="starload-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
+
+
+# ---- temporary data ----------------------------------------------------------------------------
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark can write; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()
+                        if spark._jsc.sc().isStopped() else spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Temporary paths below the shared checkpoint folder, and the deletion of all of them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        return self.own(f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}")
+
+    def own(self, path: str) -> str:
+        """Delete ``path``, too, when this scope ends."""
+        self.paths.append(path)
+        return path
+
+    def remove(self) -> None:
+        while self.paths:
+            remove_path(self.spark, self.paths.pop())
+
+
+_scopes: list[Scratch] = []  # the open ones, the innermost last; the first is the application's own
+
+
+def scratch(spark: SparkSession) -> Scratch:
+    """The innermost open scope of temporary data; outside of all, the application's own, removed at its exit."""
+    if not _scopes:
+        _scopes.append(Scratch(spark))
+    return _scopes[-1]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Temporary data made inside is deleted at the end: results must be written or collected by then."""
+    scratch(spark)
+    scope = Scratch(spark)
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        scope.remove()
+
+
+@atexit.register
+def _remove_all() -> None:
+    try:
+        for scope in _scopes:
+            scope.remove()
+    except (Py4JError, OSError):
+        pass  # the JVM went first: nothing more can be deleted through it
