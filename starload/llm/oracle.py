@@ -42,4 +42,75 @@ select doc_id, size, source, source_size, target, taken::bigint as taken,
 from timed
 """
 
-LLM_ORACLE: dict[str, str] = {"op8_source_mix": OP8}
+VECTORS = """
+with vectors as (
+  select vec_id, {label} as label, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as vec
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)"""
+
+OP1 = VECTORS.format(label="label", scale=64) + """,
+scored as (
+  select q.vec_id as query_id, v.vec_id, list_dot_product(q.vec::double[], v.vec::double[])::bigint as score
+  from vectors q join vectors v on q.vec_id <> v.vec_id where q.vec_id % 20 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+OP12 = VECTORS.format(label="case when vec_id % 7 = 0 then (label + 1) % 10 else label end", scale=256) + """,
+scored as (
+  select a.vec_id as anchor_id, v.vec_id, v.label = a.label as same,
+         list_dot_product(a.vec::double[], v.vec::double[])::bigint as score
+  from vectors a join vectors v on a.vec_id <> v.vec_id
+  where a.vec_id % 100 = 0 and a.label is not null and v.label is not null),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+ranked as (
+  select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+  from positives join scored using (anchor_id)
+  where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5
+"""
+
+
+def _assigned(books: str) -> str:
+    """Every part with its nearest entry: the least (distance, index)."""
+    return f"""
+  select vec_id, label, part, cell, min(struct_pack(d := list_sum(list_transform(list_zip(cell, book),
+         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, entry := entry)) as best
+  from cells join {books} using (part) group by vec_id, label, part, cell"""
+
+
+def _round(k: int) -> str:
+    """Codebooks after one more round: floored means by component, unused entries as they were."""
+    return f""",
+assigned{k} as ({_assigned(f"books{k - 1}")}),
+moved{k} as (
+  select part, entry, list(mean order by place) as book
+  from (select part, best.entry as entry, place, floor(sum(cell[place])::hugeint::double / count(*))::bigint as mean
+        from assigned{k}, generate_series(1, (select max(len(cell)) from cells)) as s(place) group by all)
+  group by part, entry),
+books{k} as (
+  select part, entry, coalesce(m.book, b.book) as book from books{k - 1} b left join moved{k} m using (part, entry))"""
+
+
+OP13 = VECTORS.format(label="label", scale=1024) + """,
+cells as (
+  select vec_id, label, part, vec[part * (len(vec) // 4) + 1: (part + 1) * (len(vec) // 4)] as cell
+  from vectors, generate_series(0, 3) as s(part)),
+books0 as (
+  select part, row_number() over (partition by part order by vec_id) - 1 as entry, cell as book
+  from cells where vec_id in (select vec_id from vectors order by vec_id limit 256))""" + "".join(map(_round, range(1, 5))) + f""",
+coded as ({_assigned("books4")}),
+rows as (
+  select vec_id, label, string_agg(printf('%02x', best.entry), '' order by part) as code, sum(best.d)::bigint as error
+  from coded group by vec_id, label),
+digest as (
+  select sha256(string_agg(array_to_string(book, ','), ',' order by part, entry)) as codebooks_sha256 from books4)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from rows, digest
+"""
+
+LLM_ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op8_source_mix": OP8, "op12_hard_negatives": OP12,
+                              "op13_vector_codes": OP13}

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,9 +23,9 @@ from starload.llm.frames import written
 RANGES = 64
 RANGE_BYTES = 256 << 20
 SAMPLES = 16
-#: A range above this many times the mean is divided again, at most so often.
+#: A range above this many times the mean is divided again, with twice the sample each time, in at most so many rounds.
 OVERFULL = 2.0
-ROUNDS = 8
+ROUNDS = 7
 #: Boundaries compared per step of the search for a row's range.
 FANOUT = 32
 
@@ -63,35 +62,33 @@ def range_of(bounds: list[tuple]) -> Column:
     return place
 
 
-def sample(rows: DataFrame, wanted: int, total: int) -> Iterator[tuple]:
-    """About ``wanted`` rows in key order, each drawn with a chance in proportion to its size: (key, weight).
+def sample(pairs: DataFrame, wanted: int, total: int) -> list[tuple]:
+    """About ``wanted`` (text, id) pairs in key order, each drawn with a chance in proportion to its bytes.
 
-    A row's draw is a hash of its key, so that reruns agree. ``total`` is the sum of the sizes.
+    ``((text_hash, id_hash), rows, weight)``. A pair's draw is a hash of its key, so that the sample follows from
+    the rows alone. ``total`` is the sum of the bytes.
     """
-    draw = (F.shiftrightunsigned(F.xxhash64(*KEY, F.lit("draw")), 11) + 0.5) / float(2 ** 53)
+    draw = (F.shiftrightunsigned(F.xxhash64("text_hash", "id_hash", F.lit("draw")), 11) + 0.5) / float(2 ** 53)
     step = total / wanted
-    for r in rows.where(draw * step < F.col("size")).select(*KEY, "size").orderBy(*KEY).collect():
-        yield tuple(r[:3]), max(r.size, step)
+    drawn = pairs.where(draw * step < F.col("bytes")).select("text_hash", "id_hash", "n", "bytes")
+    return [((r.text_hash, r.id_hash), r.n, max(r.bytes, step)) for r in drawn.orderBy("text_hash", "id_hash").collect()]
 
 
 def quantiles(drawn: list[tuple], parts: int) -> list[tuple]:
-    """Boundaries that cut a weighted sample into ``parts`` of equal weight.
+    """Boundaries that cut a weighted sample into ``parts`` of about equal weight.
 
-    A boundary inside one text moves to the text's first key, unless the one before is already there:
-    only a text of more than a part's weight is divided.
+    A boundary inside one text moves to the text's first key, unless the one before is already there;
+    the next one to the first row of its id; further ones divide the rows of that id evenly. So only
+    a text of more than a part's weight is divided, and only then its ids.
     """
-    total, seen, out = sum(w for _, w in drawn), 0.0, []
-    for key, weight in drawn:
-        if seen * parts >= total * (len(out) + 1):
-            whole = (key[0], LEAST, LEAST)
-            here = whole if not out or out[-1] < whole else key
-            if not out or here > out[-1]:
-                out.append(here)
-            # several quantiles within one row are one boundary
-            while seen * parts >= total * (len(out) + 1):
-                out.append(out[-1])
+    total, seen, out = sum(w for *_, w in drawn), 0.0, [(LEAST, LEAST, LEAST)]
+    for (text, one), n, weight in drawn:
+        while seen + weight > (target := total * len(out) / parts) and len(out) < parts:
+            inside = LEAST + int(max(0.0, target - seen) / weight * 2 ** 64)
+            ways = [(text, LEAST, LEAST), (text, one, LEAST)] + [(text, one, inside)] * (n > 1)
+            out.append(next((b for b in ways if b > out[-1]), out[-1]))
         seen += weight
-    return sorted(set(out))
+    return sorted(set(out))[1:]
 
 
 def ranges(rows: DataFrame, shards: int) -> tuple[list[tuple], dict[int, tuple[int, int]]]:
@@ -99,37 +96,34 @@ def ranges(rows: DataFrame, shards: int) -> tuple[list[tuple], dict[int, tuple[i
 
     The number of ranges follows the number of shards and the bytes, never the rows of one key.
     """
-    total = rows.agg(F.sum("size")).first()[0]
+    pairs = written(rows.groupBy("text_hash", "id_hash").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-keys")
+    total = pairs.agg(F.sum("bytes")).first()[0]
     if not total:
         return [], {}
     parts = max(RANGES * shards, -(-total // RANGE_BYTES))
-    bounds = quantiles(list(sample(rows, SAMPLES * parts, total)), parts)
-    for _ in range(ROUNDS):
-        placed = rows.withColumn("range", range_of(bounds))
-        sums = {r.range: (r.bytes, r.n, r.most) for r in placed.groupBy("range").agg(
+    bounds = quantiles(sample(pairs, SAMPLES * parts, total), parts)
+    for again in range(1, ROUNDS + 1):
+        sums = {r.range: (r.bytes, r.n, r.most) for r in rows.withColumn("range", range_of(bounds)).groupBy("range").agg(
             F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.max("size").alias("most")).collect()}
         # a single row cannot be divided, nor can what it fills
         over = {i: b for i, (b, n, most) in sums.items() if n > 1 and b - most > OVERFULL * total / parts}
-        if not over:
+        if not over or again == ROUNDS:
             break
         weight = sum(over.values())
-        inside = placed.where(F.col("range").isin(sorted(over)))
+        inside = pairs.withColumn("row_hash", F.lit(LEAST)).withColumn("range", range_of(bounds)).where(F.col("range").isin(sorted(over)))
         drawn: dict[int, list] = {i: [] for i in over}
-        for key, w in sample(inside, SAMPLES * -(-weight * parts // total), weight):
-            drawn[bisect_right(bounds, key)].append((key, w))
-        more = [b for i, keys in drawn.items() for b in quantiles(keys, -(-over[i] * parts // total))]
-        if set(more) <= set(bounds):
-            break
-        bounds = sorted({*bounds, *more})
+        for one in sample(inside, (SAMPLES << again) * -(-weight * parts // total), weight):
+            drawn[bisect_right(bounds, (*one[0], LEAST))].append(one)
+        bounds = sorted({*bounds, *(b for i, keys in drawn.items() for b in quantiles(keys, -(-over[i] * parts // total)))})
     return bounds, {i: s[:2] for i, s in sums.items()}
 
 
 def place_rows(rows: DataFrame, shards: int) -> DataFrame:
     """Add ``shard`` and ``slot`` to rows of ``keyed``: shards of nearly equal bytes, slots gapless from 0.
 
-    A row's shard is the place of its first byte among all bytes; rows of one text in one range go
-    with the first of them. So a shard misses the mean by the largest row or the bytes that one
-    text has in a range, whichever is more. Within a shard, slots follow the key. No rows give none.
+    A row's shard is the place of its first byte among all bytes; rows of one text go with the first of
+    them, unless the text is so large that its range was divided. So a shard misses the mean by the
+    largest row or text of a range, whichever is more. Within a shard, slots follow the key. No rows give none.
     """
     bounds, sums = ranges(rows, shards)
     total = max(1, sum(b for b, _ in sums.values()))
@@ -137,14 +131,15 @@ def place_rows(rows: DataFrame, shards: int) -> DataFrame:
     for i in sorted(sums):
         base[i] = done
         done = (done[0] + sums[i][0], done[1] + sums[i][1])
-    start = F.from_json(F.lit(json.dumps([base.get(i) and {"b": base[i][0], "n": base[i][1]} for i in range(len(bounds) + 1)])),
-                        "array<struct<b:bigint,n:bigint>>")[F.col("range")]
+    apart = [any(b[1] != LEAST for b in bounds[max(i - 1, 0): i + 1]) for i in range(len(bounds) + 1)]
+    known = [base.get(i) and {"b": base[i][0], "n": base[i][1], "apart": apart[i]} for i in range(len(bounds) + 1)]
+    start = F.from_json(F.lit(json.dumps(known)), "array<struct<b:bigint,n:bigint,apart:boolean>>")[F.col("range")]
     order = Window.partitionBy("range").orderBy(*KEY)
     text = Window.partitionBy("range", "text_hash").orderBy(*KEY)
     upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = (rows.withColumn("range", range_of(bounds))
               .select("*", (upto - F.col("size") + start["b"]).alias("byte"), (F.row_number().over(order) - 1 + start["n"]).alias("nth"))
-              .withColumn("byte", F.first("byte").over(text))
+              .withColumn("byte", F.when(start["apart"], F.col("byte")).otherwise(F.first("byte").over(text)))
               .withColumn("shard", F.expr(f"cast(byte * {shards}L div {total}L as int)")))
     # a shard's first row is in the range that holds its first byte, or opens the next one
     held = sorted(base)
@@ -161,7 +156,8 @@ def assign(docs: DataFrame, shards: int = 16, carry: list[str] | None = None, te
     """``row, size, text_crc32, shard, slot``: every row (its ``carry`` columns, all by default, in a struct) in a shard.
 
     Null and empty texts have size 1. Rows may repeat, and their ids repeat or be null: each row has a
-    slot of its own. Ids and texts decide the order, the place in the input only among equal rows.
+    slot of its own. Texts and ids decide the order and the shards, a row's place in the input only the
+    order of rows equal in both: reruns agree, whatever the input's partitions.
     """
     return place_rows(keyed(docs, docs.columns if carry is None else carry, text, doc_id), shards)
 
