@@ -6,7 +6,7 @@ codegen; none needs a Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.schemas import ERROR_MESSAGE_LIMIT, GAME_IDS_PER_SEASON, SEASON_START_MONTH
@@ -156,6 +156,18 @@ def normalize_code(c) -> Column:
     return F.upper(F.trim(_c(c)))
 
 
+def host_text(c) -> Column:
+    """Text that compares as on the reference's host: case and trailing blanks do not count (a Spark collation)."""
+    return F.collate(_c(c), "UTF8_LCASE_RTRIM")
+
+
+def comparable(df: DataFrame, c: str, text: str) -> Column:
+    """Column ``c`` as a join, group or duplicate key: text in the host's comparison if ``text`` is ``'host'``."""
+    if text not in ("binary", "host"):
+        raise ValueError("text must be 'binary' or 'host'")
+    return host_text(df[c]) if text == "host" and dict(df.dtypes)[c] == "string" else df[c]
+
+
 def season_start_year(d) -> Column:
     """The season of a date starts in September of this year, else of the previous year."""
     d = _c(d)

@@ -12,12 +12,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions import expr as X
 from starload.operators.joins import missing_from
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFrame:
-    """Keys present more than once, with their counts (GROUP BY .. HAVING COUNT(*) > 1)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+def duplicate_keys(df: DataFrame, keys: list[str], count_col: str = "n", text: str = "binary") -> DataFrame:
+    """Keys present more than once, with their counts (GROUP BY .. HAVING COUNT(*) > 1).
+
+    ``text='host'`` takes texts that differ in case or trailing blanks as one key; its smallest form is returned.
+    """
+    n = F.count(F.lit(1)).alias(count_col)
+    if text == "binary":
+        return df.groupBy(*keys).agg(n).filter(F.col(count_col) > 1)
+    grouped = df.groupBy(*[X.comparable(df, c, text).alias(f"__k{i}") for i, c in enumerate(keys)])
+    return grouped.agg(*[F.min(c).alias(c) for c in keys], n).filter(F.col(count_col) > 1).select(*keys, count_col)
 
 
 def duplicate_key_count(df: DataFrame, keys: list[str], out: str = "duplicate_count") -> DataFrame:
@@ -35,12 +43,25 @@ def reference_violations(tables: dict[str, DataFrame], references) -> DataFrame:
     """C3 for several references: (child_table, column_name, violations), one row per reference.
 
     ``references`` holds (child table, column, parent table, parent key); a NULL reference is no violation.
+    Each child is read once: its reference columns are unpivoted, counted per value, and met with the stacked keys
+    of all parents in one anti join. Keys are integers (K15).
     """
-    parts = [fk_violations(tables[child], tables[parent], {column: key})
-             .agg(F.count(F.lit(1)).alias("violations"))
-             .select(F.lit(child).alias("child_table"), F.lit(column).alias("column_name"), "violations")
-             for child, column, parent, key in references]
-    return reduce(DataFrame.unionByName, parts)
+    spark = next(iter(tables.values())).sparkSession
+    used = []
+    for child in dict.fromkeys(r[0] for r in references):
+        refs = [F.struct(F.lit(child).alias("child_table"), F.lit(column).alias("column_name"),
+                         F.lit(f"{parent}.{key}").alias("parent"), F.col(column).cast("long").alias("value"))
+                for c, column, parent, key in references if c == child]
+        used.append(tables[child].select(F.inline(F.array(*refs))).filter(F.col("value").isNotNull())
+                    .groupBy("child_table", "column_name", "parent", "value").agg(F.count(F.lit(1)).alias("violations")))
+    known = [tables[parent].select(F.lit(f"{parent}.{key}").alias("parent"), F.col(key).cast("long").alias("value"))
+             for parent, key in dict.fromkeys(r[2:] for r in references)]
+    broken = missing_from(reduce(DataFrame.unionByName, used), reduce(DataFrame.unionByName, known),
+                          {"parent": "parent", "value": "value"})
+    none = spark.createDataFrame([(child, column, 0) for child, column, _, _ in references],
+                                 "child_table string, column_name string, violations long")
+    return (broken.select(none.columns).unionByName(none).groupBy("child_table", "column_name")
+            .agg(F.sum("violations").alias("violations")))
 
 
 def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:

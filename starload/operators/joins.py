@@ -9,18 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions import expr as X
+
 
 def resolve_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_: str | None = None,
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", text: str = "binary") -> DataFrame:
     """Attach ``dim.key`` (renamed ``as_``) to ``df`` by natural key ``on = {df_col: dim_col}``.
 
     ``how='inner'`` drops unresolved rows silently (J3); ``how='left'`` keeps them
-    with a NULL key (J4).
+    with a NULL key (J4). ``text='host'`` compares text keys without case and trailing blanks.
     """
     out_name = as_ or key
     tmp = {c: f"__rk_{i}" for i, c in enumerate(on)}
     lookup = dim.select(*[F.col(d).alias(tmp[c]) for c, d in on.items()], F.col(key).alias(out_name))
-    cond = [df[c] == lookup[tmp[c]] for c in on]
+    cond = [X.comparable(df, c, text) == X.comparable(lookup, tmp[c], text) for c in on]
     return df.join(lookup, cond, how).drop(*tmp.values())
 
 

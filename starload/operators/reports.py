@@ -47,11 +47,11 @@ _TEAM_SUMS = [("Goals For", "goals_for"), ("Goals Against", "goals_against"),
 def team_season_summary(games: DataFrame, teams: DataFrame, *, season="season", home="home_team_key",
                         away="away_team_key", team_key="team_key", team_name="team_name",
                         home_goals="home_goals", away_goals="away_goals", home_shots="home_shots",
-                        away_shots="away_shots") -> DataFrame:
+                        away_shots="away_shots", text: str = "binary") -> DataFrame:
     """A1: per (season, team name): games, wins, losses, goals and shots for/against.
 
     NULL scores count as 0 goals but still as a game; ties count neither way; equal
-    team names merge. Games are aggregated per team key before the join, so the
+    team names merge (``text='host'``: whatever their case and trailing blanks; the smallest form is shown). Games are aggregated per team key before the join, so the
     fact is never shuffled for it and only one row per season and team is joined.
     """
     tg = team_games(games, season=season, home=home, away=away, team_col="__team", home_goals=home_goals,
@@ -64,7 +64,9 @@ def team_season_summary(games: DataFrame, teams: DataFrame, *, season="season",
     pre = tg.groupBy("__season", "__team").agg(
         F.count(F.lit(1)).alias("g"), F.sum("win").alias("w"), F.sum("loss").alias("l"),
         *[F.sum(F.coalesce(F.col(src), F.lit(0))).alias(src) for _, src in _TEAM_SUMS])
-    out = pre.join(dim, "__team").groupBy("__season", "__name").agg(
+    named = pre.join(dim, "__team")
+    out = named.groupBy("__season", X.comparable(named, "__name", text).alias("__same")).agg(
+        F.min("__name").alias("__name"),
         F.sum("g").cast("long").alias("Games Played"), F.sum("w").cast("long").alias("Wins"),
         F.sum("l").cast("long").alias("Losses"),
         *[F.sum(src).cast("long").alias(name) for name, src in _TEAM_SUMS])

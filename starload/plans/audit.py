@@ -1,10 +1,10 @@
 """Load batch audit log.
 
-The log is append-only: each start, end, failure or reset appends one event row
-with an increasing ``event_seq``; the audit table's current state is the latest
-event per batch (``max_by``), so a replay that ends a batch again overwrites its
-outcome exactly as the host's UPDATE does. The start time is that of the latest
-event that carries one.
+Each start, end, failure or reset is one event row with an increasing ``event_seq``; the
+state of a batch is its latest event (``max_by``), so a replay that ends a batch again
+overwrites its outcome exactly as the host's UPDATE does. The start time is that of the
+latest event that carries one. A commit folds its events into the state it found, so the
+audit table holds one row per batch in one directory, however many events there were.
 """
 
 from __future__ import annotations
@@ -68,6 +68,12 @@ def events_frame(spark: SparkSession, events: list[tuple]) -> DataFrame:
     return spark.createDataFrame(events, LOAD_BATCH)
 
 
+def record(tx, events: list[tuple]) -> None:
+    """Commit ``events`` with ``tx``: the audit table becomes the state after them."""
+    state = tx.read("load_batch").unionByName(events_frame(tx.store.spark, events))
+    tx.replace("load_batch", current_state(state).coalesce(1))
+
+
 def current_state(events: DataFrame) -> DataFrame:
     """Current audit row per batch: the latest event's outcome, the latest known start time."""
     latest = F.struct(*[F.col(c) for c in ("source_system", "load_end_date", "status", "rows_inserted",

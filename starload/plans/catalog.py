@@ -184,6 +184,45 @@ def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.latest_batch(Roles(spark, sf_dir).table("events"), "event_type", "ts")
 
 
+# ---- the host's text comparison (A1, C1, J3, R5) -----------------------------------------------
+
+def _varied(name: str, key: str):
+    """A text in several spellings that the host takes as one: by key in upper or lower case, with trailing blanks."""
+    k = F.col(key)
+    spelled = F.when(k % 3 == 0, F.upper(name)).when(k % 3 == 1, F.lower(name)).otherwise(F.col(name))
+    return F.concat(spelled, F.when(k % 2 == 0, F.lit("  ")).otherwise(F.lit("")))
+
+
+@query
+def v_team_season_summary_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams named after their conference, spelled in several ways: one row per conference and season."""
+    m = Roles(spark, sf_dir)
+    teams = m.team.select("team_id", _varied("conference", "team_id").alias("team_name"))
+    return R.team_season_summary(m.game, teams, home="home_team_id", away="away_team_id", team_key="team_id", text="host")
+
+
+@query
+def dup_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = Roles(spark, sf_dir).table("part").select(_varied("p_brand", "p_partkey").alias("name"))
+    return C.duplicate_keys(parts, ["name"], text="host")
+
+
+@query
+def key_lookup_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts spell the nation they come from in their own way; the lookup finds its key all the same."""
+    m = Roles(spark, sf_dir)
+    nation = m.table("nation").select("n_nationkey", "n_name")
+    parts = m.table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    parts = parts.select("s_suppkey", _varied("n_name", "s_suppkey").alias("nation"))
+    return J.resolve_key(parts, nation, {"nation": "n_name"}, "n_nationkey", text="host").select("s_suppkey", "n_nationkey")
+
+
+@query
+def first_wins_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = Roles(spark, sf_dir).table("part").select("p_partkey", _varied("p_brand", "p_partkey").alias("code"))
+    return dedupe(parts, ["code"], ["p_partkey"], keep="first", text="host")
+
+
 # ---- deletes (J8, J9, K12) --------------------------------------------------------------------
 
 @query
@@ -201,6 +240,15 @@ def guarded_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id")
 
 
+@query
+def guarded_delete_either(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A guard that holds a parent by either of two columns (``home = k OR away = k``): two anti joins."""
+    m = Roles(spark, sf_dir)
+    lines = m.table("lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45))
+    return D.guarded_delete(m.table("part"), "p_partkey", F.col("p_size") < 30,
+                            [(lines, "l_partkey"), (lines, "l_suppkey")]).select("p_partkey")
+
+
 # ---- dedupe and selection (R5, R9, P6, T2, F3) -------------------------------------------------
 
 @query

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 from datetime import date, datetime
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from starload.operators.joins import exists_in, resolve_key
 from starload.plans import audit as A
 from starload.plans.store import Transaction, Warehouse
 from starload.schemas import LENGTH_LIMITS, NOT_NULL, NULL_DATE_SENTINEL, PARTITIONS, REFERENCES, SCHEMAS, SOURCE_SYSTEM
-from starload.session import scratch_scope
+from starload.session import scratch_scope, written
 from starload.sources import payloads as P
 
 log = logging.getLogger("starload")
@@ -69,7 +69,7 @@ def stage(wh: Warehouse, table: str, rows: DataFrame, batch_id: str, load_ts: da
     with scratch_scope(wh.spark), wh.transaction() as tx:
         stamped = conform(P.batch_stamp(rows, batch_id, load_ts, order, source_system), table)
         tx.refresh_staging(table, stamped)
-        tx.append("load_batch", A.events_frame(wh.spark, [A.start_event(batch_id, source_system, load_ts)]))
+        A.record(tx, [A.start_event(batch_id, source_system, load_ts)])
     return wh.rows(table)
 
 
@@ -84,12 +84,11 @@ def run_step(wh: Warehouse, batch_id: str, step, source_system: str = SOURCE_SYS
     try:
         with scratch_scope(wh.spark), wh.transaction() as tx:
             inserted, updated = step(tx)
-            tx.append("load_batch", A.events_frame(wh.spark, [A.succeeded_event(batch_id, inserted, updated,
-                                                                                  source_system)]))
+            A.record(tx, [A.succeeded_event(batch_id, inserted, updated, source_system)])
         return inserted, updated
     except Exception as exc:
         with wh.transaction() as tx:
-            tx.append("load_batch", A.events_frame(wh.spark, [A.failed_event(batch_id, str(exc), source_system)]))
+            A.record(tx, [A.failed_event(batch_id, str(exc), source_system)])
         raise
 
 
@@ -205,6 +204,15 @@ def _load(wh: Warehouse, staging: str, rows: DataFrame, order: list[str], load_t
 
 # ---- source loads ----------------------------------------------------------------------------------
 
+def _in_scope(load):
+    """A source load that removes its temporary data at its end."""
+    @wraps(load)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return load(spark, *args, **kwargs)
+    return run
+
+
 def _teams(spark: SparkSession, landing: str, payloads: DataFrame | None = None) -> DataFrame:
     payloads = P.read_payloads(spark, f"{landing}/teams") if payloads is None else payloads
     flat = P.flatten_teams(P.parse_envelope(payloads), keep=["path"])
@@ -219,18 +227,18 @@ def load_teams(spark: SparkSession, wh: Warehouse, landing: str, load_ts: dateti
     return _load(wh, "team_raw", rows, ["path", "team_pos"], load_ts)
 
 
+@_in_scope
 def load_players(spark: SparkSession, wh: Warehouse, landing: str, codes: str | None = None,
                  load_ts: datetime | None = None) -> C.LoadResult:
     """L2: team reference (R3) -> first team per code (R5) -> code filter (F5) -> rosters (R4, R6) -> player_dim."""
     ref = P.team_reference(_teams(spark, landing), keep=["path"])
     targets = P.roster_targets(ref, P.parse_codes(codes), path="path")
     targets = targets.join(ref.select("team_id", "team_pos"), "team_id")
-    landed = P.read_payloads(spark, f"{landing}/roster").withColumn(
-        "code", F.upper(P.payload_key("path", "roster")))
-    missing = P.missing_payloads(targets, landed, {"team_abbrev": "code"})
-    for r in missing.select("team_abbrev").orderBy("team_abbrev").toLocalIterator():
-        log.warning("no roster payload for team code %s: team skipped", r.team_abbrev)
-    docs = P.parse_envelope(landed.join(targets, landed.code == targets.team_abbrev))
+    targets = written(targets.withColumnRenamed("team_abbrev", "key"))
+    rosters = P.Landing(spark, landing, "roster")
+    for r in rosters.missing(targets.select("key")).orderBy("key").toLocalIterator():
+        log.warning("no roster payload for team code %s: team skipped", r.key)
+    docs = P.parse_envelope(rosters.read(targets.select("key")).join(targets, "key"))
     flat = P.flatten_rosters(docs, keep=["team_id", "team_pos"])
     rows = P.player_to_staging(flat, keep=["team_pos", "group_pos", "player_pos"])
     return _load(wh, "player_raw", rows, ["team_pos", "team_id", "group_pos", "player_pos"], load_ts)
@@ -242,13 +250,17 @@ def load_games(spark: SparkSession, wh: Warehouse, landing: str, start: date | N
     calendar over the staged range (K5, taken before the fact load) -> game_fact (K6)."""
     d_start, d_end = default_game_window(today or date.today())
     start, end = start or d_start, end or d_end
+    return load_schedules(spark, wh, _schedules(spark, landing, start, end), load_ts)
+
+
+def _schedules(spark: SparkSession, landing: str, start: date, end: date, must: bool = True) -> DataFrame:
+    """(path, request_date, raw) of the schedules of a window of days; ``must``: each of them has to be there."""
     bounds = spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
-    requested = L.dates_between(bounds, out="request_date")
-    landed = P.read_payloads(spark, f"{landing}/schedule")
-    landed = landed.withColumn("request_date", F.to_date(P.payload_key("path", "schedule")))
-    missing = P.missing_payloads(requested, landed, {"request_date": "request_date"}, fail="no schedule payload for")
-    missing.limit(1).collect()
-    return load_schedules(spark, wh, landed.join(requested, "request_date", "left_semi"), load_ts)
+    days = L.dates_between(bounds, out="day").select(F.date_format("day", "yyyy-MM-dd").alias("key"))
+    landed = P.Landing(spark, landing, "schedule")
+    if must:
+        landed.missing(days, fail="no schedule payload for").limit(1).collect()
+    return landed.read(days).select("path", F.to_date("key").alias("request_date"), "raw")
 
 
 def load_schedules(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
@@ -291,6 +303,7 @@ def load_boxscores(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
     return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)
 
 
+@_in_scope
 def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, start: date | None = None,
                            end: date | None = None, game_ids: str | None = None,
                            load_ts: datetime | None = None, today: date | None = None) -> C.LoadResult:
@@ -301,18 +314,15 @@ def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, sta
         wanted = spark.createDataFrame([(i,) for i in ids], "game_id long")
     else:
         d_start, d_end = default_stats_window(today or date.today())
-        start, end = start or d_start, end or d_end
-        sched = P.read_payloads(spark, f"{landing}/schedule").withColumn(
-            "request_date", F.to_date(P.payload_key("path", "schedule")))
-        sched = sched.filter(F.col("request_date").between(F.lit(start), F.lit(end)))
+        sched = _schedules(spark, landing, start or d_start, end or d_end, must=False)
         games = P.flatten_schedule(P.parse_envelope(sched)).select(
             F.try_variant_get("game", "$.id", "bigint").alias("game_id"),
             F.try_variant_get("game", "$.gameState", "string").alias("game_state"))
         wanted = P.final_game_ids(games)
-    landed = P.read_payloads(spark, f"{landing}/boxscore").withColumn(
-        "game_id", P.payload_key("path", "boxscore").cast("long"))
-    P.missing_payloads(wanted, landed, {"game_id": "game_id"}, fail="no boxscore payload for game").limit(1).collect()
-    docs = P.parse_envelope(landed.join(wanted, "game_id", "left_semi"))
+    wanted = written(wanted.select(F.col("game_id").cast("string").alias("key")))
+    boxscores = P.Landing(spark, landing, "boxscore")
+    boxscores.missing(wanted, fail="no boxscore payload for game").limit(1).collect()
+    docs = P.parse_envelope(boxscores.read(wanted).withColumn("game_id", F.col("key").cast("long")))
     flat = P.flatten_boxscores(docs, game_col="game_id")
     rows = P.stats_to_staging(flat, keep=["side_pos", "group_pos", "player_pos"])
     return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)

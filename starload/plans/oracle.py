@@ -241,6 +241,38 @@ select d.doc_id from documents d where not (d.n_chars < 5000
   and not exists (select 1 from pages p where p.page_id = d.doc_id)
   and not exists (select 1 from benchmark b where b.item_id = d.doc_id))""")
 
+oracle("guarded_delete_either", """
+select p_partkey from part where not (p_size < 30 and p_partkey not in (select l_partkey from guards)
+  and p_partkey not in (select l_suppkey from guards))""",
+       ("guards", "select l_partkey, l_suppkey from lineitem where l_returnflag = 'R' and l_quantity >= 45"))
+
+
+def _varied(name: str, key: str) -> str:
+    return (f"concat(case {key} % 3 when 0 then upper({name}) when 1 then lower({name}) else {name} end, "
+            f"case when {key} % 2 = 0 then '  ' else '' end)")
+
+
+oracle("v_team_season_summary_host_text", """
+select season as "Season", min(team_name) as "Team", count(*) as "Games Played",
+  count(*) filter (gf > ga) as "Wins", count(*) filter (gf < ga) as "Losses",
+  cast(sum(coalesce(gf, 0)) as bigint) as "Goals For", cast(sum(coalesce(ga, 0)) as bigint) as "Goals Against",
+  cast(sum(coalesce(sf, 0)) as bigint) as "Shots For", cast(sum(coalesce(sa, 0)) as bigint) as "Shots Against"
+from sides join spelled using (team_id) group by season, lower(rtrim(team_name))""",
+       ("spelled", f"select team_id, {_varied('conference', 'team_id')} as team_name from m_team"),
+       ("sides", """
+  select season, home_team_id as team_id, home_goals as gf, away_goals as ga, home_shots as sf, away_shots as sa from m_game
+  union all select season, away_team_id, away_goals, home_goals, away_shots, home_shots from m_game"""))
+
+oracle("dup_host_text", f"""
+select min(name) as name, count(*) as n from (select {_varied("p_brand", "p_partkey")} as name from part) z
+group by lower(rtrim(name)) having count(*) > 1""")
+
+oracle("key_lookup_host_text", "select s_suppkey, s_nationkey as n_nationkey from supplier")
+
+oracle("first_wins_host_text", f"""
+select p_partkey, {_varied("p_brand", "p_partkey")} as code from part
+where p_partkey in (select min(p_partkey) from part group by lower(p_brand))""")
+
 oracle("final_game_ids", "select distinct game_id from m_game where game_state in ('FINAL', 'OFF') order by game_id")
 
 oracle("last_wins_dedupe", """

@@ -106,8 +106,7 @@ def sample_rows(spark: SparkSession) -> dict[str, tuple[DataFrame, list[str]]]:
 def stage_sample(spark: SparkSession, wh: Warehouse, load_ts: datetime) -> None:
     """001: reset the four sample batches (K11) and stage each row unless already staged."""
     with scratch_scope(spark), wh.transaction() as tx:
-        tx.append("load_batch", A.events_frame(spark, [
-            A.start_event(b, SAMPLE_SOURCE_SYSTEM, load_ts) for b in BATCHES.values()]))
+        A.record(tx, [A.start_event(b, SAMPLE_SOURCE_SYSTEM, load_ts) for b in BATCHES.values()])
         for table, (rows, keys) in sample_rows(spark).items():
             batch = BATCHES[table]
             existing = tx.read(table)

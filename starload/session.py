@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starload") -> SparkSession:
@@ -109,6 +109,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
         scope.remove()
 
 
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` written once as Parquet in the scratch folder and read again, so that the planner knows its size."""
+    path = scratch(df.sparkSession).path(name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @atexit.register
 def _remove_all() -> None:
     try:

@@ -37,9 +37,25 @@ def test_dedupe_limits_before_the_shuffle(spark):
     assert "Partial" in text[partial:partial + 400]
 
 
-def test_team_summary_exchanges_once(spark):
+def test_team_summary_exchanges_only_partial_sums_of_the_fact(spark):
+    """Below the dimension join the fact meets one exchange, fed by partial sums; above it only sums per name are exchanged."""
     text = plan(spark, "v_team_season_summary")
-    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text and "Generate inline" in text
+    above, below = text.split("Join", 1)
+    assert below.count("Exchange hashpartitioning") == 1 and "Generate inline" in below
+    assert "partial_count(1)" in below.split("Exchange hashpartitioning", 1)[1]
+    assert above.count("Exchange hashpartitioning") == 1 and above.count("partial_sum") >= 1
+
+
+def test_references_read_each_child_once(spark):
+    """A child's references are unpivoted from one scan; the fact's columns are not read once a reference."""
+    from starload.operators.checks import reference_violations
+    from starload.schemas import REFERENCES, SCHEMAS
+
+    tables = {t: spark.createDataFrame([], SCHEMAS[t]) for r in REFERENCES for t in (r[0], r[2])}
+    out = reference_violations(tables, REFERENCES)
+    assert {tuple(r) for r in out.collect()} == {(c, col, 0) for c, col, _, _ in REFERENCES}
+    text = plan(spark, "reference_violations")
+    assert text.count("Generate inline") == text.count("LeftAnti") == 3  # two loads, three children
 
 
 def test_player_summary_aggregates_before_the_dimensions(spark):
