@@ -1,18 +1,22 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine through a block-max inverted index.
 
-A bounded sample of labelled documents is the index. Its vocabulary are the ``TERMS`` words whose
-presence tells most about the label (information gain over the sample). Texts and
-examples are vectors of ``(1 + log tf) * idf`` over that vocabulary, of unit length. Examples are
-sorted by their strongest terms and cut into blocks; a term's posting list of a block has the
-block's maximal weight. A text's bound for a block is the sum of its weights times those maxima;
-blocks are scored in descending order of bounds until the next one is below the k-th best.
-The neighbours vote with their cosines, smoothed by the share of toxic examples; they are the evidence.
+A bounded sample of labelled documents is the index; its vocabulary is every word of the sample. Texts and
+examples are unit vectors of ``(1 + log tf) * idf``. The idf is the squared delta idf: the smoothed log ratio
+of a word's document frequencies among toxic and other examples, so that words that say nothing about
+the label weigh next to nothing without any of them being left out.
+
+Examples are sorted by their strongest words and cut into blocks. For each word the inverted index lists the
+blocks that hold it, with the word's maximal weight there and its postings. A text's bound for a block is the
+sum of its weights times those maxima; the blocks of the highest bounds are scored first, and then
+all whose bound reaches the k-th best cosine found, which makes the nearest examples exact.
+
+The neighbours vote with their cosines, smoothed by the share of toxic examples; they are the evidence. Votes are
+calibrated by a logistic curve fitted to cross-validated votes of the sample's own examples.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +26,18 @@ from pyspark.sql import functions as F
 from starload.llm.frames import binary_column
 from starload.llm.textbytes import LOWER, NOT_ALNUM, hash_spans, slices, spans
 
-#: Labelled documents fitted on (those with the smallest id hashes), words of the vocabulary, documents a word needs.
+#: Labelled documents fitted on (those with the smallest id hashes).
 SAMPLE = 8192
-TERMS = 256
-MIN_DOCS = 5
-#: Neighbours that vote, examples of a block, and the weight of the prior in the vote.
+#: Documents by which the frequencies of a word are smoothed towards the sample's share of toxic examples.
+SMOOTHING = 4.0
+#: Neighbours that vote, examples of a block, blocks scored before bounds are used, and the weight of the prior in the vote.
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST = 2
 PRIOR_WEIGHT = 1.0
+#: Folds of the calibration, texts scored at once.
+FOLDS = 5
+BATCH = 8
 
 
 def words_of(texts: list[str]) -> list[np.ndarray]:
@@ -47,143 +55,199 @@ def _words(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
-def _counts(rows: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
-    """Occurrences of the (sorted) terms in each text."""
-    out = np.zeros((len(rows), terms.size))
-    if not terms.size:
-        return out
-    sizes = [r.size for r in rows]
+def term_counts(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, word and count of each distinct word of each text, in that order."""
+    row = np.repeat(np.arange(len(rows)), [r.size for r in rows])
     flat = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-    row = np.repeat(np.arange(len(rows)), sizes)
-    at = np.minimum(np.searchsorted(terms, flat), terms.size - 1)
-    hit = terms[at] == flat
-    return np.bincount(row[hit] * terms.size + at[hit], minlength=out.size).reshape(out.shape).astype(float)
+    order = np.lexsort((flat, row))
+    row, flat = row[order], flat[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (flat[1:] != flat[:-1]))) if flat.size else np.zeros(0, np.int64)
+    return row[first], flat[first], np.diff(np.append(first, flat.size))
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all ranges ``starts .. starts + sizes``, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if ends.size else 0)
 
 
-@dataclass
 class Index:
-    """Examples in blocks: ids, labels, vectors, and per block the maximal weight of each term."""
-
-    terms: np.ndarray
-    idf: np.ndarray
-    ids: np.ndarray
-    labels: np.ndarray
-    vectors: np.ndarray
-    prior: float
-
-    def __post_init__(self):
-        # examples with the same strong terms are neighbours, so that blocks hold few terms
-        strongest = np.argsort(-self.vectors, axis=1, kind="stable")[:, :4] if self.terms.size else np.zeros((self.ids.size, 0), int)
-        order = np.lexsort((self.ids, *strongest.T[::-1]))
-        self.ids, self.labels, self.vectors = self.ids[order], self.labels[order], self.vectors[order]
-        self.edges = list(range(0, self.ids.size, BLOCK)) + [self.ids.size]
-        self.highest = np.array([self.vectors[i:j].max(axis=0) for i, j in zip(self.edges, self.edges[1:])]).reshape(
-            len(self.edges) - 1, self.terms.size)
-        # the inverted lists: for each block its terms and their weights
-        self.lists = []
-        for i, j in zip(self.edges, self.edges[1:]):
-            held = np.flatnonzero(self.vectors[i:j].any(axis=0))
-            self.lists.append((held, np.ascontiguousarray(self.vectors[i:j][:, held].T)))
-
-    def vectorise(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Unit vectors of texts (zero for texts without a term)."""
-        counts = _counts(rows, self.terms)
-        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf
-        norms = np.sqrt((weights ** 2).sum(axis=1, keepdims=True))
-        return weights / np.where(norms > 0, norms, 1)
-
-    def nearest(self, vectors: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled examples as a block-max inverted index.
+
+    ``row, term, count`` are the distinct words of the examples ``ids, labels``.
+    """
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray):
+        self.terms, word = np.unique(term, return_inverse=True)
+        n, positive = ids.size, float(labels.sum())
+        self.prior = positive / n if n else 0.0
+        toxic, other = (np.bincount(word[labels[row] == k], minlength=self.terms.size).astype(float) for k in (1, 0))
+        if 0 < positive < n:
+            share = lambda docs, size: (docs + SMOOTHING * size / n) / (size + SMOOTHING)
+            self.idf = np.log(share(toxic, positive) / share(other, n - positive)) ** 2
+        else:
+            self.idf = np.log((1 + n) / (1 + toxic + other)) + 1
+        weight = self._unit(row, word, count, n)
+        # examples with the same strongest words are neighbours, so that blocks hold few strong words
+        strong = np.lexsort((word, -weight, row))
+        first = np.searchsorted(row[strong], np.arange(n))
+        has = (first < strong.size) & (row[strong][np.minimum(first, max(strong.size - 1, 0))] == np.arange(n)) if strong.size else np.zeros(n, bool)
+        lead = np.where(has, word[strong][np.minimum(first, max(strong.size - 1, 0))], -1) if strong.size else np.full(n, -1)
+        order = np.lexsort((ids, lead))
+        self.ids, self.labels = ids[order], labels[order]
+        place = np.empty(n, dtype=np.int64)
+        place[order] = np.arange(n)
+        self.blocks = -(-n // BLOCK)
+        # postings by word, block and example; an entry is the run of one word in one block
+        doc = place[row]
+        by = np.lexsort((doc, word))
+        self.doc, self.weight, word = doc[by], weight[by], word[by]
+        block = self.doc // BLOCK
+        self.start = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1]))) if word.size else np.zeros(0, np.int64)
+        self.size = np.diff(np.append(self.start, word.size))
+        self.block = block[self.start]
+        self.highest = np.maximum.reduceat(self.weight, self.start) if word.size else np.zeros(0)
+        self.entries = np.searchsorted(word[self.start], np.arange(self.terms.size + 1))
+        self.curve = (1.0, 0.0)
+
+    def _unit(self, row: np.ndarray, word: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        weight = (1 + np.log(count)) * self.idf[word]
+        norm = np.sqrt(np.bincount(row, weight ** 2, minlength=n))
+        return weight / np.where(norm > 0, norm, 1.0)[row]
+
+    def vectorise(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, word number and weight of the texts' unit vectors; words that no example holds are not in them."""
+        row, term, count = term_counts(rows)
+        at = np.minimum(np.searchsorted(self.terms, term), max(self.terms.size - 1, 0))
+        known = self.terms[at] == term if self.terms.size else np.zeros(term.size, dtype=bool)
+        row, word = row[known], at[known]
+        return row, word, self._unit(row, word, count[known], len(rows))
+
+    def nearest(self, texts: int, row: np.ndarray, word: np.ndarray, weight: np.ndarray,
+                k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of the largest positive cosine of each text, ties to the smaller id: places (-1 for none) and cosines."""
-        n = len(vectors)
-        bounds = vectors @ self.highest.T
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        cosine = np.zeros((n, k))
-        place = np.full((n, k), -1)
-        active = np.arange(n)
-        for step in range(bounds.shape[1]):
-            block = order[active, step]
-            ahead = bounds[active, block]
-            active = active[(ahead > 0) & (ahead * (1 + 1e-12) >= cosine[active, k - 1])]
-            if not active.size:
-                break
-            block = order[active, step]
-            for b in np.unique(block):
-                who = active[block == b]
-                held, lists = self.lists[b]
-                got = vectors[np.ix_(who, held)] @ lists
-                both = np.concatenate([cosine[who], got], axis=1)
-                names = np.concatenate([place[who], np.broadcast_to(np.arange(self.edges[b], self.edges[b + 1]), got.shape)], axis=1)
-                tie = np.where(names < 0, np.iinfo(np.int64).max, self.ids[names])
-                best = np.lexsort((tie, -both), axis=1)[:, :k]
-                cosine[who] = np.take_along_axis(both, best, axis=1)
-                place[who] = np.take_along_axis(names, best, axis=1)
-        place[cosine <= 0] = -1
+        place, cosine = np.full((texts, k), -1), np.zeros((texts, k))
+        for i in range(0, texts, BATCH):
+            a, b = np.searchsorted(row, [i, i + BATCH])
+            j = min(i + BATCH, texts)
+            place[i:j], cosine[i:j] = self._nearest(j - i, row[a:b] - i, word[a:b], weight[a:b], k)
         return place, cosine
 
+    def _nearest(self, n: int, row: np.ndarray, word: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.entries[word + 1] - self.entries[word]
+        entry = _spread(self.entries[word], sizes)
+        row, weight = np.repeat(row, sizes), np.repeat(weight, sizes)
+        at = row * self.blocks + self.block[entry]
+        bounds = np.bincount(at, weight * self.highest[entry], minlength=n * self.blocks).reshape(n, self.blocks)
+        total = np.zeros((n, self.ids.size))
+        done = np.zeros((n, self.blocks), dtype=bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            use = wanted.ravel()[at]
+            posting = _spread(self.start[entry[use]], self.size[entry[use]])
+            who = np.repeat(row[use], self.size[entry[use]])
+            got = np.bincount(who * self.ids.size + self.doc[posting], np.repeat(weight[use], self.size[entry[use]]) * self.weight[posting],
+                              minlength=total.size)
+            np.add(total, got.reshape(total.shape), out=total)  # a block is visited once
+            done[wanted] = True
+
+        def kth() -> np.ndarray:
+            return np.partition(total, -k, axis=1)[:, -k] if self.ids.size > k else np.zeros(n)
+
+        if self.blocks:
+            first = np.zeros_like(done)
+            np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+            visit(first & (bounds > 0))
+            visit((bounds > 0) & ~done & (bounds * (1 + 1e-12) >= kth()[:, None]))
+        place, cosine = np.full((n, k), -1), np.zeros((n, k))
+        least = kth() if self.ids.size else np.zeros(n)
+        who, doc = np.nonzero((total >= least[:, None]) & (total > 0))
+        order = np.lexsort((self.ids[doc], -total[who, doc], who))
+        who, doc = who[order], doc[order]
+        nth = np.arange(who.size) - np.searchsorted(who, who)
+        keep = nth < k
+        place[who[keep], nth[keep]] = doc[keep]
+        cosine[who[keep], nth[keep]] = total[who[keep], doc[keep]]
+        return place, cosine
+
+    def votes(self, cosine: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Votes weighted by nearness, with the prior."""
+        toxic = (cosine * self.labels[np.maximum(place, 0)]).sum(axis=1) if self.ids.size else np.zeros(len(place))
+        return (toxic + PRIOR_WEIGHT * self.prior) / (cosine.sum(axis=1) + PRIOR_WEIGHT)
+
     def score(self, cosine: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Distance-weighted votes with the prior."""
-        votes = np.where(place >= 0, cosine, 0)
-        toxic = (votes * self.labels[np.maximum(place, 0)]).sum(axis=1) if self.ids.size else np.zeros(len(place))
-        return (toxic + PRIOR_WEIGHT * self.prior) / (votes.sum(axis=1) + PRIOR_WEIGHT)
-
-
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each text with its label."""
-    for batch in batches:
-        toxic = batch.column(1).to_numpy()
-        for i, j, data, offs in slices(binary_column(batch, "text")):
-            rows = [np.unique(r) for r in _words(data, offs)]
-            sizes = [r.size for r in rows]
-            flat = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(np.repeat(toxic[i:j], sizes).astype(np.int32))],
-                                             ["term", "toxic"])
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, doc_id: str = "doc_id",
-        text: str = "text", toxic: str = "toxic") -> Index:
+        """Calibrated votes; the prior for texts without neighbours."""
+        return np.where((place >= 0).any(axis=1), _curve(self.votes(cosine, place), *self.curve), self.prior)
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
+
+
+def _curve(votes: np.ndarray, slope: float, shift: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-(slope * _logit(votes) + shift)))
+
+
+def calibrate(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve that fits the votes to the labels (Newton steps, slightly ridged)."""
+    x = np.stack([_logit(votes), np.ones(votes.size)], axis=1)
+    beta = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(x @ beta)))
+        ridge = np.diag([1e-3, 1e-3])
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ (beta - [1.0, 0.0]))
+        beta = beta + np.clip(step, -2, 2)
+    return (float(beta[0]), float(beta[1])) if np.isfinite(beta).all() and beta[0] > 0 else (1.0, 0.0)
+
+
+def build(ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> Index:
+    """The index of the examples, calibrated on votes that each fold gets from an index of the other folds."""
+    index = Index(ids, labels, row, term, count)
+    if 0 < labels.sum() < ids.size and ids.size >= 2 * FOLDS:
+        votes, fold = np.zeros(ids.size), np.arange(ids.size) % FOLDS
+        for f in range(FOLDS):
+            rest, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            number = np.cumsum(fold != f) - 1
+            learn = fold[row] != f
+            other = Index(ids[rest], labels[rest], number[row[learn]], term[learn], count[learn])
+            texts = [np.repeat(term[a:b], count[a:b]) for a, b in zip(*np.searchsorted(row, [own, own + 1]))]
+            place, cosine = other.nearest(own.size, *other.vectorise(texts))
+            votes[own] = other.votes(cosine, place)
+        index.curve = calibrate(votes, labels)
+    return index
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text",
+        toxic: str = "toxic") -> Index:
     """The index over a sample of at most ``sample`` labelled documents (the smallest hashes of their ids).
 
     Labels other than 0 and 1, null ids and null texts are left out; of several labels of one id the
     largest counts, of several texts the first in binary order. No labelled rows give an index that always
-    answers with the prior 0.
+    answers with the prior 0. The driver gets the sample's distinct words, whatever the size of the corpus.
     """
     chosen = (labels.where(labels[doc_id].isNotNull() & labels[toxic].isin(0, 1))
               .groupBy(labels[doc_id].alias("doc_id")).agg(F.max(labels[toxic]).cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = (docs.where(docs[text].isNotNull()).select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
             .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    totals = rows.groupBy("toxic").count().collect()
-    size = {r["toxic"]: r["count"] for r in totals}
-    n, positive = sum(size.values()), size.get(1, 0)
-    stats = (rows.select("text", "toxic").mapInArrow(_term_rows, "term long, toxic int")
-             .groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("toxic").alias("toxic"))
-             .where(F.col("docs") >= MIN_DOCS))
-    # the gain is computed in SQL too, so that only the best terms leave the executors
-    share = lambda part, whole: F.least(F.greatest(part / F.greatest(whole, F.lit(1)), F.lit(1e-12)), F.lit(1 - 1e-12))
-    entropy = lambda p: -(p * F.log(p) + (1 - p) * F.log(1 - p))
-    rest, rest_toxic = F.lit(n) - F.col("docs"), F.lit(positive) - F.col("toxic")
-    remaining = (F.col("docs") * entropy(share(F.col("toxic"), F.col("docs"))) + rest * entropy(share(rest_toxic, rest)))
-    best = stats.orderBy(remaining.asc(), "term").limit(terms).toPandas()
-    names = best["term"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(names)
-    names, frequency = names[order], best["docs"].to_numpy(dtype=float)[order]
-    idf = np.log((1 + n) / (1 + frequency)) + 1
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in slices(binary_column(batch, "text")):
-                counts = _counts(_words(data, offs), names)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j],
-                                                  pa.array([c.astype(np.int32).tobytes() for c in counts], pa.binary())],
-                                                 ["doc_id", "toxic", "counts"])
+                row, term, count = term_counts(_words(data, offs))
+                at = np.searchsorted(row, np.arange(j - i + 1))
+                cells = [[x[a:b].tobytes() for a, b in zip(at, at[1:])] for x in (term, count.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], *(pa.array(x, pa.binary()) for x in cells)],
+                                                 ["doc_id", "toxic", "terms", "counts"])
 
-    found = (rows.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, counts binary")
-             .orderBy("doc_id").toPandas())
-    counts = np.array([np.frombuffer(c, np.int32) for c in found["counts"]], dtype=float).reshape(len(found), names.size)
-    weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    norms = np.sqrt((weights ** 2).sum(axis=1, keepdims=True))
-    return Index(names, idf, found["doc_id"].to_numpy(dtype=np.int64), found["toxic"].to_numpy(dtype=float),
-                 weights / np.where(norms > 0, norms, 1), positive / n if n else 0.0)
+    found = (rows.select("doc_id", "toxic", "text").mapInArrow(counted, "doc_id long, toxic int, terms binary, counts binary")
+             .toPandas().sort_values("doc_id"))
+    terms = [np.frombuffer(x, np.uint64) for x in found["terms"]]
+    counts = [np.frombuffer(x, np.int32) for x in found["counts"]]
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return build(found["doc_id"].to_numpy(dtype=np.int64), found["toxic"].to_numpy(dtype=np.int64),
+                 np.repeat(np.arange(len(found)), [t.size for t in terms]), join(terms, np.uint64), join(counts, np.int32))
 
 
 def score(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,8 +263,7 @@ def score(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in slices(binary_column(batch, "text")):
-                vectors = index.vectorise(_words(data, offs))
-                place, cosine = index.nearest(vectors)
+                place, cosine = index.nearest(j - i, *index.vectorise(_words(data, offs)))
                 result = index.score(cosine, place)
                 evidence = [[{"doc_id": int(index.ids[p]), "cosine": c, "toxic": int(index.labels[p])}
                              for p, c in zip(ps, cs) if p >= 0] for ps, cs in zip(place.tolist(), cosine.tolist())]

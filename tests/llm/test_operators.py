@@ -282,6 +282,46 @@ def test_mix_stage_reads_each_row_by_itself(llm):
 
 # ---- op9 -------------------------------------------------------------------------------------------
 
+def nearest_by_force(index, texts, k=15):
+    dense = np.zeros((index.ids.size, index.terms.size))
+    word = np.repeat(np.repeat(np.arange(index.terms.size), np.diff(index.entries)), index.size)
+    dense[index.doc, word] = index.weight
+    row, word, weight = index.vectorise(toxicity.words_of(texts))
+    place, cosine = index.nearest(len(texts), row, word, weight, k)
+    for i in range(len(texts)):
+        got = np.zeros(index.ids.size)
+        for w, x in zip(word[row == i], weight[row == i]):
+            got += dense[:, w] * x
+        best = sorted(range(index.ids.size), key=lambda d: (-round(got[d], 12), index.ids[d]))[:k]
+        assert np.allclose([got[d] if got[d] > 0 else 0 for d in best], cosine[i][: len(best)])
+        assert [d for d in best if got[d] > 0] == [d for d in place[i].tolist() if d >= 0]
+
+
+def test_bounds_never_hide_a_nearest_example():
+    """Many blocks, ties between copies, words from rare to common: the same examples as all compared."""
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i}" for i in range(3000)]
+    draw = lambda: " ".join(vocab[int(i)] for i in np.minimum(rng.zipf(1.3, int(rng.integers(1, 40))) - 1, 2999))
+    texts = [draw() for _ in range(700)]
+    texts += texts[:60]
+    label = np.array([int("w7" in t.split() or "w11" in t.split()) for t in texts])
+    index = toxicity.build(np.arange(len(texts)) * 3, label, *toxicity.term_counts(toxicity.words_of(texts)))
+    assert index.blocks > 10 and index.curve != (1.0, 0.0)
+    nearest_by_force(index, [draw() for _ in range(80)] + texts[:20] + ["", "unknown"])
+
+
+def test_toxic_words_beyond_the_commonest_are_found(llm):
+    """Hundreds of marking words, each in few examples: none is left out."""
+    rng = np.random.default_rng(7)
+    plain = [f"p{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(plain, 30)) + (f" mark{i % 318} mark{(i + 60) % 318}" if i % 6 == 0 else "") for i in range(3000)]
+    docs = documents(llm, texts)
+    labels = llm.createDataFrame([(i, int(i % 6 == 0)) for i in range(2400)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert sum(got[i] for i in range(2400, 3000, 6)) >= 95  # of 100; 53 words mark them, none of them common
+    assert sum(got[i] for i in range(2400, 3000) if i % 6) <= 5
+
+
 def test_nearest_examples_match_brute_force(llm):
     rng = np.random.default_rng(5)
     vocab = [f"word{i}" for i in range(30)]
@@ -290,17 +330,14 @@ def test_nearest_examples_match_brute_force(llm):
     labels = llm.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)] + [(None, 1), (151, None), (1, 0)], "doc_id long, toxic int")
     index = toxicity.fit(docs, labels)
     assert index.ids.size == 150 and index.prior == pytest.approx(38 / 150)
-    vectors = index.vectorise(toxicity.words_of(texts))
-    place, cosine = index.nearest(vectors, 15)
-    for row, got_p, got_c in zip(vectors, place, cosine):
-        dense = index.vectors @ row
-        best = sorted(range(150), key=lambda k: (-round(dense[k], 12), index.ids[k]))[:15]
-        assert np.allclose(dense[best], got_c) and (dense[best] > 0).sum() == (got_p >= 0).sum()
+    assert set(index.terms) == {h for r in toxicity.words_of(texts[:150]) for h in r}  # every word of the sample
+    nearest_by_force(index, texts)
     got = {r.doc_id: r for r in toxicity.score(docs, index).collect()}
     toxic, clean = ([got[i].score for i in range(150, 200) if (i % 4 == 0) == t] for t in (True, False))
     assert sum(a > b for a in toxic for b in clean) > 0.9 * len(toxic) * len(clean)
     assert all(r.predicted == int(r.score >= 0.5) for r in got.values())
     assert got[200].score == got[201].score == pytest.approx(index.prior) and got[200].evidence == []
+    assert all(got[i].evidence for i in range(200))  # a text that shares a word with an example has evidence
     nothing = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.score(docs, nothing).collect()} == {0.0}
 
