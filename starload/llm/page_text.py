@@ -11,8 +11,9 @@ around them hold and however often. What the template does not hold fills its sl
 
 From the slots the article is taken: blocks within ``article`` or ``main`` (on pages that have one; else
 within the body) that lie in no element for menus, headers, footers, side bars, notices, adverts, forms or reader
-comments. Texts of the template are left out, within ``article`` and ``main`` too, unless the
-article is itself what the host repeats.
+comments. Texts of the template are left out, within ``article`` and ``main`` too, but for two kinds: a
+heading under which a slot follows, and an article that the host itself repeats with small changes, known by a
+headline of the template over a text of which the template holds more than the slots.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.frames import cut
+from starload.llm.frames import cut, written
 
 MIN_PAGES = 3
 SHARE = 0.5
 MIN_CLASS = 2
+#: Parts in which a host's pages are joined with its template.
+SALTS = 32
 
 # Fixed values of HTML: elements by their role in the text.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "noembed"}
@@ -54,6 +57,10 @@ gdpr notice notices alert newsletter subscribe subscription signup paywall sideb
 breadcrumb breadcrumbs comment comments reply replies respond disqus discussion related recommended share sharing social
 footer header masthead topbar popup modal overlay toolbar widget pagination pager search login skip complementary
 contentinfo""".split())
+#: Those that take out a paragraph, heading or inline element, too; other names tell there what the text is about.
+ADVERT_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies".split())
+TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dt", "dd", "figcaption"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words that such names hold besides; others (no-sidebar, comments-open) tell a state of what is in the element.
 PLAIN_WORDS = set("area bar block box button buttons container form item items link links list section slot unit wrap wrapper".split())
 
@@ -70,11 +77,12 @@ def digest(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
 
 
-def listed(marks: str) -> bool:
-    """Whether a whole name says that the element is no part of the article."""
+def listed(name: str, marks: str) -> bool:
+    """Whether a whole name in class, id or role says that the element is no part of the article."""
+    telling = ADVERT_WORDS if name in TEXT or name in INLINE else ASIDE_WORDS
     for mark in marks.split():
         words = set(WORD.findall(mark))
-        if words & ASIDE_WORDS and words <= ASIDE_WORDS | PLAIN_WORDS:
+        if words & telling and words <= telling | PLAIN_WORDS:
             return True
     return False
 
@@ -88,7 +96,7 @@ class Element:
         self.path = digest(str(path), name, NUMBERED.sub("", marks)) if around else 0
         self.token = self.path
         self.closed = name in ASIDE or "!hidden" in marks
-        self.listed = name not in FRAME and listed(marks)
+        self.listed = name not in FRAME and listed(name, marks)
         self.aside = bool(around and around.aside) or self.closed or self.listed
         self.article = bool(around and around.article) or name in ARTICLE
 
@@ -97,11 +105,13 @@ def parse(page: str) -> Iterator[tuple[str, object]]:
     """Tokens of a page in order: ``("open", elements)`` and ``("text", (elements, text))`` of a block.
 
     Elements are the open ones, outermost first. Unclosed paragraphs and list items end where the
-    next block begins; an end tag without its start is skipped; markup that breaks off ends with the page.
+    next block begins; an end tag without its start is skipped; markup that breaks off ends with the page. The text
+    of a hidden inline element or inline advert is left out of its block, which goes on after it.
     """
     stack = [Element("", "", None)]
     words: list[str] = []
     place: list[Element] = list(stack)
+    mute: list[str] = []  # the open inline elements from the first left-out one on
     at = 0
 
     def block():
@@ -115,7 +125,7 @@ def parse(page: str) -> Iterator[tuple[str, object]]:
         name = m["name"]
         if name is None:
             piece = m[0]
-            if not (piece.startswith("<!") or piece.startswith("<?")):
+            if not (mute or piece.startswith("<!") or piece.startswith("<?")):
                 if not words:
                     place = list(stack)
                 words.append(html.unescape(piece))
@@ -125,15 +135,15 @@ def parse(page: str) -> Iterator[tuple[str, object]]:
             words.append(" ")
             continue
         if name in INLINE and name not in ("img", "wbr"):
-            marks = "" if m["end"] else " ".join(v for v in _marks(m["rest"]))
-            if not m["end"] and (listed(marks) or "!hidden" in marks):
-                name = "inline-aside"  # an inline element that is no part of the text is a block of its own
-            elif m["end"] and any(e.name == "inline-aside" for e in stack[-1:]):
-                name = "inline-aside"
-            else:
-                continue
+            if m["end"]:
+                if name in mute:
+                    del mute[len(mute) - 1 - mute[::-1].index(name):]
+            elif mute or listed(name, marks := " ".join(_marks(m["rest"]))) or "!hidden" in marks:
+                mute.append(name)
+            continue
         if name in ("img", "wbr"):
             continue
+        mute.clear()
         if (done := block()) is not None:
             yield done
         if m["end"]:
@@ -266,16 +276,26 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def article_text(page: str, template: frozenset[int]) -> str:
-    """The blocks of a page that fill the article's slots of the host's template.
+    """The blocks of a page that fill the article's slots of the host's template, with the headings over slots.
 
-    An article element keeps all its texts if the template holds the first one and more of them than it leaves: it
-    is a copy of an article that the host repeats with small changes.
+    An article that the host repeats with small changes is whole, from its headline on: the template holds the
+    headline (the first heading; in an article element without one, the first block) and more text than it leaves.
     """
     framed, blocks = candidates(read(page))
     own = [text_token(elements, text) not in template for elements, text in blocks]
+    level = [int(elements[-1].name[1]) if elements[-1].name in HEADING else 7 for elements, _ in blocks]
     left, whole = (sum(len(text) for keep, (_, text) in zip(which, blocks) if keep) for which in (own, [True] * len(blocks)))
-    repeated = framed and blocks and not own[0] and 2 * left < whole
-    return "\n".join(text for keep, (_, text) in zip(own, blocks) if keep or repeated)
+    headline = next((k for k, n in enumerate(level) if n < 7), 0 if framed and blocks else None)
+    if headline is not None and not own[headline] and 2 * left < whole:
+        keep = [own[k] or k >= headline for k in range(len(blocks))]
+        return "\n".join(text for kept, (_, text) in zip(keep, blocks) if kept)
+    keep = list(own)
+    slot = [False] * 8  # slot[n]: one follows before the next heading of level n or above
+    for k in range(len(blocks) - 1, -1, -1):
+        n = level[k]
+        keep[k] = own[k] or n < 7 and slot[n]
+        slot = [slot[m] or own[k] if m < n or n == 7 else False for m in range(8)]
+    return "\n".join(text for kept, (_, text) in zip(keep, blocks) if kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +322,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     """
     id_type = pages.schema[page_id].dataType.simpleString()
     rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[page].alias("html")).withColumn("host", host_of("url"))
-    # one bounded set of tokens per host; the join's side of pages can be split by host
-    known = cut(templates(rows))
-    return (rows.join(known, "host", "left")
+    # one bounded set of tokens per host, met by a host's pages in SALTS parts: no host's pages meet in one task
+    known = written(templates(rows), "templates").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    return (salted.join(known, ["host", "salt"], "left")
             .mapInArrow(_extract, f"page_id {id_type}, url string, text string, n_chars long"))

@@ -393,4 +393,53 @@ def test_names_that_tell_a_state_keep_the_article(llm):
              "<article>{}</article><div id='comments'><article class='comment'>nice</article></div>",
              "<article>{}<div class='ad-banner'>Buy</div><p>the <span class='share links'>like</span></p></article>"]
     story = "<p>The story</p>"
-    assert main_texts(llm, [w.format(story) for w in wraps]) == ["The story"] * 6 + ["The story\nthe"]
+    assert main_texts(llm, [w.format(story) for w in wraps]) == ["The story"] * 6 + ["The story\nthe like"]
+
+
+def test_headings_over_slots_stay(llm):
+    """Headings that every recipe of a host has are the article's; a repeated heading over nothing of its own is not."""
+    page = ("<body><article><h1>Cake {0}</h1><h2>Ingredients</h2><ul><li>flour {0}</li></ul><h2>Method</h2><h3>First</h3><p>bake {0}</p>"
+            "<h2>More from us</h2><p>Follow us today</p></article></body>")
+    names = [c * 3 for c in "abcd"]
+    assert main_texts(llm, [page.format(c) for c in names]) == [
+        f"Cake {c}\nIngredients\nflour {c}\nMethod\nFirst\nbake {c}" for c in names]
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class='content'>{}</div>"])
+def test_near_copies_keep_their_text(llm, wrap):
+    """Pages of a host that differ in one paragraph are copies of one article, with or without an article element."""
+    copy = ("<body><nav>menu</nav>" + wrap.format("<h1>One title</h1><p>A story told at length in every copy.</p><p>It goes on for long.</p>"
+            "<p>changed {0}</p>") + "<footer>end</footer></body>")
+    names = [c * 3 for c in "abcd"]
+    assert main_texts(llm, [copy.format(c) for c in names]) == [
+        f"One title\nA story told at length in every copy.\nIt goes on for long.\nchanged {c}" for c in names]
+
+
+def test_names_of_text_elements_tell_no_role(llm):
+    """What a heading, paragraph or inline element is called says what it is about; adverts and hidden text go, the block stays whole."""
+    pages = ["<article><h2 id='related'>Related work</h2><p class='search'>We search.</p><p>Say <span class='comment'>no <b>more</b></span> words.</p></article>",
+             "<article><p>before <span class='ad'>Buy <span>two</span></span> after <b hidden>x</b>end</p><p class='advert'>Buy</p><p>next</p></article>",
+             "<article><p>open <span class='ad'>never closed</p><p>next</p></article>"]
+    assert main_texts(llm, pages) == ["Related work\nWe search.\nSay no more words.", "before after end\nnext", "open\nnext"]
+
+
+def test_template_of_a_small_host_by_force(llm):
+    """Tokens of equal counts on every page are one class: the same template as from whole occurrence vectors."""
+    from collections import defaultdict
+    rng = np.random.default_rng(8)
+    part = lambda k, text: f"<div class='{'abcdefgh'[k]}'><p>{text}</p></div>"
+    pages = []
+    for i in range(9):
+        body = "".join(part(k, f"fixed {k}") * (1 + (k == 2 and i % 2)) for k in range(6) if k < 4 or rng.random() < 0.6)
+        pages.append(f"<body>{body}<section><p>own {'abcdefghi'[i] * 3}</p></section></body>")
+    vectors = defaultdict(lambda: [0] * len(pages))
+    for i, page in enumerate(pages):
+        for kind, v in page_text.read(page):
+            vectors[v[-1].token if kind == "open" else page_text.text_token(*v)][i] += 1
+    classes = defaultdict(set)
+    for token, vector in vectors.items():
+        if sum(n > 0 for n in vector) >= max(page_text.MIN_PAGES, page_text.SHARE * len(pages)):
+            classes[tuple(vector)].add(token)
+    want = {t for c in classes.values() if len(c) >= page_text.MIN_CLASS for t in c}
+    table = llm.createDataFrame([("h", p) for p in pages], "host string, html string")
+    assert {t for r in page_text.templates(table).collect() for t in r.template} == want and len(classes) > 1
