@@ -6,9 +6,11 @@ of a word's document frequencies among toxic and other examples, so that words t
 the label weigh next to nothing without any of them being left out.
 
 Examples are sorted by their strongest words and cut into blocks. For each word the inverted index lists the
-blocks that hold it, with the word's maximal weight there and its postings. A text's bound for a block is the
-sum of its weights times those maxima; the blocks of the highest bounds are scored first, and then
-all whose bound reaches the k-th best cosine found, which makes the nearest examples exact.
+blocks that hold it, with the word's maximal weight there and its postings. The words of a text that can add least to
+any cosine, by the maxima of their lists, are set aside, with the sum of what they can add as a bound. By the others a
+text's bound for a block is the sum of its weights times the block's maxima; the blocks of the highest bounds are scored
+first, and then all whose bound reaches the k-th best score found. Examples whose score and the bound of
+the words set aside reach it are compared in full, which makes the nearest examples exact.
 
 The neighbours vote with their cosines, smoothed by the share of toxic examples; they are the evidence. Votes are
 calibrated by a logistic curve fitted to cross-validated votes of the sample's own examples.
@@ -27,17 +29,18 @@ from starload.llm.frames import binary_column
 from starload.llm.textbytes import LOWER, NOT_ALNUM, hash_spans, slices, spans
 
 #: Labelled documents fitted on (those with the smallest id hashes).
-SAMPLE = 8192
+SAMPLE = 4096
 #: Documents by which the frequencies of a word are smoothed towards the sample's share of toxic examples.
 SMOOTHING = 4.0
 #: Neighbours that vote, examples of a block, blocks scored before bounds are used, and the weight of the prior in the vote.
 NEIGHBOURS = 15
 BLOCK = 64
-FIRST = 2
+FIRST = 4
 PRIOR_WEIGHT = 1.0
-#: Folds of the calibration, texts scored at once.
+#: Share of what a text's words can add to a cosine that the words set aside hold at most.
+REST = 0.02
+#: Folds of the calibration.
 FOLDS = 5
-BATCH = 8
 
 
 def words_of(texts: list[str]) -> list[np.ndarray]:
@@ -101,13 +104,17 @@ class Index:
         # postings by word, block and example; an entry is the run of one word in one block
         doc = place[row]
         by = np.lexsort((doc, word))
-        self.doc, self.weight, word = doc[by], weight[by], word[by]
-        block = self.doc // BLOCK
+        self.doc, self.weight = doc[by].astype(np.int32), weight[by]
+        again = np.lexsort((word, doc))  # and forward: the words of each example
+        self.word, self.own = word[again].astype(np.int32), weight[again]
+        self.words = np.searchsorted(doc[again], np.arange(n + 1))
+        word, block = word[by], doc[by] // BLOCK
         self.start = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1]))) if word.size else np.zeros(0, np.int64)
         self.size = np.diff(np.append(self.start, word.size))
         self.block = block[self.start]
         self.highest = np.maximum.reduceat(self.weight, self.start) if word.size else np.zeros(0)
         self.entries = np.searchsorted(word[self.start], np.arange(self.terms.size + 1))
+        self.top = np.maximum.reduceat(self.highest, self.entries[:-1]) if word.size else np.zeros(0)
         self.curve = (1.0, 0.0)
 
     def _unit(self, row: np.ndarray, word: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
@@ -127,48 +134,51 @@ class Index:
                 k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of the largest positive cosine of each text, ties to the smaller id: places (-1 for none) and cosines."""
         place, cosine = np.full((texts, k), -1), np.zeros((texts, k))
-        for i in range(0, texts, BATCH):
-            a, b = np.searchsorted(row, [i, i + BATCH])
-            j = min(i + BATCH, texts)
-            place[i:j], cosine[i:j] = self._nearest(j - i, row[a:b] - i, word[a:b], weight[a:b], k)
+        edges = np.searchsorted(row, np.arange(texts + 1))
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            doc, score = self._nearest(word[a:b], weight[a:b], k)
+            place[i, : doc.size], cosine[i, : doc.size] = doc, score
         return place, cosine
 
-    def _nearest(self, n: int, row: np.ndarray, word: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        sizes = self.entries[word + 1] - self.entries[word]
-        entry = _spread(self.entries[word], sizes)
-        row, weight = np.repeat(row, sizes), np.repeat(weight, sizes)
-        at = row * self.blocks + self.block[entry]
-        bounds = np.bincount(at, weight * self.highest[entry], minlength=n * self.blocks).reshape(n, self.blocks)
-        total = np.zeros((n, self.ids.size))
-        done = np.zeros((n, self.blocks), dtype=bool)
-
-        def visit(wanted: np.ndarray) -> None:
-            use = wanted.ravel()[at]
+    def _nearest(self, word: np.ndarray, weight: np.ndarray, k: int, rest: float = REST) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest examples of one text (its words ascending) and their cosines."""
+        if not word.size:
+            return np.zeros(0, np.int64), np.zeros(0)
+        most = weight * self.top[word]
+        order = np.argsort(-most, kind="stable")
+        aside = np.append(np.cumsum(most[order][::-1])[::-1][1:], 0.0)  # what the words after each can add
+        used = int(np.argmax(aside <= rest * most.sum())) + 1
+        bound = aside[used - 1] * (1 + 1e-9) if used < word.size else 0.0
+        strong = order[:used]
+        size = self.entries[word[strong] + 1] - self.entries[word[strong]]
+        entry = _spread(self.entries[word[strong]], size)
+        block, load = self.block[entry], np.repeat(weight[strong], size)
+        bounds = np.bincount(block, load * self.highest[entry], minlength=self.blocks)
+        score = np.zeros(self.ids.size)
+
+        def visit(wanted: np.ndarray) -> float:
+            """Add the scores of some blocks' examples; the k-th best score so far."""
+            use = wanted[block]
             posting = _spread(self.start[entry[use]], self.size[entry[use]])
-            who = np.repeat(row[use], self.size[entry[use]])
-            got = np.bincount(who * self.ids.size + self.doc[posting], np.repeat(weight[use], self.size[entry[use]]) * self.weight[posting],
-                              minlength=total.size)
-            np.add(total, got.reshape(total.shape), out=total)  # a block is visited once
-            done[wanted] = True
-
-        def kth() -> np.ndarray:
-            return np.partition(total, -k, axis=1)[:, -k] if self.ids.size > k else np.zeros(n)
-
-        if self.blocks:
-            first = np.zeros_like(done)
-            np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
-            visit(first & (bounds > 0))
-            visit((bounds > 0) & ~done & (bounds * (1 + 1e-12) >= kth()[:, None]))
-        place, cosine = np.full((n, k), -1), np.zeros((n, k))
-        least = kth() if self.ids.size else np.zeros(n)
-        who, doc = np.nonzero((total >= least[:, None]) & (total > 0))
-        order = np.lexsort((self.ids[doc], -total[who, doc], who))
-        who, doc = who[order], doc[order]
-        nth = np.arange(who.size) - np.searchsorted(who, who)
-        keep = nth < k
-        place[who[keep], nth[keep]] = doc[keep]
-        cosine[who[keep], nth[keep]] = total[who[keep], doc[keep]]
-        return place, cosine
+            score[:] += np.bincount(self.doc[posting], np.repeat(load[use], self.size[entry[use]]) * self.weight[posting],
+                                    minlength=score.size)
+            return np.partition(score, -k)[-k] * (1 - 1e-9) if score.size >= k else 0.0
+
+        first = np.zeros(self.blocks, dtype=bool)
+        first[np.argsort(-bounds, kind="stable")[:FIRST]] = True
+        kth = visit(first)
+        kth = visit(~first & (bounds > 0) & (bounds + bound >= kth))
+        if kth <= 0 and bound > 0:
+            return self._nearest(word, weight, k, 0.0)  # fewer than k share a strong word: all words count
+        near = np.flatnonzero((score > 0) & (score + bound >= kth))
+        size = self.words[near + 1] - self.words[near]
+        posting = _spread(self.words[near], size)
+        at = np.minimum(np.searchsorted(word, self.word[posting]), word.size - 1)
+        part = np.where(word[at] == self.word[posting], weight[at] * self.own[posting], 0.0)
+        cosine = np.bincount(np.repeat(np.arange(near.size), size), part, minlength=near.size)
+        best = np.lexsort((self.ids[near], -cosine))[:k]
+        best = best[cosine[best] > 0]
+        return near[best], cosine[best]
 
     def votes(self, cosine: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Votes weighted by nearness, with the prior."""
