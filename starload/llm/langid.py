@@ -23,6 +23,12 @@ from starload.llm.frames import binary_column
 from starload.llm.textbytes import slices
 
 DIMENSIONS = 512
+#: Of a language's labelled texts of one length, the share that its limit may turn away; classes of length; labelled texts a limit needs.
+BELOW = 0.005
+SIZES = 16
+ENOUGH = 50
+#: How the limit falls from one class of length to the next shorter one where there are no texts to tell.
+SHORTER = 0.7
 CLASSES = 64
 SEED = 17
 
@@ -136,8 +142,47 @@ def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.nd
     return bundles @ prototypes.T / np.where(norms > 0, norms, 1.0)[:, None], has
 
 
-def filter_known(docs: DataFrame, langs: list[str], prototypes: np.ndarray, least: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has a letter and a best cosine of at least ``least``."""
+def size_class(texts: list[str]) -> np.ndarray:
+    """The class of a text's length: 0 to 7 characters, 8 to 15, 16 to 31, and so on, up to ``SIZES``."""
+    return np.array([min(SIZES - 1, max(0, len(t).bit_length() - 3)) for t in texts], dtype=np.int64)
+
+
+def gate(training: DataFrame, langs: list[str], prototypes: np.ndarray, below: float = BELOW) -> np.ndarray:
+    """The least cosine ``[language, size class]`` of a text that belongs to a language.
+
+    It is the ``below`` quantile of the cosines of the labelled texts with their own language's prototype, by length:
+    short texts hold few trigrams and lie farther from it. A class with fewer than ``ENOUGH`` labelled texts takes the
+    limit of the next shorter class that has them, else ``SHORTER`` times that of the next longer one; a language without
+    any has no limit (-1). Quantiles come from an aggregate: one number for each language and class reaches the driver.
+    """
+    limits = np.full((len(langs), SIZES), -1.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {lang: k for k, lang in enumerate(langs)}
+        for batch in batches:
+            own = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=np.int64)
+            for i, j, texts in _texts(batch):
+                cos, has = cosines(texts, prototypes)
+                use = np.flatnonzero(has & (own[i:j] >= 0))
+                lang = own[i:j][use]
+                yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(size_class(texts)[use]), pa.array(cos[use, lang].astype(float))],
+                                                 ["lang", "size", "cosine"])
+
+    if langs:
+        rows = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+        found = (rows.mapInArrow(run, "lang long, size long, cosine double").groupBy("lang", "size")
+                 .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("cosine", below, 10_000).alias("least")))
+        for r in found.where(F.col("n") >= ENOUGH).collect():
+            limits[r["lang"], r["size"]] = r["least"]
+        for k in range(1, SIZES):
+            limits[:, k] = np.where(limits[:, k] == -1, limits[:, k - 1], limits[:, k])
+        for k in range(SIZES - 2, -1, -1):
+            limits[:, k] = np.where((limits[:, k] == -1) & (limits[:, k + 1] > 0), SHORTER * limits[:, k + 1], limits[:, k])
+    return limits
+
+
+def filter_known(docs: DataFrame, langs: list[str], prototypes: np.ndarray, limits: np.ndarray, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a letter and reaches its nearest language's limit (see ``gate``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +190,8 @@ def filter_known(docs: DataFrame, langs: list[str], prototypes: np.ndarray, leas
                 keep = np.zeros(j - i, dtype=bool)
                 if langs:
                     cos, has = cosines(texts, prototypes)
-                    keep = has & (cos.max(axis=1) >= least)
+                    best = cos.argmax(axis=1)
+                    keep = has & (cos[np.arange(j - i), best] >= limits[best, size_class(texts)])
                 yield batch.slice(i, j - i).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -189,12 +189,15 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     ``min_tokens`` tokens that is in ``short_docs`` documents or more, or one of ``EXACT_WORDS`` words that is in
     ``EXACT_DOCS``. Other lines are kept if their template is in fewer than ``min_docs`` documents; blank lines, and short
     lines with a digit in each token, always. A null
-    text stays null, with no lines. Rows of one id count as one document, and lose the lines that
-    any of them would lose at that place; rows with a null id keep their text and count for no
-    template. Empty tables give no rows; further columns are not read.
+    text stays null, with no lines. A document is an id with a text (texts compared by a 32-bit hash): rows of one id
+    and different texts are documents of their own, in the order of that hash; rows alike in both are one document.
+    Documents with a null id come after the others. Empty tables give no rows; further columns are not read.
     """
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), *[docs[c] for c in carry or []]).withColumn("row_id", F.col("doc_id"))
-    drop = (recurring_lines(rows.where("row_id is not null").select("row_id", "text"), min_docs, min_tokens, similar, short_docs)
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), *[docs[c] for c in carry or []])
+    # ordered as the documents are: null ids last
+    rows = rows.withColumn("row_id", F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                                              F.hash("text").alias("text")))
+    drop = (recurring_lines(rows.where("text is not null").select("row_id", "text"), min_docs, min_tokens, similar, short_docs)
             .groupBy("row_id").agg(F.collect_set("line_no").alias("gone")))
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line, k: ~F.array_contains(F.col("gone"), k))

@@ -1,7 +1,7 @@
 """The stages of the corpus pipeline, each one operator of this subpackage with production parameters.
 
 Each takes ``(spark, docs, sf_dir)`` and all but the last return the columns of documents. Extra
-columns are not carried on. A null id is kept by the filters and belongs to no group.
+columns are not carried on. Rows with a null id, or with an id that others have, are rows like all others.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from starload.llm import bpe, curriculum, langid, line_templates, ngram_join
 from starload.llm.frames import crc_mod, cut, ship, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A text whose best cosine with a language is below this is rejected.
-LEAST_COSINE = 0.05
 
 
 def _columns(docs: DataFrame) -> list:
@@ -23,10 +21,11 @@ def _columns(docs: DataFrame) -> list:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or unlike every learned language, go."""
+    """Documents without a letter, or unlike every learned language, go: those below the cosines of its labelled texts."""
     ship(spark)
-    langs, prototypes = langid.fit(docs.where(F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(True))))
-    return langid.filter_known(docs.select(*_columns(docs)), langs, prototypes, LEAST_COSINE)
+    labelled = docs.where(F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(True)))
+    langs, prototypes = langid.fit(labelled)
+    return langid.filter_known(docs.select(*_columns(docs)), langs, prototypes, langid.gate(labelled, langs, prototypes))
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +37,22 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id stays of each group linked at 0.8 by five-word shingles."""
+    """The row with the smallest id (null ids last) stays of each group linked at 0.8 by five-word shingles.
+
+    Rows are told apart by their place in ``docs``, so copies under one id or without an id go as well. ``docs`` must
+    give the same rows in the same partitions each time, as files do.
+    """
     ship(spark)
-    rows = docs.select(*_columns(docs))
-    groups = ngram_join.jaccard_groups(rows, width=5, percent=80)
-    # written, so that the planner broadcasts few ids instead of shuffling all texts
-    gone = written(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return rows.join(gone, rows["doc_id"] == gone["gone"], "left_anti")
+    rows = docs.select(*_columns(docs), F.monotonically_increasing_id().alias("row_key"))
+    groups = written(ngram_join.jaccard_groups(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, percent=80)
+                     .select(F.col("doc_id").alias("row_key"), "component_id"), "groups")
+    several = groups.where("component_id <> row_key").select("component_id").distinct()
+    linked = written(groups.join(several, "component_id", "left_semi").join(rows.select("row_key", "doc_id"), "row_key"), "linked")
+    first = (linked.groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))["row_key"].alias("kept")))
+    # written, so that the planner broadcasts few keys instead of shuffling all texts
+    gone = written(linked.join(first, "component_id").where("row_key <> kept").select("row_key"), "gone")
+    return rows.join(gone, "row_key", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ HEADER = 16
 LENGTH = 512
 SHARD_RECORDS = 4096
 ROUNDS = 6
+#: The document id that stands for a null one.
+NO_ID = -2 ** 63
 #: Bytes of tokens written by one task.
 TASK_BYTES = 256 << 20
 
@@ -92,10 +94,10 @@ def assign_slots(docs: DataFrame, cutter: Cutter, key: int, doc_id: str = "doc_i
     The plan runs twice: once to count each partition's sequences (one number per partition
     goes to the driver), once to number them. So ``docs`` must give the same rows in the
     same partitions each time, as map-only plans over files do; cut the lineage of any other
-    input first. Null and empty texts and rows with a null id give no sequence; repeated rows
-    give sequences of their own; an empty table gives none.
+    input first. Null and empty texts give no sequence; repeated rows give sequences of their
+    own; an empty table gives none. A null id is ``NO_ID`` here and in the shards, and null again when they are read.
     """
-    rows = docs.where(docs[doc_id].isNotNull()).select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    rows = docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc_id"), docs[text].alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = sum(b.num_rows for b in cutter(batches))
@@ -163,4 +165,5 @@ def read_shards(spark: SparkSession, path: str, token_bytes: int = 2 * LENGTH, s
                      pa.array(number[1].astype(np.int32)), pa.array(number[2].astype(np.int32)), pa.array(tokens, pa.binary())],
                     ["slot", "shard", "doc_id", "seq_no", "n_tokens", "tokens"])
 
-    return files.mapInArrow(run, "slot long, shard long, doc_id long, seq_no int, n_tokens int, tokens binary")
+    return (files.mapInArrow(run, "slot long, shard long, doc_id long, seq_no int, n_tokens int, tokens binary")
+            .withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))))

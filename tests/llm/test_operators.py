@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starload.llm import bpe, curriculum, ego_join, langid, line_templates, ngram_join, page_text, stages, topk, toxicity
 from starload.llm import training_order as order
 from starload.llm.components import components
@@ -134,6 +135,8 @@ def test_shards_round_trip_and_resume(llm, library, tmp_path):
     for i, t in enumerate(TEXTS):
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.seq_no)
         assert [x for r in own for x in np.frombuffer(r.tokens, "<u2").tolist()] == library.encode_ordinary(t or "")
+    gone = [r for r in rows if r.doc_id is None]  # a document without an id is in the shards as well
+    assert [x for r in gone for x in np.frombuffer(r.tokens, "<u2").tolist()] == library.encode_ordinary("gone")
     later = order.read_shards(llm, path, 32, 50, from_slot=77).orderBy("slot").collect()
     assert later == rows[77:]
 
@@ -153,6 +156,18 @@ def test_recurring_lines_stay_in_the_first_document_only(llm):
     assert line_templates.drop_recurring(documents(llm, [])).count() == 0
 
 
+def test_rows_of_one_id_and_without_an_id(llm):
+    """Rows are documents by id and text: a clean line at the place of another row's recurring line stays; null ids are deduplicated."""
+    common = "this notice stands on every page of the site"
+    texts = [f"{common}\nbody {c * 4} of one alone" for c in "abcd"] + ["a clean first line of its own\n" + common, f"{common}\nbody xxxx of one alone"]
+    docs = documents(llm, texts, ids=[1, 2, 3, 4, 4, None])
+    got = Counter((r.doc_id, r.text) for r in line_templates.drop_recurring(docs).collect())
+    assert got == Counter([(1, texts[0])] + [(i, t.split("\n")[1]) for i, t in zip((2, 3, 4), texts[1:4])]
+                          + [(4, "a clean first line of its own"), (None, "body xxxx of one alone")])
+    none = documents(llm, [t.replace("body", "own") for t in texts], ids=[None] * 6)
+    assert sum(common in r.text for r in line_templates.drop_recurring(none).collect()) == 1
+
+
 def test_templates_of_a_leaf():
     t = line_templates.Templates(0.6)
     assert [t.add(x) for x in ("a b c d e", "a b c x y", "a b q r s", "a b c d z")] == [0, 0, 1, 0]
@@ -215,6 +230,29 @@ def test_languages_and_bundles(llm):
     assert [r.lang_pred for r in langid.predict(docs.limit(2), langs, prototypes).collect()] == ["und"] * 2
 
 
+def test_gate_turns_away_what_is_no_learned_language(llm):
+    rng = np.random.default_rng(9)
+    stems = {"en": "the of and to in that is was for it with as his on be at by".split(),
+             "de": "der die und das von zu mit sich auf für ist im dem nicht ein eine als".split(),
+             "fi": "ja on ei että hän oli joka mutta myös sekä kun niin kuin ovat tämä mukaan".split()}
+
+    def text(lang):
+        return " ".join(rng.choice(stems[lang]) + str(rng.choice(["", "", "ing" if lang == "en" else "en"])) for _ in range(int(rng.integers(4, 60))))
+
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["en", "de"] * 400)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, prototypes = langid.fit(docs.where("doc_id < 600"))
+    limits = langid.gate(docs.where("doc_id < 600"), langs, prototypes)
+    kept = lambda texts: langid.filter_known(llm.createDataFrame([(t, 1) for t in texts], "text string, best int"), langs, prototypes, limits).count()
+    assert kept([t for i, t, _ in rows if i >= 600]) >= 0.99 * 200
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), int(rng.integers(60, 400)))) for _ in range(100)]
+    assert kept(junk) <= 2 and kept([text("fi") for _ in range(100)]) <= 10
+    assert kept([None, "", "12 !"]) == 0
+    nothing = langid.fit(docs.limit(0))
+    assert langid.gate(docs.limit(0), *nothing).shape == (0, langid.SIZES)
+    assert langid.filter_known(docs, *nothing, langid.gate(docs, *nothing)).count() == 0
+
+
 # ---- op7 -------------------------------------------------------------------------------------------
 
 def test_near_duplicates_match_brute_force(llm):
@@ -271,6 +309,25 @@ def test_mix_targets_and_passes(llm):
     assert curriculum.mix(documents(llm, [])).count() == 0
 
 
+def test_group_stage_keeps_one_row_of_each_group(llm):
+    """Copies go whatever their ids: of one id, without an id, or of several; the smallest id stays."""
+    words_ = lambda c: " ".join(f"{c}{k}" for k in range(40))
+    texts = [words_("a")] * 4 + [words_("b")] * 4 + [words_("c")] * 3 + [words_("c") + " more", words_("d"), words_("e"), None, ""]
+    ids = [7] * 4 + [None] * 4 + [None, 30, 20, 25, 9, 9, None, None]
+    got = Counter((r.doc_id, r.text) for r in stages.keep_one_per_group(llm, documents(llm, texts, ids), "").collect())
+    assert got == Counter([(7, words_("a")), (None, words_("b")), (20, words_("c")), (9, words_("d")), (9, words_("e")), (None, None), (None, "")])
+    assert stages.keep_one_per_group(llm, documents(llm, []), "").count() == 0
+
+
+def test_pipeline_stages_take_junk(llm):
+    """Every stage on nulls, empty and very long texts, repeated and missing ids, and no rows."""
+    for docs in (documents(llm, TEXTS + TEXTS, [None, 1, 1, *range(len(TEXTS) * 2 - 3)]), documents(llm, [])):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(llm, docs, "")
+            assert name == "byte_level_bpe" or out.columns == stages.COLUMNS
+            assert out.count() <= docs.count() * curriculum.LIMIT
+
+
 def test_mix_stage_reads_each_row_by_itself(llm):
     """Rows of one id, and rows without an id, are read as often as the mix says, not once for each other."""
     docs = documents(llm, [f"row{k} " * (10 + k) for k in range(12)], [7, None, None, 7, 7, None, 7, None, None, 7, 1, 2])
