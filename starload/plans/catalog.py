@@ -295,6 +295,25 @@ def raw_json_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", P.canonical_text("props").alias("raw_json"))
 
 
+@query
+def raw_json_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: elements keep their own text: nested, in any order, with blanks, ``1.50`` and non-ASCII letters as written."""
+    part = Roles(spark, sf_dir).table("part")
+    price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    raw = F.concat(F.lit('{"total": 2, "data" : [ {"price" : '), price, F.lit(', "fullName":"Zürich \\u00e9 ✓ '), "p_brand",
+                   F.lit('", "more":{"b":[1 , 2.50],"a":null}, "id":'), F.col("p_partkey").cast("string"), F.lit("} ,\n 7, [1], {}]}"))
+    docs = P.parse_envelope(part.select("p_partkey", raw.alias("raw"), F.lit("part").alias("path")))
+    rows = P.flatten_teams(docs, keep=["p_partkey"], raw="raw")
+    return rows.select("p_partkey", "team_pos", P.raw_json(rows, "team").alias("raw_json"))
+
+
+@query
+def player_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 for players: the roster element's text as landed."""
+    docs = P.parse_envelope(Roles(spark, sf_dir).roster_payloads)
+    return P.player_to_staging(P.flatten_rosters(docs, keep=["team_id"], raw="raw")).select("player_id", "raw_json")
+
+
 def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.flatten_teams(P.parse_envelope(Roles(spark, sf_dir).teams_payload), keep=["path"])
 

@@ -215,7 +215,7 @@ def _in_scope(load):
 
 def _teams(spark: SparkSession, landing: str, payloads: DataFrame | None = None) -> DataFrame:
     payloads = P.read_payloads(spark, f"{landing}/teams") if payloads is None else payloads
-    flat = P.flatten_teams(P.parse_envelope(payloads), keep=["path"])
+    flat = P.flatten_teams(P.parse_envelope(payloads), keep=["path"], raw="raw")
     return P.newest_entries(flat, F.try_variant_get("team", "$.id", "int"))
 
 
@@ -239,7 +239,7 @@ def load_players(spark: SparkSession, wh: Warehouse, landing: str, codes: str |
     for r in rosters.missing(targets.select("key")).orderBy("key").toLocalIterator():
         log.warning("no roster payload for team code %s: team skipped", r.key)
     docs = P.parse_envelope(rosters.read(targets.select("key")).join(targets, "key"))
-    flat = P.flatten_rosters(docs, keep=["team_id", "team_pos"])
+    flat = P.flatten_rosters(docs, keep=["team_id", "team_pos"], raw="raw")
     rows = P.player_to_staging(flat, keep=["team_pos", "group_pos", "player_pos"])
     return _load(wh, "player_raw", rows, ["team_pos", "team_id", "group_pos", "player_pos"], load_ts)
 
@@ -269,7 +269,7 @@ def load_schedules(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
     if "request_date" not in payloads.columns:
         payloads = payloads.withColumn("request_date", F.to_date(P.payload_key("path", "schedule")))
     docs = P.parse_envelope(payloads)
-    latest = P.latest_games(P.flatten_schedule(docs, keep=["request_date"]), ["request_date"])
+    latest = P.latest_games(P.flatten_schedule(docs, keep=["request_date"], raw="raw"), ["request_date"])
     rows = P.game_to_staging(latest, keep=["request_date", "day_pos", "game_pos"])
 
     def calendar(batch_id: str) -> None:
@@ -289,7 +289,7 @@ def load_rosters(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
     teams = dedupe(teams.filter(F.col("code").isNotNull()), ["code"], ["team_key"], keep="first")
     landed = payloads.withColumn("code", F.upper(P.payload_key("path", "roster")))
     docs = P.parse_envelope(landed.join(teams, "code"))
-    flat = P.flatten_rosters(docs, keep=["team_id", "path"])
+    flat = P.flatten_rosters(docs, keep=["team_id", "path"], raw="raw")
     rows = P.player_to_staging(flat, keep=["path", "group_pos", "player_pos"])
     return _load(wh, "player_raw", rows, ["path", "group_pos", "player_pos"], load_ts)
 
@@ -298,7 +298,7 @@ def load_boxscores(spark: SparkSession, wh: Warehouse, payloads: DataFrame,
                   load_ts: datetime | None = None) -> C.LoadResult:
     """R8 -> P4 -> player_game_stats_raw -> fact (K7) for a set of landed boxscore payloads."""
     docs = P.parse_envelope(payloads.withColumn("game_id", P.payload_key("path", "boxscore").cast("long")))
-    rows = P.stats_to_staging(P.flatten_boxscores(docs, game_col="game_id"),
+    rows = P.stats_to_staging(P.flatten_boxscores(docs, game_col="game_id", raw="raw"),
                               keep=["side_pos", "group_pos", "player_pos"])
     return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)
 
@@ -323,7 +323,7 @@ def load_player_game_stats(spark: SparkSession, wh: Warehouse, landing: str, sta
     boxscores = P.Landing(spark, landing, "boxscore")
     boxscores.missing(wanted, fail="no boxscore payload for game").limit(1).collect()
     docs = P.parse_envelope(boxscores.read(wanted).withColumn("game_id", F.col("key").cast("long")))
-    flat = P.flatten_boxscores(docs, game_col="game_id")
+    flat = P.flatten_boxscores(docs, game_col="game_id", raw="raw")
     rows = P.stats_to_staging(flat, keep=["side_pos", "group_pos", "player_pos"])
     return _load(wh, "player_game_stats_raw", rows, ["game_id", "side_pos", "group_pos", "player_pos"], load_ts)
 

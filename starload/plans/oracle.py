@@ -289,6 +289,27 @@ oracle("payload_envelope", "select event_id, cast(json_extract_string(props, '$.
 oracle("raw_json_canonical",
        """select event_id, concat('{"k":', json_extract_string(props, '$.k'), '}') as raw_json from events""")
 
+oracle("raw_json_verbatim", r"""
+select p_partkey, pos as team_pos, case pos when 0 then concat('{"price" : ', cast(cast(p_retailprice as decimal(12, 2)) as varchar),
+  ', "fullName":"Zürich \u00e9 ✓ ', p_brand, '", "more":{"b":[1 , 2.50],"a":null}, "id":', p_partkey, '}')
+  when 1 then '7' when 2 then '[1]' else '{}' end as raw_json
+from part, (select unnest([0, 1, 2, 3])::int as pos) z""")
+
+oracle("player_raw_json", """
+select cast(player_id as int) as player_id, case when position_code = 'G'
+  then concat('{"birthDate":"', birth, '"', first, ',"id":', player_id, ',"lastName":', last, ',"positionCode":"G","shootsCatches":"', hand, '"}')
+  else concat('{"id":', player_id, first, ',"lastName":', last, ',"positionCode":"', position_code, '","shootsCatches":"', hand,
+              '","birthDate":"', birth, '"}') end as raw_json from elements""",
+       ("elements", """
+select player_id, position_code,
+  concat(strftime(date '1980-01-01' + cast(player_id % 7000 as int), '%Y-%m-%d'), case when player_id % 3 = 0 then 'T00:00:00' else '' end) as birth,
+  case when player_id % 11 <> 0 then concat(',"firstName":{"default":"', split_part(full_name, '#', 1), '"}')
+       when position_code = 'G' then ',"firstName":null' else '' end as first,
+  case when player_id % 2 = 0 then concat('"', split_part(full_name, '#', 2), '"')
+       else concat('{"default":"', split_part(full_name, '#', 2), '"}') end as last,
+  case when player_id % 2 = 0 then 'L' else 'R' end as hand
+from m_player where not (position_code = 'G' and team_id % 7 = 3)"""))
+
 oracle("team_payload_flatten", "select team_id, team_name from m_team")
 
 _TEAM_CODE = ("tref", """select team_id, team_name, conference,
