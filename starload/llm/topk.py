@@ -6,8 +6,9 @@ dimension. A query's bound for a block is the sum of its values times those extr
 term maxima; a negative value takes the minimum). Blocks are scored through their forward
 index in descending order of bounds until the next bound falls below the k-th best score.
 
-A query first visits its own chunk; the k-th score it finds there goes with it to all the other
-chunks, where most blocks then fall below it. Queries visit chunks as a stream (sorted
+Each chunk's maxima and minima bound it in the same way. A query visits chunks in descending order of their bounds, in
+rounds of a few chunks each: the k-th score of one round goes with it to the next, and it is sent to no
+chunk whose bound is below it. Queries visit chunks as a stream (sorted
 behind the chunk's rows), so a task holds one chunk and one batch of queries.
 """
 
@@ -29,6 +30,8 @@ CHUNK = 65_536
 QUERIES = 256
 #: Blocks visited between two looks at the k-th score.
 STEP = 4
+#: Chunks, by descending bound, that a query has visited after each round but the last, which visits all that are left.
+ROUNDS = (2, 10)
 OUT = "query_id long, vec_id long, score long"
 
 
@@ -82,6 +85,47 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Largest and smallest value of every dimension of a task's rows, by chunk and length."""
+    held: dict[tuple[int, int], list[np.ndarray]] = {}
+    for batch in batches:
+        chunk, dims = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+        for c, d in set(zip(chunk.tolist(), dims.tolist())):
+            rows = _matrix(batch.column(2).filter(pa.array((chunk == c) & (dims == d))))
+            high, low = rows.max(axis=0), rows.min(axis=0)
+            if (c, d) in held:
+                high, low = np.maximum(high, held[c, d][0]), np.minimum(low, held[c, d][1])
+            held[c, d] = [high, low]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([c for c, _ in held], pa.int32()), pa.array([d for _, d in held], pa.int32()),
+         *(pa.array([v[i].tolist() for v in held.values()], pa.list_(pa.float64())) for i in (0, 1))], ["chunk", "dims", "high", "low"])
+
+
+def _ahead(chunk_of: dict, start: int, end: int | None):
+    """Each query with the chunks of places ``start .. end`` in its order of bounds that can still offer ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(0).to_numpy()
+            for d in np.unique(dims):
+                if d not in chunk_of:
+                    continue
+                here = batch.filter(pa.array(dims == d))
+                names, high, low = chunk_of[d]
+                for i in range(0, here.num_rows, QUERIES):
+                    rows = here.slice(i, QUERIES)
+                    q = _matrix(rows.column(2))
+                    bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+                    order = np.argsort(-bounds, axis=1, kind="stable")[:, start:end]
+                    least = rows.column(3).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                    row, place = np.nonzero(np.take_along_axis(bounds, order, axis=1) >= least[:, None])
+                    sent = rows.take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays([pa.array(names[order[row, place]].astype(np.int32)), *sent.columns],
+                                                     ["chunk", *sent.schema.names])
+
+    return run
+
+
 def _visit(k: int):
     """Rows sorted by chunk, the chunk's vectors (side 0) before its queries (side 1)."""
 
@@ -124,29 +168,39 @@ def integer_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "
     """``vec_id, vec``: ``floor(scale * x)`` of every component as double.
 
     Left out: null ids, null or empty vectors and vectors with null or non-finite components. Of
-    rows with one id the greatest vector counts.
+    rows with one id the greatest vector counts. A scaled component of 2**53 or more raises.
     """
     rows = table.select(table[vec_id].cast("long").alias("vec_id"), table[embedding].cast("array<double>").alias("raw"))
     sound = (F.col("vec_id").isNotNull() & (F.size("raw") > 0)
              & F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    scaled = F.transform("raw", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
+    far = F.raise_error(F.lit(f"a component times {scale} is beyond 2**53")).cast("double")
+    scaled = F.transform("raw", lambda x: F.when(F.abs(x * F.lit(float(scale))) < float(2 ** 53), F.floor(x * F.lit(float(scale))).cast("double")).otherwise(far))
     return rows.where(sound).select("vec_id", scaled.alias("vec")).groupBy("vec_id").agg(F.max("vec").alias("vec"))
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` largest inner products, ties to the smaller id.
 
-    Both inputs hold ``vec_id, vec`` (arrays of integral doubles; products must stay below
-    2**53 to be exact). A query is not its own candidate. Only vectors of a query's length are
+    Both inputs hold ``vec_id, vec`` (arrays of integral doubles); vectors whose products could
+    pass 2**53 raise, as they would not be exact. A query is not its own candidate. Only vectors of a query's length are
     candidates. Fewer candidates give fewer rows; empty inputs give none.
     """
     spark = vectors.sparkSession
-    rows = vectors.count()
+    both = vectors.select("vec").unionByName(queries.select("vec"))
+    rows, largest, longest = vectors.count(), *both.agg(F.max(F.array_max(F.transform("vec", F.abs))), F.max(F.size("vec"))).first()
+    if rows and int(largest) ** 2 * longest >= 2 ** 53:
+        raise ValueError(f"components up to {int(largest)} are too large for exact scores")
     chunks = max(1, min(rows, max(shuffle_width(spark), -(-rows // CHUNK))))
     # places of about equal size: leading values first, so that neighbours share a chunk; ids split equal vectors
     order = [F.size("vec"), *[F.try_element_at("vec", F.lit(d + 1)) for d in range(8)], F.col("vec_id")]
     placed = cut(vectors.repartitionByRange(chunks, *order)
                  .select(F.spark_partition_id().alias("chunk"), "vec_id", "vec", F.size("vec").alias("dims")))
+    sides = placed.mapInArrow(_sides, "chunk int, dims int, high array<double>, low array<double>").collect()
+    table = {}
+    for r in sides:  # a row for each chunk and length
+        table.setdefault(r.dims, []).append((r.chunk, r.high, r.low))
+    chunk_of = {d: (np.array([x[0] for x in rows_]), np.array([x[1] for x in rows_]), np.array([x[2] for x in rows_]))
+                for d, rows_ in table.items()}
     asked = queries.select("vec_id", "vec", F.size("vec").alias("dims"))
     none = F.lit(None).cast("double")
     key = ["chunk", "dims"]
@@ -158,14 +212,20 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 .select((F.col("chunk") * F.lit(1 << 20) + F.col("dims")).alias("place"), "side", "vec_id", "vec", "least")
                 .mapInArrow(_visit(k), OUT))
 
-    home = cut(_best(search(placed.join(asked.select("vec_id"), "vec_id", "left_semi").withColumn("least", none)), k))
-    # with k rows found at home, no other chunk needs to offer less than the k-th
-    kth = home.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("least"))
-    at_home = placed.select(F.col("vec_id").alias("query_id"), F.col("chunk").alias("home"))
-    shapes = placed.select(*key).distinct().groupBy("dims").agg(F.collect_set("chunk").alias("chunks"))
-    others = (asked.withColumnRenamed("vec_id", "query_id").join(at_home, "query_id", "left").join(kth, "query_id", "left")
-              .join(shapes, "dims").withColumn("chunk", F.explode("chunks"))
-              .where(F.col("home").isNull() | (F.col("chunk") != F.col("home")))
-              .select("chunk", "dims", F.col("query_id").alias("vec_id"), "vec", "least"))
-    found = home.select("query_id", "vec_id", "score").unionByName(search(others))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    best = None
+    for start, end in zip((0, *ROUNDS), (*ROUNDS, None)):
+        if best is None:
+            asks = asked.withColumn("least", none)
+        else:  # with k rows found, no other chunk needs to offer less than the k-th
+            kth = best.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("least"))
+            asks = asked.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+        sent = (asks.select("dims", "vec_id", "vec", "least")
+                .mapInArrow(_ahead(chunk_of, start, end), "chunk int, dims int, vec_id long, vec array<double>, least double"))
+        found = search(sent)
+        if best is not None:
+            found = best.select("query_id", "vec_id", "score").unionByName(found)
+        best = _best(found, k)
+        if end is None or all(len(x[0]) <= end for x in chunk_of.values()):
+            break
+        best = cut(best)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

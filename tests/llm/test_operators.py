@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -52,10 +53,31 @@ def test_topk_matches_brute_force(llm):
             scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in sound.items() if i != q and len(w) == len(v))
             want.update({(q, k + 1): (i, -s) for k, (s, i) in enumerate(scores[:20])})
     assert got == want
+    with pytest.raises(PySparkException, match="beyond"):
+        topk.integer_vectors(llm.createDataFrame([(0, [1e300], 1)], table.schema)).collect()
+    large = topk.integer_vectors(llm.createDataFrame([(0, [1e12], 1)], table.schema))
+    with pytest.raises(ValueError):
+        topk.topk(large, large, 1)
     empty = topk.integer_vectors(table.limit(0))
     assert topk.topk(empty, empty, 3).count() == 0
 
 
+def test_topk_over_many_chunks(llm, monkeypatch):
+    """Several rounds over many small chunks, with ties across chunks: equal to brute force."""
+    monkeypatch.setattr(topk, "CHUNK", 25)
+    rng = np.random.default_rng(11)
+    centres = rng.integers(-9, 10, (12, 6))
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.integers(-2, 3, 6)]) for i in range(900)]
+    vectors = llm.createDataFrame(rows, "vec_id long, vec array<double>")
+    asked = vectors.where("vec_id % 30 = 0")
+    got = {}
+    for r in topk.topk(vectors, asked, 7).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q, v in rows[::30]:
+        best = sorted((-int(np.dot(v, w)), i) for i, w in rows if i != q)[:7]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 # ---- op2 -------------------------------------------------------------------------------------------
 
 def groups_by_force(texts, width, percent):
