@@ -7,6 +7,7 @@ columns are not carried on. Rows with a null id, or with an id that others have,
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,8 +65,24 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(plan, "row_key").orderBy("position", "doc_id", "row_key").select(*COLUMNS)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row's place in its files, which keeps the order they were written in: ``order_file, order_row``."""
+    try:
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+        return docs.select("*", F.nullif(part, F.lit("")).cast("long").alias("order_file"),
+                           F.col("_metadata.row_index").alias("order_row"))
+    except AnalysisException:  # no files: the order of the rows as they come
+        return docs.select("*", F.lit(0).cast("long").alias("order_file"), F.monotonically_increasing_id().alias("order_row"))
+
+
 def encode_bytes_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256, token_ids``."""
+    """Token ids of every text: ``doc_id, order_file, order_row, n_tokens, ids_sha256, decoded_sha256, token_ids``.
+
+    Readers split and pack files as they like; ascending ``order_file, order_row`` is the order of ``docs``' files, which
+    after the mixing stage is the training order.
+    """
     ship(spark)
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                                keep_ids=True)
+    key = F.struct("doc_id", "order_file", "order_row").alias("doc_id")
+    encoded = bpe.encode_documents(_placed(docs).select(key, "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                   public_tokenizers.PATTERN, keep_ids=True)
+    return encoded.select("doc_id.*", *[c for c in encoded.columns if c != "doc_id"])
