@@ -112,5 +112,41 @@ select vec_id, code, error, (sum(error) over (partition by label))::bigint as la
 from rows, digest
 """
 
-LLM_ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op8_source_mix": OP8, "op12_hard_negatives": OP12,
-                              "op13_vector_codes": OP13}
+#: Smallest id that each node of ``links`` (a, b, both ways) reaches, by breadth; ``nodes`` has every id.
+REACHED = """
+reached(node, seen) as (
+  select node, node from nodes
+  union
+  select r.node, l.b from reached r join links l on r.seen = l.a),
+component as (select node, min(seen) as component_id from reached group by node)"""
+
+OP2 = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) >= 4 then list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i: i + 3], ' ')))
+                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words),
+items as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select x.doc_id as a, y.doc_id as b from items x join items y on x.shingle = y.shingle and x.doc_id <> y.doc_id
+  group by x.doc_id, y.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+nodes as (select doc_id as node from documents),""" + REACHED + """
+select doc_id, len(s)::bigint as n_shingles, component_id from sets join component on node = doc_id
+"""
+
+OP7 = """
+with recursive sound as (
+  select vec_id, label, embedding::double[] as vec from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from sound x join sound y on x.label = y.label and x.vec_id <> y.vec_id
+  where list_cosine_similarity(x.vec, y.vec) >= 0.93::double),
+nodes as (select vec_id as node from embeddings),""" + REACHED + """
+select node as vec_id, (select count(*) from links where a = node)::bigint as n_links, component_id, component_id = node as kept
+from component
+"""
+
+LLM_ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op2_ngram_jaccard": OP2, "op7_embedding_near_dedup": OP7,
+                              "op8_source_mix": OP8, "op12_hard_negatives": OP12, "op13_vector_codes": OP13}
