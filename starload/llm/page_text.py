@@ -9,9 +9,10 @@ valid if it has enough support (at least ``MIN_PAGES`` contents and ``SHARE`` of
 ``MIN_CLASS`` tokens. Valid classes nest into the host's template by their paths, whatever else the elements
 around them hold and however often. What the template does not hold fills its slots.
 
-From the slots the article is taken: blocks within ``article`` or ``main`` (on pages that have one; else
-within the body) that lie in no element for menus, headers, footers, side bars, notices, adverts, forms or reader
-comments. Texts of the template are left out, within ``article`` and ``main`` too, but for two kinds: a
+From the slots the article is taken: the deepest element of the template in whose slots lies nearly all of the text
+that varies over the host's pages, with the page's own headings before it; on pages with an ``article`` or ``main``
+element, that one. What lies in elements for menus, headers, footers, side bars, notices, adverts, forms or reader
+comments is no part of it. Texts of the template are left out, within ``article`` and ``main`` too, but for two kinds: a
 heading under which a slot follows, and an article that the host itself repeats with small changes, known by a
 headline of the template over a text of which the template holds more than the slots.
 """
@@ -34,6 +35,8 @@ from starload.llm.frames import cut, written
 MIN_PAGES = 3
 SHARE = 0.5
 MIN_CLASS = 2
+#: Share of the host's varying text that the article's slot holds at least.
+SLOT_SHARE = 0.8
 #: Parts in which a host's pages are joined with its template.
 SALTS = 32
 
@@ -208,6 +211,27 @@ def read(page: str) -> list[tuple[str, object]]:
     return tokens
 
 
+#: What a page tells about a token: how often it occurs; for elements that may hold an article, also the characters
+#: and a hash of the texts in them, and their depth.
+FACTS = np.dtype([("token", "<i8"), ("n", "<i4"), ("chars", "<i4"), ("text", "<i4"), ("depth", "<i4")])
+
+
+def facts(tokens: list[tuple[str, object]]) -> np.ndarray:
+    """The facts of each of a page's tokens."""
+    counts = Counter(v[-1].token if kind == "open" else text_token(*v) for kind, v in tokens)
+    held: dict[int, list] = {}
+    for kind, v in tokens:
+        if kind == "text" and not v[0][-1].aside:
+            for depth, e in enumerate(v[0][1:], 1):
+                if e.name not in TEXT:
+                    row = held.setdefault(e.token, [0, [], depth])
+                    row[0] += len(v[1])
+                    row[1].append(v[1])
+    none = (0, (), 0)
+    return np.array([(token, n, min(chars, 2 ** 31 - 1), digest(*texts) & 0x3FFFFFFF, depth) for token, n in counts.items()
+                     for chars, texts, depth in (held.get(token, none),)], dtype=FACTS)
+
+
 def text_token(elements: list[Element], text: str) -> int:
     return digest(str(elements[-1].path), "text", text)
 
@@ -229,35 +253,37 @@ def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, page in zip(*(c.to_pylist() for c in batch.columns)):
             tokens = read(page or "")
-            counts = Counter(v[-1].token if kind == "open" else text_token(*v) for kind, v in tokens)
-            packed = np.array(list(counts.items()), dtype="<i8").reshape(-1, 2)
-            rows.append((host, digest(*(text for _, text in candidates(tokens)[1])), digest(page or ""),
-                         packed[:, 0].tobytes() + packed[:, 1].astype("<i4").tobytes()))
+            rows.append((host, digest(*(text for _, text in candidates(tokens)[1])), digest(page or ""), facts(tokens).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.binary()))],
                                          ["host", "content", "page", "tokens"])
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Support, sum and projections of the tokens' occurrence vectors over this batch's contents of each host."""
+    """Support, sum and projections of the tokens' occurrence vectors over this batch's contents of each host; the
+    characters in an element, the least and greatest hash of its texts, and its depth."""
     for batch in batches:
         found: dict[tuple[str, int], list[int]] = {}
         for host, content, packed in zip(*(c.to_pylist() for c in batch.columns)):
-            n_tokens = len(packed) // 12
-            for token, n in zip(np.frombuffer(packed, "<i8", n_tokens).tolist(), np.frombuffer(packed, "<i4", n_tokens, 8 * n_tokens).tolist()):
+            for token, n, chars, text, depth in np.frombuffer(packed, FACTS).tolist():
                 random = digest(str(content), str(n))
-                row = found.setdefault((host, token), [0, 0, 0, 0])
+                row = found.setdefault((host, token), [0, 0, 0, 0, 0, text, text, depth])
                 row[0] += 1
                 row[1] += n
                 row[2] += random & 0x3FFFFFFF
                 row[3] += random >> 30 & 0x3FFFFFFF
+                row[4] += chars
+                row[5], row[6] = min(row[5], text), max(row[6], text)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()),
-             *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(4)]],
-            ["host", "token", "pages", "total", "x", "y"])
+             *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(8)]], ["host", "token", *COUNTED])
+
+
+COUNTED = ("pages", "total", "x", "y", "chars", "low", "high", "depth")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, template``: the tokens of the host's valid equivalence classes; ``pages`` holds ``host, html``.
+    """``host, template, slot``: the tokens of the host's valid equivalence classes and the element of its article's
+    slot (null if no element's text varies); ``pages`` holds ``host, html``.
 
     Of the pages with one content, the one with the smallest hash stands for all. A template has at
     most ``1 / SHARE`` times the tokens of a page of the host.
@@ -265,24 +291,39 @@ def templates(pages: DataFrame) -> DataFrame:
     contents = cut(pages.select("host", "html").mapInArrow(_page_tokens, "host string, content long, page long, tokens binary")
                    .groupBy("host", "content").agg(F.min_by("tokens", "page").alias("tokens")))
     tokens = (contents
-              .mapInArrow(_count_tokens, "host string, token long, pages long, total long, x long, y long")
-              .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "x", "y")])
+              .mapInArrow(_count_tokens, "host string, token long, " + ", ".join(f"{c} long" for c in COUNTED))
+              .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in COUNTED[:5]], F.min("low").alias("low"),
+                                            F.max("high").alias("high"), F.max("depth").alias("depth"))
               .where(F.col("pages") >= MIN_PAGES))
     sizes = contents.groupBy("host").agg(F.count(F.lit(1)).alias("of")).where(F.col("of") >= MIN_PAGES)
     classes = (tokens.join(sizes, "host").where(F.col("pages") >= F.lit(SHARE) * F.col("of"))
-               .groupBy("host", "pages", "total", "x", "y").agg(F.collect_set("token").alias("class")))
-    return (classes.where(F.size("class") >= MIN_CLASS).groupBy("host")
-            .agg(F.flatten(F.collect_list("class")).alias("template")))
-
-
-def article_text(page: str, template: frozenset[int]) -> str:
+               .groupBy("host", "pages", "total", "x", "y").agg(F.collect_list(
+                   F.struct((F.col("low") < F.col("high")).alias("varies"), "chars", "depth", "token")).alias("class")))
+    valid = classes.where(F.size("class") >= MIN_CLASS).groupBy("host").agg(F.flatten(F.collect_list("class")).alias("all"))
+    varying = F.filter("all", lambda t: t["varies"] & (t["chars"] > 0))
+    most = F.array_max(F.transform(varying, lambda t: t["chars"]))
+    # of the elements that hold nearly all that varies, the one with the least text, the deepest of equals
+    slot = F.array_min(F.transform(F.filter(varying, lambda t: t["chars"] >= F.lit(SLOT_SHARE) * most),
+                                   lambda t: F.struct(t["chars"], -t["depth"], t["token"].alias("token"))))
+    return valid.select("host", F.transform("all", lambda t: t["token"]).alias("template"), slot["token"].alias("slot"))
+
+
+def article_text(page: str, template: frozenset[int], slot: int | None = None) -> str:
     """The blocks of a page that fill the article's slots of the host's template, with the headings over slots.
 
+    Without an article element these are the blocks in the element ``slot`` and the page's own headings before it, on a
+    page that has that element; else those of the body.
     An article that the host repeats with small changes is whole, from its headline on: the template holds the
     headline (the first heading; in an article element without one, the first block) and more text than it leaves.
     """
     framed, blocks = candidates(read(page))
     own = [text_token(elements, text) not in template for elements, text in blocks]
+    if not framed and slot is not None:
+        inside = [any(e.token == slot for e in elements) for elements, _ in blocks]
+        if True in inside:
+            start = inside.index(True)
+            use = [k for k, (elements, _) in enumerate(blocks) if inside[k] or k < start and own[k] and elements[-1].name in HEADING]
+            blocks, own = [blocks[k] for k in use], [own[k] for k in use]
     level = [int(elements[-1].name[1]) if elements[-1].name in HEADING else 7 for elements, _ in blocks]
     left, whole = (sum(len(text) for keep, (_, text) in zip(which, blocks) if keep) for which in (own, [True] * len(blocks)))
     headline = next((k for k, n in enumerate(level) if n < 7), 0 if framed and blocks else None)
@@ -302,12 +343,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, frozenset[int]] = {}
     for batch in batches:
         out = []
-        for host, page, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template"))):
+        for host, page, template, slot in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template", "slot"))):
             if host not in held:
                 if len(held) > 1000:
                     held.clear()
                 held[host] = frozenset(template or ())
-            out.append(article_text(page or "", held[host]))
+            out.append(article_text(page or "", held[host], slot))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()),
                                           pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -494,6 +494,19 @@ def test_near_copies_keep_their_text(llm, wrap):
         f"One title\nA story told at length in every copy.\nIt goes on for long.\nchanged {c}" for c in names]
 
 
+def test_the_slot_that_varies_most_is_the_article(llm):
+    """Without article elements the template tells where the article is: other texts that vary from page to page are outside of it."""
+    page = ("<body><div class='x1'><a href=/>home</a> <a href=/{0}>to {0}</a></div><div class='x2'>{1}<div class='x3'>{2}"
+            "<p>Read more</p></div></div><div class='x4'><span>seen {0} times</span></div></body>")
+    story = lambda c: [f"story of {c * 3} " + " ".join(c * k for k in range(2, 30)), f"more of {c * 4} at length, with all that belongs to it"]
+    html_of = lambda c, title: page.format(c * 5, title, "".join(f"<p>{t}</p>" for t in story(c)))
+    names = "abcde"
+    assert main_texts(llm, [html_of(c, f"<h1>Title {c}</h1>") for c in names]) == ["\n".join([f"Title {c}", *story(c)]) for c in names]
+    assert main_texts(llm, [html_of(c, "") for c in names]) == ["\n".join(story(c)) for c in names]
+    # a page of the host that lacks the element is read as a whole
+    assert main_texts(llm, [html_of(c, "") for c in names] + ["<body><p>Something else</p></body>"])[5] == "Something else"
+
+
 def test_names_of_text_elements_tell_no_role(llm):
     """What a heading, paragraph or inline element is called says what it is about; adverts and hidden text go, the block stays whole."""
     pages = ["<article><h2 id='related'>Related work</h2><p class='search'>We search.</p><p>Say <span class='comment'>no <b>more</b></span> words.</p></article>",
