@@ -93,6 +93,7 @@ def scratch(spark: SparkSession) -> Scratch:
     """The innermost open scope of temporary data; outside of all, the application's own, removed at its exit."""
     if not _scopes:
         _scopes.append(Scratch(spark))
+    _scopes[-1].spark = spark  # the session at hand: an earlier one may have been stopped
     return _scopes[-1]
 
 
