@@ -81,9 +81,10 @@ def to_int(x) -> Column:
 
 def toi_to_seconds(x) -> Column:
     """S7: 'MM:SS' to seconds; anything but exactly two numeric parts gives NULL."""
-    parts = F.split(_c(x), ":")
-    return F.when(F.size(parts) == 2,
-                  parts.getItem(0).try_cast("int") * 60 + parts.getItem(1).try_cast("int"))
+    x = _c(x)
+    colons = F.length(x) - F.length(F.replace(x, F.lit(":"), F.lit("")))
+    return F.when(colons == 1, F.substring_index(x, ":", 1).try_cast("int") * 60
+                  + F.substring_index(x, ":", -1).try_cast("int"))
 
 
 def to_date_prefix(x, lenient: bool = False) -> Column:
