@@ -245,19 +245,20 @@ class Roles:
             F.lpad((F.col("time_on_ice_seconds") % 60).cast("string"), 2, "0")))
         stat = F.struct(F.col("player_id").alias("playerId"), "goals", "assists", F.col("shots").alias("sog"), "hits",
                         F.col("blocks").alias("blockedShots"), F.col("penalty_minutes").alias("pim"), toi.alias("toi"))
-        s = s.select("game_id", "home_team_id", "away_team_id", "player_id", "position_code",
-                     (F.col("player_id") % 2 == 0).alias("home"), F.to_json(stat).alias("e"))
+        # a group's entries are JSON text: one list a document, put in order of group and player by one natural sort
+        slot = F.when(F.col("player_id") % 2 == 0, 3).otherwise(0) + F.when(F.col("position_code") == "C", 0).when(
+            F.col("position_code") == "D", 1).otherwise(2)
+        s = s.select("game_id", "home_team_id", "away_team_id", F.floor(F.col("player_id") / 1024).alias("chunk"),
+                     F.struct(slot.alias("slot"), F.col("player_id").alias("k"), F.to_json(stat).alias("e")).alias("entry"))
+        g = s.groupBy("game_id", "chunk", "home_team_id", "away_team_id").agg(
+            F.sort_array(F.collect_list("entry")).alias("entries"))
 
-        def group(home, code):  # entries are JSON text: a natural sort, joined into a JSON array
-            arr = F.sort_array(F.collect_list(F.when(
-                (F.col("home") == home) & (F.col("position_code") == code),
-                F.struct(F.col("player_id").alias("k"), F.col("e").alias("e")))))
-            return F.concat(F.lit("["), F.array_join(arr.getField("e"), ","), F.lit("]"))
+        def group(i):
+            of_slot = F.filter("entries", lambda x: x["slot"] == i)
+            return F.concat(F.lit("["), F.array_join(F.transform(of_slot, lambda x: x["e"]), ","), F.lit("]"))
 
-        s = s.withColumn("chunk", F.floor(F.col("player_id") / 1024))
-        g = s.groupBy("game_id", "chunk", "home_team_id", "away_team_id").agg(
-            *[group(home, code).alias(f"{side}_{code}") for side, home in (("a", False), ("h", True))
-              for code in ("C", "D", "G")])
+        g = g.select("*", *[group(i).alias(f"{p}_{code}") for i, (p, code) in enumerate(
+            (p, code) for p in "ah" for code in ("C", "D", "G"))])
         k = F.col("game_id")
 
         def side(p):
