@@ -19,6 +19,10 @@ def _by_key(arr):
     return F.array_sort(arr, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
 
 
+#: Line items of a task that groups or joins them by game.
+TASK_LINES = 200_000
+
+
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -69,8 +73,12 @@ class Roles:
     @cached_property
     def stats(self) -> DataFrame:
         """Stats per (game, player). Penalty minutes are NULL when a line has return flag 'A', ice time is
-        set only when a line has status 'F' (fixed-width tests, so the grouping is a hash aggregate)."""
-        return self.stats_all.groupBy("game_id", "player_id").agg(
+        set only when a line has status 'F' (fixed-width tests, so the grouping is a hash aggregate).
+
+        Lines are dealt by game once, in parts of about ``TASK_LINES`` lines whatever the table's size: the grouping
+        and the joins by game that follow need no shuffle of their own, and a task's memory does not grow."""
+        parts = max(self.spark.sparkContext.defaultParallelism, -(-self.table("lineitem").count() // TASK_LINES))
+        return self.stats_all.repartition(parts, "game_id").groupBy("game_id", "player_id").agg(
             (F.min("qty") % 4).cast("int").alias("goals"), (F.min("l_linenumber") % 3).cast("int").alias("assists"),
             (F.max("qty") % 9).cast("int").alias("shots"), (F.min("l_partkey") % 5).cast("int").alias("hits"),
             (F.max("l_partkey") % 4).cast("int").alias("blocks"),

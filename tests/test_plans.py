@@ -63,3 +63,22 @@ def test_player_summary_aggregates_before_the_dimensions(spark):
     assert "partial_count(1)" in text
     # reading the tree from the top: names are grouped, then come the dimension joins, then the sums per key
     assert text.index("Join") < text.index("partial_count(1)")
+
+
+def test_stats_are_dealt_by_game_once_in_parts_by_their_number(spark, monkeypatch):
+    """The grouping of line items and the joins by game share one shuffle, whose parts grow with the table."""
+    from starload.sources import roles
+
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    monkeypatch.setattr(roles, "TASK_LINES", 500)
+    text = plan(spark, "boxscore_flatten")
+    assert f"{-(-lines // 500)}), REPARTITION_BY_NUM" in text
+    # one exchange of the lines, one of the games that they are joined with
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("hashpartitioning(game_id") == 2
+
+
+def test_payloads_are_parsed_once_and_entries_cast_once(spark):
+    text = plan(spark, "stats_to_staging")
+    assert text.count("parseJson") == 1
+    assert text.count("StructField(playerId,IntegerType") == 1
+    assert "partial_collect_list" in text and text.count("partial_collect_list") == 1
