@@ -7,8 +7,9 @@ above; pairs that can reach the threshold are compared exactly, by intersecting
 sorted arrays.
 
 Equal texts are one node from the start. Groups of near copies are not expanded into all pairs:
-first each tile compares its smallest node with the others, then only pairs of nodes that are not
-connected yet are compared. So every link is either found or lies within a component.
+first a node is compared with the least of its tiles' smallest nodes, then each tile compares its smallest
+node with the others it is not connected with yet, at last all pairs of nodes that are not connected
+yet are compared. So every link is either found or lies within a component.
 
 Scale: signatures travel as packed arrays, equal ones are combined per task first (a hot
 tile sends one row per task to be matched), tiles of the same nodes are paired once, tiles over ``TILE`` nodes are cut into
@@ -285,6 +286,22 @@ def _link(percent: int):
     return run
 
 
+def labelled(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """``a, b, x, y``: pairs with the components of their ends; a node without one is its own."""
+    x = comps.select(F.col("node").alias("a"), F.col("comp").alias("x"))
+    y = comps.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+    return pairs.join(x, "a", "left").join(y, "b", "left").select(
+        "a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+
+
+def extended(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, comp`` after further links: only the components that they join are walked again, one node each."""
+    up = cut(components(labelled(links, comps).select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    known = comps.join(up.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp", "left").select(
+        "node", F.coalesce("up", "comp").alias("comp"))
+    return known.unionByName(up.join(comps.select("node"), "node", "left_anti"))
+
+
 class NgramJoin:
     """The steps of one join over ``docs``; see ``jaccard_groups``."""
 
@@ -332,6 +349,18 @@ class NgramJoin:
         return (self.tiles.join(least, "sig").where("node <> a")
                 .select("a", F.col("node").alias("b")).distinct())
 
+    def starred(self) -> DataFrame:
+        """``node, comp`` of the nodes linked by ``first_pairs``, in two rounds.
+
+        Copies meet in many tiles, whose smallest nodes differ. So a node is first compared with the least of them only,
+        one pair a node; of the other pairs, those not connected by then are compared.
+        """
+        pairs = cut(self.first_pairs())
+        one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        comps = cut(components(self.verified(self.passing(one))))
+        apart = labelled(pairs.join(one, ["a", "b"], "left_anti"), comps).where("x <> y").select("a", "b")
+        return cut(extended(comps, self.verified(self.passing(apart))))
+
     def other_pairs(self, comps: DataFrame) -> DataFrame:
         """Pairs of nodes of a tile that are not connected yet and that bitmaps do not rule out."""
         known = cut(self.tiles.distinct().join(comps, "node", "left")
@@ -357,11 +386,9 @@ class NgramJoin:
         shared = self.tiles.select("node").distinct()
         self.nodes = cut(members.join(shared, "node", "left_semi").groupBy("node")
                          .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")))
-        first = self.verified(self.passing(self.first_pairs()))
-        comps = cut(components(first))
+        comps = self.starred()
         second = self.verified(self.other_pairs(comps))
-        joined = comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(second)
-        return members.select("doc_id", "node", "n"), components(joined)
+        return members.select("doc_id", "node", "n"), extended(comps, second)
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",

@@ -535,3 +535,21 @@ def test_template_of_a_small_host_by_force(llm):
     want = {t for c in classes.values() if len(c) >= page_text.MIN_CLASS for t in c}
     table = llm.createDataFrame([("h", p) for p in pages], "host string, html string")
     assert {t for r in page_text.templates(table).collect() for t in r.template} == want and len(classes) > 1
+
+
+def test_ngram_join_links_a_group_of_near_copies_by_one_pair_a_node(spark, monkeypatch):
+    """Copies share many tiles with different smallest nodes: what is walked for components grows with the nodes only."""
+    walked = []
+
+    def counting(edges):
+        walked.append(edges.count())
+        return components(edges)
+
+    components = ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", counting)
+    copies = 40
+    texts = [" ".join("x" if w == 5 * k else f"w{w}" for w in range(200)) for k in range(copies)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = ngram_join.jaccard_groups(docs, width=4, percent=85).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(k, 0) for k in range(copies)}
+    assert sum(walked) <= copies
