@@ -23,6 +23,7 @@ from starload.operators import reports as R
 from starload.operators.dedupe import dedupe
 from starload.plans import audit as A
 from starload.schemas import LENGTH_LIMITS, REFERENCES, SOURCE_SYSTEM
+from starload.session import kept
 from starload.sources import payloads as P
 from starload.sources.roles import Roles
 
@@ -127,7 +128,9 @@ def game_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stats_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Roles(spark, sf_dir)
-    return L.load_stats_fact(m.stats_staged, m.game, m.player, m.team_tgt, m.stats_fact_existing)
+    # the batch's games, its rows, the history and its largest key all come from the staged rows
+    with kept(m.stats_staged) as staged:
+        return L.load_stats_fact(staged, m.game, m.player, m.team_tgt, m.stats_fact_existing)
 
 
 @query

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -117,6 +118,20 @@ def written(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once for every frame built on it inside, kept on the executors' disks with its partitioning.
+
+    What is returned from inside must not read ``df`` any more: it would be computed again.
+    """
+    df.persist(StorageLevel.DISK_ONLY)
+    try:
+        df.count()  # now: only a plan that has run tells its partitioning to the joins planned on it
+        yield df
+    finally:
+        df.unpersist()
+
+
 @atexit.register
 def _remove_all() -> None:
     try:

@@ -82,3 +82,28 @@ def test_payloads_are_parsed_once_and_entries_cast_once(spark):
     assert text.count("parseJson") == 1
     assert text.count("StructField(playerId,IntegerType") == 1
     assert "partial_collect_list" in text and text.count("partial_collect_list") == 1
+
+
+def test_stats_fact_load_computes_its_staged_rows_once(spark, monkeypatch):
+    """Batch, history and the history's largest key read the kept rows, dealt by game; nothing stays kept afterwards."""
+    from starload.operators import loads
+
+    seen, load = [], loads.load_stats_fact
+
+    def watched(staged, games, players, teams, existing):
+        for df in (staged, existing, existing.groupBy().max("player_game_stats_key")):
+            seen.append((df._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation"),
+                         df._jdf.queryExecution().sparkPlan().toString()))
+        seen.append(staged)
+        joined = existing._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan", 1)[0]
+        assert "Exchange" not in joined.split("\n", 1)[-1], "the kept rows' dealing by game must serve the join"
+        return load(staged, games, players, teams, existing)
+
+    monkeypatch.setattr(loads, "load_stats_fact", watched)
+    out = QUERIES["stats_fact_load"](spark, SF_DIR)
+    *plans, staged = seen
+    assert [n for n, _ in plans] == [1, 1, 1] and all("InMemoryTableScan" in p for _, p in plans)
+    assert not staged.is_cached and staged.storageLevel == spark.range(1).storageLevel
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in text and "InMemoryRelation" not in text  # the result reads what the load wrote
+    assert out.count() > 0
