@@ -15,6 +15,8 @@ from starload.session import ensure_checkpoint_dir
 
 #: Words of a text: maximal runs of bytes other than space, tab, LF, VT, FF and CR.
 WORD_GAP = r"[\x20\x09-\x0D]+"
+#: Rows of a few numbers that make one task's share.
+TASK_ROWS = 50_000
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -56,6 +58,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shares(amount: int, each: int) -> int:
+    """Tasks that so much takes. ``coalesce`` to it between steps: a small table's tasks, shuffle files and checkpoint
+    files then follow its size and not the square of the shuffle partitions; a table of more shares than
+    partitions is left alone."""
+    return max(1, -(-amount // each))
+
+
 def crc_mod(column: str, mod: int):
     """crc32 of an id as text, modulo ``mod`` (the folds the contracts name)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(mod)

@@ -13,7 +13,8 @@ yet are compared. So every link is either found or lies within a component.
 
 Scale: signatures travel as packed arrays, equal ones are combined per task first (a hot
 tile sends one row per task to be matched), tiles of the same nodes are paired once, tiles over ``TILE`` nodes are cut into
-blocks that are paired, and arrays are only built for nodes with a pair left after the bitmaps.
+blocks that are paired, and arrays are only built for nodes with a pair left after the bitmaps. The many steps
+on small tables run in as many tasks as documents and texts make shares, whatever the shuffle partitions.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm.components import components
-from starload.llm.frames import binary_column, cut, shuffle_width
+from starload.llm.frames import TASK_ROWS, binary_column, cut, shares, shuffle_width
 from starload.llm.shingles import Bands, bitmap, bitmap_words, overlap, set_hash, shingle_sets
 from starload.llm.textbytes import U64, mix, slices
 
@@ -37,6 +38,8 @@ MATCHED = 3_000_000
 HELD = 1_000_000
 #: Places of the bounded filter that spares the shuffle of unneeded texts.
 PLACES = 1 << 20
+#: Bytes of text whose tiles, bitmaps and pairs make one task's share.
+SHARE = 1 << 22
 
 SIGNED = "bucket int, kind int, x binary, y binary, doc_id long, node long, n int, bits binary"
 FOUND = "kind int, sig long, doc_id long, node long, n int, bits binary"
@@ -268,7 +271,7 @@ def _arrays(width: int):
             for i, j, data, offs in slices(binary_column(batch, "text")):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i:j], pa.array([s.tobytes() for s in shingle_sets(data, offs, width)], pa.binary())],
-                    ["doc_id", "shingles"])
+                    ["node", "shingles"])
 
     return run
 
@@ -286,22 +289,6 @@ def _link(percent: int):
     return run
 
 
-def labelled(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """``a, b, x, y``: pairs with the components of their ends; a node without one is its own."""
-    x = comps.select(F.col("node").alias("a"), F.col("comp").alias("x"))
-    y = comps.select(F.col("node").alias("b"), F.col("comp").alias("y"))
-    return pairs.join(x, "a", "left").join(y, "b", "left").select(
-        "a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
-
-
-def extended(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, comp`` after further links: only the components that they join are walked again, one node each."""
-    up = cut(components(labelled(links, comps).select(F.col("x").alias("a"), F.col("y").alias("b"))))
-    known = comps.join(up.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp", "left").select(
-        "node", F.coalesce("up", "comp").alias("comp"))
-    return known.unionByName(up.join(comps.select("node"), "node", "left_anti"))
-
-
 class NgramJoin:
     """The steps of one join over ``docs``; see ``jaccard_groups``."""
 
@@ -309,14 +296,29 @@ class NgramJoin:
         self.spark = docs.sparkSession
         self.docs, self.width, self.percent = docs, width, percent
 
+    def labelled(self, pairs: DataFrame, comps: DataFrame) -> DataFrame:
+        """``a, b, x, y``: pairs with the components of their ends; a node without one is its own."""
+        x = comps.select(F.col("node").alias("a"), F.col("comp").alias("x"))
+        y = comps.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+        return pairs.join(x, "a", "left").coalesce(self.wide).join(y, "b", "left").select(
+            "a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")).coalesce(self.wide)
+
+    def extended(self, comps: DataFrame, links: DataFrame) -> DataFrame:
+        """``node, comp`` after further links: only the components that they join are walked again, one node each."""
+        up = cut(components(self.labelled(links, comps).select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        known = comps.join(up.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp", "left").select(
+            "node", F.coalesce("up", "comp").alias("comp"))
+        return known.unionByName(up.join(comps.select("node"), "node", "left_anti")).coalesce(self.narrow)
+
     def sign(self) -> tuple[DataFrame, DataFrame]:
         """Documents ``doc_id, node, n, bits`` and tiles ``sig, node`` of at least two nodes."""
         # a set of n words signs about 0.4 n classes, and a word takes some five bytes
-        size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        rows, size = self.docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+        self.narrow, self.wide = shares(rows, TASK_ROWS), shares(size, SHARE)
         self.parts = max(shuffle_width(self.spark), -(-size // (12 * MATCHED)))
         buckets = 16 * self.parts
         signed = self.docs.mapInArrow(_sign(self.percent, self.width, buckets), SIGNED)
-        found = cut(signed.repartition(self.parts, "bucket").mapInArrow(_match(buckets), FOUND))
+        found = cut(signed.repartition(self.parts, "bucket").mapInArrow(_match(buckets), FOUND).coalesce(self.wide))
         return (found.where("kind = 1").select("doc_id", "node", "n", "bits"),
                 found.where("kind = 0").select("sig", "node"))
 
@@ -325,29 +327,29 @@ class NgramJoin:
         a = self.nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
         b = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
         near = ((F.col("na") * 100 >= F.col("nb") * self.percent) & (F.col("nb") * 100 >= F.col("na") * self.percent))
-        return pairs.join(a, "a").join(b, "b").where(near).mapInArrow(_pass_bitmaps(self.percent), "a long, b long")
+        met = pairs.join(a, "a").coalesce(self.wide).join(b, "b").where(near)
+        return met.mapInArrow(_pass_bitmaps(self.percent), "a long, b long").coalesce(self.wide)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose similarity reaches the threshold, by exact intersection."""
         pairs = cut(pairs)
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = cut(self.nodes.join(ends, "node").select("node", F.col("rep").alias("doc_id")))
+        wanted = cut(self.nodes.join(ends, "node").select("node", F.col("rep").alias("doc_id")).coalesce(self.narrow))
         place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
         # at most PLACES rows, whatever is wanted: spares the shuffle of most other texts
         places = F.broadcast(wanted.select(place.alias("place")).distinct())
-        texts = (self.docs.withColumn("place", place).join(places, "place", "left_semi").select("doc_id", "text")
-                 .join(wanted.select("doc_id"), "doc_id", "left_semi"))
-        arrays = cut(texts.mapInArrow(_arrays(self.width), "doc_id long, shingles binary")
-                     .join(wanted, "doc_id").select("node", "shingles"))
+        texts = self.docs.withColumn("place", place).join(places, "place", "left_semi").join(wanted, "doc_id").select("node", "text")
+        arrays = cut(texts.mapInArrow(_arrays(self.width), "node long, shingles binary").coalesce(self.wide))
         a = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
         b = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-        return cut(pairs.join(a, "a").join(b, "b").mapInArrow(_link(self.percent), "a long, b long"))
+        met = pairs.join(a, "a").coalesce(self.wide).join(b, "b")
+        return cut(met.mapInArrow(_link(self.percent), "a long, b long").coalesce(self.wide))
 
     def first_pairs(self) -> DataFrame:
         """Each tile's smallest node with the others."""
         least = self.tiles.groupBy("sig").agg(F.min("node").alias("a"))
         return (self.tiles.join(least, "sig").where("node <> a")
-                .select("a", F.col("node").alias("b")).distinct())
+                .select("a", F.col("node").alias("b")).coalesce(self.wide).distinct().coalesce(self.wide))
 
     def starred(self) -> DataFrame:
         """``node, comp`` of the nodes linked by ``first_pairs``, in two rounds.
@@ -356,39 +358,40 @@ class NgramJoin:
         one pair a node; of the other pairs, those not connected by then are compared.
         """
         pairs = cut(self.first_pairs())
-        one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        one = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").coalesce(self.narrow)
         comps = cut(components(self.verified(self.passing(one))))
-        apart = labelled(pairs.join(one, ["a", "b"], "left_anti"), comps).where("x <> y").select("a", "b")
-        return cut(extended(comps, self.verified(self.passing(apart))))
+        rest = pairs.join(one, ["a", "b"], "left_anti").coalesce(self.wide)
+        apart = self.labelled(rest, comps).where("x <> y").select("a", "b")
+        return cut(self.extended(comps, self.verified(self.passing(apart))))
 
     def other_pairs(self, comps: DataFrame) -> DataFrame:
         """Pairs of nodes of a tile that are not connected yet and that bitmaps do not rule out."""
-        known = cut(self.tiles.distinct().join(comps, "node", "left")
-                    .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
+        known = cut(self.tiles.distinct().coalesce(self.wide).join(comps, "node", "left")
+                    .select("sig", "node", F.coalesce("comp", "node").alias("comp")).coalesce(self.wide))
         # texts alike in part meet in many tiles: of tiles with the same nodes (128 bits and their number), one is enough
         mixed = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"),
                                           F.bit_xor("node").alias("u"), F.bit_xor(F.xxhash64("node")).alias("v"))
-                 .where("x <> y").groupBy("rows", "u", "v").agg(F.min("sig").alias("sig"))
-                 .select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")))
-        rows = (known.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-                .join(self.nodes.select("node", "n", "bits"), "node")
+                 .where("x <> y").coalesce(self.wide).groupBy("rows", "u", "v").agg(F.min("sig").alias("sig"))
+                 .select("sig", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")).coalesce(self.wide))
+        rows = (known.join(mixed, "sig").coalesce(self.wide).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .join(self.nodes.select("node", "n", "bits"), "node").coalesce(self.wide)
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
                         "node", "comp", F.col("n").cast("long").alias("n"), "bits"))
         return (rows.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "node")
-                .mapInArrow(_pairs_of_tiles(self.percent, self.parts), "bucket int, pairs binary")
+                .mapInArrow(_pairs_of_tiles(self.percent, self.parts), "bucket int, pairs binary").coalesce(self.wide)
                 # a pair meets in several tiles: packed, pairs are brought together and told apart
-                .repartition(self.parts, "bucket").mapInArrow(_distinct_pairs, "a long, b long"))
+                .repartition(self.parts, "bucket").mapInArrow(_distinct_pairs, "a long, b long").coalesce(self.wide))
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """Documents ``doc_id, node, n`` and ``node, comp`` of the linked nodes."""
         members, self.tiles = self.sign()
         shared = self.tiles.select("node").distinct()
         self.nodes = cut(members.join(shared, "node", "left_semi").groupBy("node")
-                         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+                         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")).coalesce(self.wide))
         comps = self.starred()
         second = self.verified(self.other_pairs(comps))
-        return members.select("doc_id", "node", "n"), extended(comps, second)
+        return members.select("doc_id", "node", "n"), self.extended(comps, second)
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -403,11 +406,12 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: s
     and does not link others. Empty tables give no rows; further columns are not read.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    members, comps = NgramJoin(rows.where("doc_id is not null"), width, percent).run()
-    labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = labelled.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    join = NgramJoin(rows.where("doc_id is not null"), width, percent)
+    members, comps = join.run()
+    labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).coalesce(join.narrow)
+    least = labelled.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id")).coalesce(join.narrow)
     # a text without words has no node: it is a group of its own
-    grouped = (labelled.join(least, "comp", "left")
+    grouped = (labelled.join(least, "comp", "left").coalesce(join.narrow)
                .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
     lost = NgramJoin(rows.where("doc_id is null"), width, percent)
     return grouped.unionByName(lost.docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, component_id long"))

@@ -553,3 +553,24 @@ def test_ngram_join_links_a_group_of_near_copies_by_one_pair_a_node(spark, monke
     rows = ngram_join.jaccard_groups(docs, width=4, percent=85).collect()
     assert {(r.doc_id, r.component_id) for r in rows} == {(k, 0) for k in range(copies)}
     assert sum(walked) <= copies
+
+
+def test_ngram_join_runs_few_tasks_on_few_rows_whatever_the_shuffle_partitions(spark):
+    """Each task leaves shuffle, checkpoint and log files, so on small tables they must not grow with the partitions of every step."""
+    texts = [" ".join("x" if w == 5 * (k % 20) else f"w{w + 1000 * (k // 20)}" for w in range(150)) for k in range(60)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    sc.setJobGroup("few-tasks", "op2 on 60 texts")
+    try:
+        rows = ngram_join.jaccard_groups(docs, width=4, percent=85).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {(r.doc_id, r.component_id) for r in rows} == {(k, k - k % 20) for k in range(60)}
+    stages = {s for job in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(job).stageIds}
+    assert sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i) <= 1000
